@@ -57,3 +57,154 @@ select sales_id, client_id, product_id, cast(date as varchar) as date, quantity,
   {SALES_REASONS} as reasons
 from sales_judged""",
 }
+
+CLIENTS_DEDUP = """
+clients_dedup as (select * from (select client_id, address, signup_date, row_number() over (partition by client_id
+   order by date desc nulls last, sales_id desc nulls last, sale_amount desc nulls last, l_suppkey desc nulls last) rn
+   from bronze) x where rn=1)"""
+
+PRODUCTS_DEDUP = """
+products_dedup as (select * from (select product_id, product_name, category, price, row_number() over (partition by product_id
+   order by date desc nulls last, sales_id desc nulls last, sale_amount desc nulls last, l_suppkey desc nulls last) rn
+   from bronze) x where rn=1)"""
+
+ADDR_OK = "address in ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD')"
+DATE_OK = "date between date '1995-06-01' and date '2001-06-01'"
+
+
+def _count_fail(pred: str) -> str:
+    """Rows whose predicate is not TRUE."""
+    return f"cast(count_if(not coalesce({pred}, false)) as bigint)"
+
+
+ORACLE.update({
+    "silver_sales": _with(BRONZE, SALES_DEDUP, SALES_JUDGED) + f"""
+select sales_id, client_id, product_id, cast(date as varchar) as date, quantity, sale_amount
+from sales_judged where {SALES_OK}""",
+
+    "silver_clients": _with(BRONZE, CLIENTS_DEDUP) + f"""
+select client_id, address, cast(signup_date as varchar) as signup_date from clients_dedup
+where coalesce(client_id is not null, false) and coalesce({ADDR_OK}, false)""",
+
+    "silver_products": _with(BRONZE, PRODUCTS_DEDUP) + """
+select product_id, product_name, category, price from products_dedup where product_id is not null""",
+
+    "rule_violations": _with(BRONZE, SALES_DEDUP) + f"""
+select * from (
+ select 'sales_id_not_null' as rule_name, {_count_fail('sales_id is not null')} as failed_rows from sales_dedup
+ union all select 'client_id_not_null', {_count_fail('client_id is not null')} from sales_dedup
+ union all select 'product_id_not_null', {_count_fail('product_id is not null')} from sales_dedup
+ union all select 'dateWithinRange', {_count_fail(DATE_OK)} from sales_dedup
+ union all select 'validQuantity', {_count_fail('quantity > 0')} from sales_dedup
+ union all select 'validAddress', {_count_fail(ADDR_OK)} from sales_dedup)""",
+
+    "quarantine_reasons": _with(BRONZE, SALES_DEDUP, SALES_JUDGED) + f"""
+select {SALES_REASONS} as reasons, count(*) as n_rows, cast(sum(quantity) as bigint) as sum_quantity
+from sales_judged where not {SALES_OK} group by 1""",
+
+    "quality_metrics": _with(BRONZE, SALES_DEDUP, SALES_JUDGED) + f"""
+select 'input_rows' as metric, count(*) as value from bronze
+union all select 'deduped_rows', count(*) from sales_judged
+union all select 'valid_rows', count_if({SALES_OK}) from sales_judged
+union all select 'quarantined_rows', count_if(not {SALES_OK}) from sales_judged
+union all select 'unknown_rows', cast(0 as bigint)""",
+
+    "null_policy_split": _with(BRONZE, SALES_DEDUP) + f""",
+raw as (select sales_id, client_id is not null as a, product_id is not null as b, sales_id is not null as c,
+   ({DATE_OK}) as d, (quantity > 0) as e, ({ADDR_OK}) as f from sales_dedup),
+flags as (select sales_id,
+   (a is not true or b is not true or c is not true or d is not true or e is not true or f is not true) as any_not_true,
+   (a is false or b is false or c is false or d is false or e is false or f is false) as any_false,
+   (a is null or b is null or c is null or d is null or e is null or f is null) as any_null from raw)
+select sales_id,
+  case when any_not_true then 'quarantine' else 'valid' end as status_quarantine,
+  case when any_false then 'quarantine' else 'valid' end as status_pass,
+  case when any_false then 'quarantine' when any_null then 'unknown' else 'valid' end as status_drop
+from flags""",
+
+    "expect_metrics": _with(BRONZE) + f"""
+select rule_name, action, cast(n - failed as bigint) as passed_rows, failed as failed_rows from (
+ select 'valid_sales_id' as rule_name, 'drop' as action, {_count_fail('sales_id is not null')} as failed, count(*) as n from bronze
+ union all select 'valid_client_id', 'drop', {_count_fail('client_id is not null')}, count(*) from bronze
+ union all select 'valid_product_id', 'drop', {_count_fail('product_id is not null')}, count(*) from bronze
+ union all select 'valid_quantity', 'warn', {_count_fail('quantity > 0')}, count(*) from bronze
+ union all select 'valid_address', 'warn', {_count_fail(ADDR_OK)}, count(*) from bronze
+ union all select 'valid_date', 'warn', {_count_fail(DATE_OK)}, count(*) from bronze)""",
+
+    "expect_drop": _with(BRONZE) + """
+select sales_id, client_id, product_id, quantity, cast(date as varchar) as date, l_suppkey from bronze
+where sales_id is not null and client_id is not null and product_id is not null""",
+
+    "expect_all_drop": _with(BRONZE) + f"""
+select sales_id, client_id, product_id, quantity, cast(date as varchar) as date, l_suppkey from bronze
+where sales_id is not null and client_id is not null and coalesce({DATE_OK}, false) and coalesce(quantity > 0, false)""",
+
+    "rules_by_tag": _with(BRONZE) + f"""
+select * from (
+ select 'clients' as tag, 'address_valid_value' as name, {_count_fail(ADDR_OK)} as failed_rows from bronze
+ union all select 'clients', 'client_id_not_null', {_count_fail('client_id is not null')} from bronze
+ union all select 'products', 'product_id_not_null', {_count_fail('product_id is not null')} from bronze
+ union all select 'sales', 'sales_id_not_null', {_count_fail('sales_id is not null')} from bronze
+ union all select 'sales', 'client_id_not_null', {_count_fail('client_id is not null')} from bronze
+ union all select 'sales', 'date_valid_range', {_count_fail(DATE_OK)} from bronze
+ union all select 'sales', 'quantity_valid_value', {_count_fail('quantity > 0')} from bronze)""",
+
+    "dedupe_latest": _with(BRONZE, SALES_DEDUP) + """
+select sales_id, cast(date as varchar) as date, sale_amount, l_suppkey, quantity from sales_dedup""",
+
+    "dedupe_rank_ties": _with(BRONZE) + """
+select sales_id, cast(date as varchar) as date, sale_amount, l_suppkey from (
+ select *, rank() over (partition by sales_id order by date desc nulls last) rk from bronze) x where rk = 1""",
+
+    "dedupe_any_keys": _with(BRONZE) + """
+select distinct client_id from bronze""",
+})
+
+
+def _documents_sql() -> str:
+    """The rule documents as a DuckDB relation: JSON text -> unnest of statements -> regex
+    normalisation (an independent restatement of A3/D1/D2)."""
+    from ..sources.rules import FIXTURE_RULES, rule_documents
+    docs = ", ".join("('" + d.replace("'", "''") + "')" for d in rule_documents(FIXTURE_RULES))
+    return f"""
+docs as (select * from (values {docs}) t(doc)),
+stmts as (select json_extract_string(doc, '$.tableName') as tableName,
+   unnest(json_extract_string(doc, '$.constraints[*]')) as statement from docs),
+norm as (select tableName as table_name, statement,
+   regexp_extract(statement, '(?i)ALTER\\s+COLUMN\\s+(\\w+)\\s+SET\\s+NOT\\s+NULL', 1) as nn,
+   regexp_extract(statement, '(?i)ADD\\s+CONSTRAINT\\s+(\\w+)', 1) as cname,
+   trim(regexp_extract(statement, '(?i)CHECK\\s*[(](.*)[)]\\s*;?\\s*$', 1)) as chk from stmts),
+rules as (select table_name, statement,
+   case when nn <> '' then 'not_null' when cname <> '' and chk <> '' then 'check' else 'unknown' end as kind,
+   case when nn <> '' then nn || '_not_null' else cname end as name,
+   case when nn <> '' then nn || ' IS NOT NULL' else chk end as expression from norm)"""
+
+
+def _rule_counts(src: str, table: str, names_preds: list[tuple[str, str]]) -> str:
+    parts = [f"select '{table}' as table_name, '{n}' as name, "
+             f"cast(count_if(({p}) is false) as bigint) as failed_rows, "
+             f"cast(count_if(({p}) is null) as bigint) as unknown_rows from {src}" for n, p in names_preds]
+    return " union all ".join(parts)
+
+
+_SALES_PREDS = [("client_id_not_null", "client_id is not null"), ("dateWithinRange", DATE_OK),
+                ("product_id_not_null", "product_id is not null"), ("sales_id_not_null", "sales_id is not null"),
+                ("validQuantity", "quantity > 0")]
+
+ORACLE.update({
+    "rules_explode": _with(BRONZE, _documents_sql()) + f""",
+counts as (select 'client_id_not_null' as name, {_count_fail('client_id is not null')} as failed_rows from bronze
+ union all select 'validAddress', {_count_fail(ADDR_OK)} from bronze
+ union all select 'product_id_not_null', {_count_fail('product_id is not null')} from bronze
+ union all select 'sales_id_not_null', {_count_fail('sales_id is not null')} from bronze
+ union all select 'dateWithinRange', {_count_fail(DATE_OK)} from bronze
+ union all select 'validQuantity', {_count_fail('quantity > 0')} from bronze)
+select r.table_name as tableName, r.statement, c.failed_rows from rules r join counts c on r.name = c.name""",
+
+    "rules_normalised": _with(BRONZE, SALES_DEDUP, CLIENTS_DEDUP, PRODUCTS_DEDUP, _documents_sql()) + f""",
+counts as ({_rule_counts('sales_dedup', 'silver_sales', _SALES_PREDS)}
+ union all {_rule_counts('clients_dedup', 'silver_clients', [('client_id_not_null', 'client_id is not null'), ('validAddress', ADDR_OK)])}
+ union all {_rule_counts('products_dedup', 'silver_products', [('product_id_not_null', 'product_id is not null')])})
+select r.table_name, r.kind, r.name, r.expression, c.failed_rows, c.unknown_rows
+from rules r join counts c on r.table_name = c.table_name and r.name = c.name""",
+})

@@ -11,10 +11,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.split import FAILED_COL, STATUS_COL
+from ..functions.rules import Rule, collect_rules, normalise_statements, rules_by_tag as _rules_by_tag
+from ..operators.dedupe import dedupe_any, dedupe_latest
+from ..operators.expectations import apply_expectations, expect_all_or_drop, expectation_metrics
+from ..operators.split import FAILED_COL, STATUS_COL, judge, quality_metrics as _metrics, rule_failure_counts
 from ..sources import fixtures as fx
+from ..sources.rules import FIXTURE_RULES, FIXTURE_TAGGED_RULES, documents_frame, rule_documents, tagged_rules_frame
 from .silver import catalogue_rules, silver_batch
 
+# The declarative path's six expectations (three drop, three warn), fixture form.
+EXPECTATIONS = [
+    Rule("valid_sales_id", "sales_id IS NOT NULL", "drop"),
+    Rule("valid_client_id", "client_id IS NOT NULL", "drop"),
+    Rule("valid_product_id", "product_id IS NOT NULL", "drop"),
+    Rule("valid_quantity", "quantity > 0", "warn"),
+    Rule("valid_address", "address in ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD')", "warn"),
+    Rule("valid_date", "date between '1995-06-01' and '2001-06-01'", "warn"),
+]
+
+# Dimension silvers take the latest bronze row per key; (date, sales_id, sale_amount,
+# l_suppkey) is a total order on the fixture bronze, so the pick is deterministic.
+DIM_ORDER = ["date", "sales_id", "sale_amount", "l_suppkey"]
+
 
 def _reasons() -> F.Column:
     return F.array_join(F.array_sort(F.col(FAILED_COL)), ",").alias("reasons")
@@ -30,6 +48,184 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "quantity", "sale_amount", F.col(STATUS_COL).alias("status"), _reasons())
 
 
+def _sales_judged(spark, sf_dir, rules=None, null_policy="quarantine"):
+    rules = catalogue_rules(spark, "silver_sales") if rules is None else rules
+    return silver_batch(fx.bronze(spark, sf_dir), fx.SALES_COLUMNS, ["sales_id"], rules,
+                        order_by=fx.SALES_ORDER, carry=["l_suppkey"], null_policy=null_policy)
+
+
+def _valid(judged: DataFrame) -> DataFrame:
+    return judged.filter(F.col(STATUS_COL) == "valid").drop(FAILED_COL, STATUS_COL)
+
+
+def silver_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid rows of the sales silver."""
+    v = _valid(_sales_judged(spark, sf_dir))
+    return v.select("sales_id", "client_id", "product_id", F.col("date").cast("string").alias("date"),
+                    "quantity", "sale_amount")
+
+
+def silver_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid rows of the clients silver: latest bronze row per client_id."""
+    rules = catalogue_rules(spark, "silver_clients")
+    j = silver_batch(fx.bronze(spark, sf_dir), fx.CLIENT_COLUMNS, ["client_id"], rules,
+                     order_by=DIM_ORDER, carry=DIM_ORDER)
+    return _valid(j).select("client_id", "address", F.col("signup_date").cast("string").alias("signup_date"))
+
+
+def silver_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid rows of the products silver: latest bronze row per product_id."""
+    rules = catalogue_rules(spark, "silver_products")
+    j = silver_batch(fx.bronze(spark, sf_dir), fx.PRODUCT_COLUMNS, ["product_id"], rules,
+                     order_by=DIM_ORDER, carry=DIM_ORDER)
+    return _valid(j).select("product_id", "product_name", "category", "price")
+
+
+def _shared_rules(spark) -> list[Rule]:
+    """Sales rules plus the clients' address rule: one shared stream checked against all."""
+    return catalogue_rules(spark, "silver_sales") + [
+        r for r in catalogue_rules(spark, "silver_clients") if r.name == "validAddress"]
+
+
+def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-rule failing-row counts on the deduped sales rows."""
+    rules = _shared_rules(spark)
+    j = silver_batch(fx.bronze(spark, sf_dir), fx.SALES_COLUMNS + ["address"], ["sales_id"], rules,
+                     order_by=fx.SALES_ORDER, carry=["l_suppkey"])
+    return rule_failure_counts(j, rules)
+
+
+def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantined sales rows per reason set, with the quantity they carry."""
+    q = _sales_judged(spark, sf_dir).filter(F.col(STATUS_COL) == "quarantine")
+    return (q.groupBy(F.array_join(F.array_sort(F.col(FAILED_COL)), ",").alias("reasons"))
+             .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("quantity").alias("sum_quantity")))
+
+
+def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch counts as ``(metric, value)``: rows in, rows removed by dedupe, valid,
+    quarantined (D6, G1, G2) - two aggregate passes, no join."""
+    bronze = fx.bronze(spark, sf_dir)
+    m = _metrics(_sales_judged(spark, sf_dir))
+    long = m.selectExpr("stack(4, 'deduped_rows', total_rows, 'valid_rows', valid_rows, "
+                        "'quarantined_rows', quarantined_rows, 'unknown_rows', unknown_rows) as (metric, value)")
+    rows_in = bronze.agg(F.count(F.lit(1)).alias("value")).select(F.lit("input_rows").alias("metric"), "value")
+    return rows_in.unionByName(long)
+
+
+def null_policy_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status of each deduped row under the three null policies, six shared rules."""
+    rules = _shared_rules(spark)
+    base = fx.bronze(spark, sf_dir).select(*fx.SALES_COLUMNS, "address", "l_suppkey")
+    d = dedupe_latest(base, ["sales_id"], fx.SALES_ORDER)
+    out = d
+    for policy in ("quarantine", "pass", "drop"):
+        out = judge(out, rules, policy).withColumnRenamed(STATUS_COL, f"status_{policy}") \
+            .drop(FAILED_COL, "_unknown_rules")
+    return out.select("sales_id", "status_quarantine", "status_pass", "status_drop")
+
+
+def expect_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warn and drop expectations counted over every bronze row."""
+    return expectation_metrics(fx.bronze(spark, sf_dir), EXPECTATIONS)
+
+
+def expect_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows kept by the three drop expectations; warn rules keep rows."""
+    kept, _ = apply_expectations(fx.bronze(spark, sf_dir), EXPECTATIONS)
+    return kept.select("sales_id", "client_id", "product_id", "quantity",
+                       F.col("date").cast("string").alias("date"), "l_suppkey")
+
+
+def expect_all_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``expect_all_or_drop(get_rules('sales'))`` on bronze."""
+    rules = _rules_by_tag(tagged_rules_frame(spark, FIXTURE_TAGGED_RULES), "sales")
+    kept = expect_all_or_drop(fx.bronze(spark, sf_dir), rules)
+    return kept.select("sales_id", "client_id", "product_id", "quantity",
+                       F.col("date").cast("string").alias("date"), "l_suppkey")
+
+
+def rules_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule documents -> one row per statement (A3, D1, H1, H9), each with the number
+    of bronze rows that violate it."""
+    stmts = normalise_statements(documents_frame(spark, rule_documents(FIXTURE_RULES)))
+    rules = collect_rules(stmts)
+    counts = rule_failure_counts(judge(fx.bronze(spark, sf_dir), rules), rules)
+    return (stmts.join(counts, stmts.name == counts.rule_name)
+                 .select(F.col("table_name").alias("tableName"), F.col("statement"), "failed_rows"))
+
+
+def rules_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements normalised to ``(kind, name, expression)`` (D2, D4) and bound to each
+    table's deduped silver projection: failing and unknown rows per rule."""
+    stmts = normalise_statements(documents_frame(spark, rule_documents(FIXTURE_RULES)))
+    bronze = fx.bronze(spark, sf_dir)
+    parts = []
+    targets = {"silver_sales": (fx.SALES_COLUMNS, ["sales_id"], fx.SALES_ORDER, ["l_suppkey"]),
+               "silver_clients": (fx.CLIENT_COLUMNS, ["client_id"], DIM_ORDER, DIM_ORDER),
+               "silver_products": (fx.PRODUCT_COLUMNS, ["product_id"], DIM_ORDER, DIM_ORDER)}
+    for table, (cols, keys, order, carry) in targets.items():
+        rules = collect_rules(stmts.filter(F.col("table_name") == table))
+        j = silver_batch(bronze, cols, keys, rules, order_by=order, carry=carry, null_policy="drop")
+        aggs = []
+        for i, r in enumerate(rules):
+            aggs += [F.count_if(~F.coalesce(r.column(), F.lit(True))).alias(f"f{i}"),
+                     F.count_if(r.column().isNull()).alias(f"u{i}")]
+        body = ", ".join(f"'{r.name}', f{i}, u{i}" for i, r in enumerate(rules))
+        parts.append(j.agg(*aggs).selectExpr(
+            f"'{table}' as table_name", f"stack({len(rules)}, {body}) as (name, failed_rows, unknown_rows)"))
+    counts = parts[0]
+    for p in parts[1:]:
+        counts = counts.unionByName(p)
+    return (stmts.join(counts, ["table_name", "name"])
+                 .select("table_name", "kind", "name", "expression", "failed_rows", "unknown_rows"))
+
+
+def rules_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tagged rules collapsed per tag (D10, A4, C3), each checked over bronze."""
+    tagged = tagged_rules_frame(spark, FIXTURE_TAGGED_RULES)
+    tags = [r["tag"] for r in tagged.select("tag").distinct().orderBy("tag").collect()]
+    rules = [Rule(n, e, "warn", tag=t) for t in tags for n, e in _rules_by_tag(tagged, t).items()]
+    wide = fx.bronze(spark, sf_dir).agg(*[F.count_if(~F.coalesce(r.column(), F.lit(False))).alias(f"f{i}")
+                                          for i, r in enumerate(rules)])
+    body = ", ".join(f"'{r.tag}', '{r.name}', f{i}" for i, r in enumerate(rules))
+    return wide.selectExpr(f"stack({len(rules)}, {body}) as (tag, name, failed_rows)")
+
+
+def dedupe_latest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly one latest row per sales_id."""
+    d = dedupe_latest(fx.bronze(spark, sf_dir), ["sales_id"], fx.SALES_ORDER)
+    return d.select("sales_id", F.col("date").cast("string").alias("date"), "sale_amount", "l_suppkey", "quantity")
+
+
+def dedupe_rank_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``rank() == 1`` by date only: rows tied on the latest date all stay."""
+    d = dedupe_latest(fx.bronze(spark, sf_dir), ["sales_id"], ["date"], ties="all")
+    return d.select("sales_id", F.col("date").cast("string").alias("date"), "sale_amount", "l_suppkey")
+
+
+def dedupe_any_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``dropDuplicates(client_id)``: which row survives is arbitrary, so only the keys
+    are checked; the null key is one key (E2, S7)."""
+    return dedupe_any(fx.bronze(spark, sf_dir), ["client_id"]).select("client_id")
+
+
 QUERIES = {
     "quarantine_split": quarantine_split,
+    "silver_sales": silver_sales,
+    "silver_clients": silver_clients,
+    "silver_products": silver_products,
+    "rule_violations": rule_violations,
+    "quarantine_reasons": quarantine_reasons,
+    "quality_metrics": quality_metrics,
+    "null_policy_split": null_policy_split,
+    "expect_metrics": expect_metrics,
+    "expect_drop": expect_drop,
+    "expect_all_drop": expect_all_drop,
+    "rules_explode": rules_explode,
+    "rules_normalised": rules_normalised,
+    "rules_by_tag": rules_by_tag,
+    "dedupe_latest": dedupe_latest_q,
+    "dedupe_rank_ties": dedupe_rank_ties,
+    "dedupe_any_keys": dedupe_any_keys,
 }
