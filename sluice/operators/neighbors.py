@@ -1,0 +1,71 @@
+"""Previous / next row per key without putting a whole key into one task.
+
+``lag``/``lead`` over ``Window.partitionBy(key)`` sends every row of a key to
+one task; with one key holding a third of the table that task is the job.  Here
+the window is partitioned by ``(key, bucket)`` where ``bucket`` is a coarse
+function of the ordering column (an hour of a timestamp, a block of a sequence
+number).  The rows at bucket edges then get their neighbour from a small
+per-``(key, bucket)`` summary (first and last row, map-side aggregated), which
+is itself windowed per key - it has one row per bucket, not per change.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+BUCKET = "_nb_bucket"
+
+
+def default_bucket(df: DataFrame, seq: str) -> Column:
+    """Hour for timestamps, the day for dates, blocks of 2**16 for integers."""
+    t = dict(df.dtypes)[seq]
+    c = F.col(seq)
+    if t.startswith("timestamp"):
+        return F.date_trunc("hour", c)
+    if t == "date":
+        return c
+    if t in ("bigint", "int", "smallint", "tinyint"):
+        return F.floor(c / F.lit(1 << 16))
+    return F.lit(0)
+
+
+def _null_safe_on(left: str, right: str, cols: Sequence[str]) -> Column:
+    conds = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols]
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
+
+
+def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str],
+                   bucket: Column, prev: str | None = "_prev", nxt: str | None = "_next") -> DataFrame:
+    """Add ``prev``/``nxt`` structs holding ``order + carry`` of the neighbouring row of
+    the same key (NULL at the ends).  ``order`` must be a total order within a key,
+    ascending; ``bucket`` must be non-decreasing in it."""
+    fields = list(dict.fromkeys([*order, *carry]))
+    payload = F.struct(*[F.col(c) for c in fields])
+    d = df.withColumn(BUCKET, bucket)
+    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    if prev:
+        d = d.withColumn("_prev_in", F.lag(payload).over(w))
+    if nxt:
+        d = d.withColumn("_next_in", F.lead(payload).over(w))
+    # struct ordering is lexicographic, so min/max of (order..., carry...) = first/last row
+    summ = d.groupBy(*keys, BUCKET).agg(F.min(payload).alias("_first"), F.max(payload).alias("_last"))
+    ws = Window.partitionBy(*keys).orderBy(BUCKET)
+    sel = [*keys, BUCKET]
+    if prev:
+        sel.append(F.lag("_last").over(ws).alias("_prev_b"))
+    if nxt:
+        sel.append(F.lead("_first").over(ws).alias("_next_b"))
+    summ = summ.select(*sel)
+    joined = d.alias("_l").join(summ.alias("_r"), _null_safe_on("_l", "_r", [*keys, BUCKET]))
+    out_cols = [F.col(f"_l.{c}") for c in df.columns]
+    if prev:
+        out_cols.append(F.coalesce(F.col("_l._prev_in"), F.col("_r._prev_b")).alias(prev))
+    if nxt:
+        out_cols.append(F.coalesce(F.col("_l._next_in"), F.col("_r._next_b")).alias(nxt))
+    return joined.select(*out_cols)

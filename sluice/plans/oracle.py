@@ -208,3 +208,78 @@ counts as ({_rule_counts('sales_dedup', 'silver_sales', _SALES_PREDS)}
 select r.table_name, r.kind, r.name, r.expression, c.failed_rows, c.unknown_rows
 from rules r join counts c on r.table_name = c.table_name and r.name = c.name""",
 })
+
+
+def _sales_silver(name: str, where: str) -> str:
+    return f"""
+{name} as (select sales_id, client_id, product_id, date, quantity, sale_amount from (
+  select *, row_number() over (partition by sales_id
+    order by date desc nulls last, sale_amount desc nulls last, l_suppkey desc nulls last) rn
+  from bronze where {where}) x
+ where rn = 1 and client_id is not null and product_id is not null and sales_id is not null
+   and coalesce({DATE_OK}, false) and coalesce(quantity > 0, false))"""
+
+
+EVENTS_LATEST = """
+latest as (select * from (select *, row_number() over (partition by user_id order by event_id desc) rn
+   from events) x where rn = 1)"""
+
+SCD2_DELETES = """
+with e as (select user_id, event_type, event_id, event_type = 'error' as is_del,
+   lag(event_type = 'error') over w as prev_del, lag(event_type) over w as prev_type,
+   row_number() over w as pos
+  from events window w as (partition by user_id order by event_id)),
+k as (select * from e where not (pos > 1 and ((prev_del and is_del) or (not prev_del and not is_del and prev_type = event_type)))),
+v as (select *, lead(event_id) over (partition by user_id order by event_id) as nxt from k)
+select user_id, event_type, event_id as __start_at, nxt as __end_at from v where not is_del"""
+
+ORACLE.update({
+    "upsert_sales": _with(BRONZE, _sales_silver("t", "date < date '1998-08-01'"),
+                          _sales_silver("s", "not (date < date '1998-08-01')")) + """
+select sales_id, client_id, product_id, cast(date as varchar) as date, quantity, sale_amount
+from t where not exists (select 1 from s where s.sales_id = t.sales_id)
+union all
+select sales_id, client_id, product_id, cast(date as varchar) as date, quantity, sale_amount from s""",
+
+    "scd1_latest": _with(EVENTS_LATEST) + """
+select user_id, event_type, value, cast(ts as varchar) as ts from latest""",
+
+    "scd1_deletes": _with(EVENTS_LATEST) + """
+select user_id, event_type, value, cast(ts as varchar) as ts from latest where event_type <> 'error'""",
+
+    "scd2_history": """
+with e as (select user_id, event_type, event_id, lag(event_type) over w as prev_type, row_number() over w as pos
+  from events window w as (partition by user_id order by event_id)),
+k as (select * from e where pos = 1 or prev_type <> event_type)
+select user_id, event_type, event_id as __start_at,
+  lead(event_id) over (partition by user_id order by event_id) as __end_at from k""",
+
+    "scd2_current": """
+with e as (select user_id, event_type, event_id, lag(event_type) over w as prev_type, row_number() over w as pos
+  from events window w as (partition by user_id order by event_id)),
+k as (select * from e where pos = 1 or prev_type <> event_type),
+v as (select *, lead(event_id) over (partition by user_id order by event_id) as nxt from k)
+select user_id, event_type, event_id as __start_at from v where nxt is null""",
+
+    "scd2_deletes": SCD2_DELETES,
+    "scd2_late": SCD2_DELETES,
+
+    "change_feed": """
+with v1 as (select o_orderkey, o_orderstatus, o_orderpriority, o_totalprice from orders
+   where o_orderdate <= timestamp '2000-12-31 00:00:00'),
+ret as (select l_orderkey, max(l_returnflag = 'R') as has_return from lineitem group by l_orderkey),
+v2 as (select o.o_orderkey, o.o_orderstatus,
+   case when coalesce(r.has_return, false) then '1-URGENT' else o.o_orderpriority end as o_orderpriority,
+   o.o_totalprice from orders o left join ret r on o.o_orderkey = r.l_orderkey where o.o_orderstatus <> 'P')
+select v2.*, 'insert' as _change_type from v2 where not exists (select 1 from v1 where v1.o_orderkey = v2.o_orderkey)
+union all
+select v1.*, 'delete' from v1 where not exists (select 1 from v2 where v1.o_orderkey = v2.o_orderkey)
+union all
+select v1.*, 'update_preimage' from v1 join v2 using (o_orderkey)
+ where v1.o_orderstatus is distinct from v2.o_orderstatus or v1.o_orderpriority is distinct from v2.o_orderpriority
+    or v1.o_totalprice is distinct from v2.o_totalprice
+union all
+select v2.*, 'update_postimage' from v1 join v2 using (o_orderkey)
+ where v1.o_orderstatus is distinct from v2.o_orderstatus or v1.o_orderpriority is distinct from v2.o_orderpriority
+    or v1.o_totalprice is distinct from v2.o_totalprice""",
+})

@@ -15,7 +15,10 @@ from ..functions.rules import Rule, collect_rules, normalise_statements, rules_b
 from ..operators.dedupe import dedupe_any, dedupe_latest
 from ..operators.expectations import apply_expectations, expect_all_or_drop, expectation_metrics
 from ..operators.split import FAILED_COL, STATUS_COL, judge, quality_metrics as _metrics, rule_failure_counts
+from ..operators.scd import DELETED, SEQ, TIEBREAK, prepare_changes, scd1_state, scd1_view, scd2, scd2_apply
+from ..operators.upsert import change_feed as _change_feed, upsert
 from ..sources import fixtures as fx
+from ..sources.tables import read_table
 from ..sources.rules import FIXTURE_RULES, FIXTURE_TAGGED_RULES, documents_frame, rule_documents, tagged_rules_frame
 from .silver import catalogue_rules, silver_batch
 
@@ -210,6 +213,122 @@ def dedupe_any_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_any(fx.bronze(spark, sf_dir), ["client_id"]).select("client_id")
 
 
+# The batch boundary of the two-batch scenarios.
+UPSERT_CUTOFF = "1998-08-01"          # sales shipped before it form the first silver load
+LATE_FROM, LATE_TO = "2024-01-20", "2024-01-25"  # events of these days arrive in a later batch
+
+
+def upsert_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """silver sales of early shipments, upserted with the silver of later ones
+    (keys present in both take the later batch's row)."""
+    rules = catalogue_rules(spark, "silver_sales")
+    bronze = fx.bronze(spark, sf_dir)
+    early = bronze.filter(F.col("date") < F.lit(UPSERT_CUTOFF).cast("date"))
+    late = bronze.filter(~(F.col("date") < F.lit(UPSERT_CUTOFF).cast("date")))
+
+    def silver(b):
+        return _valid(silver_batch(b, fx.SALES_COLUMNS, ["sales_id"], rules, order_by=fx.SALES_ORDER,
+                                   carry=["l_suppkey"]))
+    out = upsert(silver(early), silver(late), ["sales_id"])
+    return out.select("sales_id", "client_id", "product_id", F.col("date").cast("string").alias("date"),
+                      "quantity", "sale_amount")
+
+
+def _events(spark, sf_dir):
+    return read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+
+
+def _late_split(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
+    day = F.col("ts").cast("date")
+    late = day.between(F.lit(LATE_FROM).cast("date"), F.lit(LATE_TO).cast("date"))
+    return ev.filter(~late), ev.filter(late)
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """Cut lineage between batches with a reliable checkpoint in the shared folder."""
+    from ..session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def scd1_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """type 1 state per user, sequence = event_id."""
+    p = prepare_changes(_events(spark, sf_dir), ["user_id"], "event_id",
+                        ["user_id", "event_type", "value", "ts"])
+    st = scd1_view(scd1_state(p, ["user_id"]))
+    return st.select("user_id", "event_type", "value", F.col("ts").cast("string").alias("ts"))
+
+
+def scd1_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 + F4, incremental: 'error' events delete the user; a later batch brings late
+    rows that must neither overwrite newer state nor revive deleted users."""
+    first, late = _late_split(_events(spark, sf_dir))
+    kw = dict(keys=["user_id"], sequence_by="event_id", columns=["user_id", "event_type", "value", "ts"],
+              delete_when="event_type = 'error'")
+    state = _cut(scd1_state(prepare_changes(first, **kw), ["user_id"]))
+    state = scd1_state(prepare_changes(late, **kw), ["user_id"], state)
+    return scd1_view(state).select("user_id", "event_type", "value", F.col("ts").cast("string").alias("ts"))
+
+
+def _scd2_out(h: DataFrame) -> DataFrame:
+    return h.select("user_id", "event_type", F.col("__start_at"), F.col("__end_at"))
+
+
+def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event-type history per user, consecutive equal types collapsed."""
+    return _scd2_out(scd2(_events(spark, sf_dir), ["user_id"], "event_id", ["user_id", "event_type"]))
+
+
+def scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the open version of every user."""
+    h = scd2(_events(spark, sf_dir), ["user_id"], "event_id", ["user_id", "event_type"])
+    return h.filter(F.col("__end_at").isNull()).select("user_id", "event_type", "__start_at")
+
+
+def scd2_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 + F4: 'error' events close the open version."""
+    h = scd2(_events(spark, sf_dir), ["user_id"], "event_id", ["user_id", "event_type"],
+             delete_when="event_type = 'error'")
+    return _scd2_out(h)
+
+
+def scd2_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 + F4 + I5, incremental: two batches, the second with late rows; equals the
+    batch history (same oracle as ``scd2_deletes``)."""
+    first, late = _late_split(_events(spark, sf_dir))
+    kw = dict(keys=["user_id"], sequence_by="event_id", columns=["user_id", "event_type"],
+              delete_when="event_type = 'error'")
+    log, hist = scd2_apply(None, None, prepare_changes(first, **kw), ["user_id"])
+    log, hist = _cut(log), _cut(hist)
+    log, hist = scd2_apply(log, hist, prepare_changes(late, **kw), ["user_id"])
+    return _scd2_out(hist)
+
+
+def _orders_versions(spark, sf_dir):
+    """Two versions of the orders table, both derived from the whole tables: v1 holds
+    orders placed up to 2000-12-31 as stored; v2 holds every order except pending
+    ones, with priority raised to 1-URGENT where a line was returned."""
+    od = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice",
+                                                "o_orderdate"])
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_returnflag"])
+    v1 = od.filter(F.col("o_orderdate") <= F.lit("2000-12-31 00:00:00").cast("timestamp_ntz")).drop("o_orderdate")
+    returned = li.groupBy("l_orderkey").agg(F.max(F.col("l_returnflag") == "R").alias("has_return"))
+    v2 = (od.filter(F.col("o_orderstatus") != "P")
+            .join(returned, od.o_orderkey == returned.l_orderkey, "left")
+            .select("o_orderkey", "o_orderstatus",
+                    F.when(F.coalesce("has_return", F.lit(False)), F.lit("1-URGENT"))
+                     .otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
+                    "o_totalprice"))
+    return v1, v2
+
+
+def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row-level changes between two versions of orders."""
+    v1, v2 = _orders_versions(spark, sf_dir)
+    return _change_feed(v1, v2, ["o_orderkey"])
+
+
 QUERIES = {
     "quarantine_split": quarantine_split,
     "silver_sales": silver_sales,
@@ -228,4 +347,12 @@ QUERIES = {
     "dedupe_latest": dedupe_latest_q,
     "dedupe_rank_ties": dedupe_rank_ties,
     "dedupe_any_keys": dedupe_any_keys,
+    "upsert_sales": upsert_sales,
+    "scd1_latest": scd1_latest,
+    "scd1_deletes": scd1_deletes,
+    "scd2_history": scd2_history,
+    "scd2_current": scd2_current,
+    "scd2_deletes": scd2_deletes,
+    "scd2_late": scd2_late,
+    "change_feed": change_feed,
 }
