@@ -283,3 +283,43 @@ select v2.*, 'update_postimage' from v1 join v2 using (o_orderkey)
  where v1.o_orderstatus is distinct from v2.o_orderstatus or v1.o_orderpriority is distinct from v2.o_orderpriority
     or v1.o_totalprice is distinct from v2.o_totalprice""",
 })
+
+
+def _profile_sql(table: str, cols: list[tuple[str, str]], window: str | None) -> str:
+    """Long profile by unpivoting with union all; ``cols`` = (name, kind) with kind in num/str/other."""
+    w = window or "cast(null as timestamp)"
+    parts = []
+    for c, kind in cols:
+        num = f"cast({c} as double)" if kind == "num" else "cast(null as double)"
+        st = c if kind == "str" else "cast(null as varchar)"
+        parts.append(f"select {w} as window_start, '{c}' as column_name, {num} as num, {st} as str, "
+                     f"cast({c} as varchar) as val from {table}")
+    long = " union all ".join(parts)
+    return f"""
+with long as ({long}),
+prof as (select window_start, column_name, count(*) as row_count, count_if(val is null) as num_nulls,
+   round(count_if(val is null) / count(*), 6) as percent_null, count(distinct val) as num_distinct,
+   cast(sum(case when num = 0 then 1 else 0 end) as bigint) as num_zeros, min(num) as min, max(num) as max, round(avg(num), 6) as avg,
+   round(stddev_samp(num), 6) as stddev, min(length(str)) as min_length, max(length(str)) as max_length,
+   round(avg(length(str)), 6) as avg_length
+  from long group by window_start, column_name),
+cnt as (select window_start, column_name, str, count(*) as c from long where str is not null
+  group by window_start, column_name, str),
+modes as (select window_start, column_name, str as mode from (select *, row_number() over
+  (partition by window_start, column_name order by c desc, str asc) rn from cnt) x where rn = 1)
+select p.*, m.mode from prof p left join modes m
+ on p.window_start is not distinct from m.window_start and p.column_name = m.column_name"""
+
+
+_EVENT_PROFILE = _profile_sql("events", [("user_id", "num"), ("event_type", "str"), ("value", "num"),
+                                         ("props", "str")], "date_trunc('day', ts)")
+_PROFILE_COLS = ("column_name, row_count, num_nulls, percent_null, num_distinct, num_zeros, min, max, avg, "
+                 "stddev, min_length, max_length, avg_length, mode")
+
+ORACLE.update({
+    "profile_daily": f"select cast(window_start as varchar) as window_start, {_PROFILE_COLS} from ({_EVENT_PROFILE})",
+    "profile_refresh": f"select cast(window_start as varchar) as window_start, {_PROFILE_COLS} from ({_EVENT_PROFILE})",
+    "profile_snapshot": f"select {_PROFILE_COLS} from (" + _profile_sql(
+        "orders", [("o_custkey", "num"), ("o_orderstatus", "str"), ("o_totalprice", "num"),
+                   ("o_orderpriority", "str"), ("o_orderdate", "other")], None) + ")",
+})

@@ -15,6 +15,7 @@ from ..functions.rules import Rule, collect_rules, normalise_statements, rules_b
 from ..operators.dedupe import dedupe_any, dedupe_latest
 from ..operators.expectations import apply_expectations, expect_all_or_drop, expectation_metrics
 from ..operators.split import FAILED_COL, STATUS_COL, judge, quality_metrics as _metrics, rule_failure_counts
+from ..operators.profile import profile as _profile
 from ..operators.scd import DELETED, SEQ, TIEBREAK, prepare_changes, scd1_state, scd1_view, scd2, scd2_apply
 from ..operators.upsert import change_feed as _change_feed, upsert
 from ..sources import fixtures as fx
@@ -329,6 +330,38 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _change_feed(v1, v2, ["o_orderkey"])
 
 
+PROFILE_EVENT_COLUMNS = ["user_id", "event_type", "value", "props"]
+PROFILE_OUT = ["column_name", "row_count", "num_nulls", "percent_null", "num_distinct", "num_zeros",
+               "min", "max", "avg", "stddev", "min_length", "max_length", "avg_length", "mode"]
+
+
+def profile_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily time-series profile of events."""
+    ev = read_table(spark, sf_dir, "events", ["ts", *PROFILE_EVENT_COLUMNS])
+    p = _profile(ev, PROFILE_EVENT_COLUMNS, "ts", "1 day")
+    return p.select(F.col("window_start").cast("string").alias("window_start"), *PROFILE_OUT)
+
+
+def profile_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot profile of the whole orders table."""
+    cols = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate"]
+    return _profile(read_table(spark, sf_dir, "orders", cols), cols).select(*PROFILE_OUT)
+
+
+def profile_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Create a monitor, refresh it fully on the first batch of events, then
+    incrementally after late rows arrive; the stored profile must equal a full one."""
+    from ..session import scratch_path
+    from ..sinks.monitor import Monitor
+
+    ev = read_table(spark, sf_dir, "events", ["ts", *PROFILE_EVENT_COLUMNS])
+    first, late = _late_split(ev)
+    mon = Monitor(spark, scratch_path(spark, "monitor"), "events", "ts", "1 day", PROFILE_EVENT_COLUMNS).create()
+    mon.run_refresh(first)
+    mon.run_refresh(ev, changed=late)
+    return mon.read_profile().select(F.col("window_start").cast("string").alias("window_start"), *PROFILE_OUT)
+
+
 QUERIES = {
     "quarantine_split": quarantine_split,
     "silver_sales": silver_sales,
@@ -355,4 +388,7 @@ QUERIES = {
     "scd2_deletes": scd2_deletes,
     "scd2_late": scd2_late,
     "change_feed": change_feed,
+    "profile_daily": profile_daily,
+    "profile_snapshot": profile_snapshot,
+    "profile_refresh": profile_refresh,
 }
