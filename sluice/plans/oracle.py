@@ -323,3 +323,32 @@ ORACLE.update({
         "orders", [("o_custkey", "num"), ("o_orderstatus", "str"), ("o_totalprice", "num"),
                    ("o_orderpriority", "str"), ("o_orderdate", "other")], None) + ")",
 })
+
+
+def _synth_sql():
+    from dataclasses import replace
+
+    from ..sources.synth import bronze_spec, dirty_spec, duckdb_query
+
+    def out(q, specs):
+        items = []
+        for c in specs:
+            if c.type == "date":
+                items.append(f"cast({c.name} as varchar) as {c.name}")
+            elif c.type == "double":
+                items.append(f"round({c.name}, 6) as {c.name}")
+            else:
+                items.append(c.name)
+        return f"select {', '.join(items)} from {q} z"
+
+    clean = bronze_spec()
+    dirty = dirty_spec()
+    bronze = out(duckdb_query("select o_orderkey as id from orders", clean), clean)
+    defects = out(duckdb_query("select l_orderkey * 10 + l_linenumber as id from lineitem", dirty), dirty)
+    cont = [replace(c, lo="(select max(o_orderkey) + 1 from orders)") if c.name == "sales_id" else c for c in dirty]
+    appended = out(duckdb_query("select event_id as id from events", cont), cont)
+    return {"synth_bronze": bronze, "synth_defects": defects,
+            "synth_append": f"{bronze} union all {appended}"}
+
+
+ORACLE.update(_synth_sql())

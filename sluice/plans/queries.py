@@ -19,6 +19,7 @@ from ..operators.profile import profile as _profile
 from ..operators.scd import DELETED, SEQ, TIEBREAK, prepare_changes, scd1_state, scd1_view, scd2, scd2_apply
 from ..operators.upsert import change_feed as _change_feed, upsert
 from ..sources import fixtures as fx
+from ..sources.synth import bronze_spec, continue_ids, dirty_spec, synth
 from ..sources.tables import read_table
 from ..sources.rules import FIXTURE_RULES, FIXTURE_TAGGED_RULES, documents_frame, rule_documents, tagged_rules_frame
 from .silver import catalogue_rules, silver_batch
@@ -362,6 +363,42 @@ def profile_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mon.read_profile().select(F.col("window_start").cast("string").alias("window_start"), *PROFILE_OUT)
 
 
+def _synth_out(df: DataFrame) -> DataFrame:
+    out = []
+    for c, t in df.dtypes:
+        if t == "date":
+            out.append(F.col(c).cast("string").alias(c))
+        elif t == "double":
+            out.append(F.round(c, 6).alias(c))
+        else:
+            out.append(F.col(c))
+    return df.select(*out)
+
+
+def synth_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: the clean bronze generator, one row per order key."""
+    seeds = read_table(spark, sf_dir, "orders", ["o_orderkey"]).select(F.col("o_orderkey").alias("id"))
+    return _synth_out(synth(seeds, bronze_spec()))
+
+
+def synth_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5f: the dirty generator with null injection, one row per lineitem (repeated line
+    ids give repeated rows, a defect of their own)."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"])
+    seeds = li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"))
+    return _synth_out(synth(seeds, dirty_spec()))
+
+
+def synth_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 + G1: clean bronze from orders, then dirty rows (one per event) whose sales_id
+    continues after the bronze's maximum; the appended table."""
+    seeds = read_table(spark, sf_dir, "orders", ["o_orderkey"]).select(F.col("o_orderkey").alias("id"))
+    existing = synth(seeds, bronze_spec())
+    ev = read_table(spark, sf_dir, "events", ["event_id"]).select(F.col("event_id").alias("id"))
+    appended = continue_ids(existing, "sales_id", ev, dirty_spec())
+    return _synth_out(existing.unionByName(appended))
+
+
 QUERIES = {
     "quarantine_split": quarantine_split,
     "silver_sales": silver_sales,
@@ -391,4 +428,7 @@ QUERIES = {
     "profile_daily": profile_daily,
     "profile_snapshot": profile_snapshot,
     "profile_refresh": profile_refresh,
+    "synth_bronze": synth_bronze,
+    "synth_defects": synth_defects,
+    "synth_append": synth_append,
 }
