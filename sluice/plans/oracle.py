@@ -352,3 +352,28 @@ def _synth_sql():
 
 
 ORACLE.update(_synth_sql())
+
+
+def _judged_part(name: str, where: str) -> str:
+    return f"""
+{name} as (select *, coalesce(client_id is not null, false) as r_client,
+  coalesce({DATE_OK}, false) as r_date, coalesce(product_id is not null, false) as r_product,
+  coalesce(sales_id is not null, false) as r_sales, coalesce(quantity > 0, false) as r_quantity
+ from (select *, row_number() over (partition by sales_id
+    order by date desc nulls last, sale_amount desc nulls last, l_suppkey desc nulls last) rn
+  from bronze where {where}) x where rn = 1)"""
+
+
+_EARLY = "date < date '1998-08-01'"
+_LATE = "not (date < date '1998-08-01')"
+
+ORACLE.update({
+    "stream_split": ORACLE["upsert_sales"],
+    "stream_quarantine": _with(BRONZE, _judged_part("e", _EARLY), _judged_part("l", _LATE)) + f"""
+select sales_id, {SALES_REASONS} as reasons, cast(0 as bigint) as batch_id from e where not {SALES_OK}
+union all
+select sales_id, {SALES_REASONS} as reasons, cast(1 as bigint) as batch_id from l where not {SALES_OK}""",
+    "stream_dedupe": _with(BRONZE) + f"""
+select sales_id, cast(min(case when {_EARLY} then 0 else 1 end) as bigint) as batch_id
+from bronze group by sales_id""",
+})

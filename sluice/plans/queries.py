@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import Rule, collect_rules, normalise_statements, rules_by_tag as _rules_by_tag
-from ..operators.dedupe import dedupe_any, dedupe_latest
+from ..operators.dedupe import dedupe_any, dedupe_latest, dedupe_stream
 from ..operators.expectations import apply_expectations, expect_all_or_drop, expectation_metrics
 from ..operators.split import FAILED_COL, STATUS_COL, judge, quality_metrics as _metrics, rule_failure_counts
 from ..operators.profile import profile as _profile
@@ -399,6 +399,78 @@ def synth_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _synth_out(existing.unionByName(appended))
 
 
+def _stream_runs(spark: SparkSession, sf_dir: str, start_query):
+    """Write the fixture bronze as a parquet stream source in two appends (early, then
+    later shipments) and run ``start_query(source_stream, root)`` to the end after
+    each append, on one checkpoint - the reference's load / append / re-run cycle."""
+    from ..session import scratch_path
+    from ..sources.tables import read_stream
+    from ..streaming.bronze_to_silver import run_to_end
+
+    root = scratch_path(spark, "stream")
+    bronze = fx.bronze(spark, sf_dir)
+    early = F.col("date") < F.lit(UPSERT_CUTOFF).cast("date")
+    src = f"{root}/bronze"
+    for part in (bronze.filter(early), bronze.filter(~early)):
+        part.write.mode("append").parquet(src)
+        run_to_end(start_query(read_stream(spark, src, bronze.schema), root))
+    return root
+
+
+def _sales_target(spark, root):
+    from ..sinks.snapshot import QuarantineSink, SnapshotTable
+    from ..streaming.bronze_to_silver import SilverTarget
+
+    return SilverTarget("silver_sales", SnapshotTable(spark, f"{root}/silver_sales", ["sales_id"]),
+                        fx.SALES_COLUMNS, ["sales_id"], lambda: catalogue_rules(spark, "silver_sales"),
+                        QuarantineSink(spark, f"{root}/quarantine/silver_sales"), order_by=fx.SALES_ORDER,
+                        carry=["l_suppkey"], metrics_path=f"{root}/metrics/silver_sales")
+
+
+def stream_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + B5 + I2/I3: streaming bronze -> silver sales over two runs on one
+    checkpoint; the final snapshot (same result as ``upsert_sales``)."""
+    from ..streaming.bronze_to_silver import bronze_to_silver
+
+    holder = {}
+
+    def start(stream, root):
+        holder["t"] = holder.get("t") or _sales_target(spark, root)
+        return bronze_to_silver(stream, holder["t"], f"{root}/_checkpoints/silver_sales")
+    _stream_runs(spark, sf_dir, start)
+    return holder["t"].table.read().select("sales_id", "client_id", "product_id",
+                                           F.col("date").cast("string").alias("date"), "quantity", "sale_amount")
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D5 + S6 + S19 on the stream: quarantined rows with reasons and their batch."""
+    from ..streaming.bronze_to_silver import bronze_to_silver
+
+    holder = {}
+
+    def start(stream, root):
+        holder["t"] = holder.get("t") or _sales_target(spark, root)
+        return bronze_to_silver(stream, holder["t"], f"{root}/_checkpoints/silver_sales")
+    _stream_runs(spark, sf_dir, start)
+    q = holder["t"].quarantine.read()
+    return q.select("sales_id", F.array_join(F.array_sort("_failed_rules"), ",").alias("reasons"),
+                    F.col("_batch_id").cast("bigint").alias("batch_id"))
+
+
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 + I1: stream-level ``dropDuplicates`` with unbounded state: each key passes
+    once, in the first batch that carries it, across runs."""
+    from ..streaming.bronze_to_silver import batch_folder_sink
+
+    def start(stream, root):
+        d = dedupe_stream(stream.select("sales_id"), ["sales_id"])
+        return (d.writeStream.foreachBatch(batch_folder_sink(f"{root}/keys"))
+                 .option("checkpointLocation", f"{root}/_checkpoints/keys").trigger(availableNow=True).start())
+    root = _stream_runs(spark, sf_dir, start)
+    keys = spark.read.option("basePath", f"{root}/keys").parquet(f"{root}/keys/_batch_id=*")
+    return keys.select("sales_id", F.col("_batch_id").cast("bigint").alias("batch_id"))
+
+
 QUERIES = {
     "quarantine_split": quarantine_split,
     "silver_sales": silver_sales,
@@ -431,4 +503,7 @@ QUERIES = {
     "synth_bronze": synth_bronze,
     "synth_defects": synth_defects,
     "synth_append": synth_append,
+    "stream_split": stream_split,
+    "stream_quarantine": stream_quarantine,
+    "stream_dedupe": stream_dedupe,
 }
