@@ -39,25 +39,29 @@ class SnapshotTable:
         except AnalysisException:
             return None
 
-    def _committed(self) -> list[tuple[str, str]]:
+    def _latest(self) -> tuple[str, str] | None:
+        """The last committed ``(version, path)``: a distributed top-1, so the log may grow."""
         log = self.commits()
         if log is None:
-            return []
-        # the log has one small row per batch: bounded metadata
-        rows = (log.groupBy("version", "path").agg(F.min("committed_at").alias("at"))
-                   .orderBy("at", "version").collect())
-        return [(r["version"], r["path"]) for r in rows]
+            return None
+        top = log.orderBy(F.col("committed_at").desc(), F.col("version").desc()).select("version", "path").take(1)
+        return (top[0]["version"], top[0]["path"]) if top else None
+
+    def _path_of(self, version: str) -> str | None:
+        log = self.commits()
+        if log is None:
+            return None
+        hit = log.filter(F.col("version") == F.lit(version)).select("path").take(1)
+        return hit[0]["path"] if hit else None
 
     def exists(self) -> bool:
-        return bool(self._committed())
+        return self._latest() is not None
 
     def version_path(self, version: str | None = None) -> str | None:
-        committed = self._committed()
-        if not committed:
-            return None
         if version is None:
-            return committed[-1][1]
-        return dict(committed).get(version)
+            latest = self._latest()
+            return latest[1] if latest else None
+        return self._path_of(version)
 
     def read(self, version: str | None = None) -> DataFrame:
         path = self.version_path(version)
@@ -68,10 +72,10 @@ class SnapshotTable:
     def commit(self, source: DataFrame, version: str) -> bool:
         """Upsert ``source`` (unique keys) as snapshot ``version``.  Returns False when
         the version was already committed (replay)."""
-        committed = self._committed()
-        if version in dict(committed):
+        if self._path_of(version) is not None:
             return False
-        new = source if not committed else upsert(self.spark.read.parquet(committed[-1][1]), source, self.keys)
+        latest = self._latest()
+        new = source if latest is None else upsert(self.spark.read.parquet(latest[1]), source, self.keys)
         path = f"{self.root}/v/{version}"
         new.write.mode("overwrite").parquet(path)
         row = [(version, path, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), self.comment)]
