@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.profile import profile, window_start
+from ..sources.literal import literal_rows
 
 WKEY = "_wkey"
 
@@ -36,8 +37,8 @@ class Monitor:
     # -- definition (create / get)
     def create(self) -> "Monitor":
         row = [(self.table_name, self.ts_col, self.granularity, self.columns, self.exact)]
-        (self.spark.createDataFrame(row, "table_name string, ts_col string, granularity string, "
-                                         "columns array<string>, exact boolean")
+        (literal_rows(self.spark, row, "table_name string, ts_col string, granularity string, "
+                                       "columns array<string>, exact boolean")
              .write.mode("overwrite").parquet(f"{self.root}/definition"))
         return self
 
@@ -66,8 +67,8 @@ class Monitor:
             .partitionBy(WKEY).parquet(f"{self.root}/profile"))
         log = [(refresh_id, self.table_name, started, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
                 "SUCCESS", "full" if changed is None else "incremental", windows)]
-        (self.spark.createDataFrame(log, "refresh_id string, table_name string, started_at timestamp_ntz, "
-                                         "finished_at timestamp_ntz, state string, kind string, windows int")
+        (literal_rows(self.spark, log, "refresh_id string, table_name string, started_at timestamp_ntz, "
+                                       "finished_at timestamp_ntz, state string, kind string, windows int")
              .write.mode("append").parquet(f"{self.root}/refreshes"))
         return refresh_id
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.upsert import upsert
+from ..sources.literal import literal_rows
 
 
 class SnapshotTable:
@@ -79,7 +80,7 @@ class SnapshotTable:
         path = f"{self.root}/v/{version}"
         new.write.mode("overwrite").parquet(path)
         row = [(version, path, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), self.comment)]
-        (self.spark.createDataFrame(row, "version string, path string, committed_at timestamp_ntz, comment string")
+        (literal_rows(self.spark, row, "version string, path string, committed_at timestamp_ntz, comment string")
              .write.mode("append").parquet(self._log_path))
         return True
 

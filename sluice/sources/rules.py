@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .literal import literal_rows
+
 RULE_DOC_SCHEMA = T.StructType([
     T.StructField("tableName", T.StringType()),
     T.StructField("constraints", T.ArrayType(T.StringType())),
@@ -105,7 +107,7 @@ def documents_frame(spark: SparkSession, documents: list[str]) -> DataFrame:
 
     The document schema is declared; ``from_json`` runs on the executors.
     """
-    raw = spark.createDataFrame([(d,) for d in documents], "doc string")
+    raw = literal_rows(spark, [(d,) for d in documents], "doc string")
     doc = F.from_json("doc", RULE_DOC_SCHEMA)
     return raw.select(doc.alias("d")).select(F.col("d.tableName").alias("tableName"),
                                              F.explode("d.constraints").alias("col"))
@@ -123,5 +125,5 @@ def tagged_rules_frame(spark: SparkSession, rows: list[tuple[str, str, str]] | N
     An ordinal column keeps the written order, which ``rules_by_tag(on_conflict='last')`` needs.
     """
     rows = REFERENCE_TAGGED_RULES if rows is None else rows
-    return spark.createDataFrame([(n, c, t, i) for i, (n, c, t) in enumerate(rows)],
-                                 "name string, constraint string, tag string, ordinal int")
+    return literal_rows(spark, [(n, c, t, i) for i, (n, c, t) in enumerate(rows)],
+                        "name string, constraint string, tag string, ordinal int")
