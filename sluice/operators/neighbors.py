@@ -2,11 +2,15 @@
 
 ``lag``/``lead`` over ``Window.partitionBy(key)`` sends every row of a key to
 one task; with one key holding a third of the table that task is the job.  Here
-the window is partitioned by ``(key, bucket)`` where ``bucket`` is a coarse
-function of the ordering column (an hour of a timestamp, a block of a sequence
-number).  The rows at bucket edges then get their neighbour from a small
-per-``(key, bucket)`` summary (first and last row, map-side aggregated), which
-is itself windowed per key - it has one row per bucket, not per change.
+the window is partitioned by ``(key, bucket)`` where ``bucket`` is a coarse,
+non-decreasing function of the ordering column (an hour of a timestamp, a block
+of a sequence number).
+
+Rows at bucket edges get their neighbour from a small per-``(key, bucket)``
+summary - the first and last row of every bucket, map-side aggregated, then
+windowed per key (one row per bucket, not per change).  The summary enters the
+main window as two marker rows per bucket, sorted before and after the data
+rows, so ``lag``/``lead`` pick it up directly: one shuffle of the data, no join.
 """
 
 from __future__ import annotations
@@ -17,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "_nb_bucket"
+_MK = "_nb_mk"     # 0 = head marker, 1 = data row, 2 = tail marker
+_PL = "_nb_payload"
 
 
 def default_bucket(df: DataFrame, seq: str) -> Column:
@@ -32,40 +38,39 @@ def default_bucket(df: DataFrame, seq: str) -> Column:
     return F.lit(0)
 
 
-def _null_safe_on(left: str, right: str, cols: Sequence[str]) -> Column:
-    conds = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols]
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
-
-
 def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str],
-                   bucket: Column, prev: str | None = "_prev", nxt: str | None = "_next") -> DataFrame:
+                   bucket: Column | None, prev: str | None = "_prev", nxt: str | None = "_next") -> DataFrame:
     """Add ``prev``/``nxt`` structs holding ``order + carry`` of the neighbouring row of
     the same key (NULL at the ends).  ``order`` must be a total order within a key,
-    ascending; ``bucket`` must be non-decreasing in it."""
+    ascending; ``bucket`` must be non-decreasing in it.  Pass ``bucket=None`` when
+    ``df`` already carries the ``_nb_bucket`` column (keeps its partitioning)."""
+    keys = list(keys)
     fields = list(dict.fromkeys([*order, *carry]))
     payload = F.struct(*[F.col(c) for c in fields])
-    d = df.withColumn(BUCKET, bucket)
-    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
-    if prev:
-        d = d.withColumn("_prev_in", F.lag(payload).over(w))
-    if nxt:
-        d = d.withColumn("_next_in", F.lead(payload).over(w))
+    d = df if bucket is None else df.withColumn(BUCKET, bucket)
+
     # struct ordering is lexicographic, so min/max of (order..., carry...) = first/last row
     summ = d.groupBy(*keys, BUCKET).agg(F.min(payload).alias("_first"), F.max(payload).alias("_last"))
     ws = Window.partitionBy(*keys).orderBy(BUCKET)
-    sel = [*keys, BUCKET]
-    if prev:
-        sel.append(F.lag("_last").over(ws).alias("_prev_b"))
-    if nxt:
-        sel.append(F.lead("_first").over(ws).alias("_next_b"))
-    summ = summ.select(*sel)
-    joined = d.alias("_l").join(summ.alias("_r"), _null_safe_on("_l", "_r", [*keys, BUCKET]))
-    out_cols = [F.col(f"_l.{c}") for c in df.columns]
+    summ = summ.select(*keys, BUCKET, F.lag("_last").over(ws).alias("_prev_b"),
+                       F.lead("_first").over(ws).alias("_next_b"))
+    ptype = d.select(payload.alias("p")).schema["p"].dataType
+
+    others = [c for c in d.columns if c not in keys and c != BUCKET]
+    nulls = [F.lit(None).cast(d.schema[c].dataType).alias(c) for c in others]
+    # one head and one tail marker per bucket, from a single pass over the summary
+    marks = summ.select(*keys, BUCKET, F.explode(F.array(
+        F.struct(F.lit(0).alias("mk"), F.col("_prev_b").cast(ptype).alias("pl")),
+        F.struct(F.lit(2).alias("mk"), F.col("_next_b").cast(ptype).alias("pl")))).alias("_m"))
+    marks = marks.select(*keys, BUCKET, *nulls, F.col("_m.mk").alias(_MK), F.col("_m.pl").alias(_PL))
+    data = d.select(*keys, BUCKET, *others, F.lit(1).alias(_MK), payload.alias(_PL))
+    u = data.unionByName(marks)
+
+    w = Window.partitionBy(*keys, BUCKET).orderBy(_MK, *order)
     if prev:
-        out_cols.append(F.coalesce(F.col("_l._prev_in"), F.col("_r._prev_b")).alias(prev))
+        u = u.withColumn(prev, F.lag(_PL).over(w))
     if nxt:
-        out_cols.append(F.coalesce(F.col("_l._next_in"), F.col("_r._next_b")).alias(nxt))
-    return joined.select(*out_cols)
+        u = u.withColumn(nxt, F.lead(_PL).over(w))
+    out = u.filter(F.col(_MK) == 1).drop(_MK, _PL)
+    keep = [*df.columns, *[c for c in (prev, nxt) if c]]
+    return out.select(*keep)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedupe import dedupe_latest
-from .neighbors import default_bucket, with_neighbors
+from .neighbors import BUCKET, default_bucket, with_neighbors
 
 SEQ, DELETED, TIEBREAK = "__seq", "__deleted", "__tb"
 START, END = "__start_at", "__end_at"
@@ -87,12 +87,14 @@ def scd2_from_prepared(p: DataFrame, keys: Sequence[str], track_columns: Sequenc
     if bucket is None:
         bucket = default_bucket(p, SEQ) if dict(p.dtypes)[SEQ] != "struct" else F.lit(0)
     order = [SEQ, TIEBREAK]
-    nb = with_neighbors(p, keys, order, [DELETED, *tracked], bucket, prev="_prev", nxt=None)
+    # the bucket column is computed once so both passes share its partitioning
+    pb = p.withColumn(BUCKET, bucket)
+    nb = with_neighbors(pb, keys, order, [DELETED, *tracked], None, prev="_prev", nxt=None)
     prev_del = F.col(f"_prev.{DELETED}")
     noop = F.col("_prev").isNotNull() & (
         (prev_del & F.col(DELETED)) | (~prev_del & ~F.col(DELETED) & _same("_prev", tracked)))
     kept = nb.filter(~noop).drop("_prev")
-    nb2 = with_neighbors(kept, keys, order, [], bucket, prev=None, nxt="_next")
+    nb2 = with_neighbors(kept, keys, order, [], None, prev=None, nxt="_next")
     return (nb2.filter(~F.col(DELETED))
                .select(*value_cols, F.col(SEQ).alias(START), F.col(f"_next.{SEQ}").alias(END)))
 

@@ -54,3 +54,14 @@ def test_valid_plus_quarantine_is_input(spark, rows):
     for policy in ("quarantine", "pass"):
         valid, quarantine = split(df, rules, policy)
         assert valid.count() + quarantine.count() == len(rows)
+
+
+def test_observed_expectation_metrics(spark, tiny):
+    from sluice.operators.expectations import expectation_metrics, observe_expectations
+    rules = [Rule("q", "quantity > 0", "warn"), Rule("id", "id IS NOT NULL", "drop")]
+    df, obs = observe_expectations(tiny, rules)
+    df.count()
+    got = obs.get
+    assert got["rows"] == 6 and got["failed_q"] == 2 and got["failed_id"] == 2
+    m = {r.rule_name: (r.passed_rows, r.failed_rows) for r in expectation_metrics(tiny, rules).collect()}
+    assert m == {"q": (4, 2), "id": (4, 2)}
