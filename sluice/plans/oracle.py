@@ -105,8 +105,8 @@ from sales_judged where not {SALES_OK} group by 1""",
     "quality_metrics": _with(BRONZE, SALES_DEDUP, SALES_JUDGED) + f"""
 select 'input_rows' as metric, count(*) as value from bronze
 union all select 'deduped_rows', count(*) from sales_judged
-union all select 'valid_rows', count_if({SALES_OK}) from sales_judged
-union all select 'quarantined_rows', count_if(not {SALES_OK}) from sales_judged
+union all select 'valid_rows', cast(count_if({SALES_OK}) as bigint) from sales_judged
+union all select 'quarantined_rows', cast(count_if(not {SALES_OK}) as bigint) from sales_judged
 union all select 'unknown_rows', cast(0 as bigint)""",
 
     "null_policy_split": _with(BRONZE, SALES_DEDUP) + f""",
@@ -297,10 +297,10 @@ def _profile_sql(table: str, cols: list[tuple[str, str]], window: str | None) ->
     long = " union all ".join(parts)
     return f"""
 with long as ({long}),
-prof as (select window_start, column_name, count(*) as row_count, count_if(val is null) as num_nulls,
+prof as (select window_start, column_name, count(*) as row_count, cast(count_if(val is null) as bigint) as num_nulls,
    round(count_if(val is null) / count(*), 6) as percent_null, count(distinct val) as num_distinct,
    cast(sum(case when num = 0 then 1 else 0 end) as bigint) as num_zeros, min(num) as min, max(num) as max, round(avg(num), 6) as avg,
-   round(stddev_samp(num), 6) as stddev, min(length(str)) as min_length, max(length(str)) as max_length,
+   round(stddev_samp(num), 6) as stddev, cast(min(length(str)) as integer) as min_length, cast(max(length(str)) as integer) as max_length,
    round(avg(length(str)), 6) as avg_length
   from long group by window_start, column_name),
 cnt as (select window_start, column_name, str, count(*) as c from long where str is not null
