@@ -377,3 +377,19 @@ select sales_id, {SALES_REASONS} as reasons, cast(1 as bigint) as batch_id from
 select sales_id, cast(min(case when {_EARLY} then 0 else 1 end) as bigint) as batch_id
 from bronze group by sales_id""",
 })
+
+ORACLE["silver_validate_first"] = _with(BRONZE) + f""",
+judged_all as (select *, coalesce(client_id is not null, false) as r_client,
+  coalesce({DATE_OK}, false) as r_date, coalesce(product_id is not null, false) as r_product,
+  coalesce(sales_id is not null, false) as r_sales, coalesce(quantity > 0, false) as r_quantity from bronze),
+ok as (select * from judged_all where {SALES_OK}),
+bad as (select * from judged_all where not {SALES_OK}
+  and not exists (select 1 from ok where ok.sales_id is not distinct from judged_all.sales_id)),
+picked as (
+  select *, 'valid' as status from (select *, row_number() over (partition by sales_id
+    order by date desc nulls last, sale_amount desc nulls last, l_suppkey desc nulls last) rn2 from ok) x where rn2 = 1
+  union all
+  select *, 'quarantine' as status from (select *, row_number() over (partition by sales_id
+    order by date desc nulls last, sale_amount desc nulls last, l_suppkey desc nulls last) rn2 from bad) y where rn2 = 1)
+select sales_id, client_id, product_id, cast(date as varchar) as date, quantity, sale_amount, status,
+  {SALES_REASONS} as reasons from picked"""

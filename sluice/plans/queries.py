@@ -70,6 +70,16 @@ def silver_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "quantity", "sale_amount")
 
 
+def silver_validate_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 option: validate before dedupe, so an invalid newer duplicate cannot displace
+    a valid older one; keys with no valid row keep their latest invalid row."""
+    rules = catalogue_rules(spark, "silver_sales")
+    j = silver_batch(fx.bronze(spark, sf_dir), fx.SALES_COLUMNS, ["sales_id"], rules,
+                     order_by=fx.SALES_ORDER, carry=["l_suppkey"], validate_first=True)
+    return j.select("sales_id", "client_id", "product_id", F.col("date").cast("string").alias("date"),
+                    "quantity", "sale_amount", F.col(STATUS_COL).alias("status"), _reasons())
+
+
 def silver_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid rows of the clients silver: latest bronze row per client_id."""
     rules = catalogue_rules(spark, "silver_clients")
@@ -474,6 +484,7 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "quarantine_split": quarantine_split,
     "silver_sales": silver_sales,
+    "silver_validate_first": silver_validate_first,
     "silver_clients": silver_clients,
     "silver_products": silver_products,
     "rule_violations": rule_violations,

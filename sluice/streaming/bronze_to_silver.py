@@ -26,7 +26,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import Rule
+from ..functions.rules import Rule, validate_rules
 from ..operators.dedupe import dedupe_stream
 from ..operators.split import FAILED_COL, STATUS_COL, UNKNOWN_COL, quality_metrics
 from ..plans.silver import silver_batch
@@ -66,7 +66,9 @@ def _query_tag(batch_df: DataFrame, fallback: str) -> str:
 def process_batch(target: SilverTarget, batch_df: DataFrame, batch_id: int, tag: str) -> None:
     """The per-batch plan for one target (also usable on a plain batch DataFrame)."""
     cols = list(dict.fromkeys([*target.columns, *target.carry]))
-    judged = silver_batch(batch_df.select(*cols), target.columns, target.keys, target.current_rules(),
+    rules = target.current_rules()
+    validate_rules(batch_df.select(*cols), rules)  # analysis only: a bad rule fails by name, before any write
+    judged = silver_batch(batch_df.select(*cols), target.columns, target.keys, rules,
                           order_by=target.order_by, null_policy=target.null_policy,
                           validate_first=target.validate_first, carry=target.carry)
     judged = judged.persist(StorageLevel.MEMORY_AND_DISK)

@@ -65,3 +65,9 @@ def test_observed_expectation_metrics(spark, tiny):
     assert got["rows"] == 6 and got["failed_q"] == 2 and got["failed_id"] == 2
     m = {r.rule_name: (r.passed_rows, r.failed_rows) for r in expectation_metrics(tiny, rules).collect()}
     assert m == {"q": (4, 2), "id": (4, 2)}
+
+
+def test_process_timestamp_is_one_value_per_query(spark, tiny):
+    from sluice.functions.columns import with_process_timestamp
+    df = with_process_timestamp(tiny)
+    assert df.select("process_timestamp").distinct().count() == 1

@@ -114,3 +114,11 @@ def test_stream_view_over_catalog_table(spark, tiny):
     q = out.writeStream.format("memory").queryName("tiny_out").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("tiny_out").count() == 4
+
+
+def test_bad_rule_fails_before_any_write(spark, tmp_root, tiny):
+    import pytest
+    target = _target(spark, tmp_root, [Rule("bad", "no_such_column > 0")])
+    with pytest.raises(ValueError, match="bad"):
+        process_batch(target, tiny, 0, "q")
+    assert not target.table.exists()
