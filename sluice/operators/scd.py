@@ -80,8 +80,13 @@ def _same(prev: str, cols: Sequence[str]) -> Column:
 
 
 def scd2_from_prepared(p: DataFrame, keys: Sequence[str], track_columns: Sequence[str] | None = None,
-                       bucket: Column | None = None) -> DataFrame:
-    """Versions with ``__start_at``/``__end_at`` from prepared change rows."""
+                       bucket: Column | None = None, checkpoint_kept: bool = False) -> DataFrame:
+    """Versions with ``__start_at``/``__end_at`` from prepared change rows.
+
+    Two neighbour passes: ``lag`` marks no-op changes, ``lead`` over the kept rows
+    closes intervals.  The second pass's summary reads the first pass's output, so
+    without ``checkpoint_kept`` the first pass runs twice; with it, the kept rows
+    are written once to the shared checkpoint folder (an eager job)."""
     value_cols = [c for c in p.columns if c not in (SEQ, DELETED, TIEBREAK)]
     tracked = list(track_columns) if track_columns is not None else [c for c in value_cols if c not in keys]
     if bucket is None:
@@ -94,6 +99,11 @@ def scd2_from_prepared(p: DataFrame, keys: Sequence[str], track_columns: Sequenc
     noop = F.col("_prev").isNotNull() & (
         (prev_del & F.col(DELETED)) | (~prev_del & ~F.col(DELETED) & _same("_prev", tracked)))
     kept = nb.filter(~noop).drop("_prev")
+    if checkpoint_kept:
+        from ..session import checkpoint_root
+
+        checkpoint_root(kept.sparkSession)
+        kept = kept.checkpoint(eager=True)
     nb2 = with_neighbors(kept, keys, order, [], None, prev=None, nxt="_next")
     return (nb2.filter(~F.col(DELETED))
                .select(*value_cols, F.col(SEQ).alias(START), F.col(f"_next.{SEQ}").alias(END)))
@@ -102,10 +112,10 @@ def scd2_from_prepared(p: DataFrame, keys: Sequence[str], track_columns: Sequenc
 def scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str | Sequence[str],
          columns: Sequence[str] | None = None, except_columns: Sequence[str] = (),
          delete_when: str | Column | None = None, track_columns: Sequence[str] | None = None,
-         bucket: Column | None = None) -> DataFrame:
+         bucket: Column | None = None, checkpoint_kept: bool = False) -> DataFrame:
     """F3 (+F4, F5), batch form: the full history of every key."""
     p = prepare_changes(changes, keys, sequence_by, columns, except_columns, delete_when)
-    return scd2_from_prepared(p, keys, track_columns, bucket)
+    return scd2_from_prepared(p, keys, track_columns, bucket, checkpoint_kept)
 
 
 def scd2_apply(log: DataFrame | None, history: DataFrame | None, prepared: DataFrame, keys: Sequence[str],

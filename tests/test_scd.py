@@ -79,3 +79,12 @@ def test_scd2_intervals_never_overlap(spark):
         assert sum(e is None for _, e in ivs) == 1
         for (s1, e1), (s2, _) in zip(ivs, ivs[1:]):
             assert e1 == s2
+
+
+def test_checkpointed_second_pass_same_history(spark):
+    rng = random.Random(3)
+    rows = [(rng.randrange(4), rng.choice("AB"), i, "u") for i in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    a = scd2(df, ["k"], "seq", ["k", "v"])
+    b = scd2(df, ["k"], "seq", ["k", "v"], checkpoint_kept=True)
+    assert sorted(a.collect()) == sorted(b.collect())
