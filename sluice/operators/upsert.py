@@ -5,10 +5,13 @@ Open-source parquet tables have no ``MERGE``, so an upsert is expressed as
 does not carry, plus every source row.  Keys compare with ``=``, so rows with a
 NULL key never match: they are always inserted and never replaced (S9).
 
-Scale: the anti join shuffles the target by key.  Target rows with a NULL key
-cannot match anything, so they bypass the join instead of piling into one
-reducer.  When the catalog supports row-level operations (``mergeInto``),
-:func:`merge_into_table` uses it instead.
+Scale: both joins here run on a struct join key ``(is_null, value)`` per key
+column plus a salt.  Rows with a NULL key can never match; they get a salt from
+their row hash (and a sign per side), so they spread over many reducers instead
+of all hashing to the one partition of NULL - AQE cannot split a skewed full
+outer join, and one key may hold a third of the rows.  Matches between non-null
+keys are exact (salt 0, no NULL inside the struct).  When the catalog supports
+row-level operations (``mergeInto``), :func:`merge_into_table` uses it instead.
 """
 
 from __future__ import annotations
@@ -24,6 +27,38 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+NULL_SALTS = 1024
+
+
+def _zero(dtype) -> Column:
+    """A non-null stand-in of the key's type (only compared when the key is NULL,
+    next to an is-null flag, so its value never decides a match)."""
+    name = dtype.simpleString()
+    if name == "string":
+        return F.lit("")
+    if name == "boolean":
+        return F.lit(False)
+    if name == "date":
+        return F.to_date(F.lit("1970-01-01"))
+    if name.startswith("timestamp"):
+        return F.lit("1970-01-01 00:00:00").cast(dtype)
+    if name == "binary":
+        return F.lit(bytearray())
+    return F.lit(0).cast(dtype)
+
+
+def join_key(df: DataFrame, keys: Sequence[str], side: int = 1) -> Column:
+    """Struct join key: exact on non-null keys, salted and never matching on NULL keys.
+    ``side`` (+1 / -1) keeps NULL-key rows of two different inputs apart."""
+    fields = []
+    for k in keys:
+        fields += [F.col(k).isNull().alias(f"n_{k}"),
+                   F.coalesce(F.col(k), _zero(df.schema[k].dataType)).alias(f"v_{k}")]
+    salt = F.when(_any_null(keys), (F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_SALTS)) + 1)
+                  * F.lit(side)).otherwise(F.lit(0))
+    return F.struct(*fields, salt.cast("bigint").alias("s"))
+
+
 def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
     """Raise if a non-null key occurs twice (a MERGE would fail the same way).
 
@@ -38,10 +73,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     target's columns; the source is aligned by name."""
     keys = list(keys)
     src = source.select(*target.columns)
-    null_keyed = target.filter(_any_null(keys))
-    keyed = target.filter(~_any_null(keys))
-    kept = keyed.join(src.filter(~_any_null(keys)).select(*keys), keys, "left_anti")
-    return kept.unionByName(null_keyed).unionByName(src)
+    tk = target.withColumn("_jk", join_key(target, keys))
+    sk = src.filter(~_any_null(keys)).select(join_key(src, keys).alias("_jk"))
+    kept = tk.join(sk, "_jk", "left_anti").drop("_jk")
+    return kept.unionByName(src)
 
 
 def merge_into_table(source: DataFrame, table: str, keys: Sequence[str]) -> None:
@@ -67,10 +102,9 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     """
     keys = list(keys)
     cols = [c for c in new.columns if c not in keys]
-    o = old.select(*keys, *cols, F.lit(True).alias("_in_old")).alias("o")
-    n = new.select(*keys, *cols, F.lit(True).alias("_in_new")).alias("n")
-    on = reduce(lambda a, b: a & b, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys])
-    j = o.join(n, on, "full_outer")
+    o = old.select(*keys, *cols, F.lit(True).alias("_in_old"), join_key(old, keys, 1).alias("_jk")).alias("o")
+    n = new.select(*keys, *cols, F.lit(True).alias("_in_new"), join_key(new, keys, -1).alias("_jk")).alias("n")
+    j = o.join(n, F.col("o._jk") == F.col("n._jk"), "full_outer")
     in_old = F.col("o._in_old").isNotNull()
     in_new = F.col("n._in_new").isNotNull()
     same = reduce(lambda a, b: a & b, [F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in cols], F.lit(True))
