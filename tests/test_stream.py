@@ -106,8 +106,8 @@ def test_several_targets_from_one_stream(spark, tmp_root, tiny):
 def test_stream_view_over_catalog_table(spark, tiny):
     from sluice.sinks.catalog import save_table, table_properties
     from sluice.sources.tables import stream_view
-    save_table(tiny, "bronze_tiny", comment="raw", properties={"quality": "bronze", "delta.constraints.x": "1"})
-    assert table_properties(spark, "bronze_tiny", "delta.cons").count() == 1
+    save_table(tiny, "bronze_tiny", comment="raw", properties={"quality": "bronze", "quality.constraint.x": "1"})
+    assert table_properties(spark, "bronze_tiny", "quality.cons").count() == 1
     s = stream_view(spark, "bronze_tiny", "bronze_tiny_v")
     assert s.isStreaming
     out = spark.sql("select id from bronze_tiny_v where id is not null")
