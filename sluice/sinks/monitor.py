@@ -27,6 +27,37 @@ from ..sources.literal import literal_rows
 WKEY = "_wkey"
 
 
+def _window_end(start: _dt.datetime, granularity: str) -> _dt.datetime:
+    if granularity == "1 hour":
+        return start + _dt.timedelta(hours=1)
+    if granularity == "1 day":
+        return start + _dt.timedelta(days=1)
+    if granularity == "1 week":
+        return start + _dt.timedelta(weeks=1)
+    if granularity == "1 month":
+        return start.replace(year=start.year + start.month // 12, month=start.month % 12 + 1)
+    if granularity == "1 year":
+        return start.replace(year=start.year + 1)
+    raise ValueError(granularity)
+
+
+def window_ranges(ts, ts_type, starts, granularity: str):
+    """``ts`` in any of the given windows, as plain range predicates on the raw
+    column, so the parquet scan can push them down (an expression over ``ts``
+    could not be).  A NULL start stands for the NULL-timestamp window."""
+    def lit(t: _dt.datetime):
+        return F.lit(t.isoformat(sep=" ")).cast(ts_type)
+    conds = [(ts >= lit(w)) & (ts < lit(_window_end(w, granularity))) for w in starts if w is not None]
+    if any(w is None for w in starts):
+        conds.append(ts.isNull())
+    if not conds:
+        return F.lit(False)
+    out = conds[0]
+    for c in conds[1:]:
+        out = out | c
+    return out
+
+
 class Monitor:
     def __init__(self, spark: SparkSession, root: str, table_name: str, ts_col: str | None = None,
                  granularity: str = "1 day", columns: Sequence[str] | None = None, exact: bool = True):
@@ -53,11 +84,12 @@ class Monitor:
         if changed is not None and self.ts_col:
             w = window_start(F.col(self.ts_col), self.granularity)
             # bounded: one value per window the changed rows fall in
-            touched = [r[0] for r in changed.select(w.alias("w")).distinct().collect()]
-            keep = w.isin([t for t in touched if t is not None])
-            if None in touched:
-                keep = keep | F.col(self.ts_col).isNull()
-            src = source.filter(keep)
+            # rendered as wall-clock strings in the session time zone, so no Python-side
+            # time-zone conversion can shift them
+            touched = [None if r[0] is None else _dt.datetime.fromisoformat(r[0])
+                       for r in changed.select(w.cast("string").alias("w")).distinct().collect()]
+            src = source.filter(window_ranges(F.col(self.ts_col), source.schema[self.ts_col].dataType,
+                                              touched, self.granularity))
             windows = len(touched)
         else:
             windows = None
