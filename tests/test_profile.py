@@ -53,3 +53,19 @@ def test_monitor_refresh_incremental_equals_full(spark, tmp_root):
     assert got == full
     assert [r.kind for r in m.list_refreshes().orderBy("started_at").collect()] == ["full", "incremental"]
     assert m.get().first().granularity == "1 day"
+
+
+def test_window_ranges_cover_granularities(spark):
+    from sluice.sinks.monitor import window_ranges
+    from sluice.operators.profile import window_start
+    rows = [(dt.datetime(2024, m, d, h),) for m in (1, 2, 12) for d in (1, 15, 28) for h in (0, 13, 23)]
+    df = spark.createDataFrame(rows + [(None,)], "ts timestamp_ntz")
+    for g in ("1 hour", "1 day", "1 week", "1 month", "1 year"):
+        w = window_start(F.col("ts"), g)
+        starts = [None if r[0] is None else dt.datetime.fromisoformat(r[0])
+                  for r in df.select(w.cast("string")).distinct().collect()]
+        pick = starts[:2]
+        by_expr = df.filter(w.cast("string").isin([str(p) for p in pick if p is not None]) |
+                            (F.col("ts").isNull() if None in pick else F.lit(False))).count()
+        by_range = df.filter(window_ranges(F.col("ts"), df.schema["ts"].dataType, pick, g)).count()
+        assert by_expr == by_range, g
