@@ -16,7 +16,7 @@ from ..operators.dedupe import dedupe_any, dedupe_latest, dedupe_stream
 from ..operators.expectations import apply_expectations, expect_all_or_drop, expectation_metrics
 from ..operators.split import FAILED_COL, STATUS_COL, judge, quality_metrics as _metrics, rule_failure_counts
 from ..operators.profile import profile as _profile
-from ..operators.scd import DELETED, SEQ, TIEBREAK, prepare_changes, scd1_state, scd1_view, scd2, scd2_apply
+from ..operators.scd import prepare_changes, scd1_state, scd1_view, scd2, scd2_apply
 from ..operators.upsert import change_feed as _change_feed, upsert
 from ..sources import fixtures as fx
 from ..sources.synth import bronze_spec, continue_ids, dirty_spec, synth
