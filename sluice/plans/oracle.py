@@ -393,3 +393,21 @@ picked as (
     order by date desc nulls last, sale_amount desc nulls last, l_suppkey desc nulls last) rn2 from bad) y where rn2 = 1)
 select sales_id, client_id, product_id, cast(date as varchar) as date, quantity, sale_amount, status,
   {SALES_REASONS} as reasons from picked"""
+
+
+def _dim_part(name: str, cols: str, key: str, where: str) -> str:
+    return f"""
+{name} as (select {cols} from (select *, row_number() over (partition by {key}
+   order by date desc nulls last, sales_id desc nulls last, sale_amount desc nulls last, l_suppkey desc nulls last) rn
+   from bronze where {where}) x where rn = 1 and {key} is not null)"""
+
+
+_PCOLS = "product_id, product_name, category, price"
+ORACLE.update({
+    "stream_multi_target": _with(BRONZE, _dim_part("pe", _PCOLS, "product_id", _EARLY),
+                                 _dim_part("pl", _PCOLS, "product_id", _LATE)) + f"""
+select {_PCOLS} from pe where not exists (select 1 from pl where pl.product_id = pe.product_id)
+union all select {_PCOLS} from pl""",
+    "profile_hourly": f"select cast(window_start as varchar) as window_start, {_PROFILE_COLS} from (" + _profile_sql(
+        "events", [("event_type", "str"), ("value", "num")], "date_trunc('hour', ts)") + ")",
+})

@@ -353,6 +353,14 @@ def profile_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.col("window_start").cast("string").alias("window_start"), *PROFILE_OUT)
 
 
+def profile_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G3 at another grain: hourly profile of events, approximate distinct counts off
+    (exact, so the oracle can check them)."""
+    ev = read_table(spark, sf_dir, "events", ["ts", "event_type", "value"])
+    p = _profile(ev, ["event_type", "value"], "ts", "1 hour")
+    return p.select(F.col("window_start").cast("string").alias("window_start"), *PROFILE_OUT)
+
+
 def profile_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot profile of the whole orders table."""
     cols = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate"]
@@ -467,6 +475,32 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("_batch_id").cast("bigint").alias("batch_id"))
 
 
+def _dim_target(spark, root, table, columns, keys):
+    from ..sinks.snapshot import QuarantineSink, SnapshotTable
+    from ..streaming.bronze_to_silver import SilverTarget
+
+    return SilverTarget(table, SnapshotTable(spark, f"{root}/{table}", keys), columns, keys,
+                        lambda: catalogue_rules(spark, table), QuarantineSink(spark, f"{root}/quarantine/{table}"),
+                        order_by=DIM_ORDER, carry=DIM_ORDER)
+
+
+def stream_multi_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stream over bronze feeds the sales, clients and products silvers (the
+    batch is scanned once and persisted); the final products snapshot."""
+    from ..streaming.bronze_to_silver import bronze_to_silvers
+
+    holder = {}
+
+    def start(stream, root):
+        if "t" not in holder:
+            holder["t"] = [_sales_target(spark, root),
+                           _dim_target(spark, root, "silver_clients", fx.CLIENT_COLUMNS, ["client_id"]),
+                           _dim_target(spark, root, "silver_products", fx.PRODUCT_COLUMNS, ["product_id"])]
+        return bronze_to_silvers(stream, holder["t"], f"{root}/_checkpoints/bronze_multi")
+    _stream_runs(spark, sf_dir, start)
+    return holder["t"][2].table.read().select("product_id", "product_name", "category", "price")
+
+
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E3 + I1: stream-level ``dropDuplicates`` with unbounded state: each key passes
     once, in the first batch that carries it, across runs."""
@@ -509,6 +543,7 @@ QUERIES = {
     "scd2_late": scd2_late,
     "change_feed": change_feed,
     "profile_daily": profile_daily,
+    "profile_hourly": profile_hourly,
     "profile_snapshot": profile_snapshot,
     "profile_refresh": profile_refresh,
     "synth_bronze": synth_bronze,
@@ -516,5 +551,6 @@ QUERIES = {
     "synth_append": synth_append,
     "stream_split": stream_split,
     "stream_quarantine": stream_quarantine,
+    "stream_multi_target": stream_multi_target,
     "stream_dedupe": stream_dedupe,
 }
