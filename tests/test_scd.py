@@ -88,3 +88,13 @@ def test_checkpointed_second_pass_same_history(spark):
     a = scd2(df, ["k"], "seq", ["k", "v"])
     b = scd2(df, ["k"], "seq", ["k", "v"], checkpoint_kept=True)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_hot_key_window_is_split_by_bucket(spark):
+    # one key holds every row: the neighbour window must still partition by (key, bucket)
+    df = spark.range(5000).select(F.lit(1).alias("k"), F.col("id").alias("s"), F.lit("a").alias("v"))
+    nb = with_neighbors(df, ["k"], ["s"], ["v"], F.floor(F.col("s") / 100), prev="p", nxt=None)
+    plan = nb._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(k#" in line]
+    assert any("_nb_bucket" in line for line in exchanges)
+    assert nb.count() == 5000 and nb.filter(F.col("p").isNull()).count() == 1

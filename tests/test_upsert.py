@@ -50,3 +50,14 @@ def test_quarantine_sink_overwrites_its_batch(spark, tmp_root):
     q.write(rows, "qid", 0)
     q.write(rows, "qid", 1)
     assert q.read().count() == 2
+
+
+def test_null_keys_spread_over_salts(spark):
+    from pyspark.sql import functions as F
+    from sluice.operators.upsert import join_key
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"),
+                                  F.col("id").alias("v"))
+    jk = df.select(join_key(df, ["k"]).alias("j"), "k")
+    salts = jk.filter("k is null").select("j.s").distinct().count()
+    assert salts > 500  # the NULL group (a third of the rows) is spread, not one reducer
+    assert jk.filter("k is not null").select("j.s").distinct().collect()[0][0] == 0
