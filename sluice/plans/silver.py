@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.rules import Rule, collect_rules, normalise_statements, rules_for
 from ..operators.dedupe import dedupe_any, dedupe_latest
@@ -37,15 +38,12 @@ def silver_batch(bronze: DataFrame, columns: Sequence[str], keys: Sequence[str],
     cols = list(dict.fromkeys([*columns, *carry]))
     df = bronze.select(*cols)
     if validate_first:
+        # one ranked dedupe: per key the latest valid row if there is one, else the
+        # latest invalid row (which goes to quarantine) - no join, and the partial
+        # WindowGroupLimit keeps a hot key small before the shuffle
         judged = judge(df, rules, null_policy)
-        valid = judged.filter("_status = 'valid'")
-        rest = judged.filter("_status <> 'valid'")
-        deduped = _dedupe(valid, keys, order_by)
-        # invalid rows still reach quarantine, one per key that has no valid row
-        seen = valid.select(*keys).distinct().alias("_seen")
-        on = [rest[k].eqNullSafe(seen[k]) for k in keys]
-        rest = _dedupe(rest.join(seen, on, "left_anti"), keys, order_by)
-        out = deduped.unionByName(rest)
+        valid_first = (F.col("_status") == "valid").desc()
+        out = dedupe_latest(judged, keys, [valid_first, *(order_by or [])])
     else:
         out = judge(_dedupe(df, keys, order_by), rules, null_policy)
     return out.drop(*[c for c in carry if c not in columns])
