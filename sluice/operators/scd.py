@@ -54,12 +54,31 @@ def prepare_changes(changes: DataFrame, keys: Sequence[str], sequence_by: str |
 
 # ---------------------------------------------------------------- type 1
 
-def scd1_state(prepared: DataFrame, keys: Sequence[str], state: DataFrame | None = None) -> DataFrame:
-    """New stored state (with ``__seq``/``__deleted``) after applying a prepared batch."""
-    rows = prepared if state is None else state.unionByName(prepared)
+def _keyed(df: DataFrame, keys: Sequence[str], touched: DataFrame, how: str) -> DataFrame:
+    """Semi / anti join with the batch's distinct keys, NULL-safe so that a NULL key
+    is one key, as in the windows.  The key set is small per batch; AQE broadcasts
+    it when its measured size is under the threshold, so the state is not shuffled."""
+    left, right = df.alias("_s"), touched.alias("_t")
+    cond = reduce(lambda a, b: a & b, [F.col(f"_s.{k}").eqNullSafe(F.col(f"_t.{k}")) for k in keys])
+    return left.join(right, cond, how).select(*[F.col(f"_s.{c}") for c in df.columns])
+
+
+def _latest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return dedupe_latest(rows, keys, [F.col(SEQ).desc(), F.col(TIEBREAK).desc()], tiebreak=False)
 
 
+def scd1_state(prepared: DataFrame, keys: Sequence[str], state: DataFrame | None = None) -> DataFrame:
+    """New stored state (with ``__seq``/``__deleted``) after applying a prepared batch.
+
+    Only keys present in the batch are re-ranked: ``state ▷ touched`` passes through,
+    ``latest(state ⋉ touched ∪ batch)`` replaces the rest."""
+    if state is None:
+        return _latest(prepared, keys)
+    touched = prepared.select(*keys).distinct()
+    untouched = _keyed(state, keys, touched, "left_anti")
+    return untouched.unionByName(_latest(_keyed(state, keys, touched, "left_semi").unionByName(prepared), keys))
+
+
 def scd1_view(state: DataFrame) -> DataFrame:
     """Visible rows: tombstones hidden, helper columns dropped."""
     return state.filter(~F.col(DELETED)).drop(SEQ, DELETED, TIEBREAK)
@@ -131,9 +150,9 @@ def scd2_apply(log: DataFrame | None, history: DataFrame | None, prepared: DataF
         return prepared, scd2_from_prepared(prepared, keys, track_columns)
     ident = [*keys, SEQ, TIEBREAK]
     touched = prepared.select(*keys).distinct()
-    log_touched = log.join(touched, keys, "left_semi")
-    fresh = prepared.dropDuplicates(ident).join(log_touched.select(*ident), ident, "left_anti")
+    log_touched = _keyed(log, keys, touched, "left_semi")
+    fresh = _keyed(prepared.dropDuplicates(ident), ident, log_touched.select(*ident), "left_anti")
     new_log = log.unionByName(fresh)
     rebuilt = scd2_from_prepared(log_touched.unionByName(fresh), keys, track_columns)
-    kept = history.join(touched, keys, "left_anti")
+    kept = _keyed(history, keys, touched, "left_anti")
     return new_log, kept.unionByName(rebuilt)

@@ -98,3 +98,26 @@ def test_hot_key_window_is_split_by_bucket(spark):
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(k#" in line]
     assert any("_nb_bucket" in line for line in exchanges)
     assert nb.count() == 5000 and nb.filter(F.col("p").isNull()).count() == 1
+
+
+def test_type1_incremental_equals_batch_with_null_keys(spark):
+    rng = random.Random(11)
+    rows = [(rng.choice([None, 1, 2, 3]), rng.choice("ABC"), i, rng.choice("uuud")) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    kw = dict(keys=["k"], sequence_by="seq", columns=["k", "v"], delete_when="op = 'd'")
+    full = scd1_view(scd1_state(prepare_changes(df, **kw), ["k"]))
+    a, b = df.filter("seq % 3 = 0"), df.filter("seq % 3 <> 0")
+    inc = scd1_state(prepare_changes(b, **kw), ["k"], scd1_state(prepare_changes(a, **kw), ["k"]))
+    assert sorted(scd1_view(inc).collect(), key=str) == sorted(full.collect(), key=str)
+
+
+def test_type2_incremental_equals_batch_with_null_keys(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, 1, 2]), rng.choice("AB"), i, rng.choice("uuud")) for i in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    kw = dict(keys=["k"], sequence_by="seq", columns=["k", "v"], delete_when="op = 'd'")
+    full = scd2(df, **kw)
+    a, b = df.filter("seq >= 120"), df.filter("seq < 120")  # the second batch is late
+    log, hist = scd2_apply(None, None, prepare_changes(a, **kw), ["k"])
+    log, hist = scd2_apply(log, hist, prepare_changes(b, **kw), ["k"])
+    assert sorted(hist.collect(), key=str) == sorted(full.collect(), key=str)
