@@ -41,11 +41,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     register it so that ``DataFrame.checkpoint()`` uses it too.
     """
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    root = sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="sluice-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        # only when the cluster names no folder (local tests) do we pick one
+        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="sluice-ckpt-"))
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 

@@ -73,9 +73,16 @@ class SnapshotTable:
     def commit(self, source: DataFrame, version: str) -> bool:
         """Upsert ``source`` (unique keys) as snapshot ``version``.  Returns False when
         the version was already committed (replay)."""
-        if self._path_of(version) is not None:
-            return False
-        latest = self._latest()
+        log = self.commits()
+        latest = None
+        if log is not None:
+            # one aggregate answers both "already committed?" and "which snapshot is current?"
+            row = log.agg(F.max(F.col("version") == F.lit(version)).alias("done"),
+                          F.max_by(F.struct("version", "path"), F.struct("committed_at", "version")).alias("top")
+                          ).first()
+            if row["done"]:
+                return False
+            latest = (row["top"]["version"], row["top"]["path"]) if row["top"] is not None else None
         new = source if latest is None else upsert(self.spark.read.parquet(latest[1]), source, self.keys)
         path = f"{self.root}/v/{version}"
         new.write.mode("overwrite").parquet(path)
