@@ -86,8 +86,14 @@ def process_batch(target: SilverTarget, batch_df: DataFrame, batch_id: int, tag:
 
 def bronze_to_silvers(source: DataFrame, targets: Sequence[SilverTarget], checkpoint: str,
                       first_wins_keys: Sequence[str] | None = None, watermark: tuple[str, str] | None = None,
-                      available_now: bool = True, query_name: str | None = None):
-    """Start one streaming query feeding every target; returns the ``StreamingQuery``."""
+                      available_now: bool = True, query_name: str | None = None, parallel_targets: bool = True):
+    """Start one streaming query feeding every target; returns the ``StreamingQuery``.
+
+    The micro-batch is persisted once; with ``parallel_targets`` the targets'
+    jobs are submitted from one driver thread each, so they share the cluster
+    instead of queueing behind each other.  Each target's sinks are replay-safe
+    on their own, so a failure in one target fails the batch and the retry
+    re-applies all of them idempotently."""
     needed = list(dict.fromkeys(c for t in targets for c in [*t.columns, *t.carry]))
     df = source.select(*needed)
     if first_wins_keys:
@@ -103,8 +109,15 @@ def bronze_to_silvers(source: DataFrame, targets: Sequence[SilverTarget], checkp
             return
         cached = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for t in targets:
-                process_batch(t, cached, batch_id, tag)
+            if parallel_targets:
+                from concurrent.futures import ThreadPoolExecutor
+
+                with ThreadPoolExecutor(max_workers=len(targets)) as pool:
+                    for f in [pool.submit(process_batch, t, cached, batch_id, tag) for t in targets]:
+                        f.result()
+            else:
+                for t in targets:
+                    process_batch(t, cached, batch_id, tag)
         finally:
             cached.unpersist()
 
