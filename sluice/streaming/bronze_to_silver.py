@@ -9,7 +9,8 @@ query: a stream over the bronze table, projected to the target's columns, and a
    persisted once because three sinks consume it,
 3. overwrites the batch's own quarantine folder (replay-safe - S6),
 4. upserts the valid rows as a new snapshot (no-op on replay),
-5. writes one metrics row for the batch (one aggregate pass).
+5. writes one metrics row for the batch (one aggregate pass, plus the input row
+   count so that rows removed by dedupe are reported).
 
 ``first_wins=True`` adds the reference's stream-level ``dropDuplicates`` with
 never-expiring state (S4); ``watermark=(col, delay)`` bounds that state.
@@ -78,7 +79,12 @@ def process_batch(target: SilverTarget, batch_df: DataFrame, batch_id: int, tag:
         valid = judged.filter(F.col(STATUS_COL) == "valid").drop(FAILED_COL, STATUS_COL, UNKNOWN_COL)
         target.table.commit(valid, batch_version(batch_id, tag))
         if target.metrics_path:
-            (quality_metrics(judged).withColumn("batch_id", F.lit(batch_id)).withColumn("query", F.lit(tag))
+            # rows in, before dedupe: a count(*) the file scan answers from metadata
+            rows_in = batch_df.count()
+            (quality_metrics(judged)
+                .withColumn("input_rows", F.lit(rows_in))
+                .withColumn("removed_by_dedupe", F.lit(rows_in) - F.col("total_rows"))
+                .withColumn("batch_id", F.lit(batch_id)).withColumn("query", F.lit(tag))
                 .write.mode("overwrite").parquet(f"{target.metrics_path}/_query={tag}/_batch_id={batch_id}"))
     finally:
         judged.unpersist()

@@ -55,8 +55,9 @@ def test_bronze_to_silver_updates_across_runs(spark, tmp_root, tiny, tiny_rules)
         .write.mode("append").parquet(f"{tmp_root}/src")
     run_to_end(bronze_to_silver(read_stream(spark, f"{tmp_root}/src", tiny.schema), target, f"{tmp_root}/ck"))
     assert sorted((r.id, r.quantity) for r in target.table.read().collect()) == [(1, 2), (5, 1)]
-    m = spark.read.parquet(f"{tmp_root}/metrics").agg(F.sum("total_rows")).first()[0]
-    assert m == 4 + 2  # deduped rows of both batches
+    m = spark.read.parquet(f"{tmp_root}/metrics").agg(F.sum("total_rows"), F.sum("input_rows"),
+                                                      F.sum("removed_by_dedupe")).first()
+    assert tuple(m) == (4 + 2, 6 + 2, 2)  # deduped rows, rows in, rows removed by dedupe (null ids are one key)
     assert target.quarantine.read().filter("_batch_id = 0").count() == 3
 
 
