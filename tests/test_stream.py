@@ -123,3 +123,25 @@ def test_bad_rule_fails_before_any_write(spark, tmp_root, tiny):
     with pytest.raises(ValueError, match="bad"):
         process_batch(target, tiny, 0, "q")
     assert not target.table.exists()
+
+
+def test_crash_between_snapshot_and_commit_row_recovers(spark, tmp_root, tiny, tiny_rules, monkeypatch):
+    import pytest
+    import sluice.sinks.snapshot as snap
+    target = _target(spark, tmp_root, tiny_rules)
+    process_batch(target, tiny, 0, "q")
+    second = _rows(spark, [(1, 9, "Texas", dt.date(2024, 5, 1)), (7, 1, "Texas", dt.date(2024, 5, 1))])
+    real = snap.literal_rows
+
+    def crash(*a, **k):
+        raise RuntimeError("driver lost before the commit row")
+    monkeypatch.setattr(snap, "literal_rows", crash)
+    with pytest.raises(RuntimeError):
+        process_batch(target, second, 1, "q")
+    # the orphan snapshot folder is not visible: readers still see version 0
+    assert sorted(r.id for r in target.table.read().collect()) == [1]
+    monkeypatch.setattr(snap, "literal_rows", real)
+    process_batch(target, second, 1, "q")  # the retry of the same batch
+    assert sorted((r.id, r.quantity) for r in target.table.read().collect()) == [(1, 9), (7, 1)]
+    assert target.table.commits().count() == 2
+    assert target.quarantine.read().filter("_batch_id = 1").count() == 0
