@@ -25,11 +25,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .dedupe import dedupe_latest
-from .neighbors import BUCKET, default_bucket, with_neighbors
+from .neighbors import BUCKET, default_bucket
 
 SEQ, DELETED, TIEBREAK = "__seq", "__deleted", "__tb"
 START, END = "__start_at", "__end_at"
@@ -94,47 +94,87 @@ def scd1(changes: DataFrame, keys: Sequence[str], sequence_by: str | Sequence[st
 
 # ---------------------------------------------------------------- type 2
 
-def _same(prev: str, cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"{prev}.{c}").eqNullSafe(F.col(c)) for c in cols], F.lit(True))
-
-
 def scd2_from_prepared(p: DataFrame, keys: Sequence[str], track_columns: Sequence[str] | None = None,
-                       bucket: Column | None = None, checkpoint_kept: bool = False) -> DataFrame:
+                       bucket: Column | None = None) -> DataFrame:
     """Versions with ``__start_at``/``__end_at`` from prepared change rows.
 
-    Two neighbour passes: ``lag`` marks no-op changes, ``lead`` over the kept rows
-    closes intervals.  The second pass's summary reads the first pass's output, so
-    without ``checkpoint_kept`` the first pass runs twice; with it, the kept rows
-    are written once to the shared checkpoint folder (an eager job)."""
+    A row's *state* is ``(deleted, tracked columns)`` (all deletes share one state).
+    A version starts at a row whose state differs from the previous row's and
+    ends at the next such row.  Both are found in one window over
+    ``(key, bucket)``; the window sees the neighbouring buckets through two
+    marker rows per bucket, built from an aggregate of the raw rows:
+
+    * per ``(key, bucket, state)`` the first and last position (map-side partial);
+    * per ``(key, bucket)``: first state, first position, the first position of
+      any *other* state (the bucket's first change), and the last state;
+    * per key over buckets: the previous bucket's last state (head marker) and the
+      first change after the bucket (tail marker) - a bucket whose rows all keep
+      the carried state is skipped.
+
+    So a key holding a third of the rows is split by bucket, and the change rows
+    are shuffled once for the window (no second pass, no join).
+    """
     value_cols = [c for c in p.columns if c not in (SEQ, DELETED, TIEBREAK)]
     tracked = list(track_columns) if track_columns is not None else [c for c in value_cols if c not in keys]
     if bucket is None:
         bucket = default_bucket(p, SEQ) if dict(p.dtypes)[SEQ] != "struct" else F.lit(0)
-    order = [SEQ, TIEBREAK]
-    # the bucket column is computed once so both passes share its partitioning
-    pb = p.withColumn(BUCKET, bucket)
-    nb = with_neighbors(pb, keys, order, [DELETED, *tracked], None, prev="_prev", nxt=None)
-    prev_del = F.col(f"_prev.{DELETED}")
-    noop = F.col("_prev").isNotNull() & (
-        (prev_del & F.col(DELETED)) | (~prev_del & ~F.col(DELETED) & _same("_prev", tracked)))
-    kept = nb.filter(~noop).drop("_prev")
-    if checkpoint_kept:
-        from ..session import checkpoint_root
-
-        checkpoint_root(kept.sparkSession)
-        kept = kept.checkpoint(eager=True)
-    nb2 = with_neighbors(kept, keys, order, [], None, prev=None, nxt="_next")
-    return (nb2.filter(~F.col(DELETED))
-               .select(*value_cols, F.col(SEQ).alias(START), F.col(f"_next.{SEQ}").alias(END)))
+    state = F.struct(F.col(DELETED).alias("d"),
+                     *[F.when(~F.col(DELETED), F.col(c)).alias(c) for c in tracked])
+    pos = F.struct(F.col(SEQ).alias("seq"), F.col(TIEBREAK).alias("tb"))
+    d = p.withColumn(BUCKET, bucket).withColumn("_st", state).withColumn("_pos", pos)
+
+    # bucket summary from the raw rows
+    per_state = d.groupBy(*keys, BUCKET, "_st").agg(F.min("_pos").alias("lo"), F.max("_pos").alias("hi"))
+    wb = Window.partitionBy(*keys, BUCKET).orderBy("lo")
+    wb_all = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    per_bucket = (per_state
+                  .withColumn("_rk", F.row_number().over(wb))
+                  .withColumn("second_lo", F.nth_value("lo", 2).over(wb_all))
+                  .withColumn("last_st", F.max_by("_st", "hi").over(Window.partitionBy(*keys, BUCKET)))
+                  .filter(F.col("_rk") == 1)
+                  .select(*keys, BUCKET, F.col("_st").alias("first_st"), F.col("lo").alias("first_lo"),
+                          "second_lo", "last_st"))
+    wk = Window.partitionBy(*keys).orderBy(BUCKET)
+    prev_last = F.lag("last_st").over(wk)
+    per_bucket = per_bucket.withColumn("prev_last", prev_last)
+    # first change in this bucket relative to the state carried in from before it
+    cand = F.when(F.col("prev_last").isNull() | ~F.col("first_st").eqNullSafe(F.col("prev_last")),
+                  F.col("first_lo")).otherwise(F.col("second_lo"))
+    per_bucket = per_bucket.withColumn("_cand", cand).withColumn(
+        "next_change", F.first("_cand", ignorenulls=True).over(
+            wk.rowsBetween(1, Window.unboundedFollowing)))
+
+    # one window over data rows plus head / tail markers
+    st_type = d.schema["_st"].dataType
+    pos_type = d.schema["_pos"].dataType
+    others = [c for c in d.columns if c not in keys and c not in (BUCKET, "_st", "_pos")]
+    nulls = [F.lit(None).cast(d.schema[c].dataType).alias(c) for c in others]
+    marks = per_bucket.select(*keys, BUCKET, F.explode(F.array(
+        F.struct(F.lit(0).alias("mk"), F.col("prev_last").cast(st_type).alias("st"),
+                 F.lit(None).cast(pos_type).alias("pos")),
+        F.struct(F.lit(2).alias("mk"), F.lit(None).cast(st_type).alias("st"),
+                 F.col("next_change").cast(pos_type).alias("pos")))).alias("_m"))
+    marks = marks.select(*keys, BUCKET, *nulls, F.col("_m.st").alias("_st"), F.col("_m.pos").alias("_pos"),
+                         F.col("_m.mk").alias("_mk"))
+    u = d.select(*keys, BUCKET, *others, "_st", "_pos", F.lit(1).alias("_mk")).unionByName(marks)
+    w = Window.partitionBy(*keys, BUCKET).orderBy("_mk", "_pos")
+    u = u.withColumn("_prev_st", F.lag("_st").over(w))
+    starts = F.when(F.col("_mk") == 2, F.lit(True)).otherwise(
+        F.col("_prev_st").isNull() | ~F.col("_st").eqNullSafe(F.col("_prev_st")))
+    u = u.withColumn("_start", starts & (F.col("_mk") > 0))
+    u = u.withColumn("_end", F.first(F.when(F.col("_start"), F.col("_pos")), ignorenulls=True).over(
+        w.rowsBetween(1, Window.unboundedFollowing)))
+    kept = u.filter((F.col("_mk") == 1) & F.col("_start") & ~F.col(DELETED))
+    return kept.select(*value_cols, F.col(SEQ).alias(START), F.col("_end.seq").alias(END))
 
 
 def scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str | Sequence[str],
          columns: Sequence[str] | None = None, except_columns: Sequence[str] = (),
          delete_when: str | Column | None = None, track_columns: Sequence[str] | None = None,
-         bucket: Column | None = None, checkpoint_kept: bool = False) -> DataFrame:
+         bucket: Column | None = None) -> DataFrame:
     """F3 (+F4, F5), batch form: the full history of every key."""
     p = prepare_changes(changes, keys, sequence_by, columns, except_columns, delete_when)
-    return scd2_from_prepared(p, keys, track_columns, bucket, checkpoint_kept)
+    return scd2_from_prepared(p, keys, track_columns, bucket)
 
 
 def scd2_apply(log: DataFrame | None, history: DataFrame | None, prepared: DataFrame, keys: Sequence[str],
