@@ -15,9 +15,9 @@ not by arrival.
   is wrong once late rows arrive).
 
 Remaining sequence ties are broken by a hash of the whole change row, so
-results do not depend on partitioning.  Neighbour lookups use
-:func:`sluice.operators.neighbors.with_neighbors`, so a hot key is spread over
-many tasks.
+results do not depend on partitioning.  Type 2 windows by ``(key, time
+bucket)`` (see :func:`scd2_from_prepared`), so a hot key is spread over many
+tasks; type 1 ranks with a partial ``WindowGroupLimit`` before the shuffle.
 """
 
 from __future__ import annotations
