@@ -185,14 +185,32 @@ def scd2_apply(log: DataFrame | None, history: DataFrame | None, prepared: DataF
     replayed batch adds nothing to the log (anti join on key, sequence and row
     hash), so applying it twice gives the same history.
     """
-    keys = list(keys)
-    if log is None:
-        return prepared, scd2_from_prepared(prepared, keys, track_columns)
+    return scd2_log_append(log, prepared, keys), scd2_history_update(log, history, prepared, keys, track_columns)
+
+
+def _fresh(log: DataFrame, prepared: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``(log rows of the batch's keys, batch rows not yet in the log)``."""
     ident = [*keys, SEQ, TIEBREAK]
     touched = prepared.select(*keys).distinct()
     log_touched = _keyed(log, keys, touched, "left_semi")
     fresh = _keyed(prepared.dropDuplicates(ident), ident, log_touched.select(*ident), "left_anti")
-    new_log = log.unionByName(fresh)
+    return log_touched, fresh
+
+
+def scd2_log_append(log: DataFrame | None, prepared: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The change log after a batch (replay adds nothing)."""
+    if log is None:
+        return prepared.dropDuplicates([*keys, SEQ, TIEBREAK])
+    return log.unionByName(_fresh(log, prepared, list(keys))[1])
+
+
+def scd2_history_update(log: DataFrame | None, history: DataFrame | None, prepared: DataFrame,
+                        keys: Sequence[str], track_columns: Sequence[str] | None = None) -> DataFrame:
+    """The history after a batch, given the log and history *before* it."""
+    keys = list(keys)
+    if log is None:
+        return scd2_from_prepared(prepared, keys, track_columns)
+    log_touched, fresh = _fresh(log, prepared, keys)
     rebuilt = scd2_from_prepared(log_touched.unionByName(fresh), keys, track_columns)
-    kept = _keyed(history, keys, touched, "left_anti")
-    return new_log, kept.unionByName(rebuilt)
+    kept = _keyed(history, keys, prepared.select(*keys).distinct(), "left_anti")
+    return kept.unionByName(rebuilt)

@@ -411,3 +411,6 @@ union all select {_PCOLS} from pl""",
     "profile_hourly": f"select cast(window_start as varchar) as window_start, {_PROFILE_COLS} from (" + _profile_sql(
         "events", [("event_type", "str"), ("value", "num")], "date_trunc('hour', ts)") + ")",
 })
+
+ORACLE["stream_scd2"] = SCD2_DELETES
+ORACLE["stream_scd1"] = ORACLE["scd1_deletes"]

@@ -501,6 +501,54 @@ def stream_multi_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return holder["t"][2].table.read().select("product_id", "product_name", "category", "price")
 
 
+# Expectations of the declarative event stream (none of them drops a driver row).
+EVENT_EXPECTATIONS = [
+    Rule("valid_user", "user_id IS NOT NULL", "drop"),
+    Rule("valid_type", "event_type IS NOT NULL", "drop"),
+    Rule("non_negative_value", "value >= 0", "warn"),
+]
+
+
+def _event_stream_runs(spark: SparkSession, sf_dir: str, targets_of):
+    """Events as a parquet stream source in two appends (first the on-time days,
+    then the late ones) through the declarative path, on one checkpoint."""
+    from ..session import scratch_path
+    from ..sources.tables import read_stream
+    from ..streaming.bronze_to_silver import run_to_end
+    from ..streaming.declarative import apply_changes_stream
+
+    root = scratch_path(spark, "declarative")
+    ev = _events(spark, sf_dir)
+    targets = targets_of(root)
+    for part in _late_split(ev):
+        part.write.mode("append").parquet(f"{root}/events")
+        run_to_end(apply_changes_stream(read_stream(spark, f"{root}/events", ev.schema), EVENT_EXPECTATIONS,
+                                        targets, f"{root}/_checkpoint", metrics_path=f"{root}/metrics"))
+    return targets
+
+
+def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declarative path streamed: expectations, then type 2 changes with deletes; the
+    second run brings late rows (same result as ``scd2_deletes``)."""
+    from ..streaming.declarative import ChangeTarget
+
+    targets = _event_stream_runs(spark, sf_dir, lambda root: [ChangeTarget(
+        "users_history", f"{root}/users_history", ["user_id"], "event_id", ["user_id", "event_type"],
+        scd_type=2, delete_when="event_type = 'error'")])
+    return _scd2_out(targets[0].read(spark))
+
+
+def stream_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declarative path streamed, type 1 with deletes and late rows (same result as
+    ``scd1_deletes``)."""
+    from ..streaming.declarative import ChangeTarget
+
+    targets = _event_stream_runs(spark, sf_dir, lambda root: [ChangeTarget(
+        "users_latest", f"{root}/users_latest", ["user_id"], "event_id", ["user_id", "event_type", "value", "ts"],
+        scd_type=1, delete_when="event_type = 'error'")])
+    return targets[0].read(spark).select("user_id", "event_type", "value", F.col("ts").cast("string").alias("ts"))
+
+
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E3 + I1: stream-level ``dropDuplicates`` with unbounded state: each key passes
     once, in the first batch that carries it, across runs."""
@@ -553,4 +601,6 @@ QUERIES = {
     "stream_quarantine": stream_quarantine,
     "stream_multi_target": stream_multi_target,
     "stream_dedupe": stream_dedupe,
+    "stream_scd1": stream_scd1,
+    "stream_scd2": stream_scd2,
 }

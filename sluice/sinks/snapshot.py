@@ -73,6 +73,11 @@ class SnapshotTable:
     def commit(self, source: DataFrame, version: str) -> bool:
         """Upsert ``source`` (unique keys) as snapshot ``version``.  Returns False when
         the version was already committed (replay)."""
+        return self.commit_with(lambda prev: source if prev is None else upsert(prev, source, self.keys), version)
+
+    def commit_with(self, build, version: str) -> bool:
+        """Write ``build(previous snapshot or None)`` as snapshot ``version``; a no-op
+        returning False when ``version`` is already committed."""
         log = self.commits()
         latest = None
         if log is not None:
@@ -83,7 +88,7 @@ class SnapshotTable:
             if row["done"]:
                 return False
             latest = (row["top"]["version"], row["top"]["path"]) if row["top"] is not None else None
-        new = source if latest is None else upsert(self.spark.read.parquet(latest[1]), source, self.keys)
+        new = build(None if latest is None else self.spark.read.parquet(latest[1]))
         path = f"{self.root}/v/{version}"
         new.write.mode("overwrite").parquet(path)
         row = [(version, path, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), self.comment)]
