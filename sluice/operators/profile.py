@@ -8,7 +8,8 @@ shuffle.  Rows with a NULL timestamp form their own window (``F.window`` would
 drop them).
 
 Metrics (all Spark built-ins): row_count, num_nulls, percent_null,
-num_distinct (exact, or ``approx_count_distinct`` with ``exact=False``),
+num_distinct (``approx_count_distinct`` by default - a bounded-memory sketch -
+or an exact distinct count with ``exact=True``),
 num_zeros, min, max, avg, stddev (numeric); min/max/avg length and the most
 frequent value (ties -> smallest) for strings.  Approximate quantiles are
 available through :func:`quantiles` (bounded-memory sketch).
@@ -50,7 +51,7 @@ def _long(df: DataFrame, columns: Sequence[str], window: Column | None) -> DataF
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None, ts_col: str | None = None,
-            granularity: str = "1 day", exact: bool = True, mode: bool = True) -> DataFrame:
+            granularity: str = "1 day", exact: bool = False, mode: bool = True) -> DataFrame:
     """Long profile: one row per ``(window_start, column_name)``.
 
     ``ts_col=None`` gives a snapshot profile (``window_start`` NULL).

@@ -60,7 +60,7 @@ def window_ranges(ts, ts_type, starts, granularity: str):
 
 class Monitor:
     def __init__(self, spark: SparkSession, root: str, table_name: str, ts_col: str | None = None,
-                 granularity: str = "1 day", columns: Sequence[str] | None = None, exact: bool = True):
+                 granularity: str = "1 day", columns: Sequence[str] | None = None, exact: bool = False):
         self.spark, self.root, self.table_name = spark, root.rstrip("/"), table_name
         self.ts_col, self.granularity = ts_col, granularity
         self.columns, self.exact = list(columns) if columns else None, exact
