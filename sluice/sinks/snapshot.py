@@ -106,8 +106,16 @@ class QuarantineSink:
     def write(self, rows: DataFrame, query: str, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.root}/_query={query}/_batch_id={batch_id}")
 
-    def read(self) -> DataFrame:
-        return (self.spark.read.option("basePath", self.root).parquet(f"{self.root}/_query=*/_batch_id=*"))
+    def read(self, schema=None) -> DataFrame:
+        """All quarantined rows with ``_query`` and ``_batch_id``.  When no batch has
+        quarantined anything there is no file to take a schema from: pass
+        ``schema`` to get an empty frame instead of an error."""
+        try:
+            return self.spark.read.option("basePath", self.root).parquet(f"{self.root}/_query=*/_batch_id=*")
+        except AnalysisException:
+            if schema is None:
+                raise
+            return self.spark.createDataFrame([], schema)
 
 
 def batch_version(batch_id: int, query: str = "q") -> str:

@@ -61,3 +61,11 @@ def test_null_keys_spread_over_salts(spark):
     salts = jk.filter("k is null").select("j.s").distinct().count()
     assert salts > 500  # the NULL group (a third of the rows) is spread, not one reducer
     assert jk.filter("k is not null").select("j.s").distinct().collect()[0][0] == 0
+
+
+def test_quarantine_sink_with_only_clean_batches(spark, tmp_root):
+    import pytest
+    q = QuarantineSink(spark, f"{tmp_root}/clean")
+    with pytest.raises(Exception):
+        q.read()
+    assert q.read(schema="k int, v string").count() == 0
