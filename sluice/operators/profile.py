@@ -28,6 +28,15 @@ NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 GRANULARITIES = {"1 hour": "hour", "1 day": "day", "1 week": "week", "1 month": "month", "1 year": "year"}
 
 
+def _r6(c: Column) -> Column:
+    """Round to 6 decimals after a 1e-9 nudge.  Averages of short decimals over
+    counts like 128 land exactly on a rounding tie, and two engines (or two
+    partitionings) whose sums differ in the last bit would round such a tie
+    apart; the nudge moves exact ties off the boundary (far more than that
+    last-bit noise, far less than the 1e-6 step)."""
+    return F.round(c + F.lit(1e-9), 6)
+
+
 def window_start(ts: Column, granularity: str) -> Column:
     if granularity not in GRANULARITIES:
         raise ValueError(f"granularity must be one of {sorted(GRANULARITIES)}")
@@ -67,16 +76,16 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, ts_col: str | N
     prof = long.groupBy("window_start", "column_name").agg(
         n.alias("row_count"),
         nulls.alias("num_nulls"),
-        F.round(nulls / n, 6).alias("percent_null"),
+        _r6(nulls / n).alias("percent_null"),
         distinct.alias("num_distinct"),
         F.count_if(num == 0).alias("num_zeros"),
         F.min(num).alias("min"),
         F.max(num).alias("max"),
-        F.round(F.avg(num), 6).alias("avg"),
-        F.round(F.stddev_samp(num), 6).alias("stddev"),
+        _r6(F.avg(num)).alias("avg"),
+        _r6(F.stddev_samp(num)).alias("stddev"),
         F.min(length).alias("min_length"),
         F.max(length).alias("max_length"),
-        F.round(F.avg(length), 6).alias("avg_length"),
+        _r6(F.avg(length)).alias("avg_length"),
     )
     if not mode:
         return prof

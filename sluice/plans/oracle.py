@@ -298,10 +298,10 @@ def _profile_sql(table: str, cols: list[tuple[str, str]], window: str | None) ->
     return f"""
 with long as ({long}),
 prof as (select window_start, column_name, count(*) as row_count, cast(count_if(val is null) as bigint) as num_nulls,
-   round(count_if(val is null) / count(*), 6) as percent_null, count(distinct val) as num_distinct,
-   cast(sum(case when num = 0 then 1 else 0 end) as bigint) as num_zeros, min(num) as min, max(num) as max, round(avg(num), 6) as avg,
-   round(stddev_samp(num), 6) as stddev, cast(min(length(str)) as integer) as min_length, cast(max(length(str)) as integer) as max_length,
-   round(avg(length(str)), 6) as avg_length
+   round(count_if(val is null) / count(*) + 1e-9, 6) as percent_null, count(distinct val) as num_distinct,
+   cast(sum(case when num = 0 then 1 else 0 end) as bigint) as num_zeros, min(num) as min, max(num) as max, round(avg(num) + 1e-9, 6) as avg,
+   round(stddev_samp(num) + 1e-9, 6) as stddev, cast(min(length(str)) as integer) as min_length, cast(max(length(str)) as integer) as max_length,
+   round(avg(length(str)) + 1e-9, 6) as avg_length
   from long group by window_start, column_name),
 cnt as (select window_start, column_name, str, count(*) as c from long where str is not null
   group by window_start, column_name, str),
