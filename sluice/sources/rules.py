@@ -24,6 +24,7 @@ RULE_DOC_SCHEMA = T.StructType([
     T.StructField("constraints", T.ArrayType(T.StringType())),
 ])
 
+# Shape of a normalised rules table as a Spark user would store it.
 RULES_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("tag", T.StringType()),
@@ -33,7 +34,6 @@ RULES_SCHEMA = T.StructType([
 ])
 
 # The reference demo's rule documents (states list and date range as given there).
-REFERENCE_STATES = ["New York", "California", "Texas", "Florida", "Illinois"]
 REFERENCE_RULES = {
     "silver_clients": [
         "ALTER TABLE {schema}.silver_clients ALTER COLUMN client_id SET NOT NULL;",
@@ -53,7 +53,6 @@ REFERENCE_RULES = {
 
 # The same rule documents re-aimed at the fixture bronze (FIXTURES.md §3):
 # market segments stand in for states, and the date window fits the shipping dates.
-FIXTURE_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]
 FIXTURE_RULES = {
     "silver_clients": [
         "ALTER TABLE {schema}.silver_clients ALTER COLUMN client_id SET NOT NULL;",
