@@ -145,3 +145,17 @@ def test_crash_between_snapshot_and_commit_row_recovers(spark, tmp_root, tiny, t
     assert sorted((r.id, r.quantity) for r in target.table.read().collect()) == [(1, 9), (7, 1)]
     assert target.table.commits().count() == 2
     assert target.quarantine.read().filter("_batch_id = 1").count() == 0
+
+
+def test_first_wins_with_watermark(spark, tmp_root):
+    rows = [(1, 5, "Texas", dt.date(2024, 1, 1)), (1, 6, "Texas", dt.date(2024, 1, 1)),
+            (2, 7, "Texas", dt.date(2024, 1, 2))]
+    df = _rows(spark, rows).withColumn("ts", F.col("date").cast("timestamp"))
+    df.write.parquet(f"{tmp_root}/src")
+    target = SilverTarget("t", SnapshotTable(spark, f"{tmp_root}/silver", ["id"]), ["id", "quantity", "ts"], ["id"],
+                          [Rule("q", "quantity > 0")], QuarantineSink(spark, f"{tmp_root}/q"), order_by=["ts"])
+    q = bronze_to_silver(read_stream(spark, f"{tmp_root}/src", df.schema), target, f"{tmp_root}/ck",
+                         first_wins=True, watermark=("ts", "1 day"))
+    run_to_end(q)
+    got = sorted(r.id for r in target.table.read().collect())
+    assert got == [1, 2]  # one row per key passed the stream-level dedupe
