@@ -5,15 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .line_dedup import ORACLE_SQL as LINES_SQL
+from .line_dedup import dedup_lines
 from .ngram_join import jaccard_components
+from .packing import pack
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 QUERIES = {
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_line_dedup": LINES_SQL,
+}
