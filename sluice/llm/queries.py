@@ -3,14 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
+from .decontam import contamination
+from .langid import fold, identify
 from .line_dedup import ORACLE_SQL as LINES_SQL
 from .line_dedup import dedup_lines
 from .ngram_join import jaccard_components
 from .packing import pack
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    docs = identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), fold("key", 5) != 0)
+    return docs.select("doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score")
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -23,10 +32,16 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op8_line_dedup": op8_line_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {
