@@ -7,12 +7,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
 #: Bytes of text that numpy works on at once inside a task; a longer text is a chunk of its own.
 CHUNK_BYTES = 2 << 20
 
+#: Rows of an id or two that may be broadcast; joins of more are shuffled.
+BROADCAST_ROWS = 500_000
+
 #: ``[^\x20\x09-\x0D]+`` are words: these bytes part them.
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, 9, 10, 11, 12, 13]] = True
@@ -35,6 +39,18 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or the first longer name that ``df`` does not have."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (a written table of narrow rows) marked for broadcast if its count is within ``rows``; else as it is."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """Finaliser of splitmix64; ``seed`` gives independent functions."""
     with np.errstate(over="ignore"):

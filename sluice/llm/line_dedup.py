@@ -11,17 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, fresh
 
 WINDOW = 3
 
 
-def _fresh(df: DataFrame, name: str) -> str:
-    while name in df.columns:
-        name += "_"
-    return name
-
-
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """The input rows and columns with the repeated lines cut out of ``text_col``, and two counts.
 
@@ -31,7 +25,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines go becomes empty. Rows that repeat an id are rows of their own, in the order they were read. An
     empty table gives an empty result. Should ``counts`` clash with input columns, rename them there.
     """
-    row, cuts, held = (_fresh(docs, x) for x in ("row_", "cuts_", "kept_"))
+    row, cuts, held = (fresh(docs, x) for x in ("row_", "cuts_", "kept_"))
     docs = cut(docs.withColumn(row, F.monotonically_increasing_id()), "lines")
     lines = docs.select(F.col(row).alias("row"), F.col(id_col).alias("id"), F.split(F.col(text_col), "\n", -1).alias("l")).filter(F.size("l") >= window)
 
