@@ -10,6 +10,7 @@ from .decontam import contamination
 from .langid import fold, identify
 from .line_dedup import ORACLE_SQL as LINES_SQL
 from .line_dedup import dedup_lines
+from .lm_maxent import score
 from .ngram_join import jaccard_components
 from .packing import pack
 
@@ -24,6 +25,12 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+    held_out = F.coalesce(fold("doc_id", 7) == 2, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -39,6 +46,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op6_lm_scoring": op6_lm_scoring,
     "op8_line_dedup": op8_line_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontamination": op10_decontamination,
