@@ -13,6 +13,7 @@ from .line_dedup import dedup_lines
 from .lm_maxent import score
 from .ngram_join import jaccard_components
 from .packing import pack
+from .suffix_dedup import dedup_strings
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,12 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_strings(table(spark, sf_dir, "documents"))
+    kept = F.col("kept")
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length(kept)).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2(kept, 256).alias("kept_sha256"))
+
+
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
     held_out = F.coalesce(fold("doc_id", 7) == 2, F.lit(False))
@@ -46,6 +53,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_lm_scoring": op6_lm_scoring,
     "op8_line_dedup": op8_line_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
