@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontam import contamination
+from .html_crf import main_text
 from .langid import fold, identify
 from .line_dedup import ORACLE_SQL as LINES_SQL
 from .line_dedup import dedup_lines
@@ -26,6 +27,11 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return pages.select("page_id", "url", main_text(pages).alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup_strings(table(spark, sf_dir, "documents"))
     kept = F.col("kept")
@@ -53,6 +59,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_html_extraction": op4_html_extraction,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_lm_scoring": op6_lm_scoring,
     "op8_line_dedup": op8_line_dedup,
