@@ -14,6 +14,7 @@ from .line_dedup import dedup_lines
 from .lm_maxent import score
 from .ngram_join import jaccard_components
 from .packing import pack
+from .quality import grade
 from .suffix_dedup import dedup_strings
 
 
@@ -23,6 +24,16 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score")
 
 
+#: 0 toxic, 1 of low quality, 2 good.
+RATING = "case when toxic = 1 then 0 else 1 + quality end"
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    graded = grade(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), RATING)
+    low, high = F.col("tails")[0], F.col("tails")[1]
+    return graded.select("doc_id", "expected_grade", low.alias("p_not_toxic"), high.alias("p_good"), (high >= 0.5).alias("selected"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -58,6 +69,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_quality": op2_quality,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_html_extraction": op4_html_extraction,
     "op5_suffix_dedup": op5_suffix_dedup,
