@@ -16,6 +16,8 @@ from .ngram_join import jaccard_components
 from .packing import pack
 from .quality import grade
 from .suffix_dedup import dedup_strings
+from .topk import ORACLE_SQL as TOPK_SQL
+from .topk import search
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +57,10 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -74,11 +80,13 @@ QUERIES = {
     "op4_html_extraction": op4_html_extraction,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_lm_scoring": op6_lm_scoring,
+    "op7_topk_search": op7_topk_search,
     "op8_line_dedup": op8_line_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {
+    "op7_topk_search": TOPK_SQL,
     "op8_line_dedup": LINES_SQL,
 }
