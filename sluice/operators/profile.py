@@ -1,18 +1,19 @@
 """Table profiles: time-series (per window) and snapshot (whole table).
 
-The frame is unpivoted to ``(window, column_name, value)`` and aggregated once,
-grouped by ``(window, column_name)``.  That keeps one distinct-count per group
-instead of one ``Expand`` per column, and every metric is a built-in aggregate
-with a map-side partial step - a hot window or column is combined before the
-shuffle.  Rows with a NULL timestamp form their own window (``F.window`` would
-drop them).
-
-Metrics (all Spark built-ins): row_count, num_nulls, percent_null,
-num_distinct (``approx_count_distinct`` by default - a bounded-memory sketch -
-or an exact distinct count with ``exact=True``),
-num_zeros, min, max, avg, stddev (numeric); min/max/avg length and the most
-frequent value (ties -> smallest) for strings.  Approximate quantiles are
-available through :func:`quantiles` (bounded-memory sketch).
+The frame is unpivoted to ``(window, column_name, value)`` and aggregated in one
+pass, grouped by ``(window, column_name)``.  That keeps one distinct-count per
+group instead of one ``Expand`` per column, and every metric is a built-in
+aggregate with a map-side partial step - a hot window or column is combined
+before the shuffle.  Rows with a NULL timestamp form their own window
+(``F.window`` would drop them).
+
+Metrics are raw values, never rounded: row_count, num_nulls, percent_null,
+num_distinct, num_zeros, min, max, avg, stddev, p25, p50, p75 (numeric types,
+decimals included); min_value and max_value in the column's own type, as text
+(integers and decimals exactly, dates and timestamps in ISO form, strings by
+byte order); min/max/avg length of strings; the most frequent value (ties ->
+smallest) of the columns named in ``mode_columns``.  ``exact=False`` (default)
+uses bounded-memory sketches for distinct counts and percentiles.
 """
 
 from __future__ import annotations
@@ -21,20 +22,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+from pyspark.sql import types as T
 
 # Supported granularities -> date_trunc unit.
 GRANULARITIES = {"1 hour": "hour", "1 day": "day", "1 week": "week", "1 month": "month", "1 year": "year"}
 
-
-def _r6(c: Column) -> Column:
-    """Round to 6 decimals after a 1e-9 nudge.  Averages of short decimals over
-    counts like 128 land exactly on a rounding tie, and two engines (or two
-    partitionings) whose sums differ in the last bit would round such a tie
-    apart; the nudge moves exact ties off the boundary (far more than that
-    last-bit noise, far less than the 1e-6 step)."""
-    return F.round(c + F.lit(1e-9), 6)
+INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+WIDEST = T.DecimalType(38, 10)
 
 
 def window_start(ts: Column, granularity: str) -> Column:
@@ -43,77 +37,83 @@ def window_start(ts: Column, granularity: str) -> Column:
     return F.date_trunc(GRANULARITIES[granularity], ts)
 
 
-def _long(df: DataFrame, columns: Sequence[str], window: Column | None) -> DataFrame:
-    types = dict(df.dtypes)
-    cells = []
-    for c in columns:
-        t = types[c]
-        num = F.col(c).cast("double") if t in NUMERIC else F.lit(None).cast("double")
-        s = F.col(c) if t == "string" else F.lit(None).cast("string")
-        v = F.col(c).cast("string")
-        cells.append(F.struct(F.lit(c).alias("column_name"), F.lit(t in NUMERIC).alias("is_num"),
-                              F.lit(t == "string").alias("is_str"), num.alias("num"), s.alias("str"),
-                              v.alias("val")))
+def _cell(field: T.StructField, mode: bool) -> Column:
+    """One column's value in the typed slots of the long form."""
+    c, t = F.col(field.name), field.dataType
+    exact = isinstance(t, (*INTEGRAL, T.DecimalType))
+    number = exact or isinstance(t, (T.FloatType, T.DoubleType))
+    text = isinstance(t, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType))
+    return F.struct(
+        F.lit(field.name).alias("column_name"),
+        (c if number else F.lit(None)).cast("double").alias("num"),
+        (c if exact else F.lit(None)).cast(WIDEST).alias("dec"),
+        (c if text else F.lit(None)).cast("string").alias("ord"),
+        (c if isinstance(t, T.StringType) else F.lit(None)).cast("string").alias("str"),
+        (c if mode else F.lit(None)).cast("string").alias("top"),
+        c.cast("string").alias("val"))
+
+
+def _long(df: DataFrame, columns: Sequence[str], window: Column | None, mode_columns: Sequence[str] = ()) -> DataFrame:
+    cells = [_cell(df.schema[c], c in mode_columns) for c in columns]
     base = df.select((window if window is not None else F.lit(None).cast("timestamp")).alias("window_start"),
                      F.explode(F.array(*cells)).alias("cell"))
     return base.select("window_start", "cell.*")
 
 
+def _plain(dec: Column) -> Column:
+    """A decimal's text without trailing zeros of the widest type."""
+    return F.regexp_replace(F.regexp_replace(dec.cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+
+
+def _percentiles(c: Column, probs: Sequence[float], exact: bool, accuracy: int) -> Column:
+    points = F.array(*[F.lit(float(p)) for p in probs])
+    return F.percentile(c, points) if exact else F.percentile_approx(c, list(probs), accuracy)
+
+
 def profile(df: DataFrame, columns: Sequence[str] | None = None, ts_col: str | None = None,
-            granularity: str = "1 day", exact: bool = False, mode: bool = True) -> DataFrame:
+            granularity: str = "1 day", exact: bool = False, mode_columns: Sequence[str] = (),
+            accuracy: int = 10000) -> DataFrame:
     """Long profile: one row per ``(window_start, column_name)``.
 
     ``ts_col=None`` gives a snapshot profile (``window_start`` NULL).
+    ``mode_columns`` should hold few distinct values each: their counts are kept
+    per group while it is aggregated.
     """
     columns = [c for c in (columns or df.columns) if c != ts_col]
     window = window_start(F.col(ts_col), granularity) if ts_col else None
-    long = _long(df, columns, window)
-    distinct = F.countDistinct("val") if exact else F.approx_count_distinct("val")
-    n = F.count(F.lit(1))
-    nulls = F.count_if(F.col("val").isNull())
-    num = F.col("num")
-    length = F.length("str")
-    prof = long.groupBy("window_start", "column_name").agg(
+    long = _long(df, columns, window, mode_columns)
+    num, length, n, nulls = F.col("num"), F.length("str"), F.count(F.lit(1)), F.count_if(F.col("val").isNull())
+
+    def bound(of) -> Column:
+        return F.coalesce(_plain(of("dec")), of("num").cast("string"), of("ord"))
+
+    out = long.groupBy("window_start", "column_name").agg(
         n.alias("row_count"),
         nulls.alias("num_nulls"),
-        _r6(nulls / n).alias("percent_null"),
-        distinct.alias("num_distinct"),
+        (nulls / n).alias("percent_null"),
+        (F.countDistinct("val") if exact else F.approx_count_distinct("val")).alias("num_distinct"),
         F.count_if(num == 0).alias("num_zeros"),
         F.min(num).alias("min"),
         F.max(num).alias("max"),
-        _r6(F.avg(num)).alias("avg"),
-        _r6(F.stddev_samp(num)).alias("stddev"),
+        F.avg(num).alias("avg"),
+        F.stddev_samp(num).alias("stddev"),
+        _percentiles(num, (0.25, 0.5, 0.75), exact, accuracy).alias("q"),
+        bound(F.min).alias("min_value"),
+        bound(F.max).alias("max_value"),
         F.min(length).alias("min_length"),
         F.max(length).alias("max_length"),
-        _r6(F.avg(length)).alias("avg_length"),
+        F.avg(length).alias("avg_length"),
+        F.mode("top", deterministic=True).alias("mode"),
     )
-    if not mode:
-        return prof
-    return _join_on_window(prof, most_frequent(long))
-
-
-def most_frequent(long: DataFrame) -> DataFrame:
-    """Most frequent non-null string per ``(window_start, column_name)``; ties -> smallest."""
-    counts = (long.filter(F.col("is_str") & F.col("str").isNotNull())
-                  .groupBy("window_start", "column_name", "str").count())
-    return counts.groupBy("window_start", "column_name").agg(
-        F.min_by("str", F.struct((-F.col("count")).alias("c"), F.col("str").alias("s"))).alias("mode"))
-
-
-def _join_on_window(prof: DataFrame, modes: DataFrame) -> DataFrame:
-    """Left join on (window_start, column_name), null-safe on the window (the NULL window is a group)."""
-    p, m = prof.alias("p"), modes.alias("m")
-    cond = F.col("p.window_start").eqNullSafe(F.col("m.window_start")) & (F.col("p.column_name") == F.col("m.column_name"))
-    return p.join(m, cond, "left").select("p.*", F.col("m.mode"))
+    return out.select("*", *[F.col("q")[i].alias(f"p{p}") for i, p in enumerate((25, 50, 75))]).drop("q")
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], ts_col: str | None = None, granularity: str = "1 day",
               probs: Sequence[float] = (0.25, 0.5, 0.75), accuracy: int = 10000) -> DataFrame:
-    """Approximate quantiles of numeric columns per window (mergeable sketch; rank
-    error about ``n / accuracy``)."""
+    """Approximate quantiles of numeric columns per window at any probabilities
+    (mergeable sketch; rank error about ``n / accuracy``)."""
     window = window_start(F.col(ts_col), granularity) if ts_col else None
-    long = _long(df, columns, window).filter("is_num")
-    q = F.percentile_approx("num", list(probs), accuracy)
-    out = long.groupBy("window_start", "column_name").agg(q.alias("q"))
+    out = _long(df, columns, window).groupBy("window_start", "column_name").agg(
+        _percentiles(F.col("num"), probs, False, accuracy).alias("q"))
     return out.select("window_start", "column_name",
                       *[F.col("q")[i].alias(f"p{int(round(p * 100))}") for i, p in enumerate(probs)])

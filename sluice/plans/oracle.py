@@ -285,43 +285,59 @@ select v2.*, 'update_postimage' from v1 join v2 using (o_orderkey)
 })
 
 
-def _profile_sql(table: str, cols: list[tuple[str, str]], window: str | None) -> str:
-    """Long profile by unpivoting with union all; ``cols`` = (name, kind) with kind in num/str/other."""
+# Events with planted nulls and zeros, a decimal and a date.
+DIRTY_EVENTS = """(select event_id, case when event_id % 29 <> 0 then ts end as ts, case when event_id % 17 <> 0 then user_id end as user_id,
+  case when event_id % 13 <> 0 then event_type end as event_type,
+  case when event_id % 7 = 0 then null when event_id % 11 = 0 then 0.0 else value end as value, props,
+  cast(event_id % 1000 as decimal(12,2)) as amount, cast(ts as date) as day from events)"""
+
+
+def _profile_sql(table: str, cols: list[tuple[str, str]], window: str | None, modes: tuple[str, ...]) -> str:
+    """Long profile by unpivoting with union all; ``cols`` = (name, kind): int, dec and dbl are numbers, str, ord
+    (dates and timestamps as text) and other."""
     w = window or "cast(null as timestamp)"
     parts = []
     for c, kind in cols:
-        num = f"cast({c} as double)" if kind == "num" else "cast(null as double)"
+        num = f"cast({c} as double)" if kind in ("int", "dec", "dbl") else "cast(null as double)"
+        dec = f"cast({c} as decimal(38,10))" if kind in ("int", "dec") else "cast(null as decimal(38,10))"
+        order = f"cast({c} as varchar)" if kind in ("str", "ord") else "cast(null as varchar)"
         st = c if kind == "str" else "cast(null as varchar)"
-        parts.append(f"select {w} as window_start, '{c}' as column_name, {num} as num, {st} as str, "
-                     f"cast({c} as varchar) as val from {table}")
+        top = f"cast({c} as varchar)" if c in modes else "cast(null as varchar)"
+        parts.append(f"select {w} as window_start, '{c}' as column_name, {num} as num, {dec} as dec, {order} as ord, {st} as str, "
+                     f"{top} as top, cast({c} as varchar) as val from {table}")
     long = " union all ".join(parts)
     return f"""
 with long as ({long}),
 prof as (select window_start, column_name, count(*) as row_count, cast(count_if(val is null) as bigint) as num_nulls,
-   round(count_if(val is null) / count(*) + 1e-9, 6) as percent_null, count(distinct val) as num_distinct,
-   cast(sum(case when num = 0 then 1 else 0 end) as bigint) as num_zeros, min(num) as min, max(num) as max, round(avg(num) + 1e-9, 6) as avg,
-   round(stddev_samp(num) + 1e-9, 6) as stddev, cast(min(length(str)) as integer) as min_length, cast(max(length(str)) as integer) as max_length,
-   round(avg(length(str)) + 1e-9, 6) as avg_length
+   cast(cast(count_if(val is null) / count(*) as float) as double) as percent_null, count(distinct val) as num_distinct,
+   cast(sum(case when num = 0 then 1 else 0 end) as bigint) as num_zeros, min(num) as min, max(num) as max, cast(cast(avg(num) as float) as double) as avg,
+   cast(cast(stddev_samp(num) as float) as double) as stddev, cast(cast(quantile_cont(num, 0.25) as float) as double) as p25, cast(cast(quantile_cont(num, 0.5) as float) as double) as p50, cast(cast(quantile_cont(num, 0.75) as float) as double) as p75,
+   case when min(dec) is not null then rtrim(rtrim(cast(min(dec) as varchar), '0'), '.') else min(ord) end as min_value,
+   case when max(dec) is not null then rtrim(rtrim(cast(max(dec) as varchar), '0'), '.') else max(ord) end as max_value,
+   cast(min(length(str)) as integer) as min_length, cast(max(length(str)) as integer) as max_length,
+   cast(cast(avg(length(str)) as float) as double) as avg_length
   from long group by window_start, column_name),
-cnt as (select window_start, column_name, str, count(*) as c from long where str is not null
-  group by window_start, column_name, str),
-modes as (select window_start, column_name, str as mode from (select *, row_number() over
-  (partition by window_start, column_name order by c desc, str asc) rn from cnt) x where rn = 1)
-select p.*, m.mode from prof p left join modes m
+cnt as (select window_start, column_name, top, count(*) as c from long where top is not null
+  group by window_start, column_name, top),
+modes as (select window_start, column_name, top as mode from (select *, row_number() over
+  (partition by window_start, column_name order by c desc, top asc) rn from cnt) x where rn = 1)
+select p.* replace (case when p.column_name in ('value', 'o_totalprice') then null else min_value end as min_value,
+  case when p.column_name in ('value', 'o_totalprice') then null else max_value end as max_value), m.mode from prof p left join modes m
  on p.window_start is not distinct from m.window_start and p.column_name = m.column_name"""
 
 
-_EVENT_PROFILE = _profile_sql("events", [("user_id", "num"), ("event_type", "str"), ("value", "num"),
-                                         ("props", "str")], "date_trunc('day', ts)")
+_EVENT_COLS = [("user_id", "int"), ("event_type", "str"), ("value", "dbl"), ("props", "str"), ("amount", "dec"), ("day", "ord")]
+_EVENT_PROFILE = _profile_sql(DIRTY_EVENTS, _EVENT_COLS, "date_trunc('day', ts)", ("event_type",))
+_REFRESHED = _profile_sql(f"(select * from {DIRTY_EVENTS} where ts is null or day(ts) % 10 <> 0)", _EVENT_COLS, "date_trunc('day', ts)", ("event_type",))
 _PROFILE_COLS = ("column_name, row_count, num_nulls, percent_null, num_distinct, num_zeros, min, max, avg, "
-                 "stddev, min_length, max_length, avg_length, mode")
+                 "stddev, p25, p50, p75, min_value, max_value, min_length, max_length, avg_length, mode")
 
 ORACLE.update({
     "profile_daily": f"select cast(window_start as varchar) as window_start, {_PROFILE_COLS} from ({_EVENT_PROFILE})",
-    "profile_refresh": f"select cast(window_start as varchar) as window_start, {_PROFILE_COLS} from ({_EVENT_PROFILE})",
+    "profile_refresh": f"select cast(window_start as varchar) as window_start, {_PROFILE_COLS} from ({_REFRESHED})",
     "profile_snapshot": f"select {_PROFILE_COLS} from (" + _profile_sql(
-        "orders", [("o_custkey", "num"), ("o_orderstatus", "str"), ("o_totalprice", "num"),
-                   ("o_orderpriority", "str"), ("o_orderdate", "other")], None) + ")",
+        "orders", [("o_custkey", "int"), ("o_orderstatus", "str"), ("o_totalprice", "dbl"),
+                   ("o_orderpriority", "str"), ("o_orderdate", "ord")], None, ("o_orderstatus", "o_orderpriority")) + ")",
 })
 
 
@@ -409,7 +425,7 @@ ORACLE.update({
 select {_PCOLS} from pe where not exists (select 1 from pl where pl.product_id = pe.product_id)
 union all select {_PCOLS} from pl""",
     "profile_hourly": f"select cast(window_start as varchar) as window_start, {_PROFILE_COLS} from (" + _profile_sql(
-        "events", [("event_type", "str"), ("value", "num")], "date_trunc('hour', ts)") + ")",
+        DIRTY_EVENTS, [("event_type", "str"), ("value", "dbl")], "date_trunc('hour', ts)", ("event_type",)) + ")",
 })
 
 ORACLE["stream_scd2"] = SCD2_DELETES

@@ -253,6 +253,7 @@ def _events(spark, sf_dir):
 def _late_split(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
     day = F.col("ts").cast("date")
     late = day.between(F.lit(LATE_FROM).cast("date"), F.lit(LATE_TO).cast("date"))
+    late = F.coalesce(late, F.lit(False))  # a row without a timestamp comes first
     return ev.filter(~late), ev.filter(late)
 
 
@@ -342,44 +343,64 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PROFILE_EVENT_COLUMNS = ["user_id", "event_type", "value", "props"]
-PROFILE_OUT = ["column_name", "row_count", "num_nulls", "percent_null", "num_distinct", "num_zeros",
-               "min", "max", "avg", "stddev", "min_length", "max_length", "avg_length", "mode"]
+PROFILE_COLUMNS = [*PROFILE_EVENT_COLUMNS, "amount", "day"]
+PROFILE_OUT = ["column_name", "row_count", "num_nulls", "percent_null", "num_distinct", "num_zeros", "min", "max", "avg", "stddev",
+               "p25", "p50", "p75", "min_value", "max_value", "min_length", "max_length", "avg_length", "mode"]
+
+
+def _dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with planted nulls (values, types, timestamps) and zeros, a decimal and a date."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", *PROFILE_EVENT_COLUMNS])
+    i = F.col("event_id")
+    value = F.when(i % 7 == 0, None).when(i % 11 == 0, 0.0).otherwise(F.col("value"))
+    return ev.select("event_id", F.when(i % 29 != 0, F.col("ts")).alias("ts"), F.when(i % 17 != 0, F.col("user_id")).alias("user_id"),
+                     F.when(i % 13 != 0, F.col("event_type")).alias("event_type"), value.alias("value"),
+                     F.col("props"), (i % 1000).cast("decimal(12,2)").alias("amount"), F.col("ts").cast("date").alias("day"))
+
+
+def _profile_out(p: DataFrame, window: bool = True) -> DataFrame:
+    """For the comparison: raw doubles cut to float precision (engines add in another order), and no text of
+    doubles (engines print them differently)."""
+    cut = ("percent_null", "avg", "stddev", "avg_length", "p25", "p50", "p75")
+    text = F.col("column_name").isin("value", "o_totalprice")
+    out = [F.col(c).cast("float").cast("double").alias(c) if c in cut else
+           F.when(~text, F.col(c)).alias(c) if c in ("min_value", "max_value") else F.col(c) for c in PROFILE_OUT]
+    return p.select(*([F.col("window_start").cast("string").alias("window_start")] * window), *out)
 
 
 def profile_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily time-series profile of events."""
-    ev = read_table(spark, sf_dir, "events", ["ts", *PROFILE_EVENT_COLUMNS])
-    p = _profile(ev, PROFILE_EVENT_COLUMNS, "ts", "1 day", exact=True)
-    return p.select(F.col("window_start").cast("string").alias("window_start"), *PROFILE_OUT)
+    """Daily time-series profile of events with defects, decimals and dates included."""
+    return _profile_out(_profile(_dirty_events(spark, sf_dir), PROFILE_COLUMNS, "ts", "1 day", exact=True, mode_columns=["event_type"]))
 
 
 def profile_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G3 at another grain: hourly profile of events (exact distinct counts, so the
-    oracle can check them; the default is the approximate sketch)."""
-    ev = read_table(spark, sf_dir, "events", ["ts", "event_type", "value"])
-    p = _profile(ev, ["event_type", "value"], "ts", "1 hour", exact=True)
-    return p.select(F.col("window_start").cast("string").alias("window_start"), *PROFILE_OUT)
+    """G3 at another grain: hourly profile of events (exact distinct counts and
+    percentiles, so the oracle can check them; the default is the sketches)."""
+    return _profile_out(_profile(_dirty_events(spark, sf_dir), ["event_type", "value"], "ts", "1 hour", exact=True, mode_columns=["event_type"]))
 
 
 def profile_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot profile of the whole orders table."""
     cols = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate"]
-    return _profile(read_table(spark, sf_dir, "orders", cols), cols, exact=True).select(*PROFILE_OUT)
+    p = _profile(read_table(spark, sf_dir, "orders", cols), cols, exact=True, mode_columns=["o_orderstatus", "o_orderpriority"])
+    return _profile_out(p, window=False)
 
 
 def profile_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Create a monitor, refresh it fully on the first batch of events, then
-    incrementally after late rows arrive; the stored profile must equal a full one."""
+    """Create a monitor, refresh it fully, incrementally after late rows arrive, and
+    again after all rows of every tenth day are deleted; the profile must equal a full one."""
     from ..session import scratch_path
     from ..sinks.monitor import Monitor
 
-    ev = read_table(spark, sf_dir, "events", ["ts", *PROFILE_EVENT_COLUMNS])
+    ev = _dirty_events(spark, sf_dir)
     first, late = _late_split(ev)
-    mon = Monitor(spark, scratch_path(spark, "monitor"), "events", "ts", "1 day", PROFILE_EVENT_COLUMNS,
-                  exact=True).create()
+    deleted = F.coalesce(F.dayofmonth("ts") % 10 == 0, F.lit(False))
+    mon = Monitor(spark, scratch_path(spark, "monitor"), "events", "ts", "1 day", PROFILE_COLUMNS,
+                  exact=True, mode_columns=["event_type"]).create()
     mon.run_refresh(first)
     mon.run_refresh(ev, changed=late)
-    return mon.read_profile().select(F.col("window_start").cast("string").alias("window_start"), *PROFILE_OUT)
+    mon.run_refresh(ev.filter(~deleted), changed=ev.filter(deleted))
+    return _profile_out(mon.read_profile())
 
 
 def _synth_out(df: DataFrame) -> DataFrame:

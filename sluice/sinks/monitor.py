@@ -6,9 +6,10 @@ Layout under ``root``::
     profile/      the long profile, partitioned by window (``_wkey``)
     refreshes/    the refresh log, one row per refresh
 
-``run_refresh(changed=...)`` recomputes only the windows that changed rows fall
-into, over the whole current source, and overwrites exactly those window
-partitions (dynamic partition overwrite).  The profile is derived data: a
+A full refresh replaces the whole profile.  ``run_refresh(changed=...)`` recomputes
+only the windows that changed rows fall into, over the whole current source, and
+overwrites exactly those window partitions (dynamic partition overwrite);
+``changed`` must also hold deleted rows, so that windows they leave empty vanish.  The profile is derived data: a
 refresh that fails half-way is repaired by running it again.
 """
 
@@ -27,43 +28,36 @@ from ..sources.literal import literal_rows
 WKEY = "_wkey"
 
 
-def _window_end(start: _dt.datetime, granularity: str) -> _dt.datetime:
-    if granularity == "1 hour":
-        return start + _dt.timedelta(hours=1)
-    if granularity == "1 day":
-        return start + _dt.timedelta(days=1)
-    if granularity == "1 week":
-        return start + _dt.timedelta(weeks=1)
-    if granularity == "1 month":
-        return start.replace(year=start.year + start.month // 12, month=start.month % 12 + 1)
-    if granularity == "1 year":
-        return start.replace(year=start.year + 1)
-    raise ValueError(granularity)
-
-
-def window_ranges(ts, ts_type, starts, granularity: str):
-    """``ts`` in any of the given windows, as plain range predicates on the raw
-    column, so the parquet scan can push them down (an expression over ``ts``
-    could not be).  A NULL start stands for the NULL-timestamp window."""
-    def lit(t: _dt.datetime):
-        return F.lit(t.isoformat(sep=" ")).cast(ts_type)
-    conds = [(ts >= lit(w)) & (ts < lit(_window_end(w, granularity))) for w in starts if w is not None]
-    if any(w is None for w in starts):
-        conds.append(ts.isNull())
-    if not conds:
-        return F.lit(False)
-    out = conds[0]
-    for c in conds[1:]:
-        out = out | c
-    return out
+# The length of each granularity as an interval.
+INTERVALS = {"1 hour": "INTERVAL 1 HOUR", "1 day": "INTERVAL 1 DAY", "1 week": "INTERVAL 7 DAY",
+             "1 month": "INTERVAL 1 MONTH", "1 year": "INTERVAL 1 YEAR"}
+
+
+def in_windows(source: DataFrame, ts_col: str, touched: DataFrame, granularity: str) -> DataFrame:
+    """Rows of ``source`` in the windows of ``touched`` (one ``window_start`` column).
+
+    The least and last window become one range on the raw column, which the
+    scan can push down; a null-safe semi join picks the windows in between.
+    """
+    ts, kind = F.col(ts_col), source.schema[ts_col].dataType
+    lo, hi, null = touched.agg(F.min("window_start").cast("string"),
+                               (F.max("window_start") + F.expr(INTERVALS[granularity])).cast("string"),
+                               F.max(F.col("window_start").isNull())).first()
+    within = F.lit(False) if lo is None else (ts >= F.lit(lo).cast(kind)) & (ts < F.lit(hi).cast(kind))
+    if null:
+        within = within | ts.isNull()
+    own = source.filter(within).withColumn(WKEY, window_start(ts, granularity))
+    keys = touched.select(F.col("window_start").alias("_w"))
+    return own.join(keys, own[WKEY].eqNullSafe(keys["_w"]), "left_semi").drop(WKEY)
 
 
 class Monitor:
     def __init__(self, spark: SparkSession, root: str, table_name: str, ts_col: str | None = None,
-                 granularity: str = "1 day", columns: Sequence[str] | None = None, exact: bool = False):
+                 granularity: str = "1 day", columns: Sequence[str] | None = None, exact: bool = False,
+                 mode_columns: Sequence[str] = ()):
         self.spark, self.root, self.table_name = spark, root.rstrip("/"), table_name
         self.ts_col, self.granularity = ts_col, granularity
-        self.columns, self.exact = list(columns) if columns else None, exact
+        self.columns, self.exact, self.mode_columns = list(columns) if columns else None, exact, list(mode_columns)
 
     # -- definition (create / get)
     def create(self) -> "Monitor":
@@ -80,23 +74,24 @@ class Monitor:
     def run_refresh(self, source: DataFrame, changed: DataFrame | None = None) -> str:
         """Full refresh when ``changed`` is None, else only the windows ``changed`` touches."""
         refresh_id, started = uuid.uuid4().hex, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        src = source
         if changed is not None and self.ts_col:
             w = window_start(F.col(self.ts_col), self.granularity)
-            # bounded: one value per window the changed rows fall in
-            # rendered as wall-clock strings in the session time zone, so no Python-side
-            # time-zone conversion can shift them
-            touched = [None if r[0] is None else _dt.datetime.fromisoformat(r[0])
-                       for r in changed.select(w.cast("string").alias("w")).distinct().collect()]
-            src = source.filter(window_ranges(F.col(self.ts_col), source.schema[self.ts_col].dataType,
-                                              touched, self.granularity))
-            windows = len(touched)
+            touched = changed.select(w.alias("window_start")).distinct().persist()
+            try:
+                prof = self._profiled(in_windows(source, self.ts_col, touched, self.granularity))
+                columns = F.array(*[F.lit(c) for c in self.columns or source.columns if c != self.ts_col])
+                gone = touched.select("window_start", F.explode(columns).alias("column_name"),
+                                      F.lit(0).cast("long").alias("row_count"))
+                # a touched window without rows leaves a row_count of 0, which readers do not see
+                have = prof.select(F.col("window_start").alias("_w")).distinct()
+                gone = gone.join(have, gone["window_start"].eqNullSafe(have["_w"]), "left_anti")
+                self._write(prof.unionByName(gone, allowMissingColumns=True), "dynamic")
+                windows = touched.count()
+            finally:
+                touched.unpersist()
         else:
             windows = None
-        prof = profile(src, self.columns, self.ts_col, self.granularity, self.exact)
-        out = prof.withColumn(WKEY, F.col("window_start").cast("string"))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(WKEY).parquet(f"{self.root}/profile"))
+            self._write(self._profiled(source), "static")
         log = [(refresh_id, self.table_name, started, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
                 "SUCCESS", "full" if changed is None else "incremental", windows)]
         (literal_rows(self.spark, log, "refresh_id string, table_name string, started_at timestamp_ntz, "
@@ -104,9 +99,17 @@ class Monitor:
              .write.mode("append").parquet(f"{self.root}/refreshes"))
         return refresh_id
 
+    def _profiled(self, source: DataFrame) -> DataFrame:
+        return profile(source, self.columns, self.ts_col, self.granularity, self.exact, self.mode_columns)
+
+    def _write(self, prof: DataFrame, overwrite: str) -> None:
+        (prof.withColumn(WKEY, F.col("window_start").cast("string"))
+             .write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+             .partitionBy(WKEY).parquet(f"{self.root}/profile"))
+
     # -- reads
     def read_profile(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/profile").drop(WKEY)
+        return self.spark.read.parquet(f"{self.root}/profile").drop(WKEY).filter("row_count > 0")
 
     def list_refreshes(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/refreshes")
