@@ -88,7 +88,8 @@ def rules_for(rules: DataFrame, table: str | None = None, tag: str | None = None
 def collect_rules(rules: DataFrame, action: str = "quarantine") -> list[Rule]:
     """Bring the (small) rule rows of a normalised catalogue to the driver.
 
-    Raises on the first unreadable statement, naming it.  Order is stable
+    Raises on the first unreadable statement, naming it, and on a name that one
+    table has for two different predicates (S14); equal rows collapse.  Order is stable
     (by name, then expression) so that predicates and metrics are reproducible.
     """
     cols = set(rules.columns)
@@ -97,14 +98,16 @@ def collect_rules(rules: DataFrame, action: str = "quarantine") -> list[Rule]:
            (F.col("action") if "action" in cols else F.lit(action)).alias("action"),
            (F.col("table_name") if "table_name" in cols else F.lit(None).cast("string")).alias("table_name"),
            (F.col("tag") if "tag" in cols else F.lit(None).cast("string")).alias("tag")]
-    out, seen = [], set()
+    out, seen = [], {}
     for row in rules.select(*sel).distinct().orderBy("name", "expression").collect():
         if row["kind"] == "unknown" or not row["expression"]:
             raise ValueError(f"unreadable rule statement for table {row['table_name']!r}: {row}")
-        key = (row["name"], row["expression"])
-        if key in seen:
+        key = (row["table_name"], row["name"])
+        if seen.setdefault(key, row["expression"]) != row["expression"]:
+            raise ValueError(f"rule {row['name']!r} of table {row['table_name']!r} has conflicting predicates: "
+                             f"{seen[key]!r} vs {row['expression']!r}")
+        if any((r.table_name, r.name) == key for r in out):
             continue
-        seen.add(key)
         out.append(Rule(row["name"], row["expression"], row["action"] or action,
                         row["table_name"], row["tag"]))
     return out

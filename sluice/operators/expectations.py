@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.rules import Rule, as_rules
@@ -22,9 +22,14 @@ def passes(rule: Rule) -> Column:
     return F.coalesce(rule.column(), F.lit(False))
 
 
-def expect(df: DataFrame, name: str, expression: str) -> DataFrame:
-    """Keep every row; failures are only counted (see :func:`expectation_metrics`)."""
-    return df
+def expect(df: DataFrame, name: str, expression: str, observation: Observation | str | None = None) -> DataFrame:
+    """Keep every row and count those whose predicate is not TRUE.
+
+    The counts ``rows`` and ``failed`` are observed, without a job of their own:
+    read them from the ``Observation`` given, or, by name, from a stream's progress
+    (default: the rule's name)."""
+    failed = F.count_if(~passes(Rule(name, expression, "warn")))
+    return df.observe(observation or name, F.count(F.lit(1)).alias("rows"), failed.alias("failed"))
 
 
 def expect_or_drop(df: DataFrame, name: str, expression: str) -> DataFrame:
@@ -64,16 +69,15 @@ def expectation_metrics(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     return wide.selectExpr(f"stack({len(rules)}, {rows}) as (rule_name, action, passed_rows, failed_rows)")
 
 
-def observe_expectations(df: DataFrame, rules: Iterable[Rule], name: str = "expectations"):
-    """Attach live metrics with ``observe`` (works for streaming too).
+def observe_expectations(df: DataFrame, rules: Iterable[Rule], name: str | None = None):
+    """Attach live metrics with ``observe`` (works for streaming too): ``rows`` and, per rule
+    in order, ``failed_<i>``.
 
     Returns ``(df, observation)``; read ``observation.get`` after an action.
     Streaming queries report them in ``query.lastProgress['observedMetrics']``.
     """
-    from pyspark.sql import Observation
-
     rules = as_rules(rules)
     obs = Observation(name)
     exprs = [F.count(F.lit(1)).alias("rows")]
-    exprs += [F.count_if(~passes(r)).alias(f"failed_{r.name}") for r in rules]
+    exprs += [F.count_if(~passes(r)).alias(f"failed_{i}") for i, r in enumerate(rules)]
     return df.observe(obs, *exprs), obs

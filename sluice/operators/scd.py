@@ -14,10 +14,12 @@ not by arrival.
   and rebuilds only the keys a batch touches (rebuilding from collapsed history
   is wrong once late rows arrive).
 
-Remaining sequence ties are broken by a hash of the whole change row, so
-results do not depend on partitioning.  Type 2 windows by ``(key, time
-bucket)`` (see :func:`scd2_from_prepared`), so a hot key is spread over many
-tasks; type 1 ranks with a partial ``WindowGroupLimit`` before the shuffle.
+Rows of a key that tie on the sequence are one change: the one of largest row
+hash stays (:func:`one_per_sequence`, map-side combined), so results do not depend
+on partitioning and no version has length zero; ``strict=True`` raises instead when
+such rows differ.  Type 2 windows by ``(key, bucket of the sequence)`` with bucket
+edges taken from the data (:func:`sequence_bucket`), so a hot key is spread over
+many tasks whatever the type of its sequence; type 1 ranks with a partial ``WindowGroupLimit`` before the shuffle.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .dedupe import dedupe_latest
-from .neighbors import BUCKET, default_bucket
+from .neighbors import BUCKET
 
 SEQ, DELETED, TIEBREAK = "__seq", "__deleted", "__tb"
 START, END = "__start_at", "__end_at"
@@ -52,6 +54,44 @@ def prepare_changes(changes: DataFrame, keys: Sequence[str], sequence_by: str |
     return out.withColumn(TIEBREAK, F.xxhash64(*[F.col(c) for c in out.columns]))
 
 
+def one_per_sequence(p: DataFrame, keys: Sequence[str], strict: bool = False) -> DataFrame:
+    """One prepared row per (key, sequence): the largest row hash of those that tie."""
+    rest = [c for c in p.columns if c not in (*keys, SEQ, TIEBREAK)]
+    ident = [*keys, SEQ]
+    if strict:
+        tie = p.groupBy(*ident).agg(F.min(TIEBREAK).alias("a"), F.max(TIEBREAK).alias("b")).filter("a <> b").limit(1).collect()
+        if tie:
+            raise ValueError(f"different changes of one key tie on their sequence: {tie[0].asDict()}")
+    best = p.groupBy(*ident).agg(F.max(F.struct(F.col(TIEBREAK), *[F.col(c) for c in rest])).alias("_best"))
+    return best.select(*ident, "_best.*").select(*p.columns)
+
+
+#: Buckets the sequence is cut into, and values (in expectation) the edges are taken from.
+SEQUENCE_BUCKETS, EDGE_SAMPLE = 64, 20_000
+
+
+def sequence_bucket(p: DataFrame, buckets: int = SEQUENCE_BUCKETS, sample: int = EDGE_SAMPLE) -> Column:
+    """A non-decreasing bucket of ``__seq`` for any orderable type (structs, strings and decimals too).
+
+    Edges are quantiles of a bounded sample of the values, so the buckets follow the data: neither one
+    for all rows nor one for each.  They only steer how work is split, never the result.
+    """
+    n = p.count()
+    values = p.select(SEQ).filter(F.col(SEQ).isNotNull()).sample(min(1.0, sample / max(n, 1)), seed=7).distinct()
+    cut = values.select(SEQ, F.ntile(buckets).over(Window.orderBy(SEQ)).alias("b")).groupBy("b").agg(F.min(SEQ).alias("edge"))
+    edges = [r["edge"] for r in cut.orderBy("b").collect()][1:]
+    if not edges:
+        return F.lit(0)
+    kind = p.schema[SEQ].dataType
+
+    def literal(value) -> Column:
+        if hasattr(kind, "fields"):
+            return F.struct(*[F.lit(value[f.name]).cast(f.dataType).alias(f.name) for f in kind.fields])
+        return F.lit(value).cast(kind)
+
+    return F.size(F.filter(F.array(*[literal(e) for e in edges]), lambda e: e <= F.col(SEQ)))
+
+
 # ---------------------------------------------------------------- type 1
 
 def _keyed(df: DataFrame, keys: Sequence[str], touched: DataFrame, how: str) -> DataFrame:
@@ -86,16 +126,18 @@ def scd1_view(state: DataFrame) -> DataFrame:
 
 def scd1(changes: DataFrame, keys: Sequence[str], sequence_by: str | Sequence[str],
          columns: Sequence[str] | None = None, except_columns: Sequence[str] = (),
-         delete_when: str | Column | None = None, state: DataFrame | None = None) -> DataFrame:
+         delete_when: str | Column | None = None, state: DataFrame | None = None, strict: bool = False) -> DataFrame:
     """F2 (+F4, F5) in one call: returns the new stored state."""
     p = prepare_changes(changes, keys, sequence_by, columns, except_columns, delete_when)
+    if strict:
+        p = one_per_sequence(p, keys, strict)
     return scd1_state(p, keys, state)
 
 
 # ---------------------------------------------------------------- type 2
 
 def scd2_from_prepared(p: DataFrame, keys: Sequence[str], track_columns: Sequence[str] | None = None,
-                       bucket: Column | None = None) -> DataFrame:
+                       bucket: Column | None = None, strict: bool = False) -> DataFrame:
     """Versions with ``__start_at``/``__end_at`` from prepared change rows.
 
     A row's *state* is ``(deleted, tracked columns)`` (all deletes share one state).
@@ -116,8 +158,9 @@ def scd2_from_prepared(p: DataFrame, keys: Sequence[str], track_columns: Sequenc
     """
     value_cols = [c for c in p.columns if c not in (SEQ, DELETED, TIEBREAK)]
     tracked = list(track_columns) if track_columns is not None else [c for c in value_cols if c not in keys]
+    p = one_per_sequence(p, keys, strict)
     if bucket is None:
-        bucket = default_bucket(p, SEQ) if dict(p.dtypes)[SEQ] != "struct" else F.lit(0)
+        bucket = sequence_bucket(p)
     state = F.struct(F.col(DELETED).alias("d"),
                      *[F.when(~F.col(DELETED), F.col(c)).alias(c) for c in tracked])
     pos = F.struct(F.col(SEQ).alias("seq"), F.col(TIEBREAK).alias("tb"))
@@ -171,10 +214,10 @@ def scd2_from_prepared(p: DataFrame, keys: Sequence[str], track_columns: Sequenc
 def scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str | Sequence[str],
          columns: Sequence[str] | None = None, except_columns: Sequence[str] = (),
          delete_when: str | Column | None = None, track_columns: Sequence[str] | None = None,
-         bucket: Column | None = None) -> DataFrame:
+         bucket: Column | None = None, strict: bool = False) -> DataFrame:
     """F3 (+F4, F5), batch form: the full history of every key."""
     p = prepare_changes(changes, keys, sequence_by, columns, except_columns, delete_when)
-    return scd2_from_prepared(p, keys, track_columns, bucket)
+    return scd2_from_prepared(p, keys, track_columns, bucket, strict)
 
 
 def scd2_apply(log: DataFrame | None, history: DataFrame | None, prepared: DataFrame, keys: Sequence[str],

@@ -68,10 +68,13 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"source repeats key {dup[0].asDict()}; dedupe it first")
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], check: bool = True) -> DataFrame:
     """Update all columns on key match, insert otherwise.  The result has the
-    target's columns; the source is aligned by name."""
+    target's columns; the source is aligned by name.  A source that repeats a key
+    raises (S1); ``check=False`` skips that pass where the source comes from a dedupe."""
     keys = list(keys)
+    if check:
+        assert_unique_keys(source, keys)
     src = source.select(*target.columns)
     tk = target.withColumn("_jk", join_key(target, keys))
     sk = src.filter(~_any_null(keys)).select(join_key(src, keys).alias("_jk"))

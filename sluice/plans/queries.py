@@ -241,7 +241,7 @@ def upsert_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     def silver(b):
         return _valid(silver_batch(b, fx.SALES_COLUMNS, ["sales_id"], rules, order_by=fx.SALES_ORDER,
                                    carry=["l_suppkey"]))
-    out = upsert(silver(early), silver(late), ["sales_id"])
+    out = upsert(silver(early), silver(late), ["sales_id"], check=False)  # the dedupe has made keys unique
     return out.select("sales_id", "client_id", "product_id", F.col("date").cast("string").alias("date"),
                       "quantity", "sale_amount")
 
@@ -458,10 +458,11 @@ def _stream_runs(spark: SparkSession, sf_dir: str, start_query):
 
 
 def _sales_target(spark, root):
-    from ..sinks.snapshot import QuarantineSink, SnapshotTable
+    from ..sinks.bucketed import BucketedTable
+    from ..sinks.quarantine import QuarantineSink
     from ..streaming.bronze_to_silver import SilverTarget
 
-    return SilverTarget("silver_sales", SnapshotTable(spark, f"{root}/silver_sales", ["sales_id"]),
+    return SilverTarget("silver_sales", BucketedTable(spark, f"{root}/silver_sales", ["sales_id"]),
                         fx.SALES_COLUMNS, ["sales_id"], lambda: catalogue_rules(spark, "silver_sales"),
                         QuarantineSink(spark, f"{root}/quarantine/silver_sales"), order_by=fx.SALES_ORDER,
                         carry=["l_suppkey"], metrics_path=f"{root}/metrics/silver_sales")
@@ -498,10 +499,11 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dim_target(spark, root, table, columns, keys):
-    from ..sinks.snapshot import QuarantineSink, SnapshotTable
+    from ..sinks.bucketed import BucketedTable
+    from ..sinks.quarantine import QuarantineSink
     from ..streaming.bronze_to_silver import SilverTarget
 
-    return SilverTarget(table, SnapshotTable(spark, f"{root}/{table}", keys), columns, keys,
+    return SilverTarget(table, BucketedTable(spark, f"{root}/{table}", keys), columns, keys,
                         lambda: catalogue_rules(spark, table), QuarantineSink(spark, f"{root}/quarantine/{table}"),
                         order_by=DIM_ORDER, carry=DIM_ORDER)
 

@@ -44,8 +44,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = sc.getCheckpointDir()
     if not root:
         configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-        # only when the cluster names no folder (local tests) do we pick one
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="sluice-ckpt-"))
+        if not configured:  # local tests only: executors elsewhere could not see this machine's folder
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            configured = tempfile.mkdtemp(prefix="sluice-ckpt-")
+        sc.setCheckpointDir(configured)
         root = sc.getCheckpointDir()
     return root.rstrip("/")
 

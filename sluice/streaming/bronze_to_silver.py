@@ -8,12 +8,14 @@ query: a stream over the bronze table, projected to the target's columns, and a
 2. dedupes and judges the batch (:func:`sluice.plans.silver.silver_batch`),
    persisted once because three sinks consume it,
 3. overwrites the batch's own quarantine folder (replay-safe - S6),
-4. upserts the valid rows as a new snapshot (no-op on replay),
-5. writes one metrics row for the batch (one aggregate pass, plus the input row
-   count so that rows removed by dedupe are reported).
+4. upserts the valid rows into the buckets of their keys (idempotent on replay),
+5. writes one metrics row for the batch: one aggregate over the persisted pass,
+   with the rows that came in observed by that same pass, so that rows removed
+   by dedupe are reported.
 
 ``first_wins=True`` adds the reference's stream-level ``dropDuplicates`` with
-never-expiring state (S4); ``watermark=(col, delay)`` bounds that state.
+never-expiring state (S4); ``watermark=(col, delay)`` bounds that state.  The rows
+it removes never reach the batch: :func:`source_rows` tells how many came in.
 ``bronze_to_silvers`` serves several targets from one stream, so the bronze is
 scanned once per batch instead of once per target (I6).
 """
@@ -21,17 +23,18 @@ scanned once per batch instead of once per target (I6).
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.rules import Rule, validate_rules
 from ..operators.dedupe import dedupe_stream
 from ..operators.split import FAILED_COL, STATUS_COL, UNKNOWN_COL, quality_metrics
 from ..plans.silver import silver_batch
-from ..sinks.snapshot import QuarantineSink, SnapshotTable, batch_version
+from ..sinks.bucketed import BucketedTable, batch_version
+from ..sinks.quarantine import QuarantineSink
 
 RulesLike = Sequence[Rule] | Callable[[], Sequence[Rule]]
 
@@ -39,7 +42,7 @@ RulesLike = Sequence[Rule] | Callable[[], Sequence[Rule]]
 @dataclass
 class SilverTarget:
     name: str
-    table: SnapshotTable
+    table: BucketedTable
     columns: Sequence[str]
     keys: Sequence[str]
     rules: RulesLike
@@ -49,7 +52,6 @@ class SilverTarget:
     null_policy: str = "quarantine"
     validate_first: bool = False
     metrics_path: str | None = None
-    extra: dict = field(default_factory=dict)
 
     def current_rules(self) -> list[Rule]:
         return list(self.rules() if callable(self.rules) else self.rules)
@@ -69,7 +71,8 @@ def process_batch(target: SilverTarget, batch_df: DataFrame, batch_id: int, tag:
     cols = list(dict.fromkeys([*target.columns, *target.carry]))
     rules = target.current_rules()
     validate_rules(batch_df.select(*cols), rules)  # analysis only: a bad rule fails by name, before any write
-    judged = silver_batch(batch_df.select(*cols), target.columns, target.keys, rules,
+    came = Observation()
+    judged = silver_batch(batch_df.select(*cols).observe(came, F.count(F.lit(1)).alias("rows")), target.columns, target.keys, rules,
                           order_by=target.order_by, null_policy=target.null_policy,
                           validate_first=target.validate_first, carry=target.carry)
     judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
@@ -77,10 +80,9 @@ def process_batch(target: SilverTarget, batch_df: DataFrame, batch_id: int, tag:
         quarantined = judged.filter(F.col(STATUS_COL) == "quarantine").drop(STATUS_COL, UNKNOWN_COL)
         target.quarantine.write(quarantined.withColumn("_failed_rules", F.col(FAILED_COL)), tag, batch_id)
         valid = judged.filter(F.col(STATUS_COL) == "valid").drop(FAILED_COL, STATUS_COL, UNKNOWN_COL)
-        target.table.commit(valid, batch_version(batch_id, tag))
+        target.table.upsert(valid, batch_version(batch_id, tag), check=False)  # the dedupe has made keys unique
         if target.metrics_path:
-            # rows in, before dedupe: a count(*) the file scan answers from metadata
-            rows_in = batch_df.count()
+            rows_in = came.get["rows"]  # before dedupe (S7), counted by the pass above
             (quality_metrics(judged)
                 .withColumn("input_rows", F.lit(rows_in))
                 .withColumn("removed_by_dedupe", F.lit(rows_in) - F.col("total_rows"))
@@ -103,6 +105,7 @@ def bronze_to_silvers(source: DataFrame, targets: Sequence[SilverTarget], checkp
     needed = list(dict.fromkeys(c for t in targets for c in [*t.columns, *t.carry]))
     df = source.select(*needed)
     if first_wins_keys:
+        df = df.observe("source", F.count(F.lit(1)).alias("rows"))
         ts, delay = watermark if watermark else (None, None)
         df = dedupe_stream(df, first_wins_keys, ts, delay)
 
@@ -148,6 +151,11 @@ def run_to_end(query) -> None:
         raise query.exception()
 
 
+def source_rows(query) -> dict[int, int]:
+    """Rows that entered each recent batch of a ``first_wins`` query, before the stream-level dedupe."""
+    return {p["batchId"]: p["observedMetrics"]["source"]["rows"] for p in query.recentProgress if "source" in p["observedMetrics"]}
+
+
 def batch_folder_sink(path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function writing each micro-batch to ``path/_batch_id=<n>``
     (overwrite, so a replayed batch replaces its own output)."""

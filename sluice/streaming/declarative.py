@@ -1,15 +1,17 @@
 """The declarative path as a stream: expectations, then change application per
 target (SURVEY §3.2; D7-D9, F2-F5, I5).
 
-Per micro-batch: warn/drop expectations over the batch (one metrics row),
-then for every target the kept rows are applied as type 1 or type 2 changes.
-Target state lives in versioned snapshot tables (one version per batch), so a
-replayed batch is a no-op and a crashed one is redone:
+Per micro-batch: warn/drop expectations, counted by the same pass that keeps the
+rows (one metrics row per rule), then for every target the kept rows are applied
+as type 1 or type 2 changes to bucketed tables, touching the buckets of the
+batch's keys only:
 
 * type 1: one table holding the latest state per key with tombstones;
-* type 2: a history table and the change log it is rebuilt from.  History is
-  committed before the log; a retry after a crash between them finds the
-  history committed and rebuilds only the log from the previous log version.
+* type 2: the de-duplicated change log first, then the history of the touched
+  buckets, rebuilt from their log.
+
+Both are idempotent, so a replayed batch changes nothing and a crashed one is
+redone.
 """
 
 from __future__ import annotations
@@ -19,12 +21,12 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.rules import Rule, validate_rules
-from ..operators.expectations import apply_expectations, expectation_metrics
-from ..operators.scd import (prepare_changes, scd1_state, scd1_view, scd2_history_update, scd2_log_append)
-from ..sinks.snapshot import SnapshotTable, batch_version
+from ..operators.expectations import apply_expectations, observe_expectations
+from ..operators.scd import prepare_changes, scd1_state, scd1_view, scd2_from_prepared, scd2_log_append
+from ..sinks.bucketed import BUCKETS, BucketedTable
+from ..sources.literal import literal_rows
 from .bronze_to_silver import _query_tag
 
 
@@ -40,44 +42,49 @@ class ChangeTarget:
     except_columns: Sequence[str] = field(default_factory=tuple)
     track_columns: Sequence[str] | None = None
 
-    def tables(self, spark):
-        if self.scd_type == 1:
-            return {"state": SnapshotTable(spark, f"{self.root}/state", self.keys)}
-        return {"history": SnapshotTable(spark, f"{self.root}/history", self.keys),
-                "log": SnapshotTable(spark, f"{self.root}/log", self.keys)}
+    buckets: int = BUCKETS
+
+    def tables(self, spark) -> dict[str, BucketedTable]:
+        names = ["state"] if self.scd_type == 1 else ["log", "history"]
+        return {n: BucketedTable(spark, f"{self.root}/{n}", self.keys, self.buckets) for n in names}
 
     def read(self, spark) -> DataFrame:
         """The target as a user sees it: current state (type 1) or full history (type 2)."""
         t = self.tables(spark)
         return scd1_view(t["state"].read()) if self.scd_type == 1 else t["history"].read()
 
+    def apply(self, kept: DataFrame) -> None:
+        """One batch of changes."""
+        changes = prepare_changes(kept, self.keys, self.sequence_by, self.columns, self.except_columns, self.delete_when)
+        t = self.tables(kept.sparkSession)
+        if self.scd_type == 1:
+            state = t["state"]
+            touched = state.touched(changes)
+            state.replace(scd1_state(changes, self.keys, state.part(touched) if state.exists() else None), touched)
+            return
+        log, history = t["log"], t["history"]
+        touched = log.touched(changes)
+        log.replace(scd2_log_append(log.part(touched) if log.exists() else None, changes, self.keys), touched)
+        history.replace(scd2_from_prepared(log.part(touched), self.keys, self.track_columns), touched)
+
 
 def apply_changes_batch(batch_df: DataFrame, batch_id: int, tag: str, expectations: Sequence[Rule],
                         targets: Sequence[ChangeTarget], metrics_path: str | None = None) -> None:
     spark = batch_df.sparkSession
     validate_rules(batch_df, expectations)
-    kept, rules = apply_expectations(batch_df, expectations)
+    counted, seen = observe_expectations(batch_df, expectations)
+    kept, rules = apply_expectations(counted, expectations)
     kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if metrics_path:
-            (expectation_metrics(batch_df, rules).withColumn("batch_id", F.lit(batch_id))
-                .write.mode("overwrite").parquet(f"{metrics_path}/_query={tag}/_batch_id={batch_id}"))
-        version = batch_version(batch_id, tag)
         for t in targets:
-            p = prepare_changes(kept, t.keys, t.sequence_by, t.columns, t.except_columns, t.delete_when)
-            tabs = t.tables(spark)
-            if t.scd_type == 1:
-                tabs["state"].commit_with(lambda prev, p=p, t=t: scd1_state(p, t.keys, prev), version)
-                continue
-            log_t, hist_t = tabs["log"], tabs["history"]
-            prev_path = log_t.version_path()
-            if log_t.version_path(version) is not None:
-                continue  # both committed: a replay
-            prev_log = spark.read.parquet(prev_path) if prev_path else None
-            hist_t.commit_with(
-                lambda prev, p=p, t=t, lg=prev_log: scd2_history_update(lg, prev, p, t.keys, t.track_columns),
-                version)
-            log_t.commit_with(lambda prev, p=p, t=t: scd2_log_append(prev, p, t.keys), version)
+            t.apply(kept)
+        if metrics_path:
+            if not targets:
+                kept.count()
+            got = seen.get
+            rows = [(r.name, r.action, got["rows"] - got[f"failed_{i}"], got[f"failed_{i}"], batch_id) for i, r in enumerate(rules)]
+            (literal_rows(spark, rows, "rule_name string, action string, passed_rows bigint, failed_rows bigint, batch_id bigint")
+                 .write.mode("overwrite").parquet(f"{metrics_path}/_query={tag}/_batch_id={batch_id}"))
     finally:
         kept.unpersist()
 

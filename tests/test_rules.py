@@ -66,3 +66,37 @@ def test_rules_for_filters_by_column(spark):
 def test_rule_action_checked():
     with pytest.raises(ValueError):
         Rule("x", "a > 0", "explode")
+
+
+def test_one_name_with_two_predicates_raises(spark):
+    import pytest
+    from sluice.functions.rules import collect_rules
+    same = spark.createDataFrame([("t", "r", "x > 0"), ("t", "r", "x > 0"), ("u", "r", "x < 10")], "table_name string, name string, expression string")
+    assert len(collect_rules(same)) == 2
+    clash = spark.createDataFrame([("t", "r", "x > 0"), ("t", "r", "x < 10")], "table_name string, name string, expression string")
+    with pytest.raises(ValueError, match="conflicting"):
+        collect_rules(clash)
+
+
+def test_expect_counts_what_it_keeps(spark):
+    from pyspark.sql import Observation
+    from sluice.operators.expectations import expect
+    seen = Observation()
+    df = expect(spark.range(10).selectExpr("if(id < 3, null, id) as x"), "positive", "x > 4", seen)
+    assert df.count() == 10 and seen.get == {"rows": 10, "failed": 5}
+
+
+def test_scratch_folder_is_required_off_local(spark):
+    import pytest
+    from sluice import session
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: type("C", (), {"get": staticmethod(lambda k, d=None: None)})())
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: None)})()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())

@@ -116,14 +116,46 @@ def test_type2_matches_brute_force_across_buckets(spark, changes):
     assert got == _brute_scd2(rows)
 
 
-def test_hot_key_window_is_split_by_bucket(spark):
-    # one key holds every row: the neighbour window must still partition by (key, bucket)
-    df = spark.range(5000).select(F.lit(1).alias("k"), F.col("id").alias("s"), F.lit("a").alias("v"))
-    nb = with_neighbors(df, ["k"], ["s"], ["v"], F.floor(F.col("s") / 100), prev="p", nxt=None)
-    plan = nb._jdf.queryExecution().executedPlan().toString()
-    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(k#" in line]
-    assert any("_nb_bucket" in line for line in exchanges)
-    assert nb.count() == 5000 and nb.filter(F.col("p").isNull()).count() == 1
+def test_hot_key_is_split_by_bucket_for_any_sequence(spark):
+    from sluice.operators.scd import SEQ, prepare_changes, sequence_bucket
+    base = spark.range(20_000).select(F.lit(1).alias("k"), F.when(F.col("id") % 5 < 3, "A").otherwise("B").alias("v"), "id")
+    for seq in (F.col("id") * 1_000_000 + 1_700_000_000_000_000, F.timestamp_micros(F.col("id") * 1_000_000), F.format_string("%08d", "id"),
+                (F.col("id") / 4).cast("decimal(20,2)"), F.struct(F.lit(1).alias("a"), F.col("id").alias("b"))):
+        p = prepare_changes(base.withColumn("s", seq), ["k"], "s", ["k", "v"])
+        sizes = [r["count"] for r in p.groupBy(sequence_bucket(p)).count().collect()]
+        assert 32 <= len(sizes) <= 64 and max(sizes) < 20_000 / 10
+
+
+def test_scd2_plan_windows_by_key_and_bucket(spark):
+    df = spark.range(5000).select(F.lit(1).alias("k"), F.col("id").alias("seq"), F.when(F.col("id") % 7 < 3, "A").otherwise("B").alias("v"))
+    h = scd2(df, ["k"], "seq", ["k", "v"])
+    plan = h._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning(k#" in x and "_nb_bucket" in x for x in plan.splitlines()) >= 1
+    assert h.count() == 1429 and h.filter("__end_at is null").count() == 1
+
+
+def test_ties_on_the_sequence_are_one_change(spark):
+    import pytest
+    rows = [(1, "A", 5, "u"), (1, "B", 5, "u"), (1, "C", 5, "u"), (None, "D", 5, "u"), (None, "E", 5, "u"), (2, "F", 5, "u"), (2, "F", 5, "u")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    h = scd2(df, ["k"], "seq", ["k", "v"]).collect()
+    assert len(h) == 3 and all(r["__end_at"] is None and r["__start_at"] == 5 for r in h)
+    with pytest.raises(ValueError, match="tie"):
+        scd2(df, ["k"], "seq", ["k", "v"], strict=True)
+    assert scd2(df.filter("k = 2"), ["k"], "seq", ["k", "v"], strict=True).count() == 1
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([None, 1, 2]), st.sampled_from("AB"), st.integers(0, 12)), min_size=1, max_size=60))
+def test_type2_with_ties_has_no_empty_interval(spark, changes):
+    df = spark.createDataFrame([(k, v, s, "u") for k, v, s in changes], SCHEMA)
+    h = scd2(df, ["k"], "seq", ["k", "v"], bucket=F.floor(F.col("__seq") / 3)).collect()
+    by_key = {}
+    for r in h:
+        by_key.setdefault(r.k, []).append((r["__start_at"], r["__end_at"] if r["__end_at"] is not None else 99))
+    for own in by_key.values():
+        own.sort()
+        assert all(a < b for a, b in own) and all(x[1] == y[0] for x, y in zip(own, own[1:])) and own[-1][1] == 99
 
 
 def test_type1_incremental_equals_batch_with_null_keys(spark):
@@ -152,7 +184,7 @@ def test_type2_incremental_equals_batch_with_null_keys(spark):
 def test_declarative_batches_replay_and_crash_recovery(spark, tmp_root, monkeypatch):
     import pytest
     from sluice.functions.rules import Rule
-    from sluice.sinks.snapshot import SnapshotTable
+    from sluice.sinks.bucketed import BucketedTable
     from sluice.streaming.declarative import ChangeTarget, apply_changes_batch
     t2 = ChangeTarget("h", f"{tmp_root}/h", ["k"], "seq", ["k", "v"], scd_type=2, delete_when="op = 'd'")
     t1 = ChangeTarget("s", f"{tmp_root}/s", ["k"], "seq", ["k", "v"], scd_type=1, delete_when="op = 'd'")
@@ -161,18 +193,18 @@ def test_declarative_batches_replay_and_crash_recovery(spark, tmp_root, monkeypa
     b1 = spark.createDataFrame([(1, "B", 2, "u"), (2, "C", 5, "u")], SCHEMA)
     apply_changes_batch(b0, 0, "q", exp, [t1, t2])
     apply_changes_batch(b0, 0, "q", exp, [t1, t2])  # replay: no-op
-    real = SnapshotTable.commit_with
+    real = BucketedTable.replace
     calls = {"n": 0}
 
-    def flaky(self, build, version):
-        if self.root.endswith("/log") and version.endswith("1"):
+    def flaky(self, rows, touched):
+        if self.root.endswith("/history"):
             calls["n"] += 1
-            raise RuntimeError("lost between history and log")
-        return real(self, build, version)
-    monkeypatch.setattr(SnapshotTable, "commit_with", flaky)
+            raise RuntimeError("lost between log and history")
+        return real(self, rows, touched)
+    monkeypatch.setattr(BucketedTable, "replace", flaky)
     with pytest.raises(RuntimeError):
         apply_changes_batch(b1, 1, "q", exp, [t2])
-    monkeypatch.setattr(SnapshotTable, "commit_with", real)
+    monkeypatch.setattr(BucketedTable, "replace", real)
     apply_changes_batch(b1, 1, "q", exp, [t1, t2])  # retry
     hist = sorted((r.k, r.v, r["__start_at"], r["__end_at"]) for r in t2.read(spark).collect())
     assert hist == [(1, "A", 1, 2), (1, "A", 3, None), (1, "B", 2, 3), (2, "C", 5, None)]

@@ -3,7 +3,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from sluice.functions.rules import Rule
-from sluice.sinks.snapshot import QuarantineSink, SnapshotTable
+from sluice.sinks.bucketed import BucketedTable
+from sluice.sinks.quarantine import QuarantineSink
 from sluice.sources.tables import read_stream
 from sluice.streaming.bronze_to_silver import (SilverTarget, batch_folder_sink, bronze_to_silver,
                                                process_batch, run_to_end)
@@ -41,7 +42,7 @@ def test_stream_dedupe_two_runs_one_checkpoint(spark, tmp_root, tiny):
 
 
 def _target(spark, root, rules, **kw):
-    return SilverTarget("t", SnapshotTable(spark, f"{root}/silver", ["id"]), ["id", "quantity", "address", "date"],
+    return SilverTarget("t", BucketedTable(spark, f"{root}/silver", ["id"]), ["id", "quantity", "address", "date"],
                         ["id"], rules, QuarantineSink(spark, f"{root}/quarantine"), order_by=["date"],
                         metrics_path=f"{root}/metrics", **kw)
 
@@ -65,7 +66,7 @@ def test_replayed_batch_is_exactly_once(spark, tmp_root, tiny, tiny_rules):
     target = _target(spark, tmp_root, tiny_rules)
     process_batch(target, tiny, 0, "q")
     process_batch(target, tiny, 0, "q")  # retry of the same batch
-    assert target.table.commits().count() == 1
+    assert target.table.read().count() == 1
     assert target.quarantine.read().count() == 3
 
 
@@ -93,9 +94,9 @@ def test_validate_first_keeps_valid_duplicate(spark, tmp_root):
 def test_several_targets_from_one_stream(spark, tmp_root, tiny):
     tiny.write.parquet(f"{tmp_root}/src")
     from sluice.streaming.bronze_to_silver import bronze_to_silvers
-    t_ids = SilverTarget("ids", SnapshotTable(spark, f"{tmp_root}/ids", ["id"]), ["id", "date"], ["id"],
+    t_ids = SilverTarget("ids", BucketedTable(spark, f"{tmp_root}/ids", ["id"]), ["id", "date"], ["id"],
                          [Rule("nn", "id IS NOT NULL")], QuarantineSink(spark, f"{tmp_root}/q_ids"), order_by=["date"])
-    t_addr = SilverTarget("addr", SnapshotTable(spark, f"{tmp_root}/addr", ["address"]), ["address", "date"],
+    t_addr = SilverTarget("addr", BucketedTable(spark, f"{tmp_root}/addr", ["address"]), ["address", "date"],
                           ["address"], [Rule("nn", "address IS NOT NULL")], QuarantineSink(spark, f"{tmp_root}/q_addr"),
                           order_by=["date"])
     run_to_end(bronze_to_silvers(read_stream(spark, f"{tmp_root}/src", tiny.schema), [t_ids, t_addr],
@@ -125,34 +126,43 @@ def test_bad_rule_fails_before_any_write(spark, tmp_root, tiny):
     assert not target.table.exists()
 
 
-def test_crash_between_snapshot_and_commit_row_recovers(spark, tmp_root, tiny, tiny_rules, monkeypatch):
+def test_crash_in_the_middle_of_a_batch_recovers(spark, tmp_root, tiny, tiny_rules, monkeypatch):
     import pytest
-    import sluice.sinks.snapshot as snap
     target = _target(spark, tmp_root, tiny_rules)
     process_batch(target, tiny, 0, "q")
     second = _rows(spark, [(1, 9, "Texas", dt.date(2024, 5, 1)), (7, 1, "Texas", dt.date(2024, 5, 1))])
-    real = snap.literal_rows
+    real = BucketedTable._write
 
-    def crash(*a, **k):
-        raise RuntimeError("driver lost before the commit row")
-    monkeypatch.setattr(snap, "literal_rows", crash)
+    def crash(self, rows):
+        real(self, rows)
+        raise RuntimeError("driver lost after the buckets, before the metrics")
+    monkeypatch.setattr(BucketedTable, "_write", crash)
     with pytest.raises(RuntimeError):
         process_batch(target, second, 1, "q")
-    # the orphan snapshot folder is not visible: readers still see version 0
-    assert sorted(r.id for r in target.table.read().collect()) == [1]
-    monkeypatch.setattr(snap, "literal_rows", real)
+    monkeypatch.setattr(BucketedTable, "_write", real)
     process_batch(target, second, 1, "q")  # the retry of the same batch
     assert sorted((r.id, r.quantity) for r in target.table.read().collect()) == [(1, 9), (7, 1)]
-    assert target.table.commits().count() == 2
     assert target.quarantine.read().filter("_batch_id = 1").count() == 0
 
 
+def test_first_wins_counts_source_rows(spark, tmp_root):
+    from sluice.streaming.bronze_to_silver import source_rows
+    df = _rows(spark, [(1, 5, "Texas", None), (1, 6, "Texas", None), (1, 7, "Texas", None)])
+    df.write.parquet(f"{tmp_root}/src")
+    target = _target(spark, tmp_root, [Rule("q", "quantity > 0")])
+    q = bronze_to_silver(read_stream(spark, f"{tmp_root}/src", df.schema), target, f"{tmp_root}/ck", first_wins=True)
+    run_to_end(q)
+    assert source_rows(q) == {0: 3}
+    m = spark.read.parquet(f"{tmp_root}/metrics").first()
+    assert (m.input_rows, m.removed_by_dedupe) == (1, 0)  # what the batch got: the stream had removed two of the three
+
+
 def test_first_wins_with_watermark(spark, tmp_root):
     rows = [(1, 5, "Texas", dt.date(2024, 1, 1)), (1, 6, "Texas", dt.date(2024, 1, 1)),
             (2, 7, "Texas", dt.date(2024, 1, 2))]
     df = _rows(spark, rows).withColumn("ts", F.col("date").cast("timestamp"))
     df.write.parquet(f"{tmp_root}/src")
-    target = SilverTarget("t", SnapshotTable(spark, f"{tmp_root}/silver", ["id"]), ["id", "quantity", "ts"], ["id"],
+    target = SilverTarget("t", BucketedTable(spark, f"{tmp_root}/silver", ["id"]), ["id", "quantity", "ts"], ["id"],
                           [Rule("q", "quantity > 0")], QuarantineSink(spark, f"{tmp_root}/q"), order_by=["ts"])
     q = bronze_to_silver(read_stream(spark, f"{tmp_root}/src", df.schema), target, f"{tmp_root}/ck",
                          first_wins=True, watermark=("ts", "1 day"))
