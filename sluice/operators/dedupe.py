@@ -17,6 +17,7 @@ map-side partial step, so it is skew-safe in the same way.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,10 +35,15 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | C
     """Latest row per key.
 
     With ``ties='one'`` a final descending ``xxhash64`` of the whole row breaks
-    any remaining tie, so the result does not depend on partitioning.
+    any remaining tie, so the result does not depend on partitioning.  With
+    ``ties='all'`` and columns given by name, the latest value per key is a map-side
+    combined aggregate joined back, so the tied rows of a hot key need not meet in
+    one task (AQE splits a skewed join, not a window).
     """
     if ties not in ("one", "all"):
         raise ValueError("ties must be 'one' or 'all'")
+    if ties == "all" and all(isinstance(c, str) for c in order_by):
+        return _all_latest(df, list(keys), list(order_by))
     order = _order_cols(order_by)
     if ties == "one" and tiebreak:
         order.append(F.xxhash64(*[F.col(c) for c in df.columns]).desc())
@@ -46,20 +52,36 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | C
     return df.withColumn(RANK_COL, rank.over(w)).filter(F.col(RANK_COL) == 1).drop(RANK_COL)
 
 
+def _all_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Every row tied with the latest of its key: in a struct NULL is the smallest value, as in a descending order."""
+    top = df.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_top")).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[F.col(f"_top.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
+    same = [df[k].eqNullSafe(top[f"_k{i}"]) for i, k in enumerate(keys)] + [df[c].eqNullSafe(top[f"_o{i}"]) for i, c in enumerate(order)]
+    return df.join(top, reduce(lambda a, b: a & b, same), "left_semi")
+
+
 def dedupe_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Any one row per key; null keys compare equal."""
     return df.dropDuplicates(list(keys))
 
 
 def dedupe_stream(df: DataFrame, keys: Sequence[str], event_time: str | None = None,
-                  delay: str | None = None) -> DataFrame:
+                  delay: str | None = None, null_keys: str = "one") -> DataFrame:
     """First row per key over a stream.
 
+    A NULL key is one key like any other (``null_keys='one'``), held by one state
+    partition; ``null_keys='pass'`` lets rows with a NULL in the key by without state,
+    for streams where such rows are many (an upsert never matches them anyway).
+
     Without ``event_time`` the state never expires (the reference's behaviour).
     With ``event_time`` + ``delay`` the state is bounded by a watermark via
     ``dropDuplicatesWithinWatermark``; ``timestamp_ntz`` event times are cast to
     ``timestamp`` first since watermarks need the latter.
     """
+    if null_keys not in ("one", "pass"):
+        raise ValueError("null_keys must be 'one' or 'pass'")
+    if null_keys == "pass":
+        null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        return dedupe_stream(df.filter(~null), keys, event_time, delay).unionByName(df.filter(null))
     if event_time is None:
         return df.dropDuplicates(list(keys))
     if delay is None:

@@ -7,6 +7,8 @@ pre-registered driver tables.
 
 from __future__ import annotations
 
+import hashlib
+
 # The fixture bronze of FIXTURES.md §3.
 BRONZE = """
 bronze as (
@@ -341,33 +343,54 @@ ORACLE.update({
 })
 
 
-def _synth_sql():
-    from dataclasses import replace
+def _draw(name: str, id_: str = "id") -> str:
+    """The generator's integer draw of one column, restated: three multiplications modulo 2**31 - 1."""
+    salt = int(hashlib.sha256(f"{name}|42".encode()).hexdigest()[:16], 16) % 2147483646 + 1
+    step1 = f"((({id_} % 2147483647 + 2147483647 + {salt}) % 2147483647) * 48271 % 2147483647)"
+    step2 = f"((xor({step1}, {step1} >> 13) + (({id_} // 2147483647) % 2147483647 + 2147483647) % 2147483647) % 2147483647 * 69621 % 2147483647)"
+    return f"(xor({step2}, {step2} >> 16) * 16807 % 2147483647)"
+
+
+def _unit(name: str) -> str:
+    return f"(cast({_draw(name)} as double) / cast(2147483647 as double))"
+
+
+_PEOPLE = f"""
+  (['John', 'Jane', 'Alex', 'Chris', 'Katie', 'James', 'Sarah'])[{_draw('first_name')} % 7 + 1] as first_name,
+  (['Smith', 'Doe', 'Johnson', 'Lee', 'Brown', 'Williams'])[{_draw('last_name')} % 6 + 1] as last_name,
+  (['M', 'F'])[{_draw('gender')} % 2 + 1] as gender, cast(18 + {_draw('age')} % 63 as integer) as age"""
+_GOODS = f"""
+  (['Laptop', 'Phone', 'Tablet', 'Monitor', 'Keyboard', 'Mouse'])[{_draw('product_name')} % 6 + 1] as product_name,
+  (['Electronics', 'Home', 'Toys', 'Clothing', 'Books'])[{_draw('category')} % 5 + 1] as category,
+  round(10.0 + {_unit('price')} * 1990.0, 6) as price, cast(1 + {_draw('quantity')} % 10 as integer) as quantity,
+  {_unit('sale_amount')} as u"""
+_SYNTH_COLS = ("client_id, first_name, last_name, gender, age, first_name || '.' || last_name || '@example.com' as email, signup_date, address, "
+               "product_id, product_name, category, price, date, sales_id, quantity, round(quantity * u * 200, 6) as sale_amount")
+
 
-    from ..sources.synth import bronze_spec, dirty_spec, duckdb_query
+def _clean_rows(seeds: str) -> str:
+    """16 columns of the clean load: 100 clients and 10 products in turn."""
+    return f"""select {_SYNTH_COLS} from (select id % 100 as client_id, {_PEOPLE}, {_GOODS},
+  cast(date '2020-01-01' + cast({_draw('signup_date')} % 1706 as integer) as varchar) as signup_date,
+  (['New York', 'California', 'Texas', 'Florida', 'Illinois'])[{_draw('address')} % 5 + 1] as address, id % 10 as product_id,
+  cast(date '2021-01-01' + cast({_draw('date')} % 1461 as integer) as varchar) as date, id as sales_id from ({seeds}))"""
 
-    def out(q, specs):
-        items = []
-        for c in specs:
-            if c.type == "date":
-                items.append(f"cast({c.name} as varchar) as {c.name}")
-            elif c.type == "double":
-                items.append(f"round({c.name}, 6) as {c.name}")
-            else:
-                items.append(c.name)
-        return f"select {', '.join(items)} from {q} z"
 
-    clean = bronze_spec()
-    dirty = dirty_spec()
-    bronze = out(duckdb_query("select o_orderkey as id from orders", clean), clean)
-    defects = out(duckdb_query("select l_orderkey * 10 + l_linenumber as id from lineitem", dirty), dirty)
-    cont = [replace(c, lo="(select max(o_orderkey) + 1 from orders)") if c.name == "sales_id" else c for c in dirty]
-    appended = out(duckdb_query("select event_id as id from events", cont), cont)
-    return {"synth_bronze": bronze, "synth_defects": defects,
-            "synth_append": f"{bronze} union all {appended}"}
+def _dirty_rows(seeds: str, first_sales_id: str) -> str:
+    """The dirty append: 30 / 40 / 20 percent null client_id / signup_date / product_id, one more state, ids that go on."""
+    return f"""select {_SYNTH_COLS} from (select case when {_unit('client_id#null')} < 0.3 then null else id % 100 end as client_id, {_PEOPLE}, {_GOODS},
+  case when {_unit('signup_date#null')} < 0.4 then null else cast(date '2020-01-01' + cast({_draw('signup_date')} % 1827 as integer) as varchar) end as signup_date,
+  (['New York', 'California', 'Texas', 'Florida', 'Illinois', 'Washington'])[{_draw('address')} % 6 + 1] as address,
+  case when {_unit('product_id#null')} < 0.2 then null else id % 10 end as product_id,
+  cast(date '2024-01-01' + cast({_draw('date')} % 280 as integer) as varchar) as date, {first_sales_id} + id as sales_id from ({seeds}))"""
 
 
-ORACLE.update(_synth_sql())
+_ORDER_SEEDS = "select o_orderkey as id from orders"
+ORACLE.update({
+    "synth_bronze": _clean_rows(_ORDER_SEEDS),
+    "synth_defects": _dirty_rows("select l_orderkey * 10 + l_linenumber as id from lineitem", "0"),
+    "synth_append": _clean_rows(_ORDER_SEEDS) + " union all " + _dirty_rows("select event_id as id from events", "(select max(o_orderkey) + 1 from orders)"),
+})
 
 
 def _judged_part(name: str, where: str) -> str:
@@ -390,7 +413,7 @@ select sales_id, {SALES_REASONS} as reasons, cast(0 as bigint) as batch_id from
 union all
 select sales_id, {SALES_REASONS} as reasons, cast(1 as bigint) as batch_id from l where not {SALES_OK}""",
     "stream_dedupe": _with(BRONZE) + f"""
-select sales_id, cast(min(case when {_EARLY} then 0 else 1 end) as bigint) as batch_id
+select sales_id, cast(min(case when {_EARLY} then 0 else 1 end) as bigint) as batch_id, true as own_row
 from bronze group by sales_id""",
 })
 
@@ -418,15 +441,71 @@ def _dim_part(name: str, cols: str, key: str, where: str) -> str:
    from bronze where {where}) x where rn = 1 and {key} is not null)"""
 
 
-_PCOLS = "product_id, product_name, category, price"
+_PCOLS = "product_id, product_name, category"
+_CCOLS = "client_id, address, signup_date"
+
+
+def _detail(*cols: str) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce(cast({c} as varchar), '-')" for c in cols) + ") as detail"
+
+
+def _merged(early: str, late: str, key: str) -> str:
+    return f"(select * from {early} where not exists (select 1 from {late} l where l.{key} = {early}.{key}) union all select * from {late})"
+
+
 ORACLE.update({
-    "stream_multi_target": _with(BRONZE, _dim_part("pe", _PCOLS, "product_id", _EARLY),
-                                 _dim_part("pl", _PCOLS, "product_id", _LATE)) + f"""
-select {_PCOLS} from pe where not exists (select 1 from pl where pl.product_id = pe.product_id)
-union all select {_PCOLS} from pl""",
+    "stream_multi_target": _with(
+        BRONZE, _dim_part("pe", _PCOLS, "product_id", _EARLY), _dim_part("pl", _PCOLS, "product_id", _LATE),
+        _dim_part("ce0", _CCOLS, "client_id", _EARLY), _dim_part("cl0", _CCOLS, "client_id", _LATE),
+        f"ce as (select * from ce0 where coalesce({ADDR_OK}, false))", f"cl as (select * from cl0 where coalesce({ADDR_OK}, false))") + f"""
+select 'products' as target, product_id as key, {_detail('product_name', 'category')} from {_merged('pe', 'pl', 'product_id')}
+union all select 'clients', client_id, {_detail('address', 'signup_date')} from {_merged('ce', 'cl', 'client_id')}
+union all select 'sales', sales_id, {_detail('date', 'client_id', 'product_id', 'quantity')} from ({ORACLE['upsert_sales']})""",
     "profile_hourly": f"select cast(window_start as varchar) as window_start, {_PROFILE_COLS} from (" + _profile_sql(
         DIRTY_EVENTS, [("event_type", "str"), ("value", "dbl")], "date_trunc('hour', ts)", ("event_type",)) + ")",
 })
 
+# Rows that the three drop expectations keep, and the order of a key's changes.
+KEPT = "kept as (select * from bronze where sales_id is not null and client_id is not null and product_id is not null)"
+_CHANGES = "order by date, sales_id, sale_amount, l_suppkey"
+
+
+def _latest_kept(key: str, cols: str) -> str:
+    return _with(BRONZE, KEPT) + f"""
+select {cols} from (select *, row_number() over (partition by {key}
+  order by date desc, sales_id desc, sale_amount desc, l_suppkey desc) as rn from kept) x where rn = 1"""
+
+
+def _batch_metrics(batch: int, where: str) -> str:
+    rules = [("valid_sales_id", "drop", "sales_id is not null"), ("valid_client_id", "drop", "client_id is not null"),
+             ("valid_product_id", "drop", "product_id is not null"), ("valid_quantity", "warn", "quantity > 0"),
+             ("valid_address", "warn", ADDR_OK), ("valid_date", "warn", DATE_OK)]
+    return " union all ".join(
+        f"select cast({batch} as bigint) as batch_id, '{n}' as rule_name, '{a}' as action, "
+        f"cast(count(*) - {_count_fail(p)} as bigint) as passed_rows, {_count_fail(p)} as failed_rows from bronze where {where}" for n, a, p in rules)
+
+
+ORACLE.update({
+    "declarative_clients": _with(BRONZE, KEPT) + f""",
+rows as (select client_id, address, date, sales_id, sale_amount, l_suppkey, row_number() over w as rn, lag(address) over w as before
+  from kept window w as (partition by client_id {_CHANGES})),
+starts as (select * from rows where rn = 1 or address is distinct from before)
+select client_id, address, cast(date as varchar) as from_date, sales_id as from_sale,
+  cast(lead(date) over w as varchar) as to_date, lead(sales_id) over w as to_sale
+from starts window w as (partition by client_id {_CHANGES})""",
+    "declarative_products": _latest_kept("product_id", "product_id, product_name, category, quantity"),
+    "declarative_sales": _latest_kept("sales_id", "sales_id, client_id, quantity, cast(date as varchar) as date, true as stamped"),
+    "declarative_metrics": _with(BRONZE) + f"""
+{_batch_metrics(0, _EARLY)} union all {_batch_metrics(1, _LATE)}""",
+    "violation_policies": _with(BRONZE, SALES_DEDUP) + f""",
+raw as (select sales_id, client_id is not null as a, product_id is not null as b, sales_id is not null as c,
+   ({DATE_OK}) as d, (quantity > 0) as e, ({ADDR_OK}) as f from sales_dedup)
+select sales_id, (a is not true or b is not true or c is not true or d is not true or e is not true or f is not true) as violates_quarantine,
+  (a is false or b is false or c is false or d is false or e is false or f is false) as violates_pass,
+  not (a and b and c and d and e and f) as violates_drop,
+  case when not (a and b and c and d and e and f) then 'quarantine' when a and b and c and d and e and f then 'valid' end as part
+from raw""",
+})
+
 ORACLE["stream_scd2"] = SCD2_DELETES
 ORACLE["stream_scd1"] = ORACLE["scd1_deletes"]

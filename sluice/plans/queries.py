@@ -11,17 +11,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import with_process_timestamp
+from ..functions.predicates import violation_condition
 from ..functions.rules import Rule, collect_rules, normalise_statements, rules_by_tag as _rules_by_tag
 from ..operators.dedupe import dedupe_any, dedupe_latest, dedupe_stream
 from ..operators.expectations import apply_expectations, expect_all_or_drop, expectation_metrics
-from ..operators.split import FAILED_COL, STATUS_COL, judge, quality_metrics as _metrics, rule_failure_counts
+from ..operators.split import FAILED_COL, STATUS_COL, judge, rule_failure_counts, split
 from ..operators.profile import profile as _profile
 from ..operators.scd import prepare_changes, scd1_state, scd1_view, scd2, scd2_apply
 from ..operators.upsert import change_feed as _change_feed, upsert
 from ..sources import fixtures as fx
 from ..sources.synth import bronze_spec, continue_ids, dirty_spec, synth
 from ..sources.tables import read_table
-from ..sources.rules import FIXTURE_RULES, FIXTURE_TAGGED_RULES, documents_frame, rule_documents, tagged_rules_frame
+from ..sources.rules import (FIXTURE_RULES, FIXTURE_TAGGED_RULES, documents_frame, publish_documents, published_rules,
+                             rule_documents, tagged_rules_frame)
+from ..session import path_exists
 from .silver import catalogue_rules, silver_batch
 
 # The declarative path's six expectations (three drop, three warn), fixture form.
@@ -118,14 +122,28 @@ def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch counts as ``(metric, value)``: rows in, rows removed by dedupe, valid,
-    quarantined (D6, G1, G2) - two aggregate passes, no join."""
+    """Batch counts as ``(metric, value)``: rows in, rows left by the dedupe, valid,
+    quarantined (D6, G1, G2) - one scan: the latest row of a key carries its row count."""
     bronze = fx.bronze(spark, sf_dir)
-    m = _metrics(_sales_judged(spark, sf_dir))
-    long = m.selectExpr("stack(4, 'deduped_rows', total_rows, 'valid_rows', valid_rows, "
-                        "'quarantined_rows', quarantined_rows, 'unknown_rows', unknown_rows) as (metric, value)")
-    rows_in = bronze.agg(F.count(F.lit(1)).alias("value")).select(F.lit("input_rows").alias("metric"), "value")
-    return rows_in.unionByName(long)
+    row = F.struct(*fx.SALES_ORDER, *[c for c in fx.SALES_COLUMNS if c not in fx.SALES_ORDER])
+    latest = bronze.groupBy("sales_id").agg(F.max(row).alias("r"), F.count(F.lit(1)).alias("rows")).select("r.*", "rows")
+    judged = judge(latest, catalogue_rules(spark, "silver_sales"))
+    status = F.col(STATUS_COL)
+    counts = judged.agg(F.sum("rows").alias("a"), F.count(F.lit(1)).alias("b"), F.count_if(status == "valid").alias("c"),
+                        F.count_if(status == "quarantine").alias("d"), F.count_if(status == "unknown").alias("e"))
+    return counts.selectExpr("stack(5, 'input_rows', a, 'deduped_rows', b, 'valid_rows', c, 'quarantined_rows', d, "
+                             "'unknown_rows', e) as (metric, value)")
+
+
+def violation_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 + D5: what ``violation_condition`` and ``split`` do with each deduped row under
+    each null policy; a row that is in neither part is lost."""
+    rules = _shared_rules(spark)
+    d = dedupe_latest(fx.bronze(spark, sf_dir).select(*fx.SALES_COLUMNS, "address", "l_suppkey"), ["sales_id"], fx.SALES_ORDER)
+    flags = [violation_condition(rules, p).alias(f"violates_{p}") for p in ("quarantine", "pass", "drop")]
+    parts = [part.select("sales_id", F.lit(name).alias("part")) for name, part in zip(("valid", "quarantine"), split(d, rules, "drop"))]
+    kept = parts[0].unionByName(parts[1])
+    return d.select("sales_id", *flags).join(kept, "sales_id", "left")
 
 
 def null_policy_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,16 +189,20 @@ def rules_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rules_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statements normalised to ``(kind, name, expression)`` (D2, D4) and bound to each
+    """Statements normalised to ``(kind, name, expression)`` (D2), published, read back and
+    merged with the not-null rules of each declared schema (D1, D4), then bound to the
     table's deduped silver projection: failing and unknown rows per rule."""
-    stmts = normalise_statements(documents_frame(spark, rule_documents(FIXTURE_RULES)))
-    bronze = fx.bronze(spark, sf_dir)
+    from ..session import scratch_path
+
+    path = scratch_path(spark, "rules")
+    stmts = normalise_statements(publish_documents(spark, rule_documents(FIXTURE_RULES), path))
+    bronze = fx.stored_bronze(spark, sf_dir)
     parts = []
     targets = {"silver_sales": (fx.SALES_COLUMNS, ["sales_id"], fx.SALES_ORDER, ["l_suppkey"]),
                "silver_clients": (fx.CLIENT_COLUMNS, ["client_id"], DIM_ORDER, DIM_ORDER),
                "silver_products": (fx.PRODUCT_COLUMNS, ["product_id"], DIM_ORDER, DIM_ORDER)}
     for table, (cols, keys, order, carry) in targets.items():
-        rules = collect_rules(stmts.filter(F.col("table_name") == table))
+        rules = published_rules(spark, path, table, fx.declared(keys))
         j = silver_batch(bronze, cols, keys, rules, order_by=order, carry=carry, null_policy="drop")
         aggs = []
         for i, r in enumerate(rules):
@@ -234,7 +256,7 @@ def upsert_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """silver sales of early shipments, upserted with the silver of later ones
     (keys present in both take the later batch's row)."""
     rules = catalogue_rules(spark, "silver_sales")
-    bronze = fx.bronze(spark, sf_dir)
+    bronze = fx.stored_bronze(spark, sf_dir)
     early = bronze.filter(F.col("date") < F.lit(UPSERT_CUTOFF).cast("date"))
     late = bronze.filter(~(F.col("date") < F.lit(UPSERT_CUTOFF).cast("date")))
 
@@ -457,20 +479,28 @@ def _stream_runs(spark: SparkSession, sf_dir: str, start_query):
     return root
 
 
+def _published(spark, root, table, keys):
+    """The rules as each batch finds them in the published table (S10), with the declared keys not null."""
+    path = f"{root}/rules"
+    if not path_exists(spark, path):
+        publish_documents(spark, rule_documents(FIXTURE_RULES), path)
+    return lambda: published_rules(spark, path, table, fx.declared(keys))
+
+
 def _sales_target(spark, root):
     from ..sinks.bucketed import BucketedTable
     from ..sinks.quarantine import QuarantineSink
     from ..streaming.bronze_to_silver import SilverTarget
 
     return SilverTarget("silver_sales", BucketedTable(spark, f"{root}/silver_sales", ["sales_id"]),
-                        fx.SALES_COLUMNS, ["sales_id"], lambda: catalogue_rules(spark, "silver_sales"),
+                        fx.SALES_COLUMNS, ["sales_id"], _published(spark, root, "silver_sales", ["sales_id"]),
                         QuarantineSink(spark, f"{root}/quarantine/silver_sales"), order_by=fx.SALES_ORDER,
                         carry=["l_suppkey"], metrics_path=f"{root}/metrics/silver_sales")
 
 
 def stream_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + B5 + I2/I3: streaming bronze -> silver sales over two runs on one
-    checkpoint; the final snapshot (same result as ``upsert_sales``)."""
+    checkpoint; the final table (same result as ``upsert_sales``)."""
     from ..streaming.bronze_to_silver import bronze_to_silver
 
     holder = {}
@@ -504,13 +534,13 @@ def _dim_target(spark, root, table, columns, keys):
     from ..streaming.bronze_to_silver import SilverTarget
 
     return SilverTarget(table, BucketedTable(spark, f"{root}/{table}", keys), columns, keys,
-                        lambda: catalogue_rules(spark, table), QuarantineSink(spark, f"{root}/quarantine/{table}"),
+                        _published(spark, root, table, keys), QuarantineSink(spark, f"{root}/quarantine/{table}"),
                         order_by=DIM_ORDER, carry=DIM_ORDER)
 
 
 def stream_multi_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stream over bronze feeds the sales, clients and products silvers (the
-    batch is scanned once and persisted); the final products snapshot."""
+    batch is scanned once and persisted); the rows of all three."""
     from ..streaming.bronze_to_silver import bronze_to_silvers
 
     holder = {}
@@ -522,7 +552,11 @@ def stream_multi_target(spark: SparkSession, sf_dir: str) -> DataFrame:
                            _dim_target(spark, root, "silver_products", fx.PRODUCT_COLUMNS, ["product_id"])]
         return bronze_to_silvers(stream, holder["t"], f"{root}/_checkpoints/bronze_multi")
     _stream_runs(spark, sf_dir, start)
-    return holder["t"][2].table.read().select("product_id", "product_name", "category", "price")
+    text = lambda *cols: F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in cols]).alias("detail")
+    sales, clients, products = (t.table.read() for t in holder["t"])
+    return (sales.select(F.lit("sales").alias("target"), F.col("sales_id").alias("key"), text("date", "client_id", "product_id", "quantity"))
+            .unionByName(clients.select(F.lit("clients").alias("target"), F.col("client_id").alias("key"), text("address", "signup_date")))
+            .unionByName(products.select(F.lit("products").alias("target"), F.col("product_id").alias("key"), text("product_name", "category"))))
 
 
 # Expectations of the declarative event stream (none of them drops a driver row).
@@ -575,16 +609,83 @@ def stream_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E3 + I1: stream-level ``dropDuplicates`` with unbounded state: each key passes
-    once, in the first batch that carries it, across runs."""
+    once, as a whole row, in the first batch that carries it, across runs.  Which row
+    wins is arbitrary, so the result tells whether it is one of its key's rows."""
     from ..streaming.bronze_to_silver import batch_folder_sink
 
     def start(stream, root):
-        d = dedupe_stream(stream.select("sales_id"), ["sales_id"])
-        return (d.writeStream.foreachBatch(batch_folder_sink(f"{root}/keys"))
-                 .option("checkpointLocation", f"{root}/_checkpoints/keys").trigger(availableNow=True).start())
+        return (dedupe_stream(stream, ["sales_id"]).writeStream.foreachBatch(batch_folder_sink(f"{root}/rows"))
+                .option("checkpointLocation", f"{root}/_checkpoints/rows").trigger(availableNow=True).start())
     root = _stream_runs(spark, sf_dir, start)
-    keys = spark.read.option("basePath", f"{root}/keys").parquet(f"{root}/keys/_batch_id=*")
-    return keys.select("sales_id", F.col("_batch_id").cast("bigint").alias("batch_id"))
+    won = spark.read.option("basePath", f"{root}/rows").parquet(f"{root}/rows/_batch_id=*")
+    source = spark.read.parquet(f"{root}/bronze")
+    whole = F.xxhash64(*[F.col(c) for c in source.columns])
+    have = source.select("sales_id", whole.alias("h")).distinct().withColumn("own_row", F.lit(True))
+    return (won.select("sales_id", F.col("_batch_id").cast("bigint").alias("batch_id"), whole.alias("h"))
+            .join(have, ["sales_id", "h"], "left").select("sales_id", "batch_id", F.coalesce("own_row", F.lit(False)).alias("own_row")))
+
+
+def _declarative(spark: SparkSession, sf_dir: str, targets_of):
+    """The declarative path end to end: the fixture bronze as a catalog table, appended in two
+    parts (B2), read as a named stream (A6) with a process timestamp (C2), expectations that drop and
+    warn (D7-D9), and changes applied per target (F2, F3), on one checkpoint."""
+    from ..session import scratch_path
+    from ..sinks.catalog import save_table
+    from ..sources.tables import stream_view
+    from ..streaming.bronze_to_silver import run_to_end
+    from ..streaming.declarative import apply_changes_stream
+
+    root = scratch_path(spark, "declarative")
+    name = "bronze_" + root.rsplit("/", 1)[-1]
+    bronze, early = fx.bronze(spark, sf_dir), F.col("date") < F.lit(UPSERT_CUTOFF).cast("date")
+    targets = targets_of(root)
+    for part, mode in ((bronze.filter(early), "overwrite"), (bronze.filter(~early), "append")):
+        save_table(part, name, comment="raw sales", properties={"quality": "bronze"}, mode=mode)
+        stream = with_process_timestamp(stream_view(spark, name, f"{name}_v"))
+        run_to_end(apply_changes_stream(stream, EXPECTATIONS, targets, f"{root}/_checkpoint", metrics_path=f"{root}/metrics"))
+    return root, targets
+
+
+#: A total order of a key's changes: the process timestamp alone ties within a batch.
+CHANGE_ORDER = ["date", "sales_id", "sale_amount", "l_suppkey"]
+
+
+def declarative_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 on the declarative path: address history per client, sequenced by several columns."""
+    from ..streaming.declarative import ChangeTarget
+
+    _, (clients,) = _declarative(spark, sf_dir, lambda root: [ChangeTarget(
+        "clients", f"{root}/clients", ["client_id"], CHANGE_ORDER, ["client_id", "address"], scd_type=2)])
+    at = lambda c, e: F.col(f"{c}.{e}")
+    return clients.read(spark).select(
+        "client_id", "address", at("__start_at", "date").cast("string").alias("from_date"), at("__start_at", "sales_id").alias("from_sale"),
+        at("__end_at", "date").cast("string").alias("to_date"), at("__end_at", "sales_id").alias("to_sale"))
+
+
+def declarative_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 + F5 on the declarative path: the latest product rows, without the columns of the sale."""
+    from ..streaming.declarative import ChangeTarget
+
+    _, (products,) = _declarative(spark, sf_dir, lambda root: [ChangeTarget(
+        "products", f"{root}/products", ["product_id"], CHANGE_ORDER, ["product_id", "product_name", "category", "quantity", "process_timestamp"],
+        except_columns=["process_timestamp"])])
+    return products.read(spark).select("product_id", "product_name", "category", "quantity")
+
+
+def declarative_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 on the declarative path: the latest row per sale; every row has its process timestamp."""
+    from ..streaming.declarative import ChangeTarget
+
+    _, (sales,) = _declarative(spark, sf_dir, lambda root: [ChangeTarget(
+        "sales", f"{root}/sales", ["sales_id"], CHANGE_ORDER, ["sales_id", "client_id", "quantity", "date", "process_timestamp"])])
+    return sales.read(spark).select("sales_id", "client_id", "quantity", F.col("date").cast("string").alias("date"),
+                                    F.col("process_timestamp").isNotNull().alias("stamped"))
+
+
+def declarative_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D7-D9 on the declarative path: passed and failed rows per batch and rule, counted by the pass that keeps them."""
+    root, _ = _declarative(spark, sf_dir, lambda root: [])
+    return spark.read.parquet(f"{root}/metrics/_query=*/_batch_id=*").select("batch_id", "rule_name", "action", "passed_rows", "failed_rows")
 
 
 QUERIES = {
@@ -597,6 +698,11 @@ QUERIES = {
     "quarantine_reasons": quarantine_reasons,
     "quality_metrics": quality_metrics,
     "null_policy_split": null_policy_split,
+    "violation_policies": violation_policies,
+    "declarative_clients": declarative_clients,
+    "declarative_products": declarative_products,
+    "declarative_sales": declarative_sales,
+    "declarative_metrics": declarative_metrics,
     "expect_metrics": expect_metrics,
     "expect_drop": expect_drop,
     "expect_all_drop": expect_all_drop,

@@ -12,7 +12,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..session import scratch_path
 from .tables import read_table
 
 # Silver projections of the fixture bronze (target -> columns, keys, order).
@@ -57,3 +59,15 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey"),
         F.col("l_linenumber"),
     )
+
+
+def stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze as a stored table, for plans that read it more than once."""
+    path = scratch_path(spark, "bronze")
+    bronze(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def declared(keys: list[str]) -> T.StructType:
+    """The declared schema of a silver's keys: none of them may be null."""
+    return T.StructType([T.StructField(k, T.LongType(), nullable=False) for k in keys])

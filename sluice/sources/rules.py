@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.rules import Rule, collect_rules, normalise_statements, not_null_rules, rules_for
 from .literal import literal_rows
 
 RULE_DOC_SCHEMA = T.StructType([
@@ -24,33 +25,6 @@ RULE_DOC_SCHEMA = T.StructType([
     T.StructField("constraints", T.ArrayType(T.StringType())),
 ])
 
-# Shape of a normalised rules table as a Spark user would store it.
-RULES_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType()),
-    T.StructField("tag", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("expression", T.StringType()),
-    T.StructField("action", T.StringType()),
-])
-
-# The reference demo's rule documents (states list and date range as given there).
-REFERENCE_RULES = {
-    "silver_clients": [
-        "ALTER TABLE {schema}.silver_clients ALTER COLUMN client_id SET NOT NULL;",
-        "ALTER TABLE {schema}.silver_clients ADD CONSTRAINT validAddress  CHECK (address in ('New York', 'California', 'Texas', 'Florida', 'Illinois'));",
-    ],
-    "silver_products": [
-        "ALTER TABLE {schema}.silver_products ALTER COLUMN product_id SET NOT NULL;",
-    ],
-    "silver_sales": [
-        "ALTER TABLE {schema}.silver_sales ALTER COLUMN sales_id SET NOT NULL;",
-        "ALTER TABLE {schema}.silver_sales ALTER COLUMN client_id SET NOT NULL;",
-        "ALTER TABLE {schema}.silver_sales ALTER COLUMN product_id SET NOT NULL;",
-        "ALTER TABLE {schema}.silver_sales ADD CONSTRAINT dateWithinRange  CHECK (date between '2020-01-01' and '2025-01-01');",
-        "ALTER TABLE {schema}.silver_sales ADD CONSTRAINT validQuantity  CHECK (quantity > 0);",
-    ],
-}
-
 # The same rule documents re-aimed at the fixture bronze (FIXTURES.md §3):
 # market segments stand in for states, and the date window fits the shipping dates.
 FIXTURE_RULES = {
@@ -70,18 +44,6 @@ FIXTURE_RULES = {
     ],
 }
 
-# The reference's tagged rules table, in its order (two rows are equal on purpose).
-REFERENCE_TAGGED_RULES = [
-    ("client_id_not_null", "client_id IS NOT NULL", "clients"),
-    ("address_valid_value", "address in ('New York', 'California', 'Texas', 'Florida', 'Illinois')", "clients"),
-    ("product_id_not_null", "product_id IS NOT NULL", "products"),
-    ("sales_id_not_null", "sales_id IS NOT NULL", "sales"),
-    ("client_id_not_null", "client_id IS NOT NULL", "sales"),
-    ("client_id_not_null", "client_id IS NOT NULL", "sales"),
-    ("date_valid_range", "date between '2020-01-01' and '2025-01-01'", "sales"),
-    ("quantity_valid_value", "quantity > 0", "sales"),
-]
-
 # The tagged table re-aimed at the fixture bronze.
 FIXTURE_TAGGED_RULES = [
     ("client_id_not_null", "client_id IS NOT NULL", "clients"),
@@ -118,11 +80,21 @@ def publish_documents(spark: SparkSession, documents: list[str], path: str) -> D
     return spark.read.parquet(path)
 
 
-def tagged_rules_frame(spark: SparkSession, rows: list[tuple[str, str, str]] | None = None) -> DataFrame:
+def published_rules(spark: SparkSession, path: str, table: str, declared: T.StructType | None = None) -> list[Rule]:
+    """The rules of one table as the published catalogue has them now, merged with the not-null
+    rules of a declared schema.  Rules that are equal collapse; one name with two predicates raises."""
+    rows = rules_for(normalise_statements(spark.read.parquet(path)), table=table).drop("statement")
+    own = not_null_rules(declared, table) if declared is not None else []
+    if own:
+        more = literal_rows(spark, [(table, "not_null", r.name, r.expression) for r in own], "table_name string, kind string, name string, expression string")
+        rows = rows.unionByName(more)
+    return collect_rules(rows)
+
+
+def tagged_rules_frame(spark: SparkSession, rows: list[tuple[str, str, str]]) -> DataFrame:
     """A4: the tagged rules table ``(name, constraint, tag)`` from inline values.
 
     An ordinal column keeps the written order, which ``rules_by_tag(on_conflict='last')`` needs.
     """
-    rows = REFERENCE_TAGGED_RULES if rows is None else rows
     return literal_rows(spark, [(n, c, t, i) for i, (n, c, t) in enumerate(rows)],
                         "name string, constraint string, tag string, ordinal int")

@@ -3,11 +3,11 @@
 A generator is a list of column specs applied to a DataFrame of seed ids.  Each
 random draw is a hash of ``(id, column name, seed)``, not ``rand()``, so a row's
 values depend only on its id: the output is the same for any partitioning, a
-retried task recomputes the same rows, and another engine can reproduce it
-(:func:`duckdb_select` renders the same spec as DuckDB SQL).
+retried task recomputes the same rows, and another engine can reproduce it.
 
 The hash is integer arithmetic only - three rounds of multiply modulo the prime
-2**31 - 1 with xor-shifts in between, all within bigint range - so it runs
+2**31 - 1 with xor-shifts in between, all within bigint range; what an id has beyond
+31 bits enters after the first, salted xor-shift, so ids that draw alike in one column do not in the others - so it runs
 inside whole-stage codegen (a string digest per draw was ~10x slower).
 
 Seed ids come from the caller - ``spark.range(n)`` for a standalone table, or a
@@ -81,63 +81,45 @@ def _q(s: str) -> str:
     return "'" + str(s).replace("'", "''") + "'"
 
 
-class _Dialect:
-    """The few spellings that differ between Spark SQL and DuckDB."""
+def xorshift(x: str, n: int) -> str:
+    return f"({x} ^ shiftright({x}, {n}))"
 
-    def __init__(self, engine: str):
-        self.engine = engine
 
-    def xorshift(self, x: str, n: int) -> str:
-        if self.engine == "spark":
-            return f"({x} ^ shiftright({x}, {n}))"
-        return f"xor({x}, ({x} >> {n}))"
+def hash31(id_col: str, salt: str) -> str:
+    """Integer hash of ``(id, salt)`` in [0, 2**31 - 1)."""
+    a1, a2, a3 = MULTIPLIERS
+    high = f"pmod({id_col} div {PRIME}, {PRIME})"
+    x = f"((({id_col} % {PRIME}) + {PRIME} + {salt_of(salt)}) % {PRIME})"
+    x = f"(({x} * {a1}) % {PRIME})"
+    x = f"((({xorshift(x, 13)} + {high}) % {PRIME}) * {a2} % {PRIME})"
+    return f"(({xorshift(x, 16)} * {a3}) % {PRIME})"
 
-    def hash31(self, id_col: str, salt: str) -> str:
-        """Integer hash of ``(id, salt)`` in [0, 2**31 - 1)."""
-        a1, a2, a3 = MULTIPLIERS
-        x = f"((({id_col} % {PRIME}) + {PRIME} + {salt_of(salt)}) % {PRIME})"
-        x = f"(({x} * {a1}) % {PRIME})"
-        x = f"(({self.xorshift(x, 13)} * {a2}) % {PRIME})"
-        return f"(({self.xorshift(x, 16)} * {a3}) % {PRIME})"
 
-    def pick(self, values: Sequence[str], h: str) -> str:
-        arr = ", ".join(_q(v) for v in values)
-        if self.engine == "spark":
-            return f"element_at(array({arr}), cast({h} % {len(values)} + 1 as int))"
-        return f"([{arr}])[{h} % {len(values)} + 1]"
-
-    def add_days(self, begin: str, n: str) -> str:
-        if self.engine == "spark":
-            return f"date_add(date {_q(begin)}, cast({n} as int))"
-        return f"(date {_q(begin)} + cast({n} as integer))"
-
-
-def column_sql(c: Col, id_col: str, seed: int, engine: str = "spark") -> str:
+def column_sql(c: Col, id_col: str, seed: int) -> str:
     """SQL text of one generated column (before null injection)."""
-    d = _Dialect(engine)
     salt = f"{c.name}|{seed}"
-    h = d.hash31(id_col, salt)
+    h = hash31(id_col, salt)
     u = f"(cast({h} as double) / {SCALE})"
     if c.kind == "cycle":
         base = f"{id_col}" if c.unique_values is None else f"({id_col} % {c.unique_values})"
         return f"cast({c.lo} + {base} as bigint)"
     if c.kind == "pick":
-        return d.pick(c.values, h)
+        return f"element_at(array({', '.join(_q(v) for v in c.values)}), cast({h} % {len(c.values)} + 1 as int))"
     if c.kind == "int_range":
         return f"cast({c.lo} + {h} % {c.hi - c.lo + 1} as int)"
     if c.kind == "float_range":
         return f"(cast({float(c.lo)!r} as double) + {u} * cast({float(c.hi) - float(c.lo)!r} as double))"
     if c.kind == "date_range":
-        return d.add_days(c.lo, f"{h} % {_days(c.lo, c.hi) + 1}")
+        return f"date_add(date {_q(c.lo)}, cast({h} % {_days(c.lo, c.hi) + 1} as int))"
     if c.kind == "expr":
         return f"cast(({c.expr.replace('{u}', u)}) as {c.type})"
     raise ValueError(f"unknown column kind {c.kind!r}")
 
 
-def with_nulls_sql(c: Col, body: str, id_col: str, seed: int, engine: str = "spark") -> str:
+def with_nulls_sql(c: Col, body: str, id_col: str, seed: int) -> str:
     if not c.percent_nulls:
         return body
-    u = f"(cast({_Dialect(engine).hash31(id_col, f'{c.name}#null|{seed}')} as double) / {SCALE})"
+    u = f"(cast({hash31(id_col, f'{c.name}#null|{seed}')} as double) / {SCALE})"
     return f"case when {u} < cast({c.percent_nulls!r} as double) then null else {body} end"
 
 
@@ -162,21 +144,6 @@ def continue_ids(existing: DataFrame, key: str, seeds: DataFrame, specs: Sequenc
     return synth(seeds, specs, id_col, seed)
 
 
-def duckdb_select(specs: Sequence[Col], id_col: str = "id", seed: int = 42) -> list[str]:
-    """The same spec as a list of DuckDB select items (for the oracle).  Later
-    columns refer to earlier ones, so the caller nests them (see :func:`duckdb_query`)."""
-    return [f"{with_nulls_sql(c, column_sql(c, id_col, seed, 'duckdb'), id_col, seed, 'duckdb')} as {c.name}"
-            for c in specs]
-
-
-def duckdb_query(source_sql: str, specs: Sequence[Col], id_col: str = "id", seed: int = 42) -> str:
-    """Nest one select per column so that ``expr`` columns see earlier ones."""
-    q = f"(select {id_col} from ({source_sql}) s0)"
-    for i, item in enumerate(duckdb_select(specs, id_col, seed)):
-        q = f"(select *, {item} from {q} s{i + 1})"
-    return q
-
-
 # The reference demo's bronze generator (clean first load).
 FIRST_NAMES = ["John", "Jane", "Alex", "Chris", "Katie", "James", "Sarah"]
 LAST_NAMES = ["Smith", "Doe", "Johnson", "Lee", "Brown", "Williams"]

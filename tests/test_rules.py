@@ -3,12 +3,43 @@ from pyspark.sql import functions as F
 
 from sluice.functions.rules import (Rule, collect_rules, normalise_statements, not_null_rules, rules_by_tag,
                                     rules_for, validate_rules)
-from sluice.sources.rules import (FIXTURE_RULES, REFERENCE_RULES, REFERENCE_TAGGED_RULES, documents_frame,
+from sluice.sources.rules import (FIXTURE_RULES, documents_frame,
                                   publish_documents, rule_documents, tagged_rules_frame)
 
+# The demo's rule documents (states list and date range as given there).
+DEMO_RULES = {
+    "silver_clients": [
+        "ALTER TABLE {schema}.silver_clients ALTER COLUMN client_id SET NOT NULL;",
+        "ALTER TABLE {schema}.silver_clients ADD CONSTRAINT validAddress  CHECK (address in ('New York', 'California', 'Texas', 'Florida', 'Illinois'));",
+    ],
+    "silver_products": [
+        "ALTER TABLE {schema}.silver_products ALTER COLUMN product_id SET NOT NULL;",
+    ],
+    "silver_sales": [
+        "ALTER TABLE {schema}.silver_sales ALTER COLUMN sales_id SET NOT NULL;",
+        "ALTER TABLE {schema}.silver_sales ALTER COLUMN client_id SET NOT NULL;",
+        "ALTER TABLE {schema}.silver_sales ALTER COLUMN product_id SET NOT NULL;",
+        "ALTER TABLE {schema}.silver_sales ADD CONSTRAINT dateWithinRange  CHECK (date between '2020-01-01' and '2025-01-01');",
+        "ALTER TABLE {schema}.silver_sales ADD CONSTRAINT validQuantity  CHECK (quantity > 0);",
+    ],
+}
+
+# The demo's tagged rules table, in its order (two rows are equal on purpose).
+DEMO_TAGGED_RULES = [
+    ("client_id_not_null", "client_id IS NOT NULL", "clients"),
+    ("address_valid_value", "address in ('New York', 'California', 'Texas', 'Florida', 'Illinois')", "clients"),
+    ("product_id_not_null", "product_id IS NOT NULL", "products"),
+    ("sales_id_not_null", "sales_id IS NOT NULL", "sales"),
+    ("client_id_not_null", "client_id IS NOT NULL", "sales"),
+    ("client_id_not_null", "client_id IS NOT NULL", "sales"),
+    ("date_valid_range", "date between '2020-01-01' and '2025-01-01'", "sales"),
+    ("quantity_valid_value", "quantity > 0", "sales"),
+]
+
+
 
 def test_documents_explode_and_normalise(spark):
-    stmts = documents_frame(spark, rule_documents(REFERENCE_RULES, "demo"))
+    stmts = documents_frame(spark, rule_documents(DEMO_RULES, "demo"))
     assert stmts.columns == ["tableName", "col"]
     assert stmts.count() == 8
     norm = {(r.table_name, r.name): (r.kind, r.expression) for r in normalise_statements(stmts).collect()}
@@ -48,7 +79,7 @@ def test_not_null_rules_from_schema(spark):
 
 
 def test_rules_by_tag_collapses_and_conflicts(spark):
-    tagged = tagged_rules_frame(spark, REFERENCE_TAGGED_RULES)
+    tagged = tagged_rules_frame(spark, DEMO_TAGGED_RULES)
     sales = rules_by_tag(tagged, "sales")
     assert sorted(sales) == ["client_id_not_null", "date_valid_range", "quantity_valid_value", "sales_id_not_null"]
     conflicting = tagged_rules_frame(spark, [("r", "a > 0", "t"), ("r", "a > 1", "t")])
@@ -100,3 +131,16 @@ def test_scratch_folder_is_required_off_local(spark):
         conf = type("C", (), {"get": staticmethod(lambda k, d=None: None)})()
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.checkpoint_root(Session())
+
+
+def test_published_rules_merge_declared_not_null(spark, tmp_root):
+    import pytest
+    from pyspark.sql import types as T
+    from sluice.sources.rules import publish_documents, published_rules
+    publish_documents(spark, rule_documents(FIXTURE_RULES), f"{tmp_root}/rules")
+    declared = T.StructType([T.StructField("sales_id", T.LongType(), False), T.StructField("date", T.DateType(), False), T.StructField("quantity", T.IntegerType())])
+    names = [r.name for r in published_rules(spark, f"{tmp_root}/rules", "silver_sales", declared)]
+    assert names == ["client_id_not_null", "dateWithinRange", "date_not_null", "product_id_not_null", "sales_id_not_null", "validQuantity"]
+    publish_documents(spark, rule_documents({"silver_sales": ["ALTER TABLE t ADD CONSTRAINT sales_id_not_null  CHECK (sales_id > 0);"]}), f"{tmp_root}/rules")
+    with pytest.raises(ValueError, match="conflicting"):
+        published_rules(spark, f"{tmp_root}/rules", "silver_sales", declared)

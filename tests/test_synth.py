@@ -27,3 +27,11 @@ def test_continue_ids(spark):
     assert sorted(r.sales_id for r in new.collect()) == list(range(100, 110))
     empty = existing.limit(0)
     assert sorted(r.sales_id for r in continue_ids(empty, "sales_id", spark.range(3), dirty_spec()).collect()) == [0, 1, 2]
+
+
+def test_ids_beyond_31_bits_do_not_repeat_rows(spark):
+    from sluice.sources.synth import bronze_spec, synth
+    step = 2147483647
+    seeds = spark.createDataFrame([(5 + k * step,) for k in range(6)] + [(5 + k, ) for k in range(1, 6)], "id bigint")
+    cols = ["first_name", "last_name", "age", "signup_date", "price", "date", "quantity", "sale_amount"]
+    assert synth(seeds, bronze_spec()).select(*cols).distinct().count() == 11
