@@ -4,7 +4,7 @@ Subpackages:
   sources    scans, rule catalogues, fixture bronze, generator
   functions  rule normalisation / binding, violation predicates
   operators  split, expectations, dedupe, upsert, change feed, SCD, profiles
-  sinks      snapshot table with commit log, quarantine folders, monitor tables
+  sinks      bucketed keyed tables, quarantine folders, monitor tables
   streaming  foreachBatch bronze -> silver jobs
   plans      per-batch plans, registered queries and their oracle SQL
 """

@@ -113,6 +113,16 @@ def collect_rules(rules: DataFrame, action: str = "quarantine") -> list[Rule]:
     return out
 
 
+def one_per_name(rules: Iterable[Rule]) -> list[Rule]:
+    """Rules judged together: reasons and counts go by name, so equal repeats collapse and one name
+    with two predicates raises (S14)."""
+    out: dict[str, Rule] = {}
+    for r in rules:
+        if out.setdefault(r.name, r).expression != r.expression:
+            raise ValueError(f"rule {r.name!r} has conflicting predicates: {out[r.name].expression!r} vs {r.expression!r}")
+    return list(out.values())
+
+
 def validate_rules(df: DataFrame, rules: Iterable[Rule]) -> None:
     """Resolve every rule against ``df`` without reading data.
 

@@ -15,7 +15,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.rules import Rule, as_rules
+from ..functions.rules import Rule, as_rules, one_per_name
 
 
 def passes(rule: Rule) -> Column:
@@ -70,14 +70,14 @@ def expectation_metrics(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
 
 
 def observe_expectations(df: DataFrame, rules: Iterable[Rule], name: str | None = None):
-    """Attach live metrics with ``observe`` (works for streaming too): ``rows`` and, per rule
-    in order, ``failed_<i>``.
+    """Attach live metrics with ``observe`` (works for streaming too): ``rows`` and, per rule,
+    ``failed_<name>``.
 
     Returns ``(df, observation)``; read ``observation.get`` after an action.
     Streaming queries report them in ``query.lastProgress['observedMetrics']``.
     """
-    rules = as_rules(rules)
+    rules = one_per_name(as_rules(rules))
     obs = Observation(name)
     exprs = [F.count(F.lit(1)).alias("rows")]
-    exprs += [F.count_if(~passes(r)).alias(f"failed_{i}") for i, r in enumerate(rules)]
+    exprs += [F.count_if(~passes(r)).alias(f"failed_{r.name}") for r in rules]
     return df.observe(obs, *exprs), obs

@@ -31,10 +31,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .dedupe import dedupe_latest
-from .neighbors import BUCKET
 
 SEQ, DELETED, TIEBREAK = "__seq", "__deleted", "__tb"
 START, END = "__start_at", "__end_at"
+BUCKET = "_seq_bucket"
 
 
 def prepare_changes(changes: DataFrame, keys: Sequence[str], sequence_by: str | Sequence[str],

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import failed_rules, unknown_rules, _check_policy
-from ..functions.rules import Rule
+from ..functions.rules import Rule, one_per_name
 
 FAILED_COL = "_failed_rules"
 UNKNOWN_COL = "_unknown_rules"
@@ -27,7 +27,7 @@ def judge(df: DataFrame, rules: Iterable[Rule], null_policy: str = "quarantine")
     failure but some NULL rule result, which the reference loses.
     """
     _check_policy(null_policy)
-    rules = list(rules)
+    rules = one_per_name(rules)
     failed = failed_rules(rules, "quarantine" if null_policy == "quarantine" else "pass")
     out = df.withColumn(FAILED_COL, failed)
     status = F.when(F.size(FAILED_COL) > 0, F.lit("quarantine"))
@@ -67,15 +67,10 @@ def rule_failure_counts(judged: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     One wide aggregate (a fixed number of ``count_if`` per rule) then an
     unpivot of its single row - no shuffle of table data.
     """
-    rules = list(rules)
+    rules = one_per_name(rules)
     if not rules:
         return judged.sparkSession.createDataFrame([], "rule_name string, failed_rows bigint")
     wide = judged.agg(*[F.count_if(F.array_contains(FAILED_COL, r.name)).alias(f"r{i}")
                         for i, r in enumerate(rules)])
     stacked = ", ".join("'{}', r{}".format(r.name.replace("'", "\\'"), i) for i, r in enumerate(rules))
     return wide.selectExpr(f"stack({len(rules)}, {stacked}) as (rule_name, failed_rows)")
-
-
-def reasons(judged: DataFrame) -> DataFrame:
-    """Quarantine reasons as a sorted, comma-joined string (checkable against SQL)."""
-    return judged.withColumn("reasons", F.array_join(F.array_sort(F.col(FAILED_COL)), ","))

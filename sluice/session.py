@@ -1,7 +1,7 @@
 """Session helpers: a local session for tests/bench and the shared work folder.
 
 Library code never creates a session; it takes the caller's.  Anything that must
-be written (stream checkpoints, snapshot tables, lineage cuts) goes under the
+be written (stream checkpoints, keyed tables, lineage cuts) goes under the
 folder the cluster names in ``spark.checkpoint.dir``.  Only when that is unset
 (local tests) do we pick one ourselves.
 """
@@ -37,8 +37,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    dir).  If neither is set, as in local tests, create a fresh folder and
-    register it so that ``DataFrame.checkpoint()`` uses it too.
+    dir).  If neither is set, a local session (tests) gets a fresh folder, registered so that
+    ``DataFrame.checkpoint()`` uses it too; on a cluster this raises.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()

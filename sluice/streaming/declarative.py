@@ -82,7 +82,7 @@ def apply_changes_batch(batch_df: DataFrame, batch_id: int, tag: str, expectatio
             if not targets:
                 kept.count()
             got = seen.get
-            rows = [(r.name, r.action, got["rows"] - got[f"failed_{i}"], got[f"failed_{i}"], batch_id) for i, r in enumerate(rules)]
+            rows = [(r.name, r.action, got["rows"] - got[f"failed_{r.name}"], got[f"failed_{r.name}"], batch_id) for r in rules]
             (literal_rows(spark, rows, "rule_name string, action string, passed_rows bigint, failed_rows bigint, batch_id bigint")
                  .write.mode("overwrite").parquet(f"{metrics_path}/_query={tag}/_batch_id={batch_id}"))
     finally:

@@ -1,10 +1,8 @@
 import random
 
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sluice.operators.neighbors import with_neighbors
 from sluice.operators.scd import prepare_changes, scd1_state, scd1_view, scd2, scd2_apply
 
 SCHEMA = "k int, v string, seq int, op string"
@@ -55,18 +53,6 @@ def test_except_columns(spark):
     assert "op" not in h.columns and h.count() == 1
 
 
-@settings(max_examples=8, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 60)), min_size=1, max_size=60, unique=True))
-def test_neighbors_match_plain_window(spark, pairs):
-    df = spark.createDataFrame([(k, s, random.choice("ab")) for k, s in pairs], "k int, s int, v string")
-    got = with_neighbors(df, ["k"], ["s"], ["v"], F.floor(F.col("s") / 7), prev="p", nxt="n")
-    w = Window.partitionBy("k").orderBy("s")
-    exp = df.select("k", "s", F.lag("s").over(w).alias("ps"), F.lead("s").over(w).alias("ns"))
-    a = sorted((r.k, r.s, r.p.s if r.p else None, r.n.s if r.n else None) for r in got.collect())
-    b = sorted((r.k, r.s, r.ps, r.ns) for r in exp.collect())
-    assert a == b
-
-
 def test_scd2_intervals_never_overlap(spark):
     rng = random.Random(7)
     rows = [(rng.randrange(5), rng.choice("ABC"), i, "u") for i in range(300)]
@@ -130,7 +116,7 @@ def test_scd2_plan_windows_by_key_and_bucket(spark):
     df = spark.range(5000).select(F.lit(1).alias("k"), F.col("id").alias("seq"), F.when(F.col("id") % 7 < 3, "A").otherwise("B").alias("v"))
     h = scd2(df, ["k"], "seq", ["k", "v"])
     plan = h._jdf.queryExecution().executedPlan().toString()
-    assert sum("Exchange hashpartitioning(k#" in x and "_nb_bucket" in x for x in plan.splitlines()) >= 1
+    assert sum("Exchange hashpartitioning(k#" in x and "_seq_bucket" in x for x in plan.splitlines()) >= 1
     assert h.count() == 1429 and h.filter("__end_at is null").count() == 1
 
 

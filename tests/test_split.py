@@ -71,3 +71,14 @@ def test_process_timestamp_is_one_value_per_query(spark, tiny):
     from sluice.functions.columns import with_process_timestamp
     df = with_process_timestamp(tiny)
     assert df.select("process_timestamp").distinct().count() == 1
+
+
+def test_judging_one_name_with_two_predicates_raises(spark):
+    import pytest
+    from sluice.functions.rules import Rule
+    from sluice.operators.split import judge, rule_failure_counts
+    df = spark.range(3).selectExpr("id as x")
+    with pytest.raises(ValueError, match="conflicting"):
+        judge(df, [Rule("r", "x > 0"), Rule("r", "x < 10")])
+    same = [Rule("r", "x > 0"), Rule("r", "x > 0")]
+    assert [tuple(r) for r in rule_failure_counts(judge(df, same), same).collect()] == [("r", 1)]
