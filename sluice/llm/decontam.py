@@ -2,7 +2,7 @@
 
 A test item with an error budget of k edits is cut into k + 1 pieces: any occurrence within the budget holds
 one of them unchanged. One Aho-Corasick pass over each text finds the exact piece hits; the stretch around each
-hit is verified with Myers' bit-parallel edit distance. Items go to the tasks in blocks of bounded size,
+hit, unless it lacks more than k of the item's disjoint short grams (an edit spoils one at most), is verified with Myers' bit-parallel edit distance. Items go to the tasks in blocks of bounded size,
 one pass over the documents checking each block.
 """
 
@@ -23,6 +23,7 @@ RATE = 0.1
 MIN_CHARS = 25
 #: Characters of items sent to a task at once.
 BLOCK_CHARS = 2_000_000
+GRAM = 5
 LEAKS = "array<struct<item_id:bigint,start:bigint,end:bigint,distance:bigint>>"
 
 
@@ -81,11 +82,22 @@ def matches(pattern: str, text: str, budget: int) -> Iterator[tuple[int, int, in
         i = j
 
 
+def near(grams: list[str], text: str, budget: int) -> bool:
+    """Whether ``text`` lacks at most ``budget`` of the grams."""
+    for g in grams:
+        if g not in text:
+            budget -= 1
+            if budget < 0:
+                return False
+    return True
+
+
 class Items:
     """Automaton over the pieces of a block of items."""
 
     def __init__(self, items: list[tuple[int | None, str]], rate: float):
         self.items = [(i, t, int(len(t) * rate)) for i, t in items]
+        self.grams = [[t[i : i + GRAM] for i in range(0, len(t) - GRAM + 1, GRAM)] for _, t, _ in self.items]
         pieces = defaultdict(list)
         for n, (_, text, budget) in enumerate(self.items):
             cuts = [len(text) * p // (budget + 1) for p in range(budget + 2)]
@@ -117,7 +129,8 @@ class Items:
                 else:
                     merged.append([a, b])
             for a, b in merged:
-                found += [(a + s, a + e, n, d) for s, e, d in matches(item, norm[a:b], budget)]
+                if near(self.grams[n], norm[a:b], budget):
+                    found += [(a + s, a + e, n, d) for s, e, d in matches(item, norm[a:b], budget)]
         if not found:
             return []
         at = [m.start() + i for m in re.finditer(r"\S+", text) for i in range(len(m[0]) + 1)]  # place of every normalised character, and of the space after a word
@@ -158,4 +171,5 @@ def leaks(text: Column, items: DataFrame, item_id: str = "item_id", item_text: s
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """One row per leak: ``doc_id, item_id, start, end, distance``; see :func:`leaks`. Repeated rows repeat theirs."""
     found = docs.select(F.col(id_col).alias("doc_id"), leaks(F.col(text_col), items, **kw).alias("leaks"))
-    return found.select("doc_id", F.explode("leaks").alias("l")).select("doc_id", "l.*")
+    # an outer explode: for a plain one Spark would run the search once more to filter empty arrays
+    return found.select("doc_id", F.explode_outer("leaks").alias("l")).filter("l is not null").select("doc_id", "l.*")
