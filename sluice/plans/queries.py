@@ -328,6 +328,15 @@ def scd2_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scd2_out(h)
 
 
+def scd2_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 on a sequence that ties (many events an hour) and with a NULL key: one change per key and hour,
+    no version of length zero."""
+    ev = _dirty_events(spark, sf_dir).filter("ts is not null").select(
+        "user_id", F.date_trunc("hour", "ts").alias("hour"), F.floor(F.hour("ts") / 6).cast("int").alias("phase"))
+    h = scd2(ev, ["user_id"], "hour", ["user_id", "phase"], strict=True)
+    return h.select("user_id", "phase", F.col("__start_at").cast("string").alias("from_hour"), F.col("__end_at").cast("string").alias("to_hour"))
+
+
 def scd2_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F3 + F4 + I5, incremental: two batches, the second with late rows; equals the
     batch history (same oracle as ``scd2_deletes``)."""
@@ -699,6 +708,7 @@ QUERIES = {
     "quality_metrics": quality_metrics,
     "null_policy_split": null_policy_split,
     "violation_policies": violation_policies,
+    "scd2_ties": scd2_ties,
     "declarative_clients": declarative_clients,
     "declarative_products": declarative_products,
     "declarative_sales": declarative_sales,
