@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +52,17 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a column that names each row, the same whenever it is computed.
+
+    Rows read straight from files are named by file and place there; other frames are written once, numbered.
+    """
+    try:
+        return df.withColumn(name, F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")))
+    except AnalysisException:
+        return cut(df.withColumn(name, F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("place"))), "rows")
+
+
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """Finaliser of splitmix64; ``seed`` gives independent functions."""
     with np.errstate(over="ignore"):
@@ -60,6 +72,13 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def first_of_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the first of each distinct pair of 64-bit values, how often it occurs)."""
+    with np.errstate(over="ignore"):
+        _, at, n = np.unique(mix(mix(a.astype(np.uint64), 71) + b.astype(np.uint64), 72), return_index=True, return_counts=True)
+    return at, n
+
+
 class Powers:
     """Powers of an odd base modulo 2**64 and of its inverse, as far as asked for."""
 

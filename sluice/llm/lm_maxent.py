@@ -21,17 +21,18 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, ByteHash, Powers, cut, mix, text_chunks, words
+from .common import LOWER, ByteHash, Powers, cut, first_of_pairs, mix, text_chunks, words
 
 #: Words with a softmax of their own, in classes of so many.
-HEAD, WIDTH = 256, 16
+HEAD, WIDTH = 256, 32
 #: Classes of all other words, by their last two bytes.
-ENDINGS = 48
+ENDINGS = 24
 CLASSES = HEAD // WIDTH + ENDINGS
-#: Rows of the hashed class and word weights.
+#: Rows of the hashed class and word weights; HEAD_ROWS * HEAD / WIDTH is below 2**16.
 ROWS, HEAD_ROWS = 1 << 14, 1 << 12
-TEMPLATES = 5
-#: Words whose counts travel to every task; the counts of rarer ones are joined by a shuffle.
+#: Of the five templates, those that words within a class have: the two words before, alone and together, and the last ending.
+NEAR = [0, 1, 2, 3]
+#: At most so many words' counts travel to every task; the counts of rarer ones are joined by a shuffle.
 KNOWN = 200_000
 BATCH, RATE = 4096, 0.25
 BLOCKS = 32
@@ -92,35 +93,38 @@ class Model:
         return np.where(rank >= 0, rank // WIDTH, HEAD // WIDTH + t.ending), np.where(rank >= 0, rank % WIDTH, -1)
 
 
-def softmax(rows: list[np.ndarray], bias: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    logits = weights[rows[0]] + bias
+def softmax(rows: np.ndarray, bias: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    logits = weights.take(rows[0], axis=0) + bias
     for r in rows[1:]:
-        logits += weights[r]
-    logits -= logits.max(1, keepdims=True)
+        logits += weights.take(r, axis=0)
+    np.minimum(logits, 60, out=logits)  # exp stays finite
     np.exp(logits, out=logits)
-    logits /= logits.sum(1, keepdims=True)
+    logits /= (logits @ np.ones(logits.shape[1], np.float32))[:, None]
     return logits
 
 
 def step(rows: np.ndarray, target: np.ndarray, bias: np.ndarray, weights: np.ndarray, square: np.ndarray, own_bias: np.ndarray | None = None) -> None:
     """One minibatch update; a row's rate falls with the squares of its gradients. own_bias: which bias row each example uses."""
-    g = softmax(list(rows), bias if own_bias is None else bias[own_bias], weights)
-    g[np.arange(len(target)), target] -= 1
+    g, n = softmax(rows, bias if own_bias is None else bias[own_bias], weights), len(target)
+    g[np.arange(n), target] -= 1
     if own_bias is None:
         bias -= RATE * g.mean(0)
     else:
-        np.add.at(bias, own_bias, -RATE / len(g) * g)
-    flat = rows.ravel()
-    order = np.argsort(flat, kind="stable")
-    at = np.flatnonzero(np.concatenate([[True], flat[order][1:] != flat[order][:-1]]))
-    summed = np.add.reduceat(g[order % len(target)], at, axis=0)
-    hit = flat[order][at]
-    square[hit] += (summed * summed).mean(1)
-    weights[hit] -= (RATE / np.sqrt(square[hit] + 1))[:, None] * summed
+        order = np.argsort(own_bias, kind="stable")
+        hit = np.flatnonzero(np.diff(own_bias[order], prepend=-1))
+        bias[own_bias[order][hit]] -= RATE / n * np.add.reduceat(g.take(order, axis=0), hit, axis=0)
+    for r in rows:
+        order = np.argsort(r, kind="stable")  # radix sort: rows are 16-bit
+        r = r[order]
+        at = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+        summed, hit = np.add.reduceat(g.take(order, axis=0), at, axis=0), r[at]
+        square[hit] += np.einsum("ij,ij->i", summed, summed) / summed.shape[1]
+        summed *= (RATE / np.sqrt(square[hit] + 1))[:, None]
+        weights[hit] -= summed
 
 
 def word_rows(f: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    return (f % np.uint64(HEAD_ROWS)).astype(np.int64) * (HEAD // WIDTH) + cls
+    return (f % np.uint64(HEAD_ROWS)).astype(np.uint16) * np.uint16(HEAD // WIDTH) + cls.astype(np.uint16)
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,13 +158,13 @@ def _train(model: Model):
         for _, bounds, data in text_chunks(batches):
             t = Tokens(bounds, data, powers)
             f, (cls, word) = t.features(), model.targets(t)
-            rows = (f % np.uint64(ROWS)).astype(np.int64)
+            rows = (f % np.uint64(ROWS)).astype(np.uint16)
             for a in range(0, len(cls), BATCH):
                 s = slice(a, a + BATCH)
                 step(rows[:, s], cls[s], own["bias"], own["weights"], square)
                 head = a + np.flatnonzero(word[s] >= 0)
                 if len(head):
-                    step(word_rows(f[:, head], cls[head]), word[head], own["word_bias"], own["word_weights"], word_square, cls[head])
+                    step(word_rows(f[np.ix_(NEAR, head)], cls[head]), word[head], own["word_bias"], own["word_weights"], word_square, cls[head])
             seen += len(cls)
         if seen:
             task = TaskContext.get().partitionId()
@@ -181,13 +185,21 @@ def _mean(t: pa.Table) -> pa.Table:
                                  "n": [float(n.sum())], "w": [w.astype(np.float32).tobytes()]}, BLOCK_SCHEMA)
 
 
-def fit(train: DataFrame) -> tuple[DataFrame, tuple[int, int], Model]:
-    """(counts of every training word, (tokens, distinct), model) from an (id, text) table."""
+def fit(train: DataFrame) -> tuple[DataFrame, tuple[int, int], Model, tuple[np.ndarray, np.ndarray]]:
+    """(counts of every training word, (tokens, distinct), model, (frequent words, their counts)) from an (id, text) table."""
     counts = cut(train.mapInArrow(_counts, "h long, ending long, c long").groupBy("h").agg(F.max("ending").alias("ending"), F.sum("c").alias("c")), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    # the least count of the words that travel: from a histogram over powers of 2 ** (1 / 16), a few hundred rows
+    level, least, left = F.floor(F.log2("c") * 16), None, KNOWN
+    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        left -= r["count"]
+        if left < 0:
+            break
+        least = r["level"]
+    known = counts.filter(level >= least).select("h", "c").toPandas() if least is not None else counts.limit(0).select("h", "c").toPandas()
     end = int(END.view(np.int64))
-    top = counts.filter(F.col("h") != end).orderBy(F.desc("c"), "h").limit(HEAD - 1).collect()
-    model = Model(np.array([end, *(r["h"] for r in top)], np.int64).view(np.uint64))
+    top = known[known["h"] != end].sort_values(["c", "h"], ascending=[False, True])["h"][: HEAD - 1]
+    model = Model(np.array([end, *top], np.int64).view(np.uint64))
     schema = "part string, block int, task int, n double, w binary"
     blocks = train.mapInArrow(_train(model), schema)
     blocks = blocks.groupBy("part", "block", F.expr("task div 32")).applyInArrow(_mean, schema)
@@ -196,7 +208,8 @@ def fit(train: DataFrame) -> tuple[DataFrame, tuple[int, int], Model]:
         got = sorted((r["block"], bytes(r["w"])) for r in blocks if r["part"] == name)
         if got:
             setattr(model, name, np.frombuffer(b"".join(w for _, w in got), np.float32).reshape(a.shape))
-    return counts, (total, distinct), model
+    known = known.sort_values("h", key=lambda h: h.to_numpy(np.int64).view(np.uint64))
+    return counts, (total, distinct), model, (known["h"].to_numpy(np.int64).view(np.uint64), known["c"].to_numpy(np.float64))
 
 
 def _score(model: Model, known: np.ndarray, c: np.ndarray, share: np.ndarray, base: float):
@@ -207,14 +220,14 @@ def _score(model: Model, known: np.ndarray, c: np.ndarray, share: np.ndarray, ba
             t = Tokens(bounds, data, powers)
             f, (cls, word) = t.features(), model.targets(t)
             logp = np.empty(len(cls))
-            rows = (f % np.uint64(ROWS)).astype(np.int64)
+            rows = (f % np.uint64(ROWS)).astype(np.uint16)
             for a in range(0, len(cls), BATCH):
                 s = slice(a, a + BATCH)
-                p = softmax(list(rows[:, s]), model.bias, model.weights)
+                p = softmax(rows[:, s], model.bias, model.weights)
                 logp[s] = np.log10(np.maximum(p[np.arange(len(p)), cls[s]], 1e-30)) - share[cls[s]]
                 head = a + np.flatnonzero(word[s] >= 0)
                 if len(head):
-                    p = softmax(list(word_rows(f[:, head], cls[head])), model.word_bias[cls[head]], model.word_weights)
+                    p = softmax(word_rows(f[np.ix_(NEAR, head)], cls[head]), model.word_bias[cls[head]], model.word_weights)
                     logp[head] += np.log10(np.maximum(p[np.arange(len(p)), word[head]], 1e-30))
             at = np.minimum(np.searchsorted(known, t.hash), max(len(known) - 1, 0))
             have = known[at] == t.hash if len(known) else np.zeros(len(cls), bool)
@@ -223,13 +236,13 @@ def _score(model: Model, known: np.ndarray, c: np.ndarray, share: np.ndarray, ba
             n, row = len(ids), task + seen + np.arange(len(ids))
             seen += n
             rare = np.flatnonzero(~have)
-            key = np.stack([t.row[rare].astype(np.uint64), t.hash[rare]])
-            pairs, tf = np.unique(key, axis=1, return_counts=True) if len(rare) else (key, np.empty(0, np.int64))
+            at, tf = first_of_pairs(t.row[rare], t.hash[rare])
+            rare = rare[at]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row), ids, pa.nulls(n, pa.int64()), pa.array(np.diff(t.first)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], names=SUMS)
             if len(rare):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row[pairs[0].astype(np.int64)]), pa.nulls(len(tf), ids.type), pa.array(pairs[1].view(np.int64)), pa.array(tf.astype(np.int64))]
+                    [pa.array(row[t.row[rare]]), pa.nulls(len(tf), ids.type), pa.array(t.hash[rare].view(np.int64)), pa.array(tf.astype(np.int64))]
                     + [pa.nulls(len(tf), x) for x in (pa.int64(), pa.float64(), pa.float64())], names=SUMS)
     return run
 
@@ -247,12 +260,11 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     gives an empty result.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    counts, (total, distinct), model = fit(docs.filter(learn))
-    most = counts.orderBy(F.desc("c"), "h").limit(KNOWN).toPandas().sort_values("h", key=lambda h: h.to_numpy().view(np.uint64))
+    counts, (total, distinct), model, (known, c) = fit(docs.filter(learn))
     head = [int(x) for x in model.head.view(np.int64)]
     mass = {r["ending"]: r["t"] for r in counts.filter(~F.col("h").isin(head)).groupBy("ending").agg(F.sum(F.col("c") + 1).alias("t")).collect()}
     share = np.log10(np.concatenate([np.ones(HEAD // WIDTH), [mass.get(e, 0) + 1.0 for e in range(ENDINGS)]]))
-    run = _score(model, most["h"].to_numpy(np.int64).view(np.uint64), most["c"].to_numpy(np.float64), share, float(np.log10(total + distinct + 1)))
+    run = _score(model, known, c, share, float(np.log10(total + distinct + 1)))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     found = cut(docs.mapInArrow(run, f"row long, doc_id {id_type}, h long, n long, known long, base double, score double"), "scores")
     rare = found.filter("h is not null").select("row", "h", "n").join(counts.select("h", "c"), "h")

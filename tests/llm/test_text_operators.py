@@ -180,8 +180,9 @@ def test_lm_probabilities_sum_to_one(spark):
     from sluice.llm.common import Powers
 
     train = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog"] * 20
-    counts, (total, distinct), model = L.fit(spark.createDataFrame(list(enumerate(train)), "doc_id long, text string"))
+    counts, (total, distinct), model, (known, c) = L.fit(spark.createDataFrame(list(enumerate(train)), "doc_id long, text string"))
     assert (total, distinct) == (20 * (6 + 6 + 5) + 60, 10)
+    assert c.sum() == total and len(known) == distinct and (np.diff(known.astype(float)) > 0).all()
     data = np.frombuffer(b"the cat", np.uint8)
     f = L.Tokens(np.array([0, len(data)]), data, Powers(0x9E3779B97F4A7C15)).features()
     p = L.softmax((f % np.uint64(L.ROWS)).astype(np.uint16), model.bias, model.weights)
