@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import bounded, cut, fresh, table
+from sluice.llm.common import bounded, cut, fresh, numbered, table
 from sluice.llm.decontam import leaks
 from sluice.llm.langid import UNDETERMINED, fold, identify
 from sluice.llm.line_dedup import dedup_lines
@@ -38,7 +38,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row of least (doc_id, row) of every group of linked documents."""
     row, key = fresh(docs, "row_"), fresh(docs, "key_")
-    rows = cut(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    rows = numbered(docs, row)
     found = jaccard_components(rows.withColumn(key, F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.col(row).alias("row"))), id_col=key)
     dropped = cut(found.filter("doc_id <> component_id").select(F.col("doc_id.row").alias(row)), "dropped")
     return rows.join(bounded(dropped), row, "left_anti").select(*docs.columns)
