@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ByteHash, Powers, cut, mix, text_chunks
+from .common import CHUNK_BYTES, ByteHash, Powers, cut, mix, text_chunks
 
 LENGTH, GRAM, SPREAD = 400, 32, 100
 #: Stretches a bucket holds on average, when cores are met and when collections are built.
@@ -89,7 +89,7 @@ def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, n
         sizes = np.cumsum(b.column("n_bytes").to_numpy())
         first = 0
         while first < len(b):
-            last = max(first + 1, int(np.searchsorted(sizes, (sizes[first - 1] if first else 0) + (2 << 20), side="right")))
+            last = max(first + 1, int(np.searchsorted(sizes, (sizes[first - 1] if first else 0) + CHUNK_BYTES, side="right")))
             part, unzip = b.slice(first, last - first), zstandard.ZstdDecompressor()
             texts = [unzip.decompress(z.as_buffer()) for z in part.column("z")]
             yield part, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64), np.frombuffer(b"".join(texts), np.uint8)
@@ -151,8 +151,8 @@ def _sides(length: int, spread: int):
         powers, size = Powers(0x9E3779B97F4A7C15), length - spread + 1
         for part, bounds, data in _open(batches):
             one, two = ByteHash(data, powers), ByteHash(data, powers, 2)
-            wide = np.zeros(len(data) + 2 * spread, np.uint16)
-            wide[spread : spread + len(data)] = data.astype(np.uint16) + 1
+            wide = np.zeros(len(data) + 2 * spread, np.uint8)
+            wide[spread : spread + len(data)] = np.minimum(data, 254) + 1  # no UTF-8 byte is larger
             for i in range(len(part)):
                 own = part.column("found")[i].values
                 at, lo, hi = (own.field(c).to_numpy() for c in ("at", "lo", "hi"))
@@ -235,7 +235,7 @@ def _build(t: pa.Table) -> pa.Table:
     cores = np.stack([t.column("h").to_numpy(), t.column("g").to_numpy()])
     group = np.unique(cores, axis=1, return_inverse=True)[1].ravel()
     row, at, lo, hi = (t.column(c).to_numpy() for c in ("row", "at", "lo", "hi"))
-    sides = np.frombuffer(b"".join(x.as_py() for x in t.column("side")), np.uint16).reshape(len(row), -1)
+    sides = np.frombuffer(b"".join(x.as_py() for x in t.column("side")), np.uint8).reshape(len(row), -1)
     found = repeats(group, sides, lo, hi)
     edge = np.diff(np.pad(found, ((0, 0), (1, 1))).astype(np.int8), axis=1)
     x, a = np.nonzero(edge == 1)
