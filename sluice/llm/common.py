@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 #: Bytes of text that numpy works on at once inside a task; a longer text is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 #: Rows of an id or two that may be broadcast; joins of more are shuffled.
 BROADCAST_ROWS = 500_000

@@ -41,7 +41,7 @@ CELL = 4000
 #: Nearest partners that a member of a star first gives; all of them before the end.
 BEST = 32
 #: Signatures a bucket holds on average; they take some 60 bytes each while it is sorted.
-BUCKET_ROWS = 1_000_000
+BUCKET_ROWS = 2_000_000
 #: Signatures that a task holds before it sends them on.
 FLUSH = 1_000_000
 
@@ -61,7 +61,7 @@ def bands(largest: int, num: int, den: int, growth: float = 1.7) -> list[tuple[i
             k = max(2, d // 10) + 1
             out.append((low, top, d + k, k))
         low = after
-    return out
+    return out if len(out) <= 32 else bands(largest, num, den, growth * 1.2)  # a tag has five bits for the band
 
 
 def shingle_sets(bounds: np.ndarray, data: np.ndarray, powers: Powers, size: int = SHINGLE) -> list[np.ndarray]:
@@ -139,7 +139,7 @@ def signatures(s: np.ndarray, all_bands: list[tuple[int, int, int, int]]) -> Ite
                 break
 
 
-RUN = (("fp", np.int64), ("n", np.uint32), ("slack", np.uint16), ("tag", np.uint8))
+RUN = (("fp", np.int64), ("n", np.uint32), ("slack", np.uint8), ("tag", np.uint8))
 
 
 def _emit(all_bands: list, buckets: int, size: int):
@@ -170,7 +170,7 @@ def _emit(all_bands: list, buckets: int, size: int):
                 seen.add(fp)
                 for sig, slack, tag in signatures(s, all_bands):
                     sigs.append(sig)
-                    runs.append((fp, len(s), slack, tag))
+                    runs.append((fp, len(s), min(slack, 255), tag))  # less slack is safe, only slower
                     rows += len(sig)
             if rows >= FLUSH:
                 yield from pack(sigs, runs)

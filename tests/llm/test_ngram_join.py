@@ -55,6 +55,10 @@ def test_bands_cover_all_linked_sizes():
                 assert any(low <= a and b <= top and m - k >= d for low, top, m, k in bands)
 
 
+def test_bands_fit_their_tag():
+    assert len(N.bands(10**9, 80, 100)) <= 32
+
+
 def test_hamming_is_a_lower_bound():
     draw = np.random.default_rng(1)
     for _ in range(200):
