@@ -1,14 +1,15 @@
 """Log probability of texts under a hashed maximum-entropy model.
 
 Tokens are lower-case words and one end per text. A token's probability is that of its class given the
-context, times that of the word in its class. Frequent words sit in classes of ``WIDTH`` words with a softmax
-of their own; all others are classed by a hash of their ending, where a word with training count c has (c + 1) / (T + 1), T
-being the sum of c + 1 over the class, and an unseen word 1 / (T + 1). Both softmaxes are linear in hashed
-features of the context: the word before, the one before that (skip), the two together, and the
-endings of the last three.
-
-Training counts cover every training text. The weights come from distributed gradient updates: each
-task runs minibatch steps over its texts, and the tasks' weights are averaged block by block.
+context, times that of the word in its class. The ``HEAD`` most frequent words sit in classes of ``WIDTH`` words; all others
+are classed by a hash of their ending, and there each word of at least ``LEAST`` occurrences is a leaf of a tree of softmaxes of
+``WIDTH`` slots, as deep as the class has words. The rarer words of a class share one leaf, in which a word with training count c has
+(c + 1) / (T + 1), T being the sum of c + 1 over them, and an unseen word 1 / (T + 1). All softmaxes are linear in the same
+hashed features of the context: the word before, the one before that (skip), the two together, the last ending, and the two endings before that. They start at the words' shares.
+
+Training counts cover every training text. The weights come from distributed gradient updates in ``ROUNDS`` rounds, each over
+a hash share of the texts: each task runs minibatch steps over its texts from the last round's weights, and the tasks' weights are
+averaged block by block.
 """
 
 from __future__ import annotations
@@ -23,19 +24,22 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, ByteHash, Powers, cut, first_of_pairs, mix, text_chunks, words
 
-#: Words with a softmax of their own, in classes of so many.
-HEAD, WIDTH = 256, 32
+#: Most frequent words, in classes of so many; also the slots of a softmax in a class.
+HEAD, WIDTH = 256, 16
 #: Classes of all other words, by their last two bytes.
-ENDINGS = 24
+ENDINGS = 48
 CLASSES = HEAD // WIDTH + ENDINGS
-#: Rows of the hashed class and word weights; HEAD_ROWS * HEAD / WIDTH is below 2**16.
+#: Every word of at least so many occurrences has a softmax in its class.
+LEAST = 100
+#: Least rows of the hashed class weights, and of the word weights for each head class; with the words they grow to MOST_ROWS, which bound a task's memory.
 ROWS, HEAD_ROWS = 1 << 14, 1 << 12
-#: Of the five templates, those that words within a class have: the two words before, alone and together, and the last ending.
-NEAR = [0, 1, 2, 3]
-#: At most so many words' counts travel to every task; the counts of rarer ones are joined by a shuffle.
+MOST_ROWS = (1 << 16, 1 << 18)
+#: The templates that words within a class have: all five.
+NEAR = [0, 1, 2, 3, 4]
+#: So many words' counts, and those of at least LEAST, travel to every task; the counts of rarer ones are joined by a shuffle.
 KNOWN = 200_000
 BATCH, RATE = 4096, 0.25
-BLOCKS = 32
+BLOCKS, ROUNDS = 32, 4
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
@@ -71,26 +75,81 @@ class Tokens:
             return np.stack([mix(one, 21), mix(two, 22), mix(one * np.uint64(3) + two, 23), mix(e[0], 24), mix(e[1] * np.uint64(64) + e[2], 25)])
 
 
+def _log_share(mass: np.ndarray, live: np.ndarray) -> np.ndarray:
+    """Log of each slot's share of its row; slots that no word has are out."""
+    mass = np.where(live, mass + 1.0, 0)
+    return np.where(live, np.log(np.maximum(mass, 1) / np.maximum(mass.sum(-1, keepdims=True), 1)), -1e9).astype(np.float32)
+
+
+def _rows(least: int, wanted: float, most: int) -> int:
+    while least < min(wanted, most):
+        least *= 2
+    return least
+
+
 class Model:
-    """Weights and the classes they speak of."""
+    """Weights and the classes they speak of.
 
-    def __init__(self, head: np.ndarray):
+    head: hashes of the words with a softmax, by falling count, with their ``ending`` classes and counts; mass: by ending class, the
+    sums of c and of c + 1 over all other words.
+    """
+
+    def __init__(self, head: np.ndarray, ending: np.ndarray, count: np.ndarray, mass: np.ndarray):
         self.order = np.argsort(head)
         self.head = head[self.order]  # sorted hashes of the frequent words
-        self.bias, self.weights = np.zeros(CLASSES, np.float32), np.zeros((ROWS, CLASSES), np.float32)
-        self.word_bias, self.word_weights = np.zeros((HEAD // WIDTH, WIDTH), np.float32), np.zeros((HEAD_ROWS * (HEAD // WIDTH), WIDTH), np.float32)
-        slots = np.arange(HEAD).reshape(-1, WIDTH)
-        self.word_bias[slots >= len(head)] = -1e9  # no such word
-        self.bias[: HEAD // WIDTH][(slots >= len(head)).all(1)] = -1e9
+        self.share = np.log10(mass[1] + 1.0)
+        # leaf 0 of an ending class is its rare words, the others are its words by falling count
+        deep, self.place = ending[HEAD:], np.zeros(len(head), np.int64)
+        self.size = np.bincount(deep, minlength=ENDINGS)
+        by = np.argsort(deep, kind="stable")
+        self.place[HEAD + by] = 1 + np.arange(len(by)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
+        self.depth = 0
+        while len(deep) and WIDTH**self.depth <= self.size.max():
+            self.depth += 1
+        tops = HEAD // WIDTH
+        first, near = tops, np.zeros(HEAD)
+        near[: len(count)] = count[:HEAD]
+        slots = np.arange(HEAD).reshape(-1, WIDTH) < len(head)
+        biases, self.base = [_log_share(near.reshape(-1, WIDTH), slots)], []
+        for level in range(self.depth):
+            span = WIDTH ** (self.depth - level - 1)  # leaves below a slot
+            nodes = self.size // (span * WIDTH) + 1
+            self.base.append(first + np.cumsum(nodes) - nodes)
+            at = (np.concatenate([self.base[-1][deep], self.base[-1]]) - first) * WIDTH + np.concatenate([self.place[HEAD:], np.zeros(ENDINGS, np.int64)]) // span
+            weight = np.bincount(at, np.concatenate([count[HEAD:], mass[0]]), minlength=nodes.sum() * WIDTH)
+            live = np.arange(nodes.sum() * WIDTH) - np.repeat(self.base[-1] - first, nodes * WIDTH) * WIDTH
+            live = live * span <= np.repeat(self.size, nodes * WIDTH)
+            biases.append(_log_share(weight.reshape(-1, WIDTH), live.reshape(-1, WIDTH)))
+            first += nodes.sum()
+        self.word_bias = np.concatenate(biases)
+        classes = np.concatenate([near.reshape(-1, WIDTH).sum(1), np.bincount(deep, count[HEAD:], minlength=ENDINGS) + mass[0]])
+        self.bias = _log_share(classes, np.concatenate([slots.any(1), np.ones(ENDINGS, bool)]))
+        self.weights = np.zeros((_rows(ROWS, len(head) / 2, MOST_ROWS[0]), CLASSES), np.float32)
+        self.word_weights = np.zeros((_rows(HEAD_ROWS * tops, len(head) * 4, MOST_ROWS[1]), WIDTH), np.float32)
+        self.square, self.word_square = np.zeros(len(self.weights), np.float32), np.zeros(len(self.word_weights), np.float32)
 
     def parts(self) -> dict[str, np.ndarray]:
-        return {k: getattr(self, k) for k in ("bias", "weights", "word_bias", "word_weights")}
+        return {k: getattr(self, k) for k in ("bias", "weights", "square", "word_bias", "word_weights", "word_square")}
 
     def targets(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
-        """(class, word within its class or -1) of each token."""
+        """(class, rank or -1 for words without a softmax) of each token."""
         at = np.minimum(np.searchsorted(self.head, t.hash), len(self.head) - 1)
         rank = np.where(self.head[at] == t.hash, self.order[at], -1)
-        return np.where(rank >= 0, rank // WIDTH, HEAD // WIDTH + t.ending), np.where(rank >= 0, rank % WIDTH, -1)
+        return np.where((rank >= 0) & (rank < HEAD), rank // WIDTH, HEAD // WIDTH + t.ending), rank
+
+    def path(self, cls: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(token, softmax within its class, slot there) for every softmax on the way to each token."""
+        top = np.flatnonzero(cls < HEAD // WIDTH)
+        token, node, slot = [top], [cls[top]], [rank[top] % WIDTH]
+        if self.depth:
+            rest = np.flatnonzero(cls >= HEAD // WIDTH)
+            place, ending = np.where(rank[rest] >= 0, self.place[rank[rest]], 0), cls[rest] - HEAD // WIDTH
+            for level, base in enumerate(self.base):
+                span = WIDTH ** (self.depth - level - 1)
+                token.append(rest)
+                node.append(base[ending] + place // (span * WIDTH))
+                slot.append(place // span % WIDTH)
+        return np.concatenate(token), np.concatenate(node), np.concatenate(slot)
 
 
 def softmax(rows: np.ndarray, bias: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -103,6 +162,15 @@ def softmax(rows: np.ndarray, bias: np.ndarray, weights: np.ndarray) -> np.ndarr
     return logits
 
 
+def _runs(r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order that sorts r, where each value begins in it, the values)."""
+    key = r.astype(np.int64) << 20 | np.arange(len(r))  # one sort of plain numbers; a batch has fewer than 2**20 rows
+    key.sort()
+    value = key >> 20
+    at = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+    return key & ((1 << 20) - 1), at, value[at]
+
+
 def step(rows: np.ndarray, target: np.ndarray, bias: np.ndarray, weights: np.ndarray, square: np.ndarray, own_bias: np.ndarray | None = None) -> None:
     """One minibatch update; a row's rate falls with the squares of its gradients. own_bias: which bias row each example uses."""
     g, n = softmax(rows, bias if own_bias is None else bias[own_bias], weights), len(target)
@@ -110,21 +178,19 @@ def step(rows: np.ndarray, target: np.ndarray, bias: np.ndarray, weights: np.nda
     if own_bias is None:
         bias -= RATE * g.mean(0)
     else:
-        order = np.argsort(own_bias, kind="stable")
-        hit = np.flatnonzero(np.diff(own_bias[order], prepend=-1))
-        bias[own_bias[order][hit]] -= RATE / n * np.add.reduceat(g.take(order, axis=0), hit, axis=0)
+        order, at, hit = _runs(own_bias)
+        bias[hit] -= RATE / n * np.add.reduceat(g.take(order, axis=0), at, axis=0)
     for r in rows:
-        order = np.argsort(r, kind="stable")  # radix sort: rows are 16-bit
-        r = r[order]
-        at = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-        summed, hit = np.add.reduceat(g.take(order, axis=0), at, axis=0), r[at]
+        order, at, hit = _runs(r)
+        summed = np.add.reduceat(g.take(order, axis=0), at, axis=0)
         square[hit] += np.einsum("ij,ij->i", summed, summed) / summed.shape[1]
         summed *= (RATE / np.sqrt(square[hit] + 1))[:, None]
         weights[hit] -= summed
 
 
-def word_rows(f: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    return (f % np.uint64(HEAD_ROWS)).astype(np.uint16) * np.uint16(HEAD // WIDTH) + cls.astype(np.uint16)
+def word_rows(f: np.ndarray, node: np.ndarray, rows: int = HEAD_ROWS * (HEAD // WIDTH)) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (((f ^ (node.astype(np.uint64) * END)) * START) >> np.uint64(65 - rows.bit_length())).astype(np.uint32)
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,18 +219,18 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _train(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, square, word_square, seen = Powers(0x9E3779B97F4A7C15), np.zeros(ROWS, np.float32), np.zeros(len(model.word_weights), np.float32), 0
+        powers, seen = Powers(0x9E3779B97F4A7C15), 0
         own = {k: v.copy() for k, v in model.parts().items()}
         for _, bounds, data in text_chunks(batches):
             t = Tokens(bounds, data, powers)
-            f, (cls, word) = t.features(), model.targets(t)
-            rows = (f % np.uint64(ROWS)).astype(np.uint16)
+            f, (cls, rank) = t.features(), model.targets(t)
+            rows = (f % np.uint64(len(model.weights))).astype(np.uint32)
             for a in range(0, len(cls), BATCH):
                 s = slice(a, a + BATCH)
-                step(rows[:, s], cls[s], own["bias"], own["weights"], square)
-                head = a + np.flatnonzero(word[s] >= 0)
-                if len(head):
-                    step(word_rows(f[np.ix_(NEAR, head)], cls[head]), word[head], own["word_bias"], own["word_weights"], word_square, cls[head])
+                step(rows[:, s], cls[s], own["bias"], own["weights"], own["square"])
+                token, node, slot = model.path(cls[s], rank[s])
+                if len(token):
+                    step(word_rows(f[:, s].take(token, axis=1), node, len(model.word_weights)), slot, own["word_bias"], own["word_weights"], own["word_square"], node)
             seen += len(cls)
         if seen:
             task = TaskContext.get().partitionId()
@@ -196,43 +262,57 @@ def fit(train: DataFrame) -> tuple[DataFrame, tuple[int, int], Model, tuple[np.n
         if left < 0:
             break
         least = r["level"]
-    known = counts.filter(level >= least).select("h", "c").toPandas() if least is not None else counts.limit(0).select("h", "c").toPandas()
+    travels = F.col("c") >= LEAST if least is None else (F.col("c") >= LEAST) | (level >= least)
+    known = counts.filter(travels).select("h", "ending", "c").toPandas()
     end = int(END.view(np.int64))
-    top = known[known["h"] != end].sort_values(["c", "h"], ascending=[False, True])["h"][: HEAD - 1]
-    model = Model(np.array([end, *top], np.int64).view(np.uint64))
+    top = known[known["h"] != end].sort_values(["c", "h"], ascending=[False, True])
+    top = top[: max(HEAD - 1, int((top["c"] >= LEAST).sum()))]
+    mass = np.zeros((2, ENDINGS), np.int64)
+    for r in counts.filter(F.col("h") != end).groupBy("ending").agg(F.sum("c").alias("c"), F.sum(F.col("c") + 1).alias("t")).collect():
+        mass[:, r["ending"]] = r["c"], r["t"]
+    top_ending, top_count = top["ending"].to_numpy(np.int64), top["c"].to_numpy(np.int64)
+    for i in (0, 1):
+        np.subtract.at(mass[i], top_ending, top_count + i)
+    ends = int(known["c"][known["h"] == end].sum())
+    model = Model(np.concatenate([[end], top["h"].to_numpy(np.int64)]).astype(np.int64).view(np.uint64), np.append(0, top_ending), np.append(ends, top_count), mass)
     schema = "part string, block int, task int, n double, w binary"
-    blocks = train.mapInArrow(_train(model), schema)
-    blocks = blocks.groupBy("part", "block", F.expr("task div 32")).applyInArrow(_mean, schema)
-    blocks = blocks.groupBy("part", "block").applyInArrow(_mean, schema).collect()
-    for name, a in model.parts().items():
-        got = sorted((r["block"], bytes(r["w"])) for r in blocks if r["part"] == name)
-        if got:
-            setattr(model, name, np.frombuffer(b"".join(w for _, w in got), np.float32).reshape(a.shape))
+    for n in range(ROUNDS):
+        part = train.filter(F.pmod(F.xxhash64(*train.columns), F.lit(ROUNDS)) == n)
+        blocks = part.mapInArrow(_train(model), schema)
+        blocks = blocks.groupBy("part", "block", F.expr("task div 32")).applyInArrow(_mean, schema)
+        blocks = blocks.groupBy("part", "block").applyInArrow(_mean, schema).collect()
+        for name, a in model.parts().items():
+            got = sorted((r["block"], bytes(r["w"])) for r in blocks if r["part"] == name)
+            if got:
+                setattr(model, name, np.frombuffer(b"".join(w for _, w in got), np.float32).reshape(a.shape))
+    model.square = model.word_square = np.empty(0, np.float32)  # not needed to score
     known = known.sort_values("h", key=lambda h: h.to_numpy(np.int64).view(np.uint64))
     return counts, (total, distinct), model, (known["h"].to_numpy(np.int64).view(np.uint64), known["c"].to_numpy(np.float64))
 
 
-def _score(model: Model, known: np.ndarray, c: np.ndarray, share: np.ndarray, base: float):
+def _score(model: Model, known: np.ndarray, c: np.ndarray, base: float):
     """Row 0 of each text: its sums so far; further rows: its words whose counts are elsewhere."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, task, seen, log_c = Powers(0x9E3779B97F4A7C15), TaskContext.get().partitionId() << 40, 0, np.log10(c + 1.0)
         for ids, bounds, data in text_chunks(batches):
             t = Tokens(bounds, data, powers)
-            f, (cls, word) = t.features(), model.targets(t)
+            f, (cls, rank) = t.features(), model.targets(t)
             logp = np.empty(len(cls))
-            rows = (f % np.uint64(ROWS)).astype(np.uint16)
+            rows = (f % np.uint64(len(model.weights))).astype(np.uint32)
             for a in range(0, len(cls), BATCH):
                 s = slice(a, a + BATCH)
                 p = softmax(rows[:, s], model.bias, model.weights)
-                logp[s] = np.log10(np.maximum(p[np.arange(len(p)), cls[s]], 1e-30)) - share[cls[s]]
-                head = a + np.flatnonzero(word[s] >= 0)
-                if len(head):
-                    p = softmax(word_rows(f[np.ix_(NEAR, head)], cls[head]), model.word_bias[cls[head]], model.word_weights)
-                    logp[head] += np.log10(np.maximum(p[np.arange(len(p)), word[head]], 1e-30))
+                logp[s] = np.log10(np.maximum(p[np.arange(len(p)), cls[s]], 1e-30))
+                token, node, slot = model.path(cls[s], rank[s])
+                if len(token):
+                    p = softmax(word_rows(f[:, s].take(token, axis=1), node, len(model.word_weights)), model.word_bias[node], model.word_weights)
+                    logp[s] += np.bincount(token, np.log10(np.maximum(p[np.arange(len(p)), slot], 1e-30)), minlength=len(logp[s]))
+            other = np.flatnonzero(rank < 0)
+            logp[other] -= model.share[t.ending[other]]
             at = np.minimum(np.searchsorted(known, t.hash), max(len(known) - 1, 0))
             have = known[at] == t.hash if len(known) else np.zeros(len(cls), bool)
             count = np.where(have, log_c[at] if len(known) else 0, 0)
-            sums = [np.add.reduceat(x, t.first[:-1]) for x in (have & (c[at] > 0) if len(known) else have.astype(np.int64), count - base, logp + np.where(word >= 0, 0, count))]
+            sums = [np.add.reduceat(x, t.first[:-1]) for x in (have & (c[at] > 0) if len(known) else have.astype(np.int64), count - base, logp + np.where(rank >= 0, 0, count))]
             n, row = len(ids), task + seen + np.arange(len(ids))
             seen += n
             rare = np.flatnonzero(~have)
@@ -261,10 +341,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     counts, (total, distinct), model, (known, c) = fit(docs.filter(learn))
-    head = [int(x) for x in model.head.view(np.int64)]
-    mass = {r["ending"]: r["t"] for r in counts.filter(~F.col("h").isin(head)).groupBy("ending").agg(F.sum(F.col("c") + 1).alias("t")).collect()}
-    share = np.log10(np.concatenate([np.ones(HEAD // WIDTH), [mass.get(e, 0) + 1.0 for e in range(ENDINGS)]]))
-    run = _score(model, known, c, share, float(np.log10(total + distinct + 1)))
+    run = _score(model, known, c, float(np.log10(total + distinct + 1)))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     found = cut(docs.mapInArrow(run, f"row long, doc_id {id_type}, h long, n long, known long, base double, score double"), "scores")
     rare = found.filter("h is not null").select("row", "h", "n").join(counts.select("h", "c"), "h")

@@ -201,3 +201,40 @@ def test_lm_of_odd_rows(spark):
     nothing = score(docs(spark), F.lit(False)).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 for r in nothing)
     assert score(docs(spark, []), F.lit(True)).collect() == []
+
+
+def test_lm_every_word_above_a_count_has_a_softmax(spark):
+    from sluice.llm import lm_maxent as L
+    from sluice.llm.common import Powers
+
+    pairs = [(f"l{i}x", f"r{i}x") for i in range(500)]  # all of one ending class
+    draw = random.Random(1)
+    text = [" ".join(w for i in draw.sample(range(500), 500) for w in pairs[i]) for _ in range(150)]
+    train = [*text, "seldom"]
+    _, _, model, (known, c) = L.fit(spark.createDataFrame(list(enumerate(train)), "doc_id long, text string"))
+    assert L.CLASSES == 64 and len(L.NEAR) == 5 and len(model.head) == 1001 and model.depth >= 2  # 1,000 words of 150 and the end
+    data = np.frombuffer(" ".join(a + " " + b for a, b in pairs).encode(), np.uint8)
+    t = L.Tokens(np.array([0, len(data)]), data, Powers(0x9E3779B97F4A7C15))
+    cls, rank = model.targets(t)
+    assert (rank >= 0).sum() == len(cls) and len(set(rank)) == 1001
+    # all leaves after one context: their probabilities sum to one
+    ranks = np.concatenate([np.arange(len(model.head)), np.full(L.ENDINGS, -1)])
+    of = np.zeros(len(model.head), np.int64)
+    of[rank] = cls
+    classes = np.concatenate([of, L.HEAD // L.WIDTH + np.arange(L.ENDINGS)])
+    f = np.repeat(t.features()[:, 1:2], len(ranks), axis=1)
+    p = L.softmax((f % np.uint64(len(model.weights))).astype(np.uint32), model.bias, model.weights)[np.arange(len(ranks)), classes]
+    token, node, slot = model.path(classes, ranks)
+    q = L.softmax(L.word_rows(f[:, token], node, len(model.word_weights)), model.word_bias[node], model.word_weights)[np.arange(len(token)), slot]
+    np.multiply.at(p, token, q)
+    assert p.sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_lm_context_counts_for_words_below_the_head(spark):
+    from sluice.llm.lm_maxent import score
+
+    draw = random.Random(1)
+    rows = [(n, " ".join(f"l{i}x r{i}x" for i in draw.sample(range(500), 500))) for n in range(150)]
+    rows += [(1000 + i, f"l{i}x r{i}x") for i in range(500)] + [(2000 + i, f"l{i}x r{(i + 7) % 500}x") for i in range(500)]
+    got = {r.doc_id: r.score for r in score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") < 1000).collect()}
+    assert np.mean([got[1000 + i] > got[2000 + i] for i in range(500)]) > 0.95
