@@ -2,8 +2,8 @@
 
 A test item with an error budget of k edits is cut into k + 1 pieces: any occurrence within the budget holds
 one of them unchanged. One Aho-Corasick pass over each text finds the exact piece hits; the stretch around each
-hit, unless it lacks more than k of the item's disjoint short grams (an edit spoils one at most), is verified with Myers' bit-parallel edit distance. Items go to the tasks in blocks of bounded size,
-one pass over the documents checking each block.
+hit, unless it lacks more than k of the item's disjoint short grams (an edit spoils one at most), is verified with Myers' bit-parallel edit distance. A short
+item must besides begin and end at word edges. Items go to the tasks in blocks of bounded size, one pass over the documents checking each block.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 #: Edits allowed per character of an item.
 RATE = 0.1
-#: Items of fewer normalised characters say nothing about a leak and are not searched.
+#: Items of fewer normalised characters are found at word edges only.
 MIN_CHARS = 25
 #: Characters of items sent to a task at once.
 BLOCK_CHARS = 2_000_000
@@ -82,6 +82,34 @@ def matches(pattern: str, text: str, budget: int) -> Iterator[tuple[int, int, in
         i = j
 
 
+def inner(c: str) -> bool:
+    """Whether ``c`` is a letter or digit of a script that parts words by spaces."""
+    return c.isalnum() and not ("\u0e00" <= c < "\u0f00" or "\u1000" <= c < "\u10a0" or "\u1780" <= c < "\u1800" or "\u2e80" <= c < "\uac00" or c >= "\ud7b0")
+
+
+def word_matches(pattern: str, text: str, budget: int, a: int, b: int) -> Iterator[tuple[int, int, int]]:
+    """(start, end, distance) of the best stretch of every group of overlapping ones within the budget, in ``text[a:b]`` and between word edges of ``text``."""
+    edges = [p for p in range(a, b + 1) if p in (0, len(text)) or not (inner(text[p - 1]) and inner(text[p]))]
+    least, most, found = len(pattern) - budget, len(pattern) + budget, []
+    for s in edges:
+        ends = [e for e in edges if least <= e - s <= most and e > s and text[s] != " " and text[e - 1] != " "]
+        if not ends:
+            continue
+        if budget:
+            to = scores(pattern, text[s : ends[-1]], anchored=True)
+            found += [(s, e, to[e - s - 1]) for e in ends if to[e - s - 1] <= budget]
+        elif text.startswith(pattern, s):
+            found.append((s, s + len(pattern), 0))
+    i = 0
+    while i < len(found):
+        j, upto = i, found[i][1]
+        while j < len(found) and found[j][0] < upto:
+            upto = max(upto, found[j][1])
+            j += 1
+        yield min(found[i:j], key=lambda m: (m[2], m[0], m[1]))
+        i = j
+
+
 def near(grams: list[str], text: str, budget: int) -> bool:
     """Whether ``text`` lacks at most ``budget`` of the grams."""
     for g in grams:
@@ -95,7 +123,8 @@ def near(grams: list[str], text: str, budget: int) -> bool:
 class Items:
     """Automaton over the pieces of a block of items."""
 
-    def __init__(self, items: list[tuple[int | None, str]], rate: float):
+    def __init__(self, items: list[tuple[int | None, str]], rate: float, min_chars: int = MIN_CHARS):
+        self.min_chars = min_chars
         self.items = [(i, t, int(len(t) * rate)) for i, t in items]
         self.grams = [[t[i : i + GRAM] for i in range(0, len(t) - GRAM + 1, GRAM)] for _, t, _ in self.items]
         pieces = defaultdict(list)
@@ -129,7 +158,9 @@ class Items:
                 else:
                     merged.append([a, b])
             for a, b in merged:
-                if near(self.grams[n], norm[a:b], budget):
+                if len(item) < self.min_chars:
+                    found += [(s, e, n, d) for s, e, d in word_matches(item, norm, budget, a, b)]
+                elif near(self.grams[n], norm[a:b], budget):
                     found += [(a + s, a + e, n, d) for s, e, d in matches(item, norm[a:b], budget)]
         if not found:
             return []
@@ -137,10 +168,10 @@ class Items:
         return [{"item_id": self.items[n][0], "start": at[s], "end": at[e - 1] + 1, "distance": d} for s, e, n, d in sorted(found)]
 
 
-def _finder(items: list[tuple[int | None, str]], rate: float):
+def _finder(items: list[tuple[int | None, str]], rate: float, min_chars: int):
     @F.arrow_udf(LEAKS)
     def find(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        block = Items(items, rate)
+        block = Items(items, rate, min_chars)
         kind = pa.list_(pa.struct([(c, pa.int64()) for c in ("item_id", "start", "end", "distance")]))
         for part in texts:
             yield pa.array((block.leaks(t.as_py()) for t in part), kind)
@@ -154,7 +185,9 @@ def leaks(text: Column, items: DataFrame, item_id: str = "item_id", item_text: s
     Edits are counted on lower-case text with single spaces; start and end are character offsets in the
     original. For each item and each run of neighbouring ends within the budget the nearest stretch (the first of equals) is given. Null and
     empty texts, and an empty item table, give an empty array. Repeated items are each reported; items with a
-    null text, or of fewer than ``min_chars`` characters, are not searched.
+    null or blank text are not searched. An item of fewer than ``min_chars`` characters has the same budget, but counts only where the
+    stretch begins and ends at word edges (places not between two letters or digits; in scripts written without spaces
+    every place); of overlapping stretches the nearest, then the first, is given.
     """
     spaced = F.length(F.regexp_replace(F.trim(F.col(item_text)), r"\s+", " "))
     own = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t"), spaced.alias("n")).filter("n > 0")
@@ -163,8 +196,8 @@ def leaks(text: Column, items: DataFrame, item_id: str = "item_id", item_text: s
     found = []
     for b in range(blocks):
         part = own.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).select("i", "t").collect()
-        texts = [(r["i"], t) for r in part if len(t := normalised(r["t"])) >= min_chars]
-        found.append(_finder(texts, rate)(text))
+        texts = [(r["i"], t) for r in part if (t := normalised(r["t"]))]
+        found.append(_finder(texts, rate, min_chars)(text))
     return F.concat(*found) if len(found) > 1 else found[0]
 
 

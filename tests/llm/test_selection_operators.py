@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -222,6 +223,43 @@ def test_leaks_of_odd_rows(spark, monkeypatch):
     assert D.contamination(docs(spark), items.limit(0)).collect() == []
 
 
+def test_short_items_are_found_at_word_edges(spark):
+    from sluice.llm.decontam import contamination
+
+    items = spark.createDataFrame([(1, "Paris"), (2, "the blue whale"), (3, "42"), (4, "東京"), (5, " \n"), (6, "C++")], "item_id long, text string")
+    texts = ["(PARIS), of course", "comparison", "the  blue\nwhale!", "a tha blue whale swims", "the blue whalers' ships", "142 420", "is 42.", "私は東京に住む", "c++ code", "the blue whale the blue whale", ""]
+    got = contamination(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), items).collect()
+    assert {(r.doc_id, r.item_id, texts[r.doc_id][r.start : r.end], r.distance) for r in got} == {
+        (0, 1, "PARIS", 0), (2, 2, "the  blue\nwhale", 0), (3, 2, "tha blue whale", 1), (6, 3, "42", 0), (7, 4, "東京", 0), (8, 6, "c++", 0), (9, 2, "the blue whale", 0)}
+    assert sorted(r.start for r in got if r.doc_id == 9) == [0, 15]
+
+
+def _whole(a, b):
+    prev = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        cur = [i]
+        for j, x in enumerate(b, 1):
+            cur.append(min(prev[j] + 1, cur[-1] + 1, prev[j - 1] + (c != x)))
+        prev = cur
+    return prev[-1]
+
+
+def test_short_leaks_match_brute_force():
+    from sluice.llm.decontam import Items, normalised
+
+    draw = random.Random(8)
+    text = lambda n: " ".join("".join(draw.choice("abc") for _ in range(draw.randint(1, 4))) for _ in range(n))
+    items = [(i, text(draw.randint(1, 6))[:24].strip()) for i in range(30)]
+    block = Items(items, 0.1)
+    for _ in range(150):
+        t = normalised(text(draw.randrange(12)) + " " + draw.choice(items)[1] + " " + text(draw.randrange(6)))
+        starts, ends = [m.start() for m in re.finditer(r"\S+", t)], [m.end() for m in re.finditer(r"\S+", t)]
+        want = {i for i, item in items if any(s < e <= s + len(item) + 3 and _whole(item, t[s:e]) <= len(item) // 10 for s in starts for e in ends)}
+        found = block.leaks(t)
+        assert {f["item_id"] for f in found} == want
+        assert all(_whole(dict(items)[f["item_id"]], t[f["start"] : f["end"]]) == f["distance"] for f in found)
+
+
 # top k
 
 def test_wand_matches_full_scores(monkeypatch):
