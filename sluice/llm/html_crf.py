@@ -322,12 +322,12 @@ def main_text(pages: DataFrame, html: str | Column = "html", sample: int = SAMPL
 
     Blocks in page order, joined by one \\n; in a block every run of white space is one space, character references are
     decoded, a line break tag is a space. Null, empty and textless pages give the empty text. The sample is a share of
-    the pages chosen by a hash of the html, ``sample`` in expectation; it only lends its words to the labelled pages, so an empty table trains on one fixed
+    the distinct pages chosen by a hash of the html, ``sample`` in expectation, of which equal pages lend one; it only lends its words to the labelled pages, so an empty table trains on one fixed
     sentence. Long pages are read whole; repeated rows get equal results.
     """
     html = F.col(html) if isinstance(html, str) else html
-    own = pages.select(html.alias("html")).filter("html is not null")
-    share = min(1.0, sample / max(1, own.count()))
-    lent = own.filter(F.pmod(F.xxhash64("html"), F.lit(1 << 30)) < int(share * (1 << 30))).collect()
-    texts = [b.text for r in lent for b in blocks(r["html"])]
+    own = pages.select(html.alias("html")).filter("html is not null").withColumn("hash", F.xxhash64("html"))
+    share = min(1.0, sample / max(1, own.agg(F.approx_count_distinct("hash")).first()[0]))
+    lent = own.filter(F.pmod("hash", F.lit(1 << 30)) < int(share * (1 << 30))).groupBy("hash").agg(F.first("html").alias("html")).collect()
+    texts = [b.text for r in sorted(lent, key=lambda r: r["hash"]) for b in blocks(r["html"])]
     return extractor(train(texts))(html)

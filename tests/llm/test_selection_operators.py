@@ -348,3 +348,14 @@ def test_html_blocks_and_odd_pages(spark):
     assert by[7].count("\n") == 4999
     empty = df.limit(0)
     assert empty.select(main_text(empty)).collect() == []
+
+
+def test_html_sample_takes_one_page_of_equal_ones(spark, monkeypatch):
+    from sluice.llm import html_crf as H
+
+    lent, train = [], H.train
+    monkeypatch.setattr(H, "train", lambda texts: lent.append(list(texts)) or train(texts, 50))
+    rows = [(i, "<p>the same words</p>") for i in range(40)] + [(40 + i, f"<p>page {i}</p>") for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, html string").repartition(4)
+    assert df.select(H.main_text(df, sample=100)).count() == 43
+    assert sorted(lent[0]) == ["page 0", "page 1", "page 2", "the same words"]
