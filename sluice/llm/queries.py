@@ -18,6 +18,7 @@ from .quality import grade
 from .suffix_dedup import dedup_strings
 from .topk import ORACLE_SQL as TOPK_SQL
 from .topk import search
+from .whitening import whiten
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +74,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation beyond a long is null."""
+    rows = whiten(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation as long)"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -84,6 +91,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontamination": op10_decontamination,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLE: dict[str, str] = {
