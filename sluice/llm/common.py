@@ -32,11 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared checkpoint folder and read it back: the lineage ends here."""
+def cut(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` below the shared checkpoint folder, a folder for each value of ``by``, and read it back: the lineage ends here."""
     spark = df.sparkSession
     path = scratch_path(spark, "llm", name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -137,10 +137,13 @@ def text_chunks(batches: Iterator[pa.RecordBatch], max_bytes: int = CHUNK_BYTES)
             first = last
 
 
-def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word of a chunk, and the word count before each row (one more entry than rows)."""
+def words(data: np.ndarray, bounds: np.ndarray, breaks: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word of a chunk, and the word count before each row (one more entry than rows).
+
+    ``breaks`` says of each byte whether it parts words.
+    """
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~SPACES[data]
+    inside[1:-1] = ~breaks[data]
     cuts = bounds[1:-1]  # a word ends with its row
     start = inside[1:-1] & ~inside[:-2]
     cuts = cuts[cuts < len(data)]

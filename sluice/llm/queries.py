@@ -14,6 +14,8 @@ from .line_dedup import dedup_lines
 from .lm_maxent import score
 from .ngram_join import jaccard_components
 from .packing import pack
+from .phrases import ORACLE_SQL as PHRASES_SQL
+from .phrases import collocations
 from .quality import grade
 from .suffix_dedup import dedup_strings
 from .topk import ORACLE_SQL as TOPK_SQL
@@ -74,6 +76,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_phrase_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A deviation beyond a long is null."""
     rows = whiten(table(spark, sf_dir, "embeddings"))
@@ -91,10 +97,12 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontamination": op10_decontamination,
+    "op12_phrase_collocation": op12_phrase_collocation,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLE: dict[str, str] = {
     "op7_topk_search": TOPK_SQL,
     "op8_line_dedup": LINES_SQL,
+    "op12_phrase_collocation": PHRASES_SQL,
 }
