@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .cutting_stock import pack_tightly
 from .decontam import contamination
 from .html_crf import main_text
 from .langid import fold, identify
@@ -76,6 +77,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_tightly(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op12_phrase_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
@@ -97,6 +102,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontamination": op10_decontamination,
+    "op11_packing": op11_packing,
     "op12_phrase_collocation": op12_phrase_collocation,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
