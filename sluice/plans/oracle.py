@@ -343,6 +343,22 @@ ORACLE.update({
 })
 
 
+_TWO_COLS = [("event_type", "str"), ("value", "dbl")]
+_HOURS_EVERY_20_MINUTES = f"""(select *, unnest(case when ts is null then [cast(null as timestamp)] else
+   [time_bucket(interval '20 minutes', ts), time_bucket(interval '20 minutes', ts) - interval '20 minutes',
+    time_bucket(interval '20 minutes', ts) - interval '40 minutes'] end) as own from {DIRTY_EVENTS})"""
+_SKETCHED = _profile_sql(f"(select * from {DIRTY_EVENTS} where ts is null or day(ts) % 10 <> 0)",
+                         [("user_id", "int"), ("event_type", "str"), ("value", "dbl"), ("amount", "dec")], "date_trunc('day', ts)", ("event_type",))
+ORACLE.update({
+    "profile_quarter_hours": f"select cast(window_start as varchar) as window_start, {_PROFILE_COLS} from ("
+                             + _profile_sql(DIRTY_EVENTS, _TWO_COLS, "time_bucket(interval '15 minutes', ts)", ("event_type",)) + ")",
+    "profile_sliding": f"select cast(window_start as varchar) as window_start, {_PROFILE_COLS} from ("
+                       + _profile_sql(_HOURS_EVERY_20_MINUTES, _TWO_COLS, "own", ("event_type",)) + ")",
+    "profile_sketches": f"""select cast(window_start as varchar) as window_start, column_name, row_count, num_nulls, num_zeros, min, max, avg,
+   stddev, mode, true as distinct_near, true as ranks_near from ({_SKETCHED})""",
+})
+
+
 def _draw(name: str, id_: str = "id") -> str:
     """The generator's integer draw of one column, restated: three multiplications modulo 2**31 - 1."""
     salt = int(hashlib.sha256(f"{name}|42".encode()).hexdigest()[:16], 16) % 2147483646 + 1

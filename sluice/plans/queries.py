@@ -434,6 +434,63 @@ def profile_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profile_out(mon.read_profile())
 
 
+def profile_quarter_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G3 on windows of a length that no calendar unit has; rows without a timestamp are a window."""
+    return _profile_out(_profile(_dirty_events(spark, sf_dir), ["event_type", "value"], "ts", "15 minutes", exact=True, mode_columns=["event_type"]))
+
+
+def profile_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G3 + G5 on overlapping windows (an hour, every 20 minutes): profiled, then refreshed for late rows only."""
+    from ..session import scratch_path
+    from ..sinks.monitor import Monitor
+
+    ev = _dirty_events(spark, sf_dir)
+    first, late = _late_split(ev)
+    mon = Monitor(spark, scratch_path(spark, "monitor"), "events", "ts", "1 hour", ["event_type", "value"], exact=True,
+                  mode_columns=["event_type"], slide="20 minutes").create()
+    mon.run_refresh(first)
+    mon.run_refresh(ev, changed=late)
+    return _profile_out(mon.read_profile())
+
+
+def profile_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G5 by mergeable sketches: hourly slices of three batches (one of them replayed), every tenth day deleted,
+    merged and read by the day. Estimates are held against the exact distinct counts and ranks here."""
+    from ..operators.profile import in_own_windows, value_counts
+    from ..operators.sketches import DISTINCT_ERROR, RANK_ERROR
+    from ..session import scratch_path
+    from ..sinks.sketch_store import SketchStore
+
+    ev = _dirty_events(spark, sf_dir)
+    columns = ["user_id", "event_type", "value", "amount"]
+    store = SketchStore(spark, scratch_path(spark, "sketches"), columns, "ts", "1 hour", ["event_type"])
+    for version, part in ((0, 0), (1, 1), (1, 1), (2, 2)):
+        store.add(ev.filter(F.col("event_id") % 3 == part), version)
+    deleted = F.coalesce(F.dayofmonth("ts") % 10 == 0, F.lit(False))
+    store.replace(ev.filter(~deleted), ev.filter(deleted), 3)
+    store.compact(4)
+    got = store.read("1 day")
+
+    rows = in_own_windows(ev.filter(~deleted), columns, "ts", "1 day")
+    exact = value_counts(rows, columns, [ev.schema[c].dataType for c in columns])
+    both = exact.join(got.select(F.col("window_start").alias("w"), F.col("column_name").alias("c"), "num_distinct", "p25", "p50", "p75"),
+                      F.col("window_start").eqNullSafe(F.col("w")) & (F.col("column_name") == F.col("c")))
+    n = F.sum(F.when(F.col("num").isNotNull(), F.col("n")))
+
+    def near(p: str, share: float):
+        below, upto = (F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)) for c in (F.col("num") < F.col(p), F.col("num") <= F.col(p)))
+        return F.coalesce((below <= (share + RANK_ERROR) * n + 1) & (upto >= (share - RANK_ERROR) * n - 1), n.isNull())
+
+    distinct = F.count("val")
+    judged = both.groupBy("w", "c").agg(
+        (F.abs(F.first("num_distinct") - distinct) <= F.greatest(F.lit(1), DISTINCT_ERROR * distinct)).alias("distinct_near"),
+        (near("p25", 0.25) & near("p50", 0.5) & near("p75", 0.75)).alias("ranks_near"))
+    joined = got.join(judged, F.col("window_start").eqNullSafe(F.col("w")) & (F.col("column_name") == F.col("c")))
+    rounded = [F.col(c).cast("float").cast("double").alias(c) for c in ("avg", "stddev")]
+    return joined.select(F.col("window_start").cast("string").alias("window_start"), "column_name", "row_count", "num_nulls", "num_zeros",
+                         "min", "max", *rounded, "mode", "distinct_near", "ranks_near")
+
+
 def _synth_out(df: DataFrame) -> DataFrame:
     out = []
     for c, t in df.dtypes:
@@ -734,6 +791,9 @@ QUERIES = {
     "profile_hourly": profile_hourly,
     "profile_snapshot": profile_snapshot,
     "profile_refresh": profile_refresh,
+    "profile_quarter_hours": profile_quarter_hours,
+    "profile_sliding": profile_sliding,
+    "profile_sketches": profile_sketches,
     "synth_bronze": synth_bronze,
     "synth_defects": synth_defects,
     "synth_append": synth_append,
