@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, text_chunks
 from .packing import best_fit
-from .word_bpe import WordBpe
+from .word_bpe import kept
 
 CAPACITY = 4096
 END = 2
@@ -262,7 +262,7 @@ ITEM = "start long, length long, ids_crc32 long, doc_tokens long, rank long"
 
 def _items(capacity: int, tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, part, ranks, end = WordBpe(tokenizer), TaskContext.get().partitionId(), defaultdict(int), np.array([END], "<u4").tobytes()
+        bpe, part, ranks, end = kept(tokenizer), TaskContext.get().partitionId(), defaultdict(int), np.array([END], "<u4").tobytes()
         for ids, bounds, data in text_chunks(batches):
             data, take, cols = data.tobytes(), [], defaultdict(list)
             for i in range(len(ids)):
@@ -287,9 +287,9 @@ def _placed(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
             at = np.array([plan.whole(n, r) for n, r in zip(t.column("length").to_pylist(), t.column("rank").to_pylist())], np.int64).reshape(-1, 2)
-            kept = pa.array(at[:, 0] >= 0)
+            whole = pa.array(at[:, 0] >= 0)
             out = t.drop_columns("rank").append_column("sequence_id", pa.array(at[:, 0])).append_column("offset", pa.array(at[:, 1]))
-            yield out.filter(kept)
+            yield out.filter(whole)
     return run
 
 
