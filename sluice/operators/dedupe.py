@@ -22,7 +22,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANK_COL = "_rank"
+from ..functions.columns import fresh
+from ..session import scratch_path
 
 
 def _order_cols(order_by: Sequence[str | Column]) -> list[Column]:
@@ -48,14 +49,20 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | C
     if ties == "one" and tiebreak:
         order.append(F.xxhash64(*[F.col(c) for c in df.columns]).desc())
     w = Window.partitionBy(*keys).orderBy(*order)
-    rank = F.row_number() if ties == "one" else F.rank()
-    return df.withColumn(RANK_COL, rank.over(w)).filter(F.col(RANK_COL) == 1).drop(RANK_COL)
+    rank, name = F.row_number() if ties == "one" else F.rank(), fresh(df.columns, "_rank")
+    return df.withColumn(name, rank.over(w)).filter(F.col(name) == 1).drop(name)
 
 
 def _all_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Every row tied with the latest of its key: in a struct NULL is the smallest value, as in a descending order."""
-    top = df.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_top")).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[F.col(f"_top.{c}").alias(f"_o{i}") for i, c in enumerate(order)])
-    same = [df[k].eqNullSafe(top[f"_k{i}"]) for i, k in enumerate(keys)] + [df[c].eqNullSafe(top[f"_o{i}"]) for i, c in enumerate(order)]
+    """Every row tied with the latest of its key: in a struct NULL is the smallest value, as in a descending order.
+
+    The input is written once and read for the latest values and for the rows.
+    """
+    path = scratch_path(df.sparkSession, "latest")
+    df.write.parquet(path)
+    df = df.sparkSession.read.schema(df.schema).parquet(path)
+    top = df.groupBy(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)]).agg(F.max(F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order)])).alias("top"))
+    same = [df[f"`{k}`"].eqNullSafe(top[f"k{i}"]) for i, k in enumerate(keys)] + [df[f"`{c}`"].eqNullSafe(top["top"][f"o{i}"]) for i, c in enumerate(order)]
     return df.join(top, reduce(lambda a, b: a & b, same), "left_semi")
 
 
@@ -86,7 +93,7 @@ def dedupe_stream(df: DataFrame, keys: Sequence[str], event_time: str | None = N
         return df.dropDuplicates(list(keys))
     if delay is None:
         raise ValueError("delay is required with event_time")
-    ts = "_event_ts"
+    ts = fresh(df.columns, "_event_ts")
     out = (df.withColumn(ts, F.col(event_time).cast("timestamp"))
              .withWatermark(ts, delay)
              .dropDuplicatesWithinWatermark(list(keys)))

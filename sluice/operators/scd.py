@@ -30,11 +30,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import set_aside
+from ..session import scratch_path
 from .dedupe import dedupe_latest
 
 SEQ, DELETED, TIEBREAK = "__seq", "__deleted", "__tb"
 START, END = "__start_at", "__end_at"
 BUCKET = "_seq_bucket"
+#: Names that the type 2 plan uses inside; input columns of these names are set aside.
+HELPERS = [BUCKET, "_st", "_pos", "_mk", "_m", "_prev_st", "_start", "_end", "_rk", "_cand", "_best", "lo", "hi", "first_st", "first_lo", "second_lo",
+           "last_st", "prev_last", "next_change"]
 
 
 def prepare_changes(changes: DataFrame, keys: Sequence[str], sequence_by: str | Sequence[str],
@@ -62,34 +67,49 @@ def one_per_sequence(p: DataFrame, keys: Sequence[str], strict: bool = False) ->
         tie = p.groupBy(*ident).agg(F.min(TIEBREAK).alias("a"), F.max(TIEBREAK).alias("b")).filter("a <> b").limit(1).collect()
         if tie:
             raise ValueError(f"different changes of one key tie on their sequence: {tie[0].asDict()}")
-    best = p.groupBy(*ident).agg(F.max(F.struct(F.col(TIEBREAK), *[F.col(c) for c in rest])).alias("_best"))
+    best = p.groupBy(*ident).agg(F.max_by(F.struct(TIEBREAK, *rest), TIEBREAK).alias("_best"))
     return best.select(*ident, "_best.*").select(*p.columns)
 
 
-#: Buckets the sequence is cut into, and values (in expectation) the edges are taken from.
-SEQUENCE_BUCKETS, EDGE_SAMPLE = 64, 20_000
+#: Buckets of the sequence: so many, or more if that makes them larger than so many rows, but this many at most; and
+#: values (in expectation) that the edges are taken from.
+SEQUENCE_BUCKETS, ROWS_A_BUCKET, MOST_BUCKETS, EDGE_SAMPLE = 64, 500_000, 4096, 40_000
 
 
-def sequence_bucket(p: DataFrame, buckets: int = SEQUENCE_BUCKETS, sample: int = EDGE_SAMPLE) -> Column:
-    """A non-decreasing bucket of ``__seq`` for any orderable type (structs, strings and decimals too).
+def sequence_bucket(p: DataFrame, rows_a_bucket: int = ROWS_A_BUCKET, sample: int = EDGE_SAMPLE, column: str = SEQ,
+                    least: int = SEQUENCE_BUCKETS) -> Column:
+    """A non-decreasing bucket of the sequence for any orderable type (structs, strings and decimals too).
 
-    Edges are quantiles of a bounded sample of the values, so the buckets follow the data: neither one
-    for all rows nor one for each.  They only steer how work is split, never the result.
+    Edges are quantiles of a bounded sample of the values, and there are as many as the rows ask for, so the buckets
+    follow the data. They only steer how work is split, never the result. ``p`` is read twice, for its count and for its
+    sequence: pass a written frame.
     """
     n = p.count()
-    values = p.select(SEQ).filter(F.col(SEQ).isNotNull()).sample(min(1.0, sample / max(n, 1)), seed=7).distinct()
-    cut = values.select(SEQ, F.ntile(buckets).over(Window.orderBy(SEQ)).alias("b")).groupBy("b").agg(F.min(SEQ).alias("edge"))
+    buckets = min(MOST_BUCKETS, max(least, -(-n // rows_a_bucket)))
+    if buckets < 2 or not n:
+        return F.lit(0)
+    values = p.select(column).filter(F.col(column).isNotNull()).sample(min(1.0, sample / n), seed=7).distinct()
+    cut = values.select(column, F.ntile(buckets).over(Window.orderBy(column)).alias("b")).groupBy("b").agg(F.min(column).alias("edge"))
     edges = [r["edge"] for r in cut.orderBy("b").collect()][1:]
     if not edges:
         return F.lit(0)
-    kind = p.schema[SEQ].dataType
+    kind = p.schema[column].dataType
 
     def literal(value) -> Column:
         if hasattr(kind, "fields"):
             return F.struct(*[F.lit(value[f.name]).cast(f.dataType).alias(f.name) for f in kind.fields])
         return F.lit(value).cast(kind)
 
-    return F.size(F.filter(F.array(*[literal(e) for e in edges]), lambda e: e <= F.col(SEQ)))
+    below = lambda own: F.size(F.filter(F.array(*[literal(e) for e in own]), lambda e: e <= F.col(column)))
+    step = max(1, int(len(edges) ** 0.5))  # of many edges, first the group, then the place in it
+    groups = [edges[i : i + step] for i in range(0, len(edges), step)]
+    if len(groups) == 1:
+        return below(edges)
+    group = below([g[0] for g in groups])
+    out = F.lit(0)
+    for i, own in enumerate(groups):
+        out = F.when(group == i + 1, F.lit(i * step) + below(own)).otherwise(out)
+    return out
 
 
 # ---------------------------------------------------------------- type 1
@@ -137,8 +157,9 @@ def scd1(changes: DataFrame, keys: Sequence[str], sequence_by: str | Sequence[st
 # ---------------------------------------------------------------- type 2
 
 def scd2_from_prepared(p: DataFrame, keys: Sequence[str], track_columns: Sequence[str] | None = None,
-                       bucket: Column | None = None, strict: bool = False) -> DataFrame:
-    """Versions with ``__start_at``/``__end_at`` from prepared change rows.
+                       bucket: Column | None = None, strict: bool = False, keep_deleted: bool = False) -> DataFrame:
+    """Versions with ``__start_at``/``__end_at`` from prepared change rows; with ``keep_deleted`` the deleted
+    stretches too, marked, and the row hash of the row that began each (the stored form of :mod:`.splice`).
 
     A row's *state* is ``(deleted, tracked columns)`` (all deletes share one state).
     A version starts at a row whose state differs from the previous row's and
@@ -156,10 +177,15 @@ def scd2_from_prepared(p: DataFrame, keys: Sequence[str], track_columns: Sequenc
     So a key holding a third of the rows is split by bucket, and the change rows
     are shuffled once for the window (no second pass, no join).
     """
+    p, aside = set_aside(p, HELPERS)
+    keys, track_columns = [aside.get(k, k) for k in keys], track_columns and [aside.get(c, c) for c in track_columns]
     value_cols = [c for c in p.columns if c not in (SEQ, DELETED, TIEBREAK)]
     tracked = list(track_columns) if track_columns is not None else [c for c in value_cols if c not in keys]
     p = one_per_sequence(p, keys, strict)
-    if bucket is None:
+    if bucket is None:  # counted, sampled and windowed: computed once
+        path = scratch_path(p.sparkSession, "changes")
+        p.write.parquet(path)
+        p = p.sparkSession.read.schema(p.schema).parquet(path)
         bucket = sequence_bucket(p)
     state = F.struct(F.col(DELETED).alias("d"),
                      *[F.when(~F.col(DELETED), F.col(c)).alias(c) for c in tracked])
@@ -207,8 +233,10 @@ def scd2_from_prepared(p: DataFrame, keys: Sequence[str], track_columns: Sequenc
     u = u.withColumn("_start", starts & (F.col("_mk") > 0))
     u = u.withColumn("_end", F.first(F.when(F.col("_start"), F.col("_pos")), ignorenulls=True).over(
         w.rowsBetween(1, Window.unboundedFollowing)))
-    kept = u.filter((F.col("_mk") == 1) & F.col("_start") & ~F.col(DELETED))
-    return kept.select(*value_cols, F.col(SEQ).alias(START), F.col("_end.seq").alias(END))
+    kept = u.filter((F.col("_mk") == 1) & F.col("_start") & (F.lit(keep_deleted) | ~F.col(DELETED)))
+    given = {now: name for name, now in aside.items()}
+    values = [F.col(f"`{c}`").alias(given.get(c, c)) for c in value_cols]
+    return kept.select(*values, F.col(SEQ).alias(START), F.col("_end.seq").alias(END), *([DELETED, TIEBREAK] if keep_deleted else []))
 
 
 def scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str | Sequence[str],

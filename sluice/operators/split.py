@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import fresh
 from ..functions.predicates import failed_rules, unknown_rules, _check_policy
 from ..functions.rules import Rule, one_per_name
 
@@ -20,33 +21,37 @@ UNKNOWN_COL = "_unknown_rules"
 STATUS_COL = "_status"
 
 
-def judge(df: DataFrame, rules: Iterable[Rule], null_policy: str = "quarantine") -> DataFrame:
-    """Add ``_failed_rules array<string>`` and ``_status`` in {valid, quarantine, unknown}.
+def judge(df: DataFrame, rules: Iterable[Rule], null_policy: str = "quarantine",
+          failed: str = FAILED_COL, unknown: str = UNKNOWN_COL, status: str = STATUS_COL) -> DataFrame:
+    """Add ``_failed_rules array<string>`` and ``_status`` in {valid, quarantine, unknown}; an input that has columns of
+    these names is refused (other names can be given).
 
     ``unknown`` only occurs with ``null_policy='drop'``: rows with no definite
     failure but some NULL rule result, which the reference loses.
     """
     _check_policy(null_policy)
     rules = one_per_name(rules)
-    failed = failed_rules(rules, "quarantine" if null_policy == "quarantine" else "pass")
-    out = df.withColumn(FAILED_COL, failed)
-    status = F.when(F.size(FAILED_COL) > 0, F.lit("quarantine"))
+    added = [failed, status, *([unknown] if null_policy == "drop" else [])]
+    if taken := [c for c in df.columns if c.lower() in {a.lower() for a in added}]:
+        raise ValueError(f"the input already has columns named {taken}")
+    out = df.withColumn(failed, failed_rules(rules, "quarantine" if null_policy == "quarantine" else "pass"))
+    verdict = F.when(F.size(failed) > 0, F.lit("quarantine"))
     if null_policy == "drop":
-        out = out.withColumn(UNKNOWN_COL, unknown_rules(rules))
-        status = status.when(F.size(UNKNOWN_COL) > 0, F.lit("unknown"))
-    return out.withColumn(STATUS_COL, status.otherwise(F.lit("valid")))
+        out = out.withColumn(unknown, unknown_rules(rules))
+        verdict = verdict.when(F.size(unknown) > 0, F.lit("unknown"))
+    return out.withColumn(status, verdict.otherwise(F.lit("valid")))
 
 
 def split(df: DataFrame, rules: Iterable[Rule], null_policy: str = "quarantine",
           keep_reasons: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(valid, quarantine)``.  Valid rows lose the helper columns; quarantined
-    rows keep ``_failed_rules`` as their reason unless ``keep_reasons=False``."""
-    judged = judge(df, rules, null_policy)
-    helpers = [c for c in (FAILED_COL, UNKNOWN_COL, STATUS_COL) if c in judged.columns]
-    valid = judged.filter(F.col(STATUS_COL) == "valid").drop(*helpers)
-    quarantine = judged.filter(F.col(STATUS_COL) == "quarantine")
-    quarantine = quarantine.drop(*[c for c in helpers if c != FAILED_COL or not keep_reasons])
-    return valid, quarantine
+    rows keep ``_failed_rules`` as their reason unless ``keep_reasons=False`` (with more ``_`` if the input has
+    a column of that name)."""
+    failed, unknown, status = (fresh(df.columns, c) for c in (FAILED_COL, UNKNOWN_COL, STATUS_COL))
+    judged = judge(df, rules, null_policy, failed, unknown, status)
+    valid = judged.filter(F.col(status) == "valid").select(*[f"`{c}`" for c in df.columns])
+    kept = [*df.columns, *([failed] if keep_reasons else [])]
+    return valid, judged.filter(F.col(status) == "quarantine").select(*[f"`{c}`" for c in kept])
 
 
 def quality_metrics(judged: DataFrame) -> DataFrame:

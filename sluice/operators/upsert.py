@@ -21,7 +21,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.columns import fresh
 
 def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
@@ -30,32 +32,36 @@ def _any_null(keys: Sequence[str]) -> Column:
 NULL_SALTS = 1024
 
 
-def _zero(dtype) -> Column:
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
+
+
+def _zero(kind: T.DataType) -> Column:
     """A non-null stand-in of the key's type (only compared when the key is NULL,
     next to an is-null flag, so its value never decides a match)."""
-    name = dtype.simpleString()
-    if name == "string":
-        return F.lit("")
-    if name == "boolean":
-        return F.lit(False)
-    if name == "date":
-        return F.to_date(F.lit("1970-01-01"))
-    if name.startswith("timestamp"):
-        return F.lit("1970-01-01 00:00:00").cast(dtype)
-    if name == "binary":
-        return F.lit(bytearray())
-    return F.lit(0).cast(dtype)
+    if _has_map(kind):
+        raise TypeError(f"a key of type {kind.simpleString()} cannot be compared")
+    if isinstance(kind, T.StructType):
+        return F.struct(*[_zero(f.dataType).alias(f.name) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return F.array().cast(kind)
+    fixed = {"string": F.lit(""), "boolean": F.lit(False), "binary": F.lit(bytearray()), "date": F.to_date(F.lit("1970-01-01"))}
+    name = kind.simpleString()
+    if name in fixed:
+        return fixed[name]
+    return F.lit("1970-01-01 00:00:00" if name.startswith("timestamp") else 0).cast(kind)
 
 
 def join_key(df: DataFrame, keys: Sequence[str], side: int = 1) -> Column:
     """Struct join key: exact on non-null keys, salted and never matching on NULL keys.
-    ``side`` (+1 / -1) keeps NULL-key rows of two different inputs apart."""
+    ``side`` (+1 / -1) keeps NULL-key rows of two different inputs apart. Maps don't enter the salt."""
     fields = []
-    for k in keys:
-        fields += [F.col(k).isNull().alias(f"n_{k}"),
-                   F.coalesce(F.col(k), _zero(df.schema[k].dataType)).alias(f"v_{k}")]
-    salt = F.when(_any_null(keys), (F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_SALTS)) + 1)
-                  * F.lit(side)).otherwise(F.lit(0))
+    for i, k in enumerate(keys):
+        fields += [F.col(f"`{k}`").isNull().alias(f"n{i}"), F.coalesce(F.col(f"`{k}`"), _zero(df.schema[k].dataType)).alias(f"v{i}")]
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)]
+    salt = F.when(_any_null(keys), (F.pmod(F.xxhash64(*hashed), F.lit(NULL_SALTS)) + 1) * F.lit(side)).otherwise(F.lit(0))
     return F.struct(*fields, salt.cast("bigint").alias("s"))
 
 
@@ -76,9 +82,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], check: boo
     if check:
         assert_unique_keys(source, keys)
     src = source.select(*target.columns)
-    tk = target.withColumn("_jk", join_key(target, keys))
-    sk = src.filter(~_any_null(keys)).select(join_key(src, keys).alias("_jk"))
-    kept = tk.join(sk, "_jk", "left_anti").drop("_jk")
+    name = fresh(target.columns, "_jk")
+    tk = target.withColumn(name, join_key(target, keys))
+    sk = src.filter(~_any_null(keys)).select(join_key(src, keys).alias(name))
+    kept = tk.join(sk, name, "left_anti").drop(name)
     return kept.unionByName(src)
 
 
@@ -101,26 +108,27 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     columns.  Emits the new image for ``insert`` and ``update_postimage``, the
     old image for ``delete`` and ``update_preimage``; unchanged rows are not
     emitted.  Keys are expected unique per version (a silver table); rows with
-    a NULL key cannot be matched and appear as delete + insert.
+    a NULL key cannot be matched and appear as delete + insert.  A column that only
+    one version has is NULL in the other.  Maps are compared by their sorted entries;
+    maps inside other types are refused by name.
     """
     keys = list(keys)
-    cols = [c for c in new.columns if c not in keys]
-    o = old.select(*keys, *cols, F.lit(True).alias("_in_old"), join_key(old, keys, 1).alias("_jk")).alias("o")
-    n = new.select(*keys, *cols, F.lit(True).alias("_in_new"), join_key(new, keys, -1).alias("_jk")).alias("n")
-    j = o.join(n, F.col("o._jk") == F.col("n._jk"), "full_outer")
-    in_old = F.col("o._in_old").isNotNull()
-    in_new = F.col("n._in_new").isNotNull()
-    same = reduce(lambda a, b: a & b, [F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in cols], F.lit(True))
-    kind = (F.when(in_old & ~in_new, F.lit("delete"))
-             .when(~in_old & in_new, F.lit("insert"))
-             .when(~same, F.lit("update")))
-    j = j.withColumn("_kind", kind).filter(F.col("_kind").isNotNull())
-    old_img = [F.col(f"o.{c}").alias(c) for c in keys + cols]
-    new_img = [F.col(f"n.{c}").alias(c) for c in keys + cols]
-    images = F.when(F.col("_kind") == "insert", F.array(F.lit("insert"))) \
-        .when(F.col("_kind") == "delete", F.array(F.lit("delete"))) \
-        .otherwise(F.array(F.lit("update_preimage"), F.lit("update_postimage")))
-    exploded = j.select(F.struct(*old_img).alias("_old"), F.struct(*new_img).alias("_new"),
-                        F.explode(images).alias(CHANGE_TYPE))
-    image = F.when(F.col(CHANGE_TYPE).isin("insert", "update_postimage"), F.col("_new")).otherwise(F.col("_old"))
-    return exploded.select(image.alias("_img"), CHANGE_TYPE).select("_img.*", CHANGE_TYPE)
+    kinds = {f.name: f.dataType for f in [*old.schema.fields, *new.schema.fields]}
+    cols = [c for c in dict.fromkeys([*new.columns, *old.columns]) if c not in keys]
+    if CHANGE_TYPE in kinds:
+        raise ValueError(f"the versions already have a column named {CHANGE_TYPE}")
+    if deep := [c for c in cols if _has_map(kinds[c]) and (not isinstance(kinds[c], T.MapType) or _has_map(kinds[c].valueType))]:
+        raise TypeError(f"columns {deep} hold maps inside other types, which cannot be compared")
+
+    def side(df: DataFrame, name: str, sign: int) -> DataFrame:
+        row = [(F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(kinds[c])).alias(c) for c in [*keys, *cols]]
+        return df.select(F.struct(*row).alias(name), join_key(df, keys, sign).alias(f"{name}_key"))
+
+    both = side(old, "was", 1).join(side(new, "now", -1), F.col("was_key") == F.col("now_key"), "full_outer")
+    of = lambda name, c: F.array_sort(F.map_entries(f"{name}.`{c}`")) if isinstance(kinds[c], T.MapType) else F.col(f"{name}.`{c}`")
+    same = reduce(lambda a, b: a & b, [of("was", c).eqNullSafe(of("now", c)) for c in cols], F.lit(True))
+    image = lambda name, kind: F.struct(F.col(name).alias("row"), F.lit(kind).alias("kind"))
+    images = (F.when(F.col("was_key").isNull(), F.array(image("now", "insert")))
+              .when(F.col("now_key").isNull(), F.array(image("was", "delete")))
+              .when(~same, F.array(image("was", "update_preimage"), image("now", "update_postimage"))))
+    return both.select(F.explode(images).alias("x")).select("x.row.*", F.col("x.kind").alias(CHANGE_TYPE))
