@@ -8,8 +8,9 @@ every active phrase has had its cycle. Counts are kept in a table that every ste
 What a scan must know, the step in which each phrase reached the least count, is sent to the tasks as bounded tables of
 slots, one for each length: a slot holds the earliest such step of the phrases that hash to it. So a phrase starts in a
 step that its own hashes determine, never later than its subphrases demand, and its count is whole in any case; a
-shared slot only lets some phrases be counted that cannot reach the least count. Hashes find phrases; the phrases found
-are counted once more by their text, so that no result depends on a collision.
+shared slot only lets some phrases be counted that cannot reach the least count. Phrases are counted by 64-bit hashes;
+each occurrence draws a mark, the least of which is kept, and a last scan spells every phrase found at the occurrences
+with its least mark, so once or a few times each, however many tasks meet it.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ LONGEST = 5
 FIRST = 2000
 SHARDS = 4
 #: Slots of a length: SLOTS_A_PHRASE for each phrase that could reach the least count, 2^MOST_BITS at most.
-SLOTS_A_PHRASE, FEWEST_BITS, MOST_BITS = 4, 12, 26
+SLOTS_A_PHRASE, FEWEST_BITS, MOST_BITS = 4, 12, 24
 #: Hashes that a task holds before it merges equal ones.
 HELD = 1 << 21
 NEVER = 255
@@ -70,6 +72,12 @@ class Chunk:
         if len(self.start):
             self.follows[:-1] = (pieces[1:] == pieces[:-1]) & (self.row[1:] == self.row[:-1])
 
+    def marks(self, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """A draw of 16 bits for each of the words ``at``, the same in every scan: from its row's id and its place there."""
+        with np.errstate(over="ignore"):
+            own = rows[self.row[at]].astype(np.uint64) * np.uint64(BASE) + (at - self.at[self.row[at]]).astype(np.uint64)
+        return (mix(own, 64) >> np.uint64(48)).astype(np.int32)
+
     def text(self, i: int, size: int) -> str:
         return b" ".join(self.data[self.start[j] : self.end[j]].tobytes() for j in range(i, i + size)).decode()
 
@@ -111,100 +119,130 @@ class Steps:
 
 def _shards(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done = TaskContext.get().partitionId()
+        part, done = TaskContext.get().partitionId(), 0
         for b in batches:
-            yield b.append_column("shard", pa.array((np.arange(len(b)) + done) % shards, pa.int32()))
+            rows = np.arange(done, done + len(b))
+            yield b.append_column("shard", pa.array((rows + part) % shards, pa.int32())).append_column("row", pa.array((part << 40) + rows))
             done += len(b)
     return run
 
 
-def _scan(steps: Steps, step: int, shards: int):
-    """Counts of the phrases that are active in ``step``: tag = 256 * size + start."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, tables, held, size_of = Powers(BASE), steps.tables(), [], 0
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], Chunk, np.ndarray]]:
+    """(languages, words, ids of the rows) of consecutive rows of (lang, text, row) batches."""
+    powers = Powers(BASE)
+    for b in batches:
+        at = 0
+        for own, bounds, data in text_chunks(iter([b])):
+            langs = own.to_pylist()
+            yield langs, Chunk(langs, bounds, data, powers), b.column(2).slice(at, len(langs)).to_numpy()
+            at += len(langs)
 
-        def merged() -> pa.RecordBatch:
-            h, at, n = np.unique(np.concatenate([x for x, _ in held]), return_index=True, return_counts=True)
-            tags = np.concatenate([t for _, t in held])[at]
-            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(tags), pa.array(n.astype(np.int64))], names=["h", "tag", "n"])
 
-        for langs, bounds, data in text_chunks(batches):
-            for size, _, h, start in grams(Chunk(langs.to_pylist(), bounds, data, powers), tables[:-1], steps.bits):
+def _scan(steps: Steps, step: int, shards: int):
+    """Counts of the phrases that are active in ``step``, with their least marks: tag = 256 * size + start."""
+    def merged(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        h, tags, marks = (np.concatenate(c) for c in zip(*held))
+        order = np.argsort(h)
+        first = np.flatnonzero(np.concatenate([[True], np.diff(h[order]) != 0]))
+        n = np.diff(np.append(first, len(h)))
+        columns = [h[order[first]].view(np.int64), tags[order[first]], n, np.minimum.reduceat(marks[order], first)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "tag", "n", "mark"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, held, size_of = steps.tables(), [], 0
+        for _, chunk, rows in _chunks(batches):
+            for size, at, h, start in grams(chunk, tables[:-1], steps.bits):
                 if size == 1 and step > shards:
                     continue
                 now = start + np.int64(shards) >= step
-                held.append((h[now], 256 * size + start[now].astype(np.int32)))
+                marks = chunk.marks(rows, at[now]) if size > 1 else np.zeros(int(now.sum()), np.int32)
+                held.append((h[now], 256 * size + start[now].astype(np.int32), marks))
                 size_of += len(held[-1][0])
             if size_of > HELD:
-                yield merged()
+                yield merged(held)
                 held, size_of = [], 0
         if size_of:
-            yield merged()
+            yield merged(held)
     return run
 
 
-def _spelled(steps: Steps):
-    """(lang, phrase, size, n) of every phrase whose slot is in use, and of all words of a language together (size 0)."""
-    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("n", pa.int64())])
+def _spelled(steps: Steps, least_marks: list[tuple[np.ndarray, np.ndarray]]):
+    """(h, lang, phrase) of occurrences whose mark is within that of their slot, and (null, lang, null, words of the language)."""
+    schema = pa.schema([("h", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, tables, names, counted, total = Powers(BASE), steps.tables(), {}, [], {}
-
-        def rows() -> pa.RecordBatch:
-            h, inverse = np.unique(np.concatenate([h for h, _ in counted]), return_inverse=True)
-            n = np.zeros(len(h), np.int64)
-            np.add.at(n, inverse, np.concatenate([n for _, n in counted]))
-            columns = [list(c) for c in zip(*(names[key] for key in h.tolist()))] or [[], [], []]
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([*columns, n], schema)], schema=schema)
-
-        for batch_langs, bounds, data in text_chunks(batches):
-            langs = batch_langs.to_pylist()
-            chunk = Chunk(langs, bounds, data, powers)
+        tables, within, total, seen = steps.tables(), [], {}, set()
+        for slots, marks in least_marks:
+            within.append(np.full(1 << steps.bits, -1, np.int32))
+            within[-1][slots] = marks
+        for langs, chunk, rows in _chunks(batches):
+            out = []
             for g, n in zip(langs, np.diff(chunk.at).tolist()):
                 total[g] = total.get(g, 0) + n
             for size, at, h, _ in grams(chunk, tables[:-1], steps.bits):
-                own = tables[size - 1][slot(h, steps.bits)] != NEVER
-                h, place, n = np.unique(h[own], return_index=True, return_counts=True)
-                counted.append((h, n))
-                first = at[own][place]
-                for i, key in enumerate(h.tolist()):
-                    if key not in names:
-                        names[key] = langs[chunk.row[first[i]]], chunk.text(first[i], size), size
-            if len(names) > HELD // 4:
-                yield rows()
-                names, counted = {}, []
-        if counted:
-            yield rows()
-        sums = [list(total), [None] * len(total), [0] * len(total), list(total.values())]
+                if size > 1:
+                    own = np.flatnonzero(chunk.marks(rows, at) <= within[size - 1][slot(h, steps.bits)])
+                    for i, key in zip(at[own].tolist(), h[own].view(np.int64).tolist()):
+                        if key not in seen:
+                            seen.add(key)
+                            out.append((key, langs[chunk.row[i]], chunk.text(i, size), None))
+            if len(seen) > HELD:
+                seen.clear()
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+        sums = [[None] * len(total), list(total), [None] * len(total), list(total.values())]
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(sums, schema)], schema=schema)
     return run
 
 
 def frequent_phrases(texts: DataFrame, least: int, longest: int, shards: int) -> DataFrame:
-    """``lang, phrase, size, f`` of all phrases of up to ``longest`` words that occur ``least`` times in a language, and,
-    with size 0 and a null phrase, the number of words of each language. ``texts``: ``lang`` (not null), ``text``."""
-    parts = cut(texts.mapInArrow(_shards(shards), "lang string, text string, shard int"), "shards", "shard")
+    """``lang, phrase, size, f`` of all phrases of 2 to ``longest`` words that occur ``least`` times in a language, of the
+    words in them, and, with size 0 and a null phrase, of all words. ``texts``: ``lang`` (not null), ``text``."""
+    parts = cut(texts.mapInArrow(_shards(shards), "lang string, text string, shard int, row long"), "shards", "shard")
     size = parts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()["bytes"]
     bits = min(MOST_BITS, max(FEWEST_BITS, math.ceil(math.log2(1 + size / 4 / least * SLOTS_A_PHRASE))))
-    steps, state, step, last = Steps(bits, longest), None, 0, 0
+    place = F.shiftrightunsigned("h", 64 - bits).alias("slot")
+    steps, state, over, step, last = Steps(bits, longest), None, [], 0, 0
     while step < last + shards:
         step += 1
         if step >= NEVER:
             raise ValueError(f"{shards} shards and phrases of {longest} words take {NEVER} steps or more")
-        shard = parts.filter(F.col("shard") == (step - 1) % shards).select("lang", "text")
-        found = shard.mapInArrow(_scan(steps, step, shards), "h long, tag int, n long").withColumn("t", F.lit(None).cast("int"))
+        shard = parts.filter(F.col("shard") == (step - 1) % shards).select("lang", "text", "row")
+        found = shard.mapInArrow(_scan(steps, step, shards), "h long, tag int, n long, mark int").withColumn("t", F.lit(None).cast("int"))
         if state is not None:  # phrases whose cycle is over stay behind
             found = found.unionByName(state.filter(F.col("tag") % 256 + shards >= step))
-        merged = found.groupBy("h", "tag").agg(F.sum("n").alias("n"), F.min("t").alias("t"))
+        merged = found.groupBy("h", "tag").agg(F.sum("n").alias("n"), F.min("mark").alias("mark"), F.min("t").alias("t"))
         state = cut(merged.withColumn("t", F.when(F.col("n") >= least, F.coalesce("t", F.lit(step)))), "counts")
-        reached = state.filter(F.col("t") == step).select(F.shiftright("tag", 8).alias("size"), F.shiftrightunsigned("h", 64 - bits).alias("slot"))
+        over.append(state.filter(F.col("t").isNotNull() & (F.col("tag") % 256 + shards == step)))
+        reached = state.filter(F.col("t") == step).select(F.shiftright("tag", 8).alias("size"), place)
         blocks = reached.groupBy("size", F.shiftright("slot", 6).alias("block")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
         for length, own in _slots(blocks.collect()):  # 2^bits / 64 rows for each length at most
             steps.add(length, own, step)
             last = step if length < longest else last
-    spelled = parts.select("lang", "text").mapInArrow(_spelled(steps), "lang string, phrase string, size int, n long")
-    counted = spelled.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("f"))
-    return cut(counted.filter((F.col("f") >= least) | (F.col("size") == 0)), "phrases")
+    whole = cut(reduce(DataFrame.unionByName, over).select("h", F.shiftright("tag", 8).alias("size"), F.col("n").alias("f"), "mark"), "found")
+    least_marks = [(np.empty(0, np.int64), np.empty(0, np.int32))] * longest
+    marks = whole.filter("size > 1").groupBy("size", place).agg(F.max("mark").alias("mark")).collect()  # a row a slot at most
+    for length in {r["size"] for r in marks}:
+        own = [(r["slot"], r["mark"]) for r in marks if r["size"] == length]
+        least_marks[length - 1] = np.array([s for s, _ in own], np.int64), np.array([m for _, m in own], np.int32)
+    spelled = cut(parts.select("lang", "text", "row").mapInArrow(_spelled(steps, least_marks), "h long, lang string, phrase string, n long"), "spelled")
+    texts_of = spelled.filter("h is not null").groupBy("h").agg(F.min(F.struct("lang", "phrase")).alias("x")).select("h", "x.*")
+    phrases = cut(texts_of.join(whole.filter("size > 1"), "h").select("lang", "phrase", "size", "f"), "phrases")
+    words_in = phrases.select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
+    hashed = words_in.mapInArrow(_hashed, "lang string, phrase string, h long")
+    singles = hashed.join(whole.filter("size = 1"), "h").select("lang", "phrase", "size", "f")
+    totals = spelled.filter("h is null").groupBy("lang").agg(F.sum("n").alias("f")).select("lang", F.lit(None).cast("string").alias("phrase"), F.lit(0).alias("size"), "f")
+    return phrases.unionByName(singles).unionByName(totals)
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    powers = Powers(BASE)
+    for b in batches:
+        at = 0
+        for langs, bounds, data in text_chunks(iter([b])):
+            h = Chunk(langs.to_pylist(), bounds, data, powers).h
+            yield pa.RecordBatch.from_arrays([langs, b.column(1).slice(at, len(langs)), pa.array(h.view(np.int64))], names=["lang", "phrase", "h"])
+            at += len(langs)
 
 
 def _slots(blocks: list) -> Iterator[tuple[int, np.ndarray]]:
