@@ -98,3 +98,23 @@ def dedupe_stream(df: DataFrame, keys: Sequence[str], event_time: str | None = N
              .withWatermark(ts, delay)
              .dropDuplicatesWithinWatermark(list(keys)))
     return out.drop(ts)
+
+
+def first_by_event_time(df: DataFrame, keys: Sequence[str], event_time: str, gap: str, delay: str,
+                        order_by: Sequence[str] = ()) -> DataFrame:
+    """The first row per key by event time, over a stream, with a defined winner and state that ends.
+
+    Rows of a key whose times are less than ``gap`` apart are repeats of one another; of each such session the row of
+    least ``(event_time, *order_by, row hash)`` wins, whatever the order of arrival and the cut into batches. State is
+    one row per open session (combined before the shuffle, so a hot or NULL key is no burden); a session is put out and
+    its state dropped when the watermark, ``delay`` behind the latest time seen, has passed its end. Rows later than
+    the watermark are not seen. Rows without a time belong to no session and don't come out.
+    """
+    at, start = fresh(df.columns, "event_at"), fresh(df.columns, "session")
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    place = F.struct(F.col(at), *[F.col(f"`{c}`") for c in order_by], F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    timed = df.withColumn(at, F.col(f"`{event_time}`").cast("timestamp")).withWatermark(at, delay)
+    named = {k: f"k{i}" for i, k in enumerate(keys)}
+    groups = [F.col(f"`{k}`").alias(n) for k, n in named.items()]
+    won = timed.groupBy(*groups, F.session_window(at, gap).alias(start)).agg(F.min_by(row, place).alias("row"))
+    return won.select("row.*")

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.upsert import _any_null, assert_unique_keys, change_feed
+from ..operators.upsert import CHANGE_TYPE, _any_null, assert_unique_keys, change_feed
 from ..session import path_exists
 from ..sources.literal import literal_rows
 
@@ -118,6 +118,31 @@ class BucketedTable:
         old = self.part(self.touched(keyed)).join(keyed.select(*self.keys), self.keys, "left_semi")
         return change_feed(old.select(*source.columns), source, self.keys)
 
+    def write_feed(self, source: DataFrame, path: str) -> None:
+        """Store the changes that an upsert of ``source`` makes, before it is made. What a finished earlier try of the
+        same batch stored stays: the table may hold its rows by now, and would show no change."""
+        if not path_exists(self.spark, f"{path}/_SUCCESS"):
+            self.changes(source).write.mode("overwrite").parquet(path)
+
+    def apply_feed(self, feed: DataFrame, version: str) -> None:
+        """Apply one batch's changes, as :meth:`changes` gives them, to this copy of the table.
+
+        Keys that the feed names take the new image (``insert``, ``update_postimage``) or go (``delete``); pre-images
+        say nothing more. Batches must come in order; one that comes again, or whose try failed half-way, changes nothing
+        twice, as it sets the same keys to the same rows. Inserts without a key go to their batch's partition."""
+        images = feed.filter(F.col(CHANGE_TYPE).isin("insert", "update_postimage")).drop(CHANGE_TYPE)
+        self._create(images.schema)
+        n, null = self.buckets, _any_null(self.keys)
+        keyed = feed.filter(~null).select(*self.keys).distinct()
+        kept = self.part(self.touched(keyed)).join(keyed, self.keys, "left_anti")
+        rows = kept.select(*images.columns).unionByName(images.filter(~null))
+        loose = images.filter(null).withColumn(BUCKET, F.lit(-1)).withColumn(BATCH, F.lit(version)).withColumn(VOID, F.lit(None).cast("boolean"))
+        touched = self.touched(keyed)
+        marks = literal_rows(self.spark, [(b, True) for b in touched], f"{BUCKET} int, {VOID} boolean")  # a bucket may become empty
+        rows = rows.withColumn(BUCKET, self.bucket(n)).withColumn(VOID, F.lit(None).cast("boolean"))
+        rows = rows.unionByName(marks, allowMissingColumns=True).withColumn(BATCH, F.lit("-"))
+        self._write(rows.unionByName(loose))
+
 
 def batch_version(batch_id: int, query: str = "q") -> str:
     """Sortable version tag of a micro-batch of one writer query."""

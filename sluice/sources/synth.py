@@ -19,7 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import hashlib
@@ -144,6 +144,17 @@ def continue_ids(existing: DataFrame, key: str, seeds: DataFrame, specs: Sequenc
     return synth(seeds, specs, id_col, seed)
 
 
+def synth_stream(spark: SparkSession, specs: Sequence[Col], rows_per_batch: int, first_id: int = 0, seed: int = 42) -> DataFrame:
+    """A1 + A5: the generator as an endless stream, ``rows_per_batch`` rows a micro-batch with ids from ``first_id`` on.
+
+    The ids are the source's offsets, so a query restarted on its checkpoint goes on where it ended, a replayed batch
+    has the same rows, and n batches equal the batch generator over the first n * rows_per_batch ids.
+    """
+    ids = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch).load()
+           .select((F.col("value") + F.lit(first_id)).alias("id")))
+    return synth(ids, specs, "id", seed)
+
+
 # The reference demo's bronze generator (clean first load).
 FIRST_NAMES = ["John", "Jane", "Alex", "Chris", "Katie", "James", "Sarah"]
 LAST_NAMES = ["Smith", "Doe", "Johnson", "Lee", "Brown", "Williams"]
