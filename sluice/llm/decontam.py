@@ -9,8 +9,10 @@ item must besides begin and end at word edges. Items go to the tasks in blocks o
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
@@ -90,9 +92,12 @@ def inner(c: str) -> bool:
 def word_matches(pattern: str, text: str, budget: int, a: int, b: int) -> Iterator[tuple[int, int, int]]:
     """(start, end, distance) of the best stretch of every group of overlapping ones within the budget, in ``text[a:b]`` and between word edges of ``text``."""
     edges = [p for p in range(a, b + 1) if p in (0, len(text)) or not (inner(text[p - 1]) and inner(text[p]))]
-    least, most, found = len(pattern) - budget, len(pattern) + budget, []
+    least, most, found = max(1, len(pattern) - budget), len(pattern) + budget, []
     for s in edges:
-        ends = [e for e in edges if least <= e - s <= most and e > s and text[s] != " " and text[e - 1] != " "]
+        if s == len(text) or text[s] == " ":
+            continue
+        near_ends = edges[bisect_left(edges, s + least) : bisect_right(edges, s + most)]
+        ends = [e for e in near_ends if text[e - 1] != " "]
         if not ends:
             continue
         if budget:
@@ -179,30 +184,45 @@ def _finder(items: list[tuple[int | None, str]], rate: float, min_chars: int):
     return find
 
 
-def leaks(text: Column, items: DataFrame, item_id: str = "item_id", item_text: str = "text", rate: float = RATE, min_chars: int = MIN_CHARS) -> Column:
+def leaks(text: Column, items: DataFrame, **kw) -> Column:
     """Array of (item_id, start, end, distance): where the text comes within ``rate`` edits a character of an item.
 
+    All blocks of items in one column, for items of a few blocks; see :func:`leaks_by_block`, which takes the same
+    arguments.
+    """
+    found = list(leaks_by_block(text, items, **kw))
+    return F.concat(*found) if len(found) > 1 else found[0]
+
+
+def leaks_by_block(text: Column, items: DataFrame, item_id: str = "item_id", item_text: str = "text", rate: float = RATE,
+                   min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> Iterator[Column]:
+    """A column for each block of items, so that driver and task hold one block at a time; one at least.
+
     Edits are counted on lower-case text with single spaces; start and end are character offsets in the
-    original. For each item and each run of neighbouring ends within the budget the nearest stretch (the first of equals) is given. Null and
-    empty texts, and an empty item table, give an empty array. Repeated items are each reported; items with a
-    null or blank text are not searched. An item of fewer than ``min_chars`` characters has the same budget, but counts only where the
-    stretch begins and ends at word edges (places not between two letters or digits; in scripts written without spaces
-    every place); of overlapping stretches the nearest, then the first, is given.
+    original. For each item and each run of neighbouring ends within the budget the nearest stretch (the first of equals)
+    is given. Null and empty texts, and an empty item table, give an empty array. Repeated items are each reported; items
+    with a null or blank text are not searched. An item of fewer than ``min_chars`` characters has the same budget, but
+    counts only where the stretch begins and ends at word edges (places not between two letters or digits; in scripts
+    written without spaces every place); of overlapping stretches the nearest, then the first, is given.
     """
     spaced = F.length(F.regexp_replace(F.trim(F.col(item_text)), r"\s+", " "))
     own = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t"), spaced.alias("n")).filter("n > 0")
     total = own.agg(F.sum("n")).first()[0] or 0
-    blocks = 1 + total // BLOCK_CHARS
-    found = []
+    blocks = 1 + total // block_chars
     for b in range(blocks):
         part = own.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).select("i", "t").collect()
         texts = [(r["i"], t) for r in part if (t := normalised(r["t"]))]
-        found.append(_finder(texts, rate, min_chars)(text))
-    return F.concat(*found) if len(found) > 1 else found[0]
+        yield _finder(texts, rate, min_chars)(text)
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """One row per leak: ``doc_id, item_id, start, end, distance``; see :func:`leaks`. Repeated rows repeat theirs."""
-    found = docs.select(F.col(id_col).alias("doc_id"), leaks(F.col(text_col), items, **kw).alias("leaks"))
-    # an outer explode: for a plain one Spark would run the search once more to filter empty arrays
-    return found.select("doc_id", F.explode_outer("leaks").alias("l")).filter("l is not null").select("doc_id", "l.*")
+    """One row per leak: ``doc_id, item_id, start, end, distance``; see :func:`leaks_by_block`. Repeated rows repeat theirs.
+
+    The documents are read once for each block of items, by tasks of their own.
+    """
+    found = []
+    for own in leaks_by_block(F.col(text_col), items, **kw):
+        rows = docs.select(F.col(id_col).alias("doc_id"), own.alias("leaks"))
+        # an outer explode: for a plain one Spark would run the search once more to filter empty arrays
+        found.append(rows.select("doc_id", F.explode_outer("leaks").alias("l")).filter("l is not null").select("doc_id", "l.*"))
+    return reduce(DataFrame.unionAll, found)

@@ -8,21 +8,19 @@ documents: forward-backward runs in the tasks, the driver adds up one expected c
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, mix
 
 VOCABULARY = "piece_bpe_32k.model"
-#: Longer pieces of the vocabulary are left out.
-LONGEST = 8
 #: Labelled documents of a language to learn from, in expectation.
 SAMPLE = 2000
 ROUNDS = 3
@@ -34,21 +32,23 @@ SCALE = 30.0
 #: Words whose scores a task remembers.
 REMEMBERED = 200_000
 UNDETERMINED = "und"
-#: Runs of letters; one of more than 64 is scored in parts of 64.
-LETTERS = re.compile(r"[^\W\d_]{1,64}")
+#: Words are runs of letters, by Unicode's categories: digits of other kinds, such as halves and superscripts, are none.
+LETTERS = regex.compile(r"\p{L}+")
+#: Longer words are scored letter by letter, with scaled probabilities; they teach nothing.
+LONG = 64
 
 
 def words_of(text: str) -> list[str]:
     return LETTERS.findall(text.lower())
 
 
-def vocabulary(model: str = VOCABULARY, longest: int = LONGEST) -> list[str]:
+def vocabulary(model: str = VOCABULARY) -> list[str]:
     """Lower-case pieces of letters, with the mark of a word's start where they have it."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(model) if "/" not in model else model)
     pieces = {sp.id_to_piece(i).lower() for i in range(sp.vocab_size()) if not sp.is_byte(i) and not sp.is_control(i) and not sp.is_unknown(i)}
-    return sorted(p for p in pieces if len(p) <= longest and (bare := p.removeprefix("▁")) and LETTERS.fullmatch(bare)) + ["▁"]
+    return sorted(p for p in pieces if (bare := p.removeprefix("▁")) and LETTERS.fullmatch(bare)) + ["▁"]
 
 
 def _letters(items: list[str]) -> np.ndarray:
@@ -116,17 +116,44 @@ def batches_by_length(items: list[str], cells: int = 200_000) -> Iterator[tuple[
 def forward(found: list[np.ndarray], probs: np.ndarray) -> list[np.ndarray]:
     """alpha[i][word, language]: probability of the first i letters, times SCALE**i."""
     n, width = found[0].shape
-    alpha = [np.ones((n, probs.shape[1]))]
+    alpha, ends = [np.ones((n, probs.shape[1]))], hits(found, probs)
     for i in range(width):
-        alpha.append(sum(alpha[i - k] * (probs[found[k][:, i]] * SCALE ** (k + 1)) for k in range(min(len(found), i + 1))))
+        own = [alpha[i - k] * (probs[found[k][:, i]] * SCALE ** (k + 1)) for k in range(min(len(found), i + 1)) if ends[k][i]]
+        alpha.append(sum(own, np.zeros_like(alpha[0])))
     return alpha
 
 
+def hits(found: list[np.ndarray], probs: np.ndarray) -> list[np.ndarray]:
+    """For each size and letter, whether a piece ends there in any of the words."""
+    return [(f != len(probs) - 2).any(0) for f in found]
+
+
+def long_score(word: str, pieces: Pieces, probs: np.ndarray, step: int = 4096) -> np.ndarray:
+    """Log probability of a word of any length in each language: the same sum, with the last few alphas only."""
+    letters, past, log = _letters(["▁" + word]), [np.ones(probs.shape[1])], np.zeros(probs.shape[1])
+    for a in range(0, letters.shape[1], step):
+        lead = min(a, pieces.longest - 1)  # pieces that begin before this part
+        found = [f[0] for f in pieces.found(letters[:, a - lead : a + step])]
+        for i in range(lead, len(found[0])):
+            new = np.zeros(probs.shape[1])
+            for k in range(min(len(found), len(past))):
+                if found[k][i] != pieces.n:
+                    new += past[-1 - k] * probs[found[k][i]]
+            past = [*past[1 - pieces.longest :], new]
+            if i % 8 == 0:
+                top = np.maximum(np.max(past, axis=0), 1e-300)
+                past, log = [x / top for x in past], log + np.log(top)
+    return log + np.log(np.maximum(past[-1], 1e-300))
+
+
 def word_scores(items: list[str], pieces: Pieces, probs: np.ndarray) -> np.ndarray:
     """Log probability of each word in each language."""
     out = np.empty((len(items), probs.shape[1]))
-    for at, letters in batches_by_length(items):
-        width = letters.shape[1]
+    short = np.array([i for i, w in enumerate(items) if len(w) <= LONG], np.int64)
+    for i in set(range(len(items))).difference(short.tolist()):
+        out[i] = long_score(items[i], pieces, probs)
+    for own, letters in batches_by_length([items[i] for i in short]):
+        at, width = short[own], letters.shape[1]
         out[at] = np.log(np.maximum(forward(pieces.found(letters), probs)[-1], 1e-300)) - width * np.log(SCALE)
     return out
 
@@ -137,11 +164,13 @@ def expected_counts(items: list[str], counts: np.ndarray, pieces: Pieces, probs:
     langs = np.arange(probs.shape[1])
     for at, letters in batches_by_length(items):
         found = pieces.found(letters)
-        alpha, width = forward(found, probs), letters.shape[1]
+        alpha, ends, width = forward(found, probs), hits(found, probs), letters.shape[1]
         beta = [np.zeros_like(alpha[0]) for _ in range(width)] + [np.ones_like(alpha[0])]
         whole = counts[at] / np.maximum(alpha[-1], 1e-300)
         for i in range(width, 0, -1):
             for k in range(min(len(found), i)):
+                if not ends[k][i - 1]:
+                    continue
                 p = found[k][:, i - 1]
                 step = probs[p] * SCALE ** (k + 1) * beta[i]
                 beta[i - 1 - k] += step
@@ -164,7 +193,7 @@ def _word_counts(langs: list[str]):
         for b in batches:
             counts = Counter()
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text")):
-                for w, n in Counter(words_of(text.as_py())).items():
+                for w, n in Counter(w for w in words_of(text.as_py()) if len(w) <= LONG).items():
                     counts[w, place[lang]] += n
             yield pa.RecordBatch.from_arrays(
                 [pa.array([w for w, _ in counts], pa.string()), pa.array([g for _, g in counts], pa.int32()), pa.array(list(counts.values()), pa.int64())],
