@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.common import bounded, cut, fresh, numbered, table
-from sluice.llm.decontam import leaks
+from sluice.llm.decontam import leaks_by_block
 from sluice.llm.langid import UNDETERMINED, fold, identify
 from sluice.llm.line_dedup import dedup_lines
 from sluice.llm.ngram_join import jaccard_components
@@ -45,13 +45,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a benchmark item within its error budget."""
-    out = fresh(docs, "leaks_")
-    return docs.withColumn(out, leaks(F.col("text"), table(spark, sf_dir, "benchmark"))).filter(F.size(out) == 0).select(*docs.columns)
+    """Drops the documents that hold a benchmark item within its error budget. Null and empty texts hold none and stay;
+    repeated rows are judged alike; without items all stay. Items of many blocks are searched block by block, each over
+    what the one before left."""
+    out, columns, clean = fresh(docs, "leaks_"), docs.columns, []
+    for found in leaks_by_block(F.col("text"), table(spark, sf_dir, "benchmark")):
+        if clean:
+            docs = cut(clean[-1], "clean")
+        clean.append(docs.withColumn(out, found).filter(F.size(out) == 0).select(*columns))
+    return clean[-1]
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their places in sequences of 2048 tokens."""
+    """Pieces of the documents with their places in sequences of 2048 tokens. A null or empty text is the end id alone;
+    repeated rows and null ids are packed like any other."""
     return pack(docs, with_ids=False)
 
 
