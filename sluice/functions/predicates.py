@@ -41,14 +41,14 @@ def rule_fails(rule: Rule, null_policy: str = "quarantine") -> Column:
 def violation_condition(rules: Iterable[Rule], null_policy: str = "quarantine") -> Column:
     """D3: one predicate, true for rows to quarantine.
 
-    With ``'drop'`` this is exactly ``false OR NOT r1 OR NOT r2 ...`` (three-valued);
-    Catalyst folds the ``false`` seed and pushes the negation into the scan.
+    With ``'drop'`` it is the negated conjunction of the rules, NULL where no rule fails
+    and one is unknown.
     With no rules the predicate is ``false``: every row is valid (S5).
     """
     _check_policy(null_policy)
     rules = list(rules)
     if null_policy == "drop":
-        return reduce(lambda acc, r: acc | ~r.column(), rules, F.lit(False))
+        return ~reduce(Column.__and__, [r.column() for r in rules], F.lit(True))
     return reduce(lambda acc, r: acc | rule_fails(r, null_policy), rules, F.lit(False))
 
 

@@ -502,10 +502,10 @@ def _batch_metrics(batch: int, where: str) -> str:
 
 
 ORACLE["scd2_ties"] = f"""
-with hours as (select distinct user_id, date_trunc('hour', ts) as h, cast(floor(hour(ts) / 6) as integer) as phase from {DIRTY_EVENTS} where ts is not null),
-seen as (select *, row_number() over w as rn, lag(phase) over w as before from hours window w as (partition by user_id order by h)),
-starts as (select * from seen where rn = 1 or phase <> before)
-select user_id, phase, cast(h as varchar) as from_hour, cast(lead(h) over (partition by user_id order by h) as varchar) as to_hour from starts"""
+with hours as (select distinct user_id, date_trunc('hour', ts) as h, cast(floor(hour(ts) / 6) as integer) as phase from {DIRTY_EVENTS}),
+seen as (select *, row_number() over w as rn, lag(phase) over w as before from hours window w as (partition by user_id order by h nulls first)),
+starts as (select * from seen where rn = 1 or phase is distinct from before)
+select user_id, phase, cast(h as varchar) as from_hour, cast(lead(h) over (partition by user_id order by h nulls first) as varchar) as to_hour from starts"""
 
 ORACLE.update({
     "declarative_clients": _with(BRONZE, KEPT) + f""",

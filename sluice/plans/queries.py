@@ -330,8 +330,8 @@ def scd2_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scd2_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F3 on a sequence that ties (many events an hour) and with a NULL key: one change per key and hour,
-    no version of length zero."""
-    ev = _dirty_events(spark, sf_dir).filter("ts is not null").select(
+    no version of length zero. A change without a sequence comes before all others of its key."""
+    ev = _dirty_events(spark, sf_dir).select(
         "user_id", F.date_trunc("hour", "ts").alias("hour"), F.floor(F.hour("ts") / 6).cast("int").alias("phase"))
     h = scd2(ev, ["user_id"], "hour", ["user_id", "phase"], strict=True)
     return h.select("user_id", "phase", F.col("__start_at").cast("string").alias("from_hour"), F.col("__end_at").cast("string").alias("to_hour"))

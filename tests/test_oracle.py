@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from sluice.plans.queries import QUERIES
+from sluice.plans.stream_queries import STREAM_QUERIES
 from conftest import SF0001
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -34,7 +35,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(QUERIES | STREAM_QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF0001)
     rows = [tuple(r) for r in df.collect()]
