@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterator
-from html.parser import HTMLParser
+from collections import Counter
+from collections.abc import Container, Iterator
+from html import unescape
 
 import numpy as np
 import pyarrow as pa
@@ -28,94 +29,189 @@ HIDDEN = frozenset("script style template noscript title head option svg math ob
 #: Tags that an open p ends before.
 BEFORE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPES = {"ul", "ol", "dl", "table", "body", "article", "section", "main", "div"}
+#: Open elements that a start tag may end, or that keep it from ending others.
+LOOKED_AT = SCOPES | {"p", "head"} | {t for own in BEFORE.values() for t in own}
 NAME = re.compile(r"[a-z]+")
+TAG = re.compile(r"[A-Za-z][^\s/>]*+")
+#: An attribute, or nothing but what stands before the end of a tag; ``open``: its value never ends.
+ATTRIBUTE = re.compile(r"""[\s/]*+(?:(?P<name>[^\s/>][^\s/=>]*+)(?:\s*+=\s*+(?:"(?P<double>[^"]*+)(?:"|(?P<open>\Z))|'(?P<single>[^']*+)(?:'|\Z)|(?P<bare>[^\s>]*+)))?)?""")
+RAW = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in ("script", "style")}
+
+
+class Node:
+    """An open element that is not inline: tag, words of its class, id and role, and the element it is in."""
+
+    __slots__ = ("tag", "names", "up", "last", "own")
+
+    def __init__(self, tag: str, names: tuple[str, ...], up: Node | None):
+        self.tag, self.names, self.up, self.own = tag, names, up, None
+        before = up.last if up else ()
+        self.last = before if tag in ("html", "body") else (*before[-1:], tag)
+
+    def features(self, known: Container[str] | None) -> frozenset[str]:
+        """Of this element and those it is in; elements that add nothing share one set, so deep pages stay small."""
+        chain, node = [], self
+        while node is not None and node.own is None:
+            chain.append(node)
+            node = node.up
+        held = node.own if node else frozenset()
+        for node in reversed(chain):
+            own = ["in " + node.tag, *("named " + n for n in node.names)]
+            if node.up and node.up.last and node.tag not in ("html", "body"):
+                own.append(f"{node.tag} in {node.up.last[-1]}")
+            own = {f for f in own if known is None or f in known}
+            node.own = held = held if own <= held else held | own
+        return held
 
 
 class Block:
-    __slots__ = ("path", "text", "linked")
+    __slots__ = ("node", "text", "linked")
 
-    def __init__(self, path: tuple, text: str, linked: int):
-        self.path, self.text, self.linked = path, text, linked
+    def __init__(self, node: Node | None, text: str, linked: int):
+        self.node, self.text, self.linked = node, text, linked
 
+    @property
+    def path(self) -> tuple:
+        """(tag, words of its class, id and role) of each ancestor, outermost first."""
+        out, node = [], self.node
+        while node is not None:
+            out.append((node.tag, node.names))
+            node = node.up
+        return tuple(reversed(out))
 
-class Blocks(HTMLParser):
-    """Leaf blocks of a page. path: (tag, words of its class, id and role) of each ancestor, outermost first."""
+
+class Blocks:
+    """Leaf blocks of a page, from one pass over its tags: each character is looked at a few times, whatever the page.
+
+    A tag, comment or attribute value that never ends takes the rest of the page, as in browsers.
+    """
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, tuple[str, ...]]] = []
+        self.open: list[tuple[str, Node | None]] = []
+        self.count: Counter[str] = Counter()
+        self.ends: list[int] = []  # places in ``open`` that a start tag may have to look at
         self.blocks: list[Block] = []
         self.parts: list[str] = []
-        self.linked = self.links = self.hidden = 0
+        self.linked = 0
+
+    @property
+    def hidden(self) -> bool:
+        return any(self.count[t] for t in HIDDEN)
+
+    def read(self, html: str) -> list[Block]:
+        at, size = 0, len(html)
+        while at < size:
+            lt = html.find("<", at)
+            if lt < 0:
+                lt = size
+            if lt > at:
+                self.data(unescape(html[at:lt]))
+            if lt == size:
+                break
+            then = html[lt + 1 : lt + 2]
+            if html.startswith("<!--", lt):
+                end = html.find("-->", lt + 4)
+                at = size if end < 0 else end + 3
+            elif then in ("!", "?") or then == "/" and not TAG.match(html, lt + 2):
+                end = html.find(">", lt + 2)
+                at = size if end < 0 else end + 1
+            elif then == "/":
+                name = TAG.match(html, lt + 2)
+                end = html.find(">", name.end())
+                at = size if end < 0 else end + 1
+                if end >= 0:
+                    self.end(name[0].lower())
+            elif name := TAG.match(html, lt + 1):
+                at = self.tag(html, name)
+            else:
+                self.data("<")
+                at = lt + 1
+        self.flush()
+        return self.blocks
+
+    def tag(self, html: str, name: re.Match) -> int:
+        """Reads a start tag and, of a script or style, its content; the place after it."""
+        tag, at, size, names = name[0].lower(), name.end(), len(html), []
+        while True:
+            m = ATTRIBUTE.match(html, at)
+            at = m.end()
+            if at >= size or m["open"]:
+                return size
+            if m["name"] is None:
+                break
+            if m["name"].lower() in ("class", "id", "role"):
+                value = m["double"] or m["single"] or m["bare"]
+                names += NAME.findall(unescape(value).lower()) if value else []
+        closed = html[at - 1] == "/"
+        self.start(tag, tuple(names))
+        if closed and tag not in VOID:
+            self.end(tag)
+        elif not closed and tag in RAW:
+            end = RAW[tag].search(html, at + 1)
+            return end.start() if end else size
+        return at + 1
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.blocks.append(Block(tuple(x for x in self.open if x[0] not in INLINE), text, self.linked))
+            self.blocks.append(Block(self.open[-1][1] if self.open else None, text, self.linked))
         self.parts, self.linked = [], 0
 
     def close_to(self, at: int) -> None:
         for tag, _ in self.open[at:]:
-            self.links -= tag == "a"
-            self.hidden -= tag in HIDDEN
+            self.count[tag] -= 1
         del self.open[at:]
+        while self.ends and self.ends[-1] >= at:
+            self.ends.pop()
 
-    def handle_starttag(self, tag, attrs):
+    def start(self, tag: str, names: tuple[str, ...]) -> None:
+        up = self.open[-1][1] if self.open else None
         if tag not in INLINE:
             self.flush()
-            for i in range(len(self.open) - 1, -1, -1):  # what this tag ends without saying so
+            for i in reversed(self.ends):  # what this tag ends without saying so
                 name = self.open[i][0]
                 if name == "p" or name in BEFORE.get(tag, ()) or name == "head" and tag == "body":
                     self.close_to(i)
+                    up = self.open[-1][1] if self.open else None
                     break
                 if name in SCOPES:
                     break
         elif tag == "br":
             self.parts.append(" ")
         if tag not in VOID:
-            names = tuple(w for k, v in attrs if k in ("class", "id", "role") and v for w in NAME.findall(v.lower()))
-            self.open.append((tag, names))
-            self.links += tag == "a"
-            self.hidden += tag in HIDDEN
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self.handle_endtag(tag)
+            if tag in LOOKED_AT:
+                self.ends.append(len(self.open))
+            self.open.append((tag, up if tag in INLINE else Node(tag, names, up)))
+            self.count[tag] += 1
 
-    def handle_endtag(self, tag):
+    def end(self, tag: str) -> None:
         if tag not in INLINE:
             self.flush()
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self.close_to(i)
-                break
+        if self.count[tag] > 0:
+            i = len(self.open) - 1
+            while self.open[i][0] != tag:
+                i -= 1
+            self.close_to(i)
 
-    def handle_data(self, data):
+    def data(self, text: str) -> None:
         if not self.hidden:
-            self.parts.append(data)
-            if self.links:
-                self.linked += len(data)
+            self.parts.append(text)
+            if self.count["a"]:
+                self.linked += len(text)
 
 
 def blocks(html: str) -> list[Block]:
-    parser = Blocks()
-    parser.feed(html)
-    parser.close()
-    parser.flush()
-    return parser.blocks
+    return Blocks().read(html)
 
 
-def features(page: list[Block]) -> list[list[str]]:
+def features(page: list[Block], known: Container[str] | None = None) -> list[list[str]]:
+    """Of each block; of its ancestors only ``known`` ones, if given."""
     out = []
     for i, b in enumerate(page):
         f = {"any"}
-        for tag, names in b.path:
-            f.add("in " + tag)
-            f.update("named " + n for n in names)
-        tags = [t for t, _ in b.path if t not in ("html", "body")]
-        f.add("path " + " ".join(tags[-2:]))
-        f.update(f"{tags[j]} in {tags[j - 1]}" for j in range(1, len(tags)))
+        if b.node:
+            f |= b.node.features(known)
+        f.add("path " + " ".join(b.node.last if b.node else ()))
         n = len(b.text)
         f.add(f"size {min(n.bit_length(), 10)}")
         f.add(f"linked {4 * min(b.linked, n) // n}")
@@ -311,7 +407,7 @@ def extractor(field: Field):
             out = []
             for html in part:
                 page = blocks(html.as_py() or "")
-                out.append("\n".join(b.text for b, y in zip(page, field.viterbi(features(page))) if y))
+                out.append("\n".join(b.text for b, y in zip(page, field.viterbi(features(page, field.names))) if y))
             yield pa.array(out, pa.string())
 
     return extract

@@ -63,3 +63,28 @@ def test_language_of_a_text_without_letters(spark):
     rows = [(1, "the house", "en", "s", 1), (2, "das haus", "de", "s", 1), (3, "½ ² ① 12", None, "s", 1), (4, "x" * 100_000, None, "s", 1)]
     got = {r.doc_id: r.language for r in identify(docs(spark, rows), F.lit(True)).collect()}
     assert got[3].lang_pred == "und" and got[3].score == 0 and got[4].lang_pred in ("en", "de")
+
+
+def test_pages_that_never_end():
+    """A megabyte each of what made the work grow with the square."""
+    from sluice.llm.html_crf import blocks, features
+
+    pages = {"<a ": "<a " * 350_000, "divs": "<div>x" * 170_000, "names": "".join(f"<div class=n{i}>x" for i in range(50_000)), "ends": "<div>" * 100_000 + "</p>" * 100_000,
+             "quotes": '<a href="x ' * 90_000, "comments": "<!-- " * 200_000, "inline": "<b>" * 100_000 + "<p>x" * 100_000, "cells": "<td><li>" * 120_000}
+    for name, html in pages.items():
+        began = time.time()
+        page = blocks(html)
+        features(page, {"in div", "in p"})
+        assert time.time() - began < 25, name
+        assert len(page) == {"divs": 170_000, "names": 50_000, "inline": 100_000}.get(name, 0), name
+
+
+def test_tags_that_need_care():
+    from sluice.llm.html_crf import blocks
+
+    texts = lambda html: [b.text for b in blocks(html)]
+    assert texts("a < b <c>d</c> 1<2") == ["a < b", "d", "1<2"] and texts("x<p title='a>b'>y<p title=\"it's\">z") == ["x", "y", "z"]
+    assert texts("<!DOCTYPE html><?xml?>a<!-- <p>b --></ c>d") == ["ad"] and texts("a<script>if (a < b) '<p>'</SCRIPT >b<style>c") == ["a", "b"]
+    assert texts("one<br/>two<div/>three &amp;amp; &lt;p&gt;") == ["one two", "three &amp; <p>"] and texts("a<p class='x") == ["a"]
+    deep = blocks("<html><body><div id=Main class='a-b c9'><p><b>t</b>")[0]
+    assert deep.path == (("html", ()), ("body", ()), ("div", ("main", "a", "b", "c")), ("p", ()))
