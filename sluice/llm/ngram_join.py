@@ -225,7 +225,7 @@ def _near(num: int, den: int):
 def _across(num: int, den: int, best: int):
     """Pairs of one star's two cells (or one cell) in different components whose sketches allow a link.
 
-    Every member gives its ``best`` nearest; a row with ``more`` says that some have further ones.
+    Every member gives its ``best`` nearest; a row with ``more`` says that some have further ones, and names the star.
     """
     def run(t: pa.Table) -> pa.Table:
         fp, n, low, high, comp, cell = (t.column(c).to_numpy() for c in ("fp", "n", "low", "high", "component", "cell"))
@@ -250,7 +250,7 @@ def _across(num: int, den: int, best: int):
                 a.append(np.minimum(fp[r[i]], fp[cols[j]]))
                 b.append(np.maximum(fp[r[i]], fp[cols[j]]))
         pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
-        flag = np.zeros((2, int(more)), np.int64)
+        flag = np.array([[t.column("pivot")[0].as_py()], [0]], np.int64)[:, : int(more)]
         a, b = np.concatenate([pairs, flag], axis=1)
         return pa.table({"a": a, "b": b, "more": np.arange(len(a)) >= pairs.shape[1]})
     return run
@@ -350,14 +350,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         dealt = dealt.withColumn("x", F.least("cell", "other")).withColumn("y", F.greatest("cell", "other"))
         across = cut(dealt.groupBy("pivot", "x", "y").applyInArrow(_across(num, den, best), "a long, b long, more boolean"), "across")
         new = cut(across.filter("not more").select("a", "b").distinct().join(done, ["a", "b"], "left_anti"), "new")
-        if new.isEmpty():
-            if across.filter("more").isEmpty():
-                break
-        else:
+        if not new.isEmpty():
             done = cut(done.union(new), "done")
             links = links.union(compared(new)[1].filter("link").select("a", "b"))
             comp = connected_components(links, "a", "b")
-        best *= 4
+        # a star none of whose members had further partners has been compared whole
+        again = cut(across.filter("more").select(F.col("a").alias("pivot")).distinct(), "again")
+        if again.isEmpty():
+            break
+        members, best = members.join(again, "pivot", "left_semi"), 4 * best
     return _labelled(rows, sets.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
                      .select("fp", F.coalesce("component", "fp").alias("component"), "least"))
 
