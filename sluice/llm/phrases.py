@@ -83,20 +83,25 @@ class Chunk:
 
 
 def grams(chunk: Chunk, steps: list[np.ndarray], bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(size, places, hashes, starts) of the phrases whose subphrases have reached the least count; start: the later one's step."""
+    """(size, places, hashes, starts) of the phrases whose subphrases have reached the least count; start: the later one's step.
+
+    A subphrase's slot may hold an earlier step than its own start, so a phrase starts no sooner than its subphrases do: no
+    scan before that meets it.
+    """
     at, h = np.arange(len(chunk.h)), chunk.h
-    yield 1, at, h, np.zeros(len(h), np.uint8)
+    start = np.zeros(len(h), np.uint8)
+    yield 1, at, h, start
     for size in range(2, len(steps) + 2):
         if len(at) < 2:
             return
-        t = steps[size - 2][slot(h, bits)]
+        t = np.maximum(steps[size - 2][slot(h, bits)], start)
         later = np.maximum(t[:-1], t[1:])
         pair = (at[1:] == at[:-1] + 1) & (later != NEVER)
         if size == 2:
             pair &= chunk.follows[at[:-1]]
         pair = np.flatnonzero(pair)
-        at, h = at[pair], join(h[pair], h[pair + 1])
-        yield size, at, h, later[pair]
+        at, h, start = at[pair], join(h[pair], h[pair + 1]), later[pair]
+        yield size, at, h, start
 
 
 class Steps:

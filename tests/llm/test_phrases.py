@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import SF, clashing, docs, lower, odd_rows
 
@@ -61,6 +62,17 @@ def test_slots_shared_by_phrases_change_nothing(spark, monkeypatch):
     assert sorted(tuple(r) for r in collocations(frame, least=4, shards=2).collect()) == sorted(_brute(rows, 4))
 
 
+def test_a_phrase_starts_no_sooner_than_its_subphrases():
+    """The pairs share slots with pairs found in step 1, but their words are found in step 2: no scan before step 3 meets the phrase."""
+    from sluice.llm import phrases as P
+
+    data = np.frombuffer(b"x y z q", np.uint8)
+    chunk = P.Chunk(["en"], np.array([0, len(data)]), data, P.Powers(P.BASE))
+    steps = [np.full(1 << 12, P.NEVER, np.uint8), np.full(1 << 12, 1, np.uint8), np.full(1 << 12, 1, np.uint8)]
+    steps[0][P.slot(chunk.h, 12)] = 2
+    assert {size: start.tolist() for size, _, _, start in P.grams(chunk, steps, 12)} == {1: [0] * 4, 2: [2] * 3, 3: [2] * 2, 4: [2]}
+
+
 def test_a_task_that_merges_often_counts_the_same(spark, monkeypatch):
     from sluice.llm import phrases
 
