@@ -172,21 +172,24 @@ def _scan(steps: Steps, step: int, shards: int):
 
 
 def _spelled(steps: Steps, least_marks: list[tuple[np.ndarray, np.ndarray]]):
-    """(h, lang, phrase) of occurrences whose mark is within that of their slot, and (null, lang, null, words of the language)."""
+    """(h, lang, phrase) of occurrences whose mark is within that of their slot, and (null, lang, null, words of the language).
+
+    least_marks: for each length the sorted slots of the phrases found, and their marks."""
     schema = pa.schema([("h", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, within, total, seen = steps.tables(), [], {}, set()
-        for slots, marks in least_marks:
-            within.append(np.full(1 << steps.bits, -1, np.int32))
-            within[-1][slots] = marks
+        tables, total, seen = steps.tables(), {}, set()
         for langs, chunk, rows in _chunks(batches):
             out = []
             for g, n in zip(langs, np.diff(chunk.at).tolist()):
                 total[g] = total.get(g, 0) + n
             for size, at, h, _ in grams(chunk, tables[:-1], steps.bits):
-                if size > 1:
-                    own = np.flatnonzero(chunk.marks(rows, at) <= within[size - 1][slot(h, steps.bits)])
+                slots, marks = least_marks[size - 1]
+                if size > 1 and len(slots):
+                    known = np.flatnonzero(tables[size - 1][slot(h, steps.bits)] != NEVER)  # only these slots have marks
+                    place = np.minimum(np.searchsorted(slots, slot(h[known], steps.bits)), len(slots) - 1)
+                    met = (slots[place] == slot(h[known], steps.bits)) & (chunk.marks(rows, at[known]) <= marks[place])
+                    own = known[met]
                     for i, key in zip(at[own].tolist(), h[own].view(np.int64).tolist()):
                         if key not in seen:
                             seen.add(key)
@@ -228,7 +231,7 @@ def frequent_phrases(texts: DataFrame, least: int, longest: int, shards: int) ->
     least_marks = [(np.empty(0, np.int64), np.empty(0, np.int32))] * longest
     marks = whole.filter("size > 1").groupBy("size", place).agg(F.max("mark").alias("mark")).collect()  # a row a slot at most
     for length in {r["size"] for r in marks}:
-        own = [(r["slot"], r["mark"]) for r in marks if r["size"] == length]
+        own = sorted((r["slot"], r["mark"]) for r in marks if r["size"] == length)
         least_marks[length - 1] = np.array([s for s, _ in own], np.int64), np.array([m for _, m in own], np.int32)
     spelled = cut(parts.select("lang", "text", "row").mapInArrow(_spelled(steps, least_marks), "h long, lang string, phrase string, n long"), "spelled")
     texts_of = spelled.filter("h is not null").groupBy("h").agg(F.min(F.struct("lang", "phrase")).alias("x")).select("h", "x.*")
