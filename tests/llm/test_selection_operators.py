@@ -1,6 +1,8 @@
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -280,6 +282,29 @@ def test_wand_matches_full_scores(monkeypatch):
         assert list(zip(scores.tolist(), docs.tolist())) == sorted(((round(s, DIGITS), d) for d, s in full.items()), key=lambda x: (-x[0], x[1]))[:10]
 
 
+def test_topk_asks_for_all_words_of_a_row(spark, monkeypatch):
+    """Rows of 40 words, rare ones among them: all of them count, not the first dozen nor those of many rows alone."""
+    from sluice.llm import topk as T
+
+    draw = random.Random(3)
+    texts = [" ".join(f"w{min(draw.randrange(300), draw.randrange(300))}" for _ in range(40)) for _ in range(160)]
+    words, n = [t.split() for t in texts], len(texts)
+    df = Counter(w for own in words for w in set(own))
+    idf = {w: math.log(1 + (n - c + 0.5) / (c + 0.5)) for w, c in df.items()}
+    norm = T.K1 * (1 - T.B + T.B * 1)  # all rows are of average length
+    want = []
+    for q in range(0, n, 20):
+        sums = {d: sum(idf[w] * own.count(w) * (T.K1 + 1) / (own.count(w) + norm) for w in set(words[q]) & set(own)) for d, own in enumerate(words)}
+        best = sorted(((round(x, T.DIGITS), d) for d, x in sums.items() if x), key=lambda x: (-x[0], x[1]))[:10]
+        want += [(q, i + 1, d, x) for i, (x, d) in enumerate(best)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for block, shard, added in ((64, 1_500_000, 2_000_000), (4, 400, 50)):
+        for name, value in (("BLOCK", block), ("SHARD", shard), ("ADDED", added), ("PIVOTS", 2)):
+            monkeypatch.setattr(T, name, value)
+        got = sorted(tuple(r) for r in T.search(frame, F.col("doc_id") % 20 == 0).collect())
+        assert [r[:3] for r in got] == [r[:3] for r in want] and [r[3] for r in got] == pytest.approx([r[3] for r in want], abs=2e-6)
+
+
 def test_topk_blocks_and_odd_rows(spark, monkeypatch):
     from sluice.llm import topk as T
 
