@@ -9,11 +9,12 @@ hashed features of the context: the word before, the one before that (skip), the
 
 Training counts cover every training text. The weights come from distributed gradient updates in ``ROUNDS`` rounds, each over
 a hash share of the texts: each task runs minibatch steps over its texts from the last round's weights, and the tasks' weights are
-averaged block by block.
+averaged block by block. A round has a task for so many tokens (``TASK_TOKENS``), however the input is split.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,8 @@ NEAR = [0, 1, 2, 3, 4]
 KNOWN = 200_000
 BATCH, RATE = 4096, 0.25
 BLOCKS, ROUNDS = 32, 4
+#: Training tokens for each task of a round, whose weights travel once: they grow with the input, not with its splits; a few tasks in any case.
+TASK_TOKENS, FEW_TASKS = 20_000_000, 8
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
@@ -276,8 +279,9 @@ def fit(train: DataFrame) -> tuple[DataFrame, tuple[int, int], Model, tuple[np.n
     ends = int(known["c"][known["h"] == end].sum())
     model = Model(np.concatenate([[end], top["h"].to_numpy(np.int64)]).astype(np.int64).view(np.uint64), np.append(0, top_ending), np.append(ends, top_count), mass)
     schema = "part string, block int, task int, n double, w binary"
+    tasks = max(FEW_TASKS, math.ceil(total / TASK_TOKENS))
     for n in range(ROUNDS):
-        part = train.filter(F.pmod(F.xxhash64(*train.columns), F.lit(ROUNDS)) == n)
+        part = train.filter(F.pmod(F.xxhash64(*train.columns), F.lit(ROUNDS)) == n).coalesce(tasks)
         blocks = part.mapInArrow(_train(model), schema)
         blocks = blocks.groupBy("part", "block", F.expr("task div 32")).applyInArrow(_mean, schema)
         blocks = blocks.groupBy("part", "block").applyInArrow(_mean, schema).collect()

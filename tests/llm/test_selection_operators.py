@@ -384,3 +384,28 @@ def test_html_sample_takes_one_page_of_equal_ones(spark, monkeypatch):
     df = spark.createDataFrame(rows, "page_id long, html string").repartition(4)
     assert df.select(H.main_text(df, sample=100)).count() == 43
     assert sorted(lent[0]) == ["page 0", "page 1", "page 2", "the same words"]
+
+
+# language model
+
+def test_training_tasks_follow_the_tokens_not_the_splits(spark, monkeypatch, tmp_path):
+    """Each task of a round sends the whole model once: twelve partitions of a few tokens make two tasks, not twelve."""
+    from sluice.llm import lm_maxent as L
+
+    real, folder = L._train, str(tmp_path)
+
+    def counted(model):
+        run = real(model)
+
+        def one(batches):
+            import uuid
+            with open(f"{folder}/{uuid.uuid4().hex}", "w"):
+                yield from run(batches)
+        return one
+
+    monkeypatch.setattr(L, "_train", counted)
+    monkeypatch.setattr(L, "FEW_TASKS", 2)
+    monkeypatch.setattr(L, "ROUNDS", 1)
+    texts = spark.createDataFrame([(i, f"word{i % 7} again and again") for i in range(120)], "doc_id long, text string").repartition(12)
+    L.fit(texts)
+    assert len(list(tmp_path.iterdir())) == 2
