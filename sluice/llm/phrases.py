@@ -34,8 +34,8 @@ FIRST = 2000
 SHARDS = 4
 #: Slots of a length: SLOTS_A_PHRASE for each phrase that could reach the least count, 2^MOST_BITS at most.
 SLOTS_A_PHRASE, FEWEST_BITS, MOST_BITS = 4, 12, 24
-#: Hashes that a task holds before it merges equal ones.
-HELD = 1 << 21
+#: Hashes that a task holds before it merges equal ones, and merged rows that it hands over at once.
+HELD, ROWS_OUT = 1 << 21, 1 << 16
 NEVER = 255
 BASE = 0x9E3779B97F4A7C15
 
@@ -115,8 +115,9 @@ class Steps:
         new = np.setdiff1d(slots, at)
         self.used[length - 1] = np.concatenate([at, new]), np.concatenate([t, np.full(len(new), step, np.uint8)])
 
-    def tables(self) -> list[np.ndarray]:
-        out = [np.full(1 << self.bits, NEVER, np.uint8) for _ in self.used]
+    def tables(self, lengths: int | None = None) -> list[np.ndarray]:
+        """The tables of the first ``lengths`` lengths, or of all."""
+        out = [np.full(1 << self.bits, NEVER, np.uint8) for _ in self.used[:lengths]]
         for table, (at, t) in zip(out, self.used):
             table[at] = t
         return out
@@ -145,32 +146,40 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], Chun
 
 def _scan(steps: Steps, step: int, shards: int):
     """Counts of the phrases that are active in ``step``, with their least marks: tag = 256 * size + start."""
-    def merged(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        h, tags, marks = (np.concatenate(c) for c in zip(*held))
-        order = np.argsort(h)
-        first = np.flatnonzero(np.concatenate([[True], np.diff(h[order]) != 0]))
-        n = np.diff(np.append(first, len(h)))
-        columns = [h[order[first]].view(np.int64), tags[order[first]], n, np.minimum.reduceat(marks[order], first)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "tag", "n", "mark"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, held, size_of = steps.tables(), [], 0
+        tables, held, size_of = steps.tables(-1), [], 0
         for _, chunk, rows in _chunks(batches):
-            for size, at, h, start in grams(chunk, tables[:-1], steps.bits):
+            for size, at, h, start in grams(chunk, tables, steps.bits):
                 if size == 1 and step > shards:
                     continue
                 now = start + np.int64(shards) >= step
                 marks = chunk.marks(rows, at[now]) if size > 1 else np.zeros(int(now.sum()), np.int32)
-                held.append((h[now], 256 * size + start[now].astype(np.int32), marks))
+                held.append((h[now], (256 * size + start[now].astype(np.int32)).astype(np.uint16), marks.astype(np.uint16)))
                 size_of += len(held[-1][0])
             if size_of > HELD:
-                yield merged(held)
-                held, size_of = [], 0
+                yield from merged(held)
+                size_of = 0
         if size_of:
-            yield merged(held)
+            yield from merged(held)
     return run
 
 
+def merged(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    """The distinct hashes of what a task held, in batches of ROWS_OUT rows: the JVM takes each batch in one piece. Empties ``held``."""
+    h, tags, marks = (np.concatenate(c) for c in zip(*held))
+    held.clear()
+    order = np.argsort(h)
+    h, marks = h[order], marks[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    h, tags, marks = h[first], tags[order[first]], np.minimum.reduceat(marks, first)
+    n = np.diff(np.append(first, len(order)))
+    del order, first
+    for i in range(0, len(h), ROWS_OUT):
+        own = slice(i, i + ROWS_OUT)
+        columns = [h[own].view(np.int64), tags[own].astype(np.int32), n[own], marks[own].astype(np.int32)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "tag", "n", "mark"])
+
+
 def _spelled(steps: Steps, least_marks: list[tuple[np.ndarray, np.ndarray]]):
     """(h, lang, phrase) of occurrences whose mark is within that of their slot, and (null, lang, null, words of the language).
 

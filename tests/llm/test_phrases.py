@@ -105,3 +105,24 @@ def test_query_equals_sql(spark):
     want = con.execute(ORACLE["op12_phrase_collocation"].replace("f >= 100", "f >= 12")).fetchall()
     got = [tuple(r) for r in collocations(spark.read.parquet(f"{SF}/documents.parquet"), least=12, shards=2).collect()]
     assert sorted(got) == sorted(want) and len(want) > 50
+
+
+def test_a_task_hands_its_counts_over_in_small_batches(monkeypatch):
+    """The rows that a task has merged reach the JVM in batches of ROWS_OUT, not in one as large as all that it held."""
+    import pyarrow as pa
+
+    from sluice.llm import phrases
+
+    monkeypatch.setattr(phrases, "ROWS_OUT", 50, raising=False)
+    texts = [" ".join(f"w{i % 331}" for i in range(7 * k, 7 * k + 90)) for k in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 40), pa.array(texts), pa.array(np.arange(40))], names=["lang", "text", "row"])
+    steps = phrases.Steps(12, 3)
+    steps.add(1, np.arange(1 << 12), 1)
+    out = list(phrases._scan(steps, 2, 4)(iter([batch])))
+    assert max(map(len, out)) <= 50 < sum(map(len, out))
+    rows = [r for b in out for r in b.to_pylist()]
+    assert len({r["h"] for r in rows}) == len(rows)
+    sizes = Counter()
+    for r in rows:
+        sizes[r["tag"] // 256] += r["n"]
+    assert sizes == {1: 40 * 90, 2: 40 * 89}
