@@ -74,6 +74,8 @@ def one_per_sequence(p: DataFrame, keys: Sequence[str], strict: bool = False) ->
 #: Buckets of the sequence: so many, or more if that makes them larger than so many rows, but this many at most; and
 #: values (in expectation) that the edges are taken from.
 SEQUENCE_BUCKETS, ROWS_A_BUCKET, MOST_BUCKETS, EDGE_SAMPLE = 64, 500_000, 4096, 40_000
+#: Rows of a key up to which it is windowed as a whole.
+ROWS_A_KEY = 100_000
 
 
 def sequence_bucket(p: DataFrame, rows_a_bucket: int = ROWS_A_BUCKET, sample: int = EDGE_SAMPLE, column: str = SEQ,
@@ -112,6 +114,13 @@ def sequence_bucket(p: DataFrame, rows_a_bucket: int = ROWS_A_BUCKET, sample: in
     return out
 
 
+def all_keys_small(rows: DataFrame, keys: Sequence[str], rows_a_bucket: int | None = None) -> bool:
+    """Whether no key (NULL is one) has more rows than a bucket may hold, so that each key fits one task and needs no buckets.
+    One map-side combined count; reads the keys alone."""
+    most = rows.groupBy(*[F.col(f"`{k}`") for k in keys]).count().agg(F.max("count")).first()[0]
+    return (most or 0) <= (ROWS_A_KEY if rows_a_bucket is None else rows_a_bucket)
+
+
 # ---------------------------------------------------------------- type 1
 
 def _keyed(df: DataFrame, keys: Sequence[str], touched: DataFrame, how: str) -> DataFrame:
@@ -176,13 +185,16 @@ def scd2_from_prepared(p: DataFrame, keys: Sequence[str], track_columns: Sequenc
 
     So a key holding a third of the rows is split by bucket, and the change rows
     are shuffled once for the window (no second pass, no join).
+
+    Where no key has more than ROWS_A_KEY rows, none is split: the rows are shuffled once, by key, for all steps.
     """
     p, aside = set_aside(p, HELPERS)
     keys, track_columns = [aside.get(k, k) for k in keys], track_columns and [aside.get(c, c) for c in track_columns]
     value_cols = [c for c in p.columns if c not in (SEQ, DELETED, TIEBREAK)]
     tracked = list(track_columns) if track_columns is not None else [c for c in value_cols if c not in keys]
-    p = one_per_sequence(p, keys, strict)
-    if bucket is None:  # counted, sampled and windowed: computed once
+    whole = bucket is None and bool(keys) and all_keys_small(p, keys)
+    p = one_per_sequence(p.repartition(*[F.col(f"`{k}`") for k in keys]) if whole else p, keys, strict)
+    if bucket is None and not whole:  # counted, sampled and windowed: computed once
         path = scratch_path(p.sparkSession, "changes")
         p.write.parquet(path)
         p = p.sparkSession.read.schema(p.schema).parquet(path)
@@ -190,6 +202,17 @@ def scd2_from_prepared(p: DataFrame, keys: Sequence[str], track_columns: Sequenc
     state = F.struct(F.col(DELETED).alias("d"),
                      *[F.when(~F.col(DELETED), F.col(c)).alias(c) for c in tracked])
     pos = F.struct(F.col(SEQ).alias("seq"), F.col(TIEBREAK).alias("tb"))
+    given = {now: name for name, now in aside.items()}
+    values = [F.col(f"`{c}`").alias(given.get(c, c)) for c in value_cols]
+
+    def out(kept: DataFrame) -> DataFrame:
+        return (kept.filter(F.lit(keep_deleted) | ~F.col(DELETED))
+                .select(*values, F.col(SEQ).alias(START), F.col("_end.seq").alias(END), *([DELETED, TIEBREAK] if keep_deleted else [])))
+    if whole:
+        w = Window.partitionBy(*keys).orderBy("_pos")
+        d = p.withColumn("_st", state).withColumn("_pos", pos).withColumn("_prev_st", F.lag("_st").over(w))
+        starts = d.filter(F.col("_prev_st").isNull() | ~F.col("_st").eqNullSafe(F.col("_prev_st")))
+        return out(starts.withColumn("_end", F.lead("_pos").over(w)))
     d = p.withColumn(BUCKET, bucket).withColumn("_st", state).withColumn("_pos", pos)
 
     # bucket summary from the raw rows
@@ -233,10 +256,7 @@ def scd2_from_prepared(p: DataFrame, keys: Sequence[str], track_columns: Sequenc
     u = u.withColumn("_start", starts & (F.col("_mk") > 0))
     u = u.withColumn("_end", F.first(F.when(F.col("_start"), F.col("_pos")), ignorenulls=True).over(
         w.rowsBetween(1, Window.unboundedFollowing)))
-    kept = u.filter((F.col("_mk") == 1) & F.col("_start") & (F.lit(keep_deleted) | ~F.col(DELETED)))
-    given = {now: name for name, now in aside.items()}
-    values = [F.col(f"`{c}`").alias(given.get(c, c)) for c in value_cols]
-    return kept.select(*values, F.col(SEQ).alias(START), F.col("_end.seq").alias(END), *([DELETED, TIEBREAK] if keep_deleted else []))
+    return out(u.filter((F.col("_mk") == 1) & F.col("_start")))
 
 
 def scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str | Sequence[str],

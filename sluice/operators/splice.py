@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .scd import DELETED, END, SEQ, START, TIEBREAK, scd2_from_prepared, sequence_bucket
+from .scd import DELETED, END, SEQ, START, TIEBREAK, all_keys_small, scd2_from_prepared, sequence_bucket
 
 
 def _matched(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -57,12 +57,21 @@ def scd2_view(runs: DataFrame) -> DataFrame:
 
 def scd2_splice(runs: DataFrame, log: DataFrame, prepared: DataFrame, keys: Sequence[str],
                 track_columns: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(runs', changes)`` after a batch, given runs and log before it.
+    """``(runs', changes)`` of :func:`scd2_splice_fresh`."""
+    return scd2_splice_fresh(runs, log, prepared, keys, track_columns)[:2]
+
+
+def scd2_splice_fresh(runs: DataFrame, log: DataFrame, prepared: DataFrame, keys: Sequence[str],
+                      track_columns: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(runs', changes, fresh)`` after a batch, given runs and log before it.
 
     ``changes`` has the runs that were put (``__put`` true) or dropped: all that differs between ``runs`` and ``runs'``.
     Of rows that tie on key and sequence the one of largest row hash counts, whenever it came. A batch that was applied
     already, to the runs alone or to the log as well, changes nothing. The log may be compacted: it needs, per key, the
-    rows from the earliest change on and the one before it.
+    rows from the earliest change on and the one before it. ``fresh`` has the batch's rows that the log has not, once each.
+
+    Where no key has more than ``ROWS_A_KEY`` rows, log and batch are shuffled once, by key, and only what the batch
+    touches is written; else keys are split into buckets of the sequence.
     """
     values = [c for c in prepared.columns if c not in (SEQ, DELETED, TIEBREAK)]
     tracked = list(track_columns) if track_columns is not None else [c for c in values if c not in keys]
@@ -71,21 +80,40 @@ def scd2_splice(runs: DataFrame, log: DataFrame, prepared: DataFrame, keys: Sequ
                                   F.col(s).alias("s"), F.col(DELETED).alias("d"), F.col(TIEBREAK).alias("tb"), *([F.col(END).alias("e")] if s == START else []))
     batch, logged, old = own(prepared, SEQ), own(log, SEQ), own(runs, START)
     touched = _written(batch.select(*ks).distinct(), "touched")
-    new = _matched(batch.dropDuplicates([*ks, "s", "tb"]), logged.select(*ks, "s", "tb"), [*ks, "s", "tb"], "left_anti")
-    rows = _matched(logged, touched, ks, "left_semi").withColumn("new", F.lit(False)).unionByName(new.withColumn("new", F.lit(True)))
-    best = rows.groupBy(*ks, "s").agg(F.max_by(F.struct("v", "d", "tb", "new"), "tb").alias("x")).select(*ks, "s", "x.*")
-    best = _written(best, "merged")
-    bucket = sequence_bucket(best, column="s", least=1)
     state = F.struct("d", F.when(~F.col("d"), F.struct(*[F.col(f"v.`{c}`").alias(f"t{i}") for i, c in enumerate(tracked)]) if tracked else F.lit(True)).alias("t"))
-    rows = beside(best.withColumn("b", bucket).withColumn("state", state), ks, "b", "s", F.struct("state", "new"), "before")
-    seen = rows.filter(F.col("new") | F.coalesce(F.col("before.new"), F.lit(False)))
     begins = F.col("before").isNull() | ~F.col("state").eqNullSafe(F.col("before.state"))
-    seen = _written(seen.select(*ks, "s", "v", "d", "tb", begins.alias("begins")), "seen")
+    whole = bool(ks) and all_keys_small(logged.select(*ks).unionByName(batch.select(*ks)), ks)
+    if whole:  # one shuffle serves all: equal rows, ties, neighbours
+        rows = logged.withColumn("new", F.lit(False)).unionByName(batch.withColumn("new", F.lit(True))).repartition(*ks)
+        rows = rows.groupBy(*ks, "s", "tb").agg(F.max_by(F.struct("v", "d"), "tb").alias("x"), F.bool_and("new").alias("new"))
+        rows = rows.select(*ks, "s", "x.*", "tb", "new")
+        fresh = F.collect_list(F.when(F.col("new"), F.struct("v", "d", "tb"))).alias("fresh")
+        best = rows.groupBy(*ks, "s").agg(F.max_by(F.struct("v", "d", "tb", "new"), "tb").alias("x"), fresh).select(*ks, "s", "x.*", "fresh")
+        near = F.lag(F.struct("state", "new")).over(Window.partitionBy(*ks).orderBy("s"))
+        rows = best.withColumn("state", state).withColumn("before", near).withColumn("begins", begins)
+        rows = rows.withColumn("look", F.col("new") | F.coalesce(F.col("before.new"), F.lit(False)))
+        met = _written(rows.filter(F.col("look") | (F.size("fresh") > 0)).select(*ks, "s", "v", "d", "tb", "begins", "look", "fresh"), "seen")
+        seen = met.filter("look").drop("look", "fresh")
+        new = met.select(*ks, "s", F.explode("fresh").alias("x")).select(*ks, "s", "x.*")
+        bucket = F.lit(0)
+    else:
+        new = _matched(batch.dropDuplicates([*ks, "s", "tb"]), logged.select(*ks, "s", "tb"), [*ks, "s", "tb"], "left_anti")
+        new = _written(new, "fresh")
+        rows = _matched(logged, touched, ks, "left_semi").withColumn("new", F.lit(False)).unionByName(new.withColumn("new", F.lit(True)))
+        best = rows.groupBy(*ks, "s").agg(F.max_by(F.struct("v", "d", "tb", "new"), "tb").alias("x")).select(*ks, "s", "x.*")
+        best = _written(best, "merged")
+        bucket = sequence_bucket(best, column="s", least=1)
+        rows = beside(best.withColumn("b", bucket).withColumn("state", state), ks, "b", "s", F.struct("state", "new"), "before")
+        seen = rows.filter(F.col("new") | F.coalesce(F.col("before.new"), F.lit(False)))
+        seen = _written(seen.select(*ks, "s", "v", "d", "tb", begins.alias("begins")), "seen")
 
     old = _written(_matched(old, touched, ks, "left_semi"), "runs")
     kept = _matched(old, seen.select(*ks, "s"), [*ks, "s"], "left_anti").drop("e")
     starts = kept.unionByName(seen.filter("begins").drop("begins")).withColumn("b", bucket)
-    ended = beside(starts, ks, "b", "s", F.struct(F.col("s").alias("s")), "next", after=True).withColumn("e", F.col("next.s")).drop("b", "next")
+    if whole:
+        ended = starts.withColumn("e", F.lead("s").over(Window.partitionBy(*ks).orderBy("s"))).drop("b")
+    else:
+        ended = beside(starts, ks, "b", "s", F.struct(F.col("s").alias("s")), "next", after=True).withColumn("e", F.col("next.s")).drop("b", "next")
     ended = _written(ended, "spliced")
 
     out = lambda df, *more: df.select("v.*", F.col("s").alias(START), F.col("e").alias(END), F.col("d").alias(DELETED), F.col("tb").alias(TIEBREAK), *more)
@@ -93,7 +121,8 @@ def scd2_splice(runs: DataFrame, log: DataFrame, prepared: DataFrame, keys: Sequ
     puts, drops = _matched(ended, old.select(*mark), mark, "left_anti"), _matched(old, ended.select(*ks, "s"), [*ks, "s"], "left_anti")
     changes = out(puts, F.lit(True).alias("__put")).unionByName(out(drops, F.lit(False).alias("__put")))
     others = _matched(own(runs, START), touched, ks, "left_anti")
-    return out(others).unionByName(out(ended)), changes
+    fresh = new.select("v.*", F.col("s").alias(SEQ), F.col("d").alias(DELETED), F.col("tb").alias(TIEBREAK)).select(*prepared.columns)
+    return out(others).unionByName(out(ended)), changes, fresh
 
 
 def compacted(log: DataFrame, keys: Sequence[str], bound: Column) -> DataFrame:

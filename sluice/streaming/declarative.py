@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import Rule, validate_rules
 from ..operators.expectations import apply_expectations, observe_expectations
 from ..operators.scd import END, SEQ, START, prepare_changes, scd1_state, scd1_view, scd2_log_append
-from ..operators.splice import compacted, scd2_runs, scd2_splice, scd2_view
+from ..operators.splice import compacted, scd2_runs, scd2_splice_fresh, scd2_view
 from ..session import path_exists
 from ..sinks.bucketed import BUCKETS, BucketedTable
 from ..sources.literal import literal_rows
@@ -109,10 +109,10 @@ class ChangeTarget:
         touched = log.touched(changes)
         before = log.part(touched) if log.exists() else None
         if before is None:
-            runs = scd2_runs(changes, self.keys, self.track_columns)
+            runs, rows = scd2_runs(changes, self.keys, self.track_columns), scd2_log_append(None, changes, self.keys)
         else:
-            runs, _ = scd2_splice(history.part(touched), before, changes, self.keys, self.track_columns)
-        rows = scd2_log_append(before, changes, self.keys)
+            runs, _, fresh = scd2_splice_fresh(history.part(touched), before, changes, self.keys, self.track_columns)
+            rows = before.unionByName(fresh)
         if bound is not None:
             over = F.coalesce(F.col(END) <= bound, F.lit(False))
             runs.filter(over).write.mode("append").parquet(f"{self.root}/frozen/_batch={batch_id}")

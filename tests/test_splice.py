@@ -125,3 +125,28 @@ def test_bounded_target_keeps_its_log_small_and_names_what_is_too_late(spark, tm
         assert _rows(target.read(spark)) == _rows(scd2(spark.createDataFrame(accepted, SCHEMA), **KW)), n
     assert max(sizes) < 90 and target.tables(spark)["history"].read().count() < 80 and len(accepted) > 130
     assert target.too_late(spark).count() == len(late) > 0
+
+
+def test_keys_that_fit_a_task_are_shuffled_once(spark):
+    """No key is hot: one shuffle by key serves the equal rows, the ties and the neighbours of a whole log."""
+    p = prepare_changes(spark.createDataFrame(_random_rows(random.Random(2), 200), SCHEMA), **KW)
+    plan = scd2_runs(p, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_whole_keys_and_buckets_agree(spark, monkeypatch):
+    """Histories, changes and fresh rows are the same whether keys are windowed whole or split by buckets."""
+    from sluice.operators import scd
+    from sluice.operators.splice import scd2_splice_fresh
+
+    draw, got = random.Random(4), []
+    p, new = (prepare_changes(spark.createDataFrame(_random_rows(draw, n), SCHEMA), **KW) for n in (80, 25))
+    new = new.unionByName(p.limit(5))  # some are in the log already
+    p, new = (spark.createDataFrame(x.collect(), x.schema) for x in (p, new))
+    for most in (scd.ROWS_A_KEY, 3):
+        monkeypatch.setattr(scd, "ROWS_A_KEY", most)
+        runs = scd2_runs(p, ["k"])
+        got.append([sorted(map(str, df.collect())) for df in (runs, *scd2_splice_fresh(runs, p, new, ["k"]))])
+    assert got[0] == got[1] and all(got[0])
+    log = sorted(map(str, scd2_log_append(p, new, ["k"]).collect()))
+    assert sorted([*map(str, p.collect()), *got[0][3]]) == log
