@@ -115,20 +115,31 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     keys = list(keys)
     kinds = {f.name: f.dataType for f in [*old.schema.fields, *new.schema.fields]}
     cols = [c for c in dict.fromkeys([*new.columns, *old.columns]) if c not in keys]
-    if CHANGE_TYPE in kinds:
-        raise ValueError(f"the versions already have a column named {CHANGE_TYPE}")
-    if deep := [c for c in cols if _has_map(kinds[c]) and (not isinstance(kinds[c], T.MapType) or _has_map(kinds[c].valueType))]:
-        raise TypeError(f"columns {deep} hold maps inside other types, which cannot be compared")
 
     def side(df: DataFrame, name: str, sign: int) -> DataFrame:
         row = [(F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(kinds[c])).alias(c) for c in [*keys, *cols]]
         return df.select(F.struct(*row).alias(name), join_key(df, keys, sign).alias(f"{name}_key"))
 
     both = side(old, "was", 1).join(side(new, "now", -1), F.col("was_key") == F.col("now_key"), "full_outer")
-    of = lambda name, c: F.array_sort(F.map_entries(f"{name}.`{c}`")) if isinstance(kinds[c], T.MapType) else F.col(f"{name}.`{c}`")
-    same = reduce(lambda a, b: a & b, [of("was", c).eqNullSafe(of("now", c)) for c in cols], F.lit(True))
+    return change_images(both, kinds, cols, F.col("was_key").isNull(), F.col("now_key").isNull())
+
+
+def same_row(was: str, kinds: dict[str, T.DataType], now: str | None = None) -> Column:
+    """Whether the struct ``was`` has the columns of the struct ``now``, or of the row itself; maps compare by their sorted entries."""
+    if deep := [c for c, kind in kinds.items() if _has_map(kind) and (not isinstance(kind, T.MapType) or _has_map(kind.valueType))]:
+        raise TypeError(f"columns {deep} hold maps inside other types, which cannot be compared")
+    of = lambda at, c: F.array_sort(F.map_entries(f"{at}`{c}`")) if isinstance(kinds[c], T.MapType) else F.col(f"{at}`{c}`")
+    there = F.col(was).isNotNull() if now is None else F.lit(True)
+    return reduce(lambda a, b: a & b, [of(f"{was}.", c).eqNullSafe(of(f"{now}." if now else "", c)) for c in kinds], there)
+
+
+def change_images(both: DataFrame, kinds: dict[str, T.DataType], cols: Sequence[str], inserted: Column, deleted: Column) -> DataFrame:
+    """The changes between the structs ``was`` and ``now`` of each row; ``cols`` are compared, ``kinds`` has the type of every column."""
+    if CHANGE_TYPE in kinds:
+        raise ValueError(f"the versions already have a column named {CHANGE_TYPE}")
+    same = same_row("was", {c: kinds[c] for c in cols}, "now")
     image = lambda name, kind: F.struct(F.col(name).alias("row"), F.lit(kind).alias("kind"))
-    images = (F.when(F.col("was_key").isNull(), F.array(image("now", "insert")))
-              .when(F.col("now_key").isNull(), F.array(image("was", "delete")))
+    images = (F.when(inserted, F.array(image("now", "insert")))
+              .when(deleted, F.array(image("was", "delete")))
               .when(~same, F.array(image("was", "update_preimage"), image("now", "update_postimage"))))
     return both.select(F.explode(images).alias("x")).select("x.row.*", F.col("x.kind").alias(CHANGE_TYPE))

@@ -12,7 +12,7 @@ class QuarantineSink:
         self.spark, self.root = spark, root.rstrip("/")
 
     def write(self, rows: DataFrame, query: str, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/_query={query}/_batch_id={batch_id}")
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/_query={query}/_batch_id={batch_id}")
 
     def read(self, schema=None) -> DataFrame:
         """All quarantined rows with ``_query`` and ``_batch_id``.  Before anything was

@@ -10,6 +10,8 @@ oracle SQL repeats it.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +38,10 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                      "l_extendedprice", "l_shipdate"])
+    # a date and an int are narrower in the shuffles than the timestamp and the double they come from
+    li = li.withColumn("l_shipdate", F.col("l_shipdate").cast("date")).withColumn("l_quantity", F.col("l_quantity").cast("int"))
     od = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    od = od.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
     cu = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
     pa = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_retailprice"])
 
@@ -50,22 +55,22 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         _null_when((ok * 7 + pk) % 10 < 3, F.col("o_custkey")).alias("client_id"),
         _null_when((ok + pk * 3) % 10 < 2, pk).alias("product_id"),
         _null_when(pk % 50 == 0, F.col("c_mktsegment")).alias("address"),
-        _null_when((ok + pk) % 10 < 4, F.col("o_orderdate").cast("date")).alias("signup_date"),
+        _null_when((ok + pk) % 10 < 4, F.col("o_orderdate")).alias("signup_date"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.col("p_retailprice").alias("price"),
-        F.col("l_shipdate").cast("date").alias("date"),
-        (F.col("l_quantity").cast("int") - 2).alias("quantity"),
+        F.col("l_shipdate").alias("date"),
+        (F.col("l_quantity") - 2).alias("quantity"),
         F.col("l_extendedprice").alias("sale_amount"),
         F.col("l_suppkey"),
         F.col("l_linenumber"),
     )
 
 
-def stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bronze as a stored table, for plans that read it more than once."""
+def stored_bronze(spark: SparkSession, sf_dir: str, columns: Sequence[str] = ("*",)) -> DataFrame:
+    """The bronze, or those of its columns that a plan reads, as a stored table, for plans that read it more than once."""
     path = scratch_path(spark, "bronze")
-    bronze(spark, sf_dir).write.parquet(path)
+    bronze(spark, sf_dir).select(*columns).write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 

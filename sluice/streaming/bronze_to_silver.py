@@ -81,9 +81,8 @@ def process_batch(target: SilverTarget, batch_df: DataFrame, batch_id: int, tag:
         quarantined = judged.filter(F.col(STATUS_COL) == "quarantine").drop(STATUS_COL, UNKNOWN_COL)
         target.quarantine.write(quarantined.withColumn("_failed_rules", F.col(FAILED_COL)), tag, batch_id)
         valid = judged.filter(F.col(STATUS_COL) == "valid").drop(FAILED_COL, STATUS_COL, UNKNOWN_COL)
-        if target.feed_path:
-            target.table.write_feed(valid, f"{target.feed_path}/_query={tag}/_batch_id={batch_id}")
-        target.table.upsert(valid, batch_version(batch_id, tag), check=False)  # the dedupe has made keys unique
+        feed = {"feed": f"{target.feed_path}/_query={tag}/_batch_id={batch_id}"} if target.feed_path else {}
+        target.table.upsert(valid, batch_version(batch_id, tag), check=False, **feed)  # the dedupe has made keys unique
         if target.metrics_path:
             rows_in = came.get["rows"]  # before dedupe (S7), counted by the pass above
             (quality_metrics(judged)
