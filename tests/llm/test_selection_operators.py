@@ -282,6 +282,27 @@ def test_wand_matches_full_scores(monkeypatch):
         assert list(zip(scores.tolist(), docs.tolist())) == sorted(((round(s, DIGITS), d) for d, s in full.items()), key=lambda x: (-x[0], x[1]))[:10]
 
 
+def test_topk_blocks_hold_like_documents():
+    """Documents of two vocabularies in turn: most blocks have words of one alone, so that queries leave half of them out."""
+    from sluice.llm.topk import BLOCK, Index
+
+    draw = np.random.default_rng(7)
+    rows, words = 16 * BLOCK, 40
+    has = draw.random((words, rows)) < 0.5
+    has[: words // 2, ::2] = has[words // 2 :, 1::2] = False
+    scores = np.where(has, draw.integers(1, 600, has.shape) / 64, 0)
+    at, docs = np.append(0, np.cumsum(has.sum(1))), np.nonzero(has)[1]
+    index = Index(at, docs, scores[has], rows)
+    assert (index.tops > 0).mean() < 0.6
+    asked = [np.arange(words // 2), np.arange(words // 2, words), np.arange(0, words, 3)] * 50
+    query = np.repeat(np.arange(len(asked)), [len(x) for x in asked])
+    q, doc, value = index.best(query, np.concatenate(asked), len(asked), 10)
+    for i, x in enumerate(asked):
+        full = scores[x].sum(0)
+        best = np.lexsort((np.arange(rows), -full))[:10]
+        assert doc[q == i].tolist() == best.tolist() and value[q == i].tolist() == np.round(full[best], 6).tolist()
+
+
 def test_topk_asks_for_all_words_of_a_row(spark, monkeypatch):
     """Rows of 40 words, rare ones among them: all of them count, not the first dozen nor those of many rows alone."""
     from sluice.llm import topk as T
