@@ -41,6 +41,8 @@ NEAR = [0, 1, 2, 3, 4]
 KNOWN = 200_000
 BATCH, RATE = 4096, 0.25
 BLOCKS, ROUNDS = 32, 4
+#: Runs of more rows with one feature are added up by themselves.
+LONG = 8
 #: Training tokens for each task of a round, whose weights travel once: they grow with the input, not with its splits; a few tasks in any case.
 TASK_TOKENS, FEW_TASKS = 20_000_000, 8
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -63,6 +65,14 @@ class Tokens:
             self.ending[place] = (mix(last | before << np.uint64(8), 11) % np.uint64(ENDINGS)).astype(np.int64)
         self.row = np.repeat(np.arange(rows), np.diff(self.first))
 
+    def found(self, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of each token's hash in a sorted list, whether it is there); each distinct hash is looked up once, in order."""
+        if not hasattr(self, "distinct"):
+            self.distinct, self.which = np.unique(self.hash, return_inverse=True)
+        at = np.minimum(np.searchsorted(among, self.distinct), max(len(among) - 1, 0))
+        have = among[at] == self.distinct if len(among) else np.zeros(len(at), bool)
+        return at[self.which], have[self.which]
+
     def back(self, a: np.ndarray, steps: int, outside: np.generic) -> np.ndarray:
         """The value ``steps`` tokens earlier in the same row."""
         out = np.full_like(a, outside)
@@ -136,8 +146,8 @@ class Model:
 
     def targets(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
         """(class, rank or -1 for words without a softmax) of each token."""
-        at = np.minimum(np.searchsorted(self.head, t.hash), len(self.head) - 1)
-        rank = np.where(self.head[at] == t.hash, self.order[at], -1)
+        at, have = t.found(self.head)
+        rank = np.where(have, self.order[at], -1)
         return np.where((rank >= 0) & (rank < HEAD), rank // WIDTH, HEAD // WIDTH + t.ending), rank
 
     def path(self, cls: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,13 +175,45 @@ def softmax(rows: np.ndarray, bias: np.ndarray, weights: np.ndarray) -> np.ndarr
     return logits
 
 
-def _runs(r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order that sorts r, where each value begins in it, the values)."""
+def _runs(r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(order that sorts r; where each run of one value begins in it, its length and its value, the longest runs first)."""
     key = r.astype(np.int64) << 20 | np.arange(len(r))  # one sort of plain numbers; a batch has fewer than 2**20 rows
     key.sort()
     value = key >> 20
     at = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
-    return key & ((1 << 20) - 1), at, value[at]
+    size = np.diff(np.append(at, len(r)))
+    by = np.argsort(255 - np.minimum(size, 255).astype(np.uint8), kind="stable")
+    return key & ((1 << 20) - 1), at[by], size[by], value[at[by]]
+
+
+def _summed(g: np.ndarray, order: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The rows of g added up by run: those after the first one by one and for all runs at once, then the first; the few long runs by themselves.
+
+    Each sum is rounded like ``np.add.reduceat``'s, which takes a step for every run and column.
+    """
+    out = g.take(order.take(at), axis=0)
+    upto = np.cumsum(np.bincount(np.minimum(size, LONG + 1), minlength=LONG + 2)[::-1])[::-1].tolist()  # runs of at least so many rows
+    long = upto[LONG + 1]
+    if long:
+        n = size[:long]
+        first = np.cumsum(n) - n
+        place = np.repeat(at[:long] - first, n)
+        place += np.arange(len(place))
+        out[:long] = np.add.reduceat(g.take(order.take(place), axis=0), first, axis=0)
+    if upto[2] > long:
+        rest = g.take(order.take(at[long : upto[2]] + 1), axis=0)
+        for j in range(2, LONG):
+            if upto[j + 1] == long:
+                break
+            rest[: upto[j + 1] - long] += g.take(order.take(at[long : upto[j + 1]] + j), axis=0)
+        out[long : upto[2]] += rest
+    return out
+
+
+def _put(rows: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
+    """rows[at] = values, each row copied as one item."""
+    whole = np.dtype((np.void, rows.itemsize * rows.shape[1]))
+    np.put(rows.view(whole).reshape(-1), at, values.view(whole).reshape(-1))
 
 
 def step(rows: np.ndarray, target: np.ndarray, bias: np.ndarray, weights: np.ndarray, square: np.ndarray, own_bias: np.ndarray | None = None) -> None:
@@ -181,14 +223,15 @@ def step(rows: np.ndarray, target: np.ndarray, bias: np.ndarray, weights: np.nda
     if own_bias is None:
         bias -= RATE * g.mean(0)
     else:
-        order, at, hit = _runs(own_bias)
-        bias[hit] -= RATE / n * np.add.reduceat(g.take(order, axis=0), at, axis=0)
+        order, at, size, hit = _runs(own_bias)
+        bias[hit] -= RATE / n * _summed(g, order, at, size)
     for r in rows:
-        order, at, hit = _runs(r)
-        summed = np.add.reduceat(g.take(order, axis=0), at, axis=0)
-        square[hit] += np.einsum("ij,ij->i", summed, summed) / summed.shape[1]
-        summed *= (RATE / np.sqrt(square[hit] + 1))[:, None]
-        weights[hit] -= summed
+        order, at, size, hit = _runs(r)
+        summed = _summed(g, order, at, size)
+        squares = square[hit] + np.einsum("ij,ij->i", summed, summed) / summed.shape[1]
+        square[hit] = squares
+        summed *= (RATE / np.sqrt(squares + 1))[:, None]
+        _put(weights, hit, weights.take(hit, axis=0) - summed)
 
 
 def word_rows(f: np.ndarray, node: np.ndarray, rows: int = HEAD_ROWS * (HEAD // WIDTH)) -> np.ndarray:
@@ -283,7 +326,8 @@ def fit(train: DataFrame) -> tuple[DataFrame, tuple[int, int], Model, tuple[np.n
     for n in range(ROUNDS):
         part = train.filter(F.pmod(F.xxhash64(*train.columns), F.lit(ROUNDS)) == n).coalesce(tasks)
         blocks = part.mapInArrow(_train(model), schema)
-        blocks = blocks.groupBy("part", "block", F.expr("task div 32")).applyInArrow(_mean, schema)
+        if tasks > 32:  # in two steps, so that no group is large
+            blocks = blocks.groupBy("part", "block", F.expr("task div 32")).applyInArrow(_mean, schema)
         blocks = blocks.groupBy("part", "block").applyInArrow(_mean, schema).collect()
         for name, a in model.parts().items():
             got = sorted((r["block"], bytes(r["w"])) for r in blocks if r["part"] == name)
@@ -313,8 +357,7 @@ def _score(model: Model, known: np.ndarray, c: np.ndarray, base: float):
                     logp[s] += np.bincount(token, np.log10(np.maximum(p[np.arange(len(p)), slot], 1e-30)), minlength=len(logp[s]))
             other = np.flatnonzero(rank < 0)
             logp[other] -= model.share[t.ending[other]]
-            at = np.minimum(np.searchsorted(known, t.hash), max(len(known) - 1, 0))
-            have = known[at] == t.hash if len(known) else np.zeros(len(cls), bool)
+            at, have = t.found(known)
             count = np.where(have, log_c[at] if len(known) else 0, 0)
             sums = [np.add.reduceat(x, t.first[:-1]) for x in (have & (c[at] > 0) if len(known) else have.astype(np.int64), count - base, logp + np.where(rank >= 0, 0, count))]
             n, row = len(ids), task + seen + np.arange(len(ids))

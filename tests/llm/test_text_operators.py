@@ -193,6 +193,24 @@ def test_lm_probabilities_sum_to_one(spark):
     assert np.allclose(q.sum(1), 1) and (q[:, len(model.head) :] < 1e-6).all()
 
 
+def test_lm_gradients_are_added_up_by_run_to_the_last_bit():
+    from sluice.llm.lm_maxent import _put, _runs, _summed
+
+    draw = np.random.default_rng(4)
+    for width, values, n in ((64, 3, 4096), (64, 900, 4096), (16, 100_000, 9000), (16, 1, 1), (16, 40, 8), (16, 9000, 60_000)):
+        r = (draw.random(n) ** 3 * values).astype(np.uint32)  # some values fill long runs, others stand alone
+        g = draw.standard_normal((n, width)).astype(np.float32)
+        order, at, size, hit = _runs(r)
+        by = np.argsort(r, kind="stable")
+        value, first = np.unique(r[by], return_index=True)
+        assert sorted(hit.tolist()) == value.tolist() and (np.diff(np.minimum(size, 9)) <= 0).all()
+        want = np.zeros((values, width), np.float32)
+        want[value] = np.add.reduceat(g[by], first, axis=0)
+        got = np.zeros((values, width), np.float32)
+        _put(got, hit, _summed(g, order, at, size))
+        assert (got == want).all()
+
+
 def test_lm_of_odd_rows(spark):
     from sluice.llm.lm_maxent import score
 
