@@ -339,6 +339,57 @@ def test_topk_blocks_and_odd_rows(spark, monkeypatch):
     assert T.search(docs(spark, []), F.col("doc_id") % 20 == 0).collect() == []
 
 
+def test_topk_reads_each_text_once(spark, monkeypatch, tmp_path):
+    """However many blocks the queries make: the words are looked up in written lists."""
+    from sluice.llm import topk as T
+
+    real, folder = T._hashes, str(tmp_path)
+
+    def counted(data, bounds, powers):
+        import uuid
+        with open(f"{folder}/{uuid.uuid4().hex}", "w"):
+            return real(data, bounds, powers)
+
+    frame = spark.createDataFrame([(i, f"a{i % 7} b{i % 5} c{i}") for i in range(120)], "doc_id long, text string").repartition(3)
+    whole = sorted(tuple(r) for r in T.search(frame, F.col("doc_id") % 20 == 0).collect())
+    monkeypatch.setattr(T, "_hashes", counted)
+    monkeypatch.setattr(T, "QUERIES", 2)
+    assert sorted(tuple(r) for r in T.search(frame, F.col("doc_id") % 20 == 0).collect()) == whole
+    assert len(list(tmp_path.iterdir())) == 3
+
+
+def test_topk_keeps_what_reaches_the_least(monkeypatch):
+    """Sums in single precision and skipped blocks lose no row and no digit, whatever is known of the k-th best."""
+    from sluice.llm import topk as T
+
+    for name, value in (("BLOCK", 8), ("REGION", 4), ("GROUP", 16), ("PIVOTS", 2), ("FREQUENT", 60), ("TABLE", 20), ("SHARE", 8)):
+        monkeypatch.setattr(T, name, value)
+    draw, rows, words, k = np.random.default_rng(11), 333, 200, 10
+    for trial in range(12):
+        monkeypatch.setattr(T, "CELL", (1e-6, 0.01, 10.0)[trial % 3])
+        has = draw.random((words, rows)) < draw.random((words, 1)) ** 3 * draw.random(rows)
+        scores = np.where(has, draw.random(has.shape) * draw.choice([1e-6, 1, 40], (words, 1)), 0)
+        scores[:, 100:130] = scores[:, :30]  # equals
+        index = T.Index(np.append(0, np.cumsum((scores > 0).sum(1))), np.nonzero(scores)[1], scores[scores > 0], rows)
+        asked = [np.sort(draw.choice(words, draw.integers(1, words), replace=False)) for _ in range(16)]
+        full = np.stack([np.round(scores[x].sum(0), T.DIGITS) for x in asked])
+        kth = np.sort(full, 1)[:, -k] * (trial % 2)
+        q, doc, value = index.best(np.repeat(np.arange(16), [len(x) for x in asked]), np.concatenate(asked), 16, k, kth)
+        for i in range(16):
+            best = [d for d in np.lexsort((np.arange(rows), -full[i]))[:k] if scores[asked[i], d].any()]
+            assert doc[q == i].tolist() == best and value[q == i] == pytest.approx(full[i, best], abs=1.1e-6)
+
+
+def test_topk_equal_queries_are_answered_each(spark):
+    from sluice.llm import topk as T
+
+    rows = [(i, "the same words" if i in (0, 20, 60) else f"other words {i}") for i in range(80)] + [(100, "words SAME the the")]
+    got = T.search(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") % 20 == 0).collect()
+    by = {q: sorted((r.rank, r.doc_id, r.score) for r in got if r.query_id == q) for q in (0, 20, 40, 60, 100)}
+    assert by[0] == by[20] == by[60] == by[100] and len(by[0]) == 10 and {d for _, d, _ in by[0][:4]} == {0, 20, 60, 100}
+    assert by[40][0][1] == 40 and len(by[40]) == 10
+
+
 # html
 
 def test_html_query_keeps_the_article(spark):
